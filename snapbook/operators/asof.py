@@ -1,7 +1,8 @@
 """Lookups along a history: last row on or before a date, first change after it, balances of a day.
 
-All reductions keep one row per key and run as ``row_number() = 1`` (or ``rank() = 1``), which Spark plans
-with a group limit on the map side: a key that holds a third of the history leaves each map task as one row.
+Every reduction keeps one row per key (ties aside) and shrinks on the map side: a struct maximum through partial
+aggregation, ``row_number() = 1`` or ``rank() = 1`` through the window group limit. A key that holds a third of
+the history leaves each map task as one row.
 """
 
 from __future__ import annotations
@@ -44,8 +45,12 @@ def latest(
     if asof is not None:
         day = F.lit(asof).cast("date")
         rows = rows.filter(F.col(eff) < day if strict else F.col(eff) <= day)
-    order = [F.col(c).desc_nulls_last() for c in (eff, *ties)]
-    return first_per(rows, keys, order)
+    # One struct maximum per key: date first, then the ties, then whatever else the row has. It combines on
+    # the map side and, unlike a window, does not sort the rows that lose.
+    lead = [eff, *ties]
+    rest = [c for c in hist.columns if c not in keys and c not in lead]
+    best = rows.groupBy(*keys).agg(F.max(F.struct(*lead, *rest)).alias("_last"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in hist.columns])
 
 
 def asof_latest(
@@ -60,7 +65,8 @@ def asof_latest(
 ) -> DataFrame:
     """Attach columns of the last history row on or before the date; ``cols`` maps history to output names."""
     keys = as_list(on)
-    last = latest(hist, keys, eff, asof, ties, strict)
+    needed = dict.fromkeys([*keys, eff, *ties, *cols])
+    last = latest(hist.select(*needed), keys, eff, asof, ties, strict)
     picked = last.select(*keys, *[F.col(c).alias(a) for c, a in cols.items()])
     return left.join(picked, keys, "left")
 

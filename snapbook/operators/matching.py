@@ -83,6 +83,12 @@ def assign_accounts(registers: DataFrame, best: DataFrame, owners: dict[int, str
         rows.join(best, ["owner_kind", "owner_id", "register_type_id"])
         .groupBy(*registers.columns)
         .agg(F.max("direct").alias("direct"), F.max("special").alias("special"))
+        .select(
+            *registers.columns,
+            F.col("direct.account_id").alias("direct_id"),
+            F.col("direct.account_type_id").alias("direct_type"),
+            F.col("special.account_id").alias("special_id"),
+        )
     )
 
 

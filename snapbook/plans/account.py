@@ -17,6 +17,7 @@ from snapbook.operators.matching import (
 from snapbook.plans import register_types as rt
 from snapbook.plans.loan import LINE_TYPES, shape
 from snapbook.plans.portfolio import back_office
+from snapbook.session import cut
 
 Frames = Mapping[str, DataFrame]
 
@@ -223,20 +224,13 @@ def register_accounts(registers: DataFrame, accounts: DataFrame, links: DataFram
         links, rt.RESERVE_ACCOUNT_TYPE,
     )
     pairs = assign_accounts(registers, choices, OWNERS).join(targets, "register_type_id")
-    direct = F.struct(
-        F.col("direct.account_id").alias("account_id"), F.col("direct.account_type_id").alias("account_type_id"),
-        F.col("level").alias("level"),
-    )
+    own = [*registers.columns, "sub_type", "base_type_id"]
+    direct = F.struct(F.col("direct_id").alias("account_id"), F.col("direct_type").alias("account_type_id"), "level")
     special = F.struct(
-        F.col("special.account_id").alias("account_id"), F.lit(rt.RESERVE_ACCOUNT_TYPE).alias("account_type_id"),
+        F.col("special_id").alias("account_id"), F.lit(rt.RESERVE_ACCOUNT_TYPE).alias("account_type_id"),
         F.lit(1).alias("level"),
     )
-    own = [*registers.columns, "sub_type", "base_type_id"]
-    return (
-        pairs.select(*own, F.explode(F.array(direct, special)).alias("pair"))
-        .select(*own, "pair.account_id", "pair.account_type_id", "pair.level")
-        .filter(F.col("account_id").isNotNull())
-    )
+    return pairs.select(*own, F.inline(F.array(direct, special))).filter(F.col("account_id").isNotNull())
 
 
 def published_pairs(pairs: DataFrame) -> DataFrame:
@@ -286,10 +280,14 @@ def account_rows(src: Frames, ctx: RunContext, pairs: DataFrame, accounts: DataF
 
 
 def account_snapshot(src: Frames, ctx: RunContext, loans: DataFrame, guarantees: DataFrame) -> DataFrame:
-    """Register accounts of the day. Disposal accounts are a second part of the same slice."""
+    """Register accounts of the day. Disposal accounts are a second part of the same slice.
+
+    Entries, accounts and pairs each feed two later steps with different columns, which rules out exchange
+    reuse; they are narrow, so each is written to the checkpoint folder once.
+    """
     targets = rt.target_types(src)
-    entries = account_entries(src, ctx, loans, guarantees)
+    entries = cut(account_entries(src, ctx, loans, guarantees))
     registers = register_rows(src, ctx, entries, targets)
-    accounts = account_list(src, ctx, entries)
-    pairs = register_accounts(registers, accounts, rt.type_links(src, targets), targets)
+    accounts = cut(account_list(src, ctx, entries))
+    pairs = cut(register_accounts(registers, accounts, rt.type_links(src, targets), targets))
     return account_rows(src, ctx, published_pairs(pairs), accounts)

@@ -12,6 +12,7 @@ from snapbook.functions.intervals import valid_on
 from snapbook.operators.asof import asof_latest, asof_next, latest
 from snapbook.operators.lookups import attach, default_id, keep_existing, opt_filter
 from snapbook.plans import routines
+from snapbook.session import cut
 
 Frames = Mapping[str, DataFrame]
 
@@ -285,6 +286,9 @@ def tranche_rows(src: Frames, ctx: RunContext, ids: DataFrame) -> DataFrame:
 
 
 def loan_snapshot(src: Frames, ctx: RunContext) -> DataFrame:
-    """The loan dataset: contracts and tranches in one slice."""
-    ids = eligible_contracts(src, ctx)
+    """The loan dataset: contracts and tranches in one slice.
+
+    Both parts start from the eligible contracts, which are worked out and written once.
+    """
+    ids = cut(eligible_contracts(src, ctx))
     return contract_rows(src, ctx, ids).unionByName(tranche_rows(src, ctx, ids))

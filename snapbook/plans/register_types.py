@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from snapbook.operators.hierarchy import expand_parents
 from snapbook.operators.lookups import const_df
+from snapbook.session import dictionary
 
 # Fixed values: (register type, account type) pairs allowed besides the stored ones.
 EXTRA_LINKS = [
@@ -68,7 +69,7 @@ def target_types(src: Mapping[str, DataFrame]) -> DataFrame:
         .select(F.col("parent_id").alias("register_type_id"), "sub_type", F.lit(1).alias("level"), "base_type_id")
         .join(ground.select("register_type_id"), "register_type_id", "left_anti")
     )
-    return direct.unionByName(parents).distinct().filter(F.col("register_type_id") != DROPPED_TARGET)
+    return dictionary(direct.unionByName(parents).distinct().filter(F.col("register_type_id") != DROPPED_TARGET))
 
 
 def stored_links(src: Mapping[str, DataFrame]) -> DataFrame:
@@ -89,8 +90,7 @@ def stored_links(src: Mapping[str, DataFrame]) -> DataFrame:
 def type_links(src: Mapping[str, DataFrame], targets: DataFrame) -> DataFrame:
     """Allowed account types per register type with their priority, 0 first."""
     base = stored_links(src).join(targets.select("register_type_id", F.col("level").alias("priority")).distinct(), "register_type_id")
-    lifted = expand_parents(
-        base.select("register_type_id", "account_type_id", "priority"), src["register_type_link"], step=10, rounds=2
-    )
+    start = dictionary(base.select("register_type_id", "account_type_id", "priority"))
+    lifted = expand_parents(start, src["register_type_link"], step=10, rounds=2)
     override = (F.col("account_type_id") == RESERVE_ACCOUNT_TYPE) & F.col("register_type_id").isin(*AWARDED_PENALTY_REGISTERS)
-    return lifted.withColumn("priority", F.when(override, F.lit(RESERVE_PRIORITY)).otherwise(F.col("priority")))
+    return dictionary(lifted.withColumn("priority", F.when(override, F.lit(RESERVE_PRIORITY)).otherwise(F.col("priority"))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Settable at run time. AQE picks the partition count and turns a join into a broadcast only after it
 # has measured the side; the skew rule splits hot keys even when that costs one more exchange.
@@ -58,3 +58,12 @@ def cut(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def dictionary(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """A dictionary worked out once: checkpointed, and broadcast only when its counted rows are few.
+
+    Beyond ``max_rows`` it stays an ordinary frame and joins by shuffle.
+    """
+    done = cut(df)
+    return F.broadcast(done) if done.count() <= max_rows else done

@@ -12,7 +12,6 @@ from collections.abc import Iterable, Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from snapbook.operators.asof import Names, as_list
@@ -41,13 +40,9 @@ class SliceStore:
         return path
 
     def exists(self, name: str) -> bool:
-        try:
-            self.spark.read.parquet(self._folder(name))
-            return True
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return False
-            raise
+        """Whether the dataset has been published at all."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(name))
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
     def read(self, name: str, source: str | None = None, day: date | None = None) -> DataFrame:
         """A dataset or one slice of it; both filters prune partitions."""
