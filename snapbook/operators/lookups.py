@@ -38,7 +38,8 @@ def attach(
             missing = missing | F.col(name).isNull()
         part = F.pmod(F.xxhash64(spread_nulls_by), F.lit(NULL_SPREAD)).cast("int")
         left = left.withColumn("_spread", F.when(missing, part).otherwise(F.lit(0)))
-        right = right.withColumn("_k_spread", F.lit(0))
+        # Always 0, but not a literal: a literal would be folded into the condition and drop out of the join key.
+        right = right.withColumn("_k_spread", F.pmod(F.hash(*[f"_k_{r}" for r in on.values()]), F.lit(1)))
         cond.append(F.col("_spread") == F.col("_k_spread"))
         drop += ["_spread", "_k_spread"]
     joined = left.join(right, cond, how).drop(*drop)

@@ -485,12 +485,12 @@ def duck_sql(sql: str) -> str:
     return "with " + ", ".join(views) + " " + body
 
 
-# Views that group, union or number rows. A loan system holds these as tables, so each is written once per
+# Everything built on orders or line items. A loan system holds these as tables, so each is written once per
 # application and data folder, and read as a table from then on.
-STAGED = (
-    "issue", "contract_sum", "register", "register_rest", "account", "base_account", "loan_slice", "guarantee_slice",
-    "portfolio", "collateral_type", "run",
-)
+STAGED = tuple(
+    name for name, sql in VIEWS.items()
+    if {"orders", "lineitem", "issue", "contract", "base_contract"} & set(references(sql))
+) + ("portfolio", "run")
 
 
 class StandIns(dict):
@@ -520,6 +520,10 @@ class StandIns(dict):
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in self._written:
             folder = new_folder(self.spark, f"source-{name}")
+            cores = self.spark.sparkContext.defaultParallelism
+            if len(frame.inputFiles()) < cores:
+                # A handful of input files would leave a handful of tasks, here and in every later scan.
+                frame = frame.repartition(cores)
             frame.write.parquet(folder)
             self._written[key] = folder
         return self.spark.read.parquet(self._written[key])
