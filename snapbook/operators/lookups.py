@@ -26,10 +26,7 @@ def attach(
     ``spread_nulls_by`` names a well distributed left column. Rows without a key never match, yet a
     plain left join would send them all to one task; with it they are spread over many.
     """
-    right = frame.select(
-        *[F.col(r).alias(f"_k_{r}") for r in on.values()],
-        *[F.col(c).alias(a) for c, a in cols.items()],
-    )
+    keys = [F.col(r).alias(f"_k_{r}") for r in on.values()]
     cond = [F.col(l) == F.col(f"_k_{r}") for l, r in on.items()]
     drop = [f"_k_{r}" for r in on.values()]
     if how == "left" and spread_nulls_by is not None:
@@ -39,9 +36,10 @@ def attach(
         part = F.pmod(F.xxhash64(spread_nulls_by), F.lit(NULL_SPREAD)).cast("int")
         left = left.withColumn("_spread", F.when(missing, part).otherwise(F.lit(0)))
         # Always 0, but not a literal: a literal would be folded into the condition and drop out of the join key.
-        right = right.withColumn("_k_spread", F.pmod(F.hash(*[f"_k_{r}" for r in on.values()]), F.lit(1)))
+        keys.append(F.pmod(F.hash(*on.values()), F.lit(1)).alias("_k_spread"))
         cond.append(F.col("_spread") == F.col("_k_spread"))
         drop += ["_spread", "_k_spread"]
+    right = frame.select(*keys, *[F.col(c).alias(a) for c, a in cols.items()])
     joined = left.join(right, cond, how).drop(*drop)
     if default is not None:
         joined = joined.withColumns({a: F.coalesce(F.col(a), default) for a in cols.values()})

@@ -14,7 +14,7 @@ ROW_BITS = 33
 def number_rows(df: DataFrame, order: Sequence[Column], name: str, partitions: int | None = None) -> DataFrame:
     """1, 2, 3, ... over the whole frame, without gathering it in one task.
 
-    Range partitions are sorted on their own and written to the shared checkpoint folder. A row's number
+    Range partitions are sorted on their own and written to the shared folder. A row's number
     is the size of the partitions before its own plus its place inside; only the sizes (one row per
     partition) are summed in one task. Copies of one row are told apart by their input position, so even
     a frame of equal rows spreads.

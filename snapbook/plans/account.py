@@ -283,7 +283,7 @@ def account_snapshot(src: Frames, ctx: RunContext, loans: DataFrame, guarantees:
     """Register accounts of the day. Disposal accounts are a second part of the same slice.
 
     Entries, accounts and pairs each feed two later steps with different columns, which rules out exchange
-    reuse; they are narrow, so each is written to the checkpoint folder once.
+    reuse; they are narrow, so each is written to the shared folder once.
     """
     targets = rt.target_types(src)
     entries = cut(account_entries(src, ctx, loans, guarantees))

@@ -146,7 +146,7 @@ def replanned_dates(src: Frames, ctx: RunContext) -> DataFrame:
     return contracts.unionByName(tranches).distinct()
 
 
-def _with_header(src: Frames, ctx: RunContext, ids: DataFrame) -> DataFrame:
+def loan_header(src: Frames, ctx: RunContext, ids: DataFrame) -> DataFrame:
     """Eligible contracts with what loans and tranches share: base data, client, product, purpose, overdue."""
     contract = src["contract"].select(
         "contract_id", "contract_type", "product_type_id", "purpose_id", "schedule_type", "annual_payment", "scheme_id"
@@ -203,9 +203,9 @@ def ceded_contracts(src: Frames, ctx: RunContext) -> DataFrame:
     return ops.select("contract_id").distinct().withColumn("ceded", F.lit(True))
 
 
-def contract_rows(src: Frames, ctx: RunContext, ids: DataFrame) -> DataFrame:
+def contract_rows(src: Frames, ctx: RunContext, header: DataFrame) -> DataFrame:
     """One row per eligible contract (more only when a re-planned date is ambiguous)."""
-    df = _with_header(src, ctx, ids)
+    df = header
     own = {"contract_id": "contract_id"}
     df = attach(df, replanned_contract_terms(src, ctx), own, {"new_term": "new_term"})
     df = attach(df, _issue_facts(src), own, {"date_issue": "date_issue", "code": "code"})
@@ -249,9 +249,9 @@ def active_issues(src: Frames, ctx: RunContext) -> DataFrame:
     ).drop("oper_date")
 
 
-def tranche_rows(src: Frames, ctx: RunContext, ids: DataFrame) -> DataFrame:
+def tranche_rows(src: Frames, ctx: RunContext, header: DataFrame) -> DataFrame:
     """One row per active tranche of an eligible line or overdraft."""
-    lines = _with_header(src, ctx, ids).filter(F.col("contract_type").isin(*LINE_TYPES)).drop("scheme_id")
+    lines = header.filter(F.col("contract_type").isin(*LINE_TYPES)).drop("scheme_id")
     issues = active_issues(src, ctx).select(
         "issue_id", "contract_id", "issue_number", "issue_date", "close_date", "plan_repayment_date", "issue_sum", "scheme_id"
     )
@@ -288,7 +288,7 @@ def tranche_rows(src: Frames, ctx: RunContext, ids: DataFrame) -> DataFrame:
 def loan_snapshot(src: Frames, ctx: RunContext) -> DataFrame:
     """The loan dataset: contracts and tranches in one slice.
 
-    Both parts start from the eligible contracts, which are worked out and written once.
+    Both parts start from the eligible contracts with their shared columns, worked out and written once.
     """
-    ids = cut(eligible_contracts(src, ctx))
-    return contract_rows(src, ctx, ids).unionByName(tranche_rows(src, ctx, ids))
+    header = cut(loan_header(src, ctx, eligible_contracts(src, ctx)))
+    return contract_rows(src, ctx, header).unionByName(tranche_rows(src, ctx, header))

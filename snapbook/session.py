@@ -53,15 +53,18 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Cut lineage: write the frame as a table in the shared folder and go on from there.
+
+    Lost executors cost no recomputation, later steps read only the columns they need, and the planner
+    sees the real size.
+    """
+    folder = new_folder(df.sparkSession, "step")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def dictionary(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """A dictionary worked out once: checkpointed, and broadcast only when its counted rows are few.
+    """A dictionary worked out once: written to the shared folder, and broadcast only when its counted rows are few.
 
     Beyond ``max_rows`` it stays an ordinary frame and joins by shuffle.
     """
