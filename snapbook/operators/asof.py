@@ -13,6 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from snapbook.functions import exprs
+from snapbook.session import cut
 
 Names = str | Sequence[str]
 
@@ -77,6 +78,16 @@ def asof_next(hist: DataFrame, key: Names, eff: str, asof: date) -> DataFrame:
     return first_per(later, key, [F.col(eff).asc()], with_ties=True)
 
 
+def history_of(hist: DataFrame, keys: DataFrame, on: Names) -> DataFrame:
+    """History rows of the given keys only, for a key set that is a small part of the history.
+
+    The keys are written out first. Spark then knows their size: a small set is broadcast and the history is
+    filtered in its scan, without an exchange; a large one joins by shuffle.
+    """
+    names = as_list(on)
+    return hist.join(cut(keys.select(*names).distinct()), names, "left_semi")
+
+
 def day_balances(rests: DataFrame, asof: date) -> DataFrame:
     """Opening rest and turnovers of the day for every register that has a row by then.
 

@@ -12,12 +12,18 @@ from snapbook.session import cut
 
 def expand_children(roots: DataFrame, nodes: DataFrame, depth: int = 2, node: str = "operation_id",
                     parent: str = "parent_id") -> DataFrame:
-    """Roots at level 0 and their descendants down to ``depth``, with the level as a column."""
-    level = roots.withColumn("level", F.lit(0))
+    """Roots at level 0 and their descendants down to ``depth``, with the level as a column.
+
+    Every level is written out before the next one is looked for. Its size is then known, so the few rows of a
+    day's roots are broadcast and the node table is only scanned; a large level joins by shuffle.
+    """
+    level = cut(roots.withColumn("level", F.lit(0)))
     out = level
     for step in range(1, depth + 1):
         above = level.select(F.col(node).alias(parent))
         level = nodes.join(above, parent).select(*roots.columns).withColumn("level", F.lit(step))
+        if step < depth:
+            level = cut(level)
         out = out.unionByName(level)
     return out
 

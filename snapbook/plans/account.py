@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from snapbook.context import RunContext
 from snapbook.functions import exprs
 from snapbook.functions.intervals import account_window, closed_within
-from snapbook.operators.asof import latest, opening_balance
+from snapbook.operators.asof import history_of, latest, opening_balance
 from snapbook.operators.lookups import attach, opt_filter
 from snapbook.operators.matching import (
     assign_accounts, best_accounts, class_representative, owner_rows, prefer,
@@ -66,22 +66,26 @@ def _closed_entries(src: Frames, ctx: RunContext) -> list[DataFrame]:
     )
     contracts = attach(contracts, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"})
     contracts = contracts.withColumn("branch_code", exprs.code_or_zero(F.col("inner_code")))
-    balance = latest(
-        src["register_rest"].select("register_id", "oper_day", "rest_out"), "register_id", "oper_day", ctx.asof, ties=("rest_out",)
-    ).filter(F.col("rest_out") > 0).select("register_id")
-    funded = src["register"].join(balance, "register_id")
+    by_contract = contracts.filter(closed_within(F.col("closed_date"), ctx.asof, ctx.depth_days))
+    by_issue = (
+        src["issue"].filter(closed_within(F.col("close_date"), ctx.asof, ctx.depth_days))
+        .select("issue_id", "contract_id", "issue_number").join(contracts, "contract_id")
+    )
+    by_contract, by_issue = cut(by_contract), cut(by_issue)
+    registers = src["register"].select("register_id", "register_type_id", "contract_id", "issue_id")
     plain = (
-        funded.filter(F.col("issue_id").isNull())
+        registers.filter(F.col("issue_id").isNull()).join(by_contract.select("contract_id"), "contract_id", "left_semi")
         .join(src["register_type"].filter(~F.col("brief").isin(*LIMIT_BRIEFS)).select("register_type_id"), "register_type_id")
-        .select("contract_id").distinct()
-    )
-    by_contract = contracts.filter(closed_within(F.col("closed_date"), ctx.asof, ctx.depth_days)).join(plain, "contract_id")
-    issues = src["issue"].filter(closed_within(F.col("close_date"), ctx.asof, ctx.depth_days))
-    by_issue = (
-        issues.select("issue_id", "contract_id", "issue_number")
-        .join(funded.select("issue_id").filter(F.col("issue_id").isNotNull()).distinct(), "issue_id")
-        .join(contracts, "contract_id")
     )
+    issued = registers.join(by_issue.select("issue_id"), "issue_id", "left_semi")
+    # Only the few registers of lately closed objects look up their balance.
+    own = ["register_id", "contract_id", "issue_id"]
+    candidates = cut(plain.select(*own).unionByName(issued.select(*own)))
+    rests = history_of(src["register_rest"].select("register_id", "oper_day", "rest_out"), candidates, "register_id")
+    funded = latest(rests, "register_id", "oper_day", ctx.asof, ties=("rest_out",)).filter(F.col("rest_out") > 0)
+    kept = candidates.join(funded.select("register_id"), "register_id", "left_semi")
+    by_contract = by_contract.join(kept.filter(F.col("issue_id").isNull()).select("contract_id").distinct(), "contract_id", "left_semi")
+    by_issue = by_issue.join(kept.filter(F.col("issue_id").isNotNull()).select("issue_id").distinct(), "issue_id", "left_semi")
     return [
         by_contract.select(
             F.lit(rt.CONTRACT).alias("entry_kind"), F.col("contract_id").alias("entry_id"), "client_id", "branch_code",

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from snapbook.context import RunContext
 from snapbook.functions import exprs
-from snapbook.operators.asof import latest
+from snapbook.operators.asof import history_of, latest
 from snapbook.operators.hierarchy import expand_children
 from snapbook.operators.lookups import attach
 from snapbook.plans.account import ACCOUNT_COLUMNS
 from snapbook.plans.loan import CESSION_OPERATION, shape
+from snapbook.session import cut
 
 Frames = Mapping[str, DataFrame]
 
@@ -62,10 +63,10 @@ def register_movements(src: Frames, ctx: RunContext, operations: DataFrame) -> D
         .groupBy("operation_id", "register_id").agg(F.count(F.lit(1)).alias("moves"))
         .join(src["register"].filter(F.col("register_type_id") != LIMIT_REGISTER).select("register_id"), "register_id")
     )
-    last = latest(
-        src["register_rest"].select("register_id", "oper_day", "rest_in", "rest_out", "over_in", "over_out"),
-        "register_id", "oper_day", ctx.asof, ties=("rest_out", "rest_in"),
-    )
+    # A day's cessions move few registers, so the balance history is cut down to those before anything else.
+    moved = cut(moved)
+    rests = src["register_rest"].select("register_id", "oper_day", "rest_in", "rest_out", "over_in", "over_out")
+    last = latest(history_of(rests, moved, "register_id"), "register_id", "oper_day", ctx.asof, ties=("rest_out", "rest_in"))
     rest = exprs.opening_rest(F.col("oper_day"), ctx.asof, F.col("rest_in"), F.col("rest_out"))
     joined = moved.join(last, "register_id", "left").select(
         "operation_id", "moves", rest.alias("rest"),
@@ -83,7 +84,7 @@ def disposal_sums(src: Frames, ctx: RunContext) -> DataFrame:
     the register sums of the operation are multiplied by the number of its transactions on the account.
     """
     targets = disposal_targets(src)
-    tree = cession_operations(src, ctx)
+    tree = cut(cession_operations(src, ctx))
     relevant = tree.join(targets.select("operation_id").distinct(), "operation_id", "left_semi")
     # An operation may be listed on two levels; each listing counts.
     listed = relevant.groupBy("operation_id", "contract_id", "oper_date").agg(F.count(F.lit(1)).alias("listings"))
