@@ -52,6 +52,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder is there, on whatever file system it names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage: write the frame as a table in the shared folder and go on from there.
 

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from snapbook.operators.asof import Names, as_list
+from snapbook.session import folder_exists
 
 # Datasets whose slices the clearing step empties; the dictionaries stay.
 DATED = ("guarantee", "pledge", "client", "schedule", "portfolio", "account", "loan")
@@ -41,8 +42,7 @@ class SliceStore:
 
     def exists(self, name: str) -> bool:
         """Whether the dataset has been published at all."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(name))
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        return folder_exists(self.spark, self._folder(name))
 
     def read(self, name: str, source: str | None = None, day: date | None = None) -> DataFrame:
         """A dataset or one slice of it; both filters prune partitions."""

@@ -656,6 +656,8 @@ SQL: dict[str, str] = {
         select * replace (cast(transaction_sum as double) as transaction_sum) from r where contract_id in (select contract_id from {{contract}})
         union all
         select * replace (cast(transaction_sum as double) as transaction_sum) from r where portfolio_id in (select portfolio_id from {{portfolio}})""",
+    "Q21_rejected_entries": """select contract_oid, portfolio_oid, date1 from {entry} where (contract_oid <> '' and not regexp_matches(contract_oid, '^[ci][0-9-]+$'))
+        or (tranche_oid <> '' and not regexp_matches(tranche_oid, '^[ci][0-9-]+$')) or (portfolio_oid <> '' and not regexp_matches(portfolio_oid, '^[ci][0-9-]+$'))""",
     "Q23_step_audit": """select r.run_id, r.start, r.number, r.target, date_diff('millisecond', r.start, r.finish) / 1000.0 as duration, r.status,
         case when r.status = 1 then (select count(*) from {step} s where s.target = r.target) else 0 end as record_count from {raw_step} r""",
     "Q24_presence_report": """select e.name, e.synonym, case when f.name is null then 0 else 1 end as present from {expected} e

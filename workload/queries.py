@@ -786,6 +786,12 @@ def _(s):
     return corrections.corrections(s["entry"], s["contract"], s["portfolio"], D, 1, "loan-book")
 
 
+@query("Q21_rejected_entries")
+def _(s):
+    """Entries whose ids do not have the id format (letter, digits and dashes)."""
+    return corrections.rejected_ids(s["entry"], "^[ci][0-9-]+$").select("contract_oid", "portfolio_oid", "date1")
+
+
 @query("Q23_step_audit")
 def _(s):
     counts = s["step"].groupBy("target").agg(F.count(F.lit(1)).alias("row_count"))

@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapbook.plans.register_types import TARGET_TYPES
-from snapbook.session import new_folder
+from snapbook.session import folder_exists, new_folder
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -518,7 +518,7 @@ class StandIns(dict):
 
     def _stage(self, name: str, frame: DataFrame) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in self._written:
+        if key not in self._written or not folder_exists(self.spark, self._written[key]):
             folder = new_folder(self.spark, f"source-{name}")
             cores = self.spark.sparkContext.defaultParallelism
             if len(frame.inputFiles()) < cores:
