@@ -33,12 +33,40 @@ def owner_rows(df: DataFrame, owners: dict[int, str], keep: Sequence[str]) -> Da
     )
 
 
-def match_any(left: DataFrame, right: DataFrame, keys: dict[int, str], left_cols: Sequence[str],
-              right_cols: Sequence[str]) -> DataFrame:
-    """Distinct rows of ``left`` and ``right`` that agree on at least one of the keys."""
-    l = owner_rows(left, keys, left_cols)
-    r = owner_rows(right, keys, right_cols).distinct()
-    return l.join(r, ["owner_kind", "owner_id"]).select(*left_cols, *right_cols).distinct()
+def match_any(left: DataFrame, right: DataFrame, keys: dict[int, str], left_id: str, right_id: str) -> DataFrame:
+    """Partners of every left row that agree with it on at least one key: their number and the smallest id.
+
+    The pairs are not built. Right rows are counted for every combination of filled keys, a left row meets one
+    count per combination of its own keys, and inclusion-exclusion (odd combinations add, even ones subtract)
+    counts a partner found by several keys once. ``right_id`` must be unique. Rows without a partner drop out.
+    """
+    columns = list(keys.values())
+    masks = range(1, 1 << len(columns))
+
+    def combinations(df: DataFrame, keep: str) -> DataFrame:
+        rows = F.array(
+            *[
+                F.struct(
+                    F.lit(mask).alias("mask"),
+                    *[(F.col(c) if mask >> i & 1 else F.lit(None)).cast("string").alias(f"k{i}") for i, c in enumerate(columns)],
+                )
+                for mask in masks
+            ]
+        )
+        out = df.select(keep, F.explode(rows).alias("_c")).select(keep, "_c.*")
+        for i in range(len(columns)):
+            # A combination counts only with all its keys filled; the others become blank for the equality.
+            used = F.col("mask").bitwiseAND(F.lit(1 << i)) != 0
+            out = out.filter(~used | F.col(f"k{i}").isNotNull())
+        return out.withColumns({f"k{i}": F.coalesce(f"k{i}", F.lit("")) for i in range(len(columns))})
+
+    on = ["mask", *[f"k{i}" for i in range(len(columns))]]
+    counted = combinations(right, right_id).groupBy(*on).agg(F.count(F.lit(1)).alias("n"), F.min(right_id).alias("first"))
+    sign = F.when(F.bit_count("mask") % 2 == 1, F.lit(1)).otherwise(F.lit(-1))
+    return (
+        combinations(left, left_id).join(counted, on).groupBy(left_id)
+        .agg(F.sum(sign * F.col("n")).alias("partners"), F.min("first").alias("first_partner"))
+    )
 
 
 def best_match(cands: DataFrame, key: Names, order: Sequence[Column]) -> DataFrame:

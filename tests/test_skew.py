@@ -104,6 +104,21 @@ def test_matching_a_hot_portfolio_builds_no_pairs(spark):
     assert best.groupBy("owner_kind", "owner_id", "register_type_id").count().filter("count > 1").isEmpty()
 
 
+def test_partners_by_any_key_are_counted_without_pairs(spark):
+    pick = lambda i, m, tag: None if i % m == 0 else (f"{tag}hot" if i % 3 else f"{tag}{i % 11}")
+    left = [(f"l{i}", pick(i, 4, "p"), pick(i, 5, "c"), pick(i, 2, "i")) for i in range(400)]
+    right = [(f"r{i:04d}", pick(i, 3, "p"), pick(i, 7, "c"), pick(i, 4, "i")) for i in range(400)]
+    schema = "{} string, portfolio_id string, contract_id string, issue_id string"
+    out = matching.match_any(spark.createDataFrame(left, schema.format("a")), spark.createDataFrame(right, schema.format("b")),
+                             account.OWNERS, "a", "b")
+    want = {}
+    for l in left:
+        hits = [r[0] for r in right if any(x is not None and x == y for x, y in zip(l[1:], r[1:]))]
+        if hits:
+            want[l[0]] = (len(hits), min(hits))
+    assert {r.a: (r.partners, r.first_partner) for r in out.collect()} == want
+
+
 BIG = ["Q3_Q4_loans", "Q5_guarantees", "Q9_register_list", "Q14_accounts", "Q15_disposal_accounts", "Q16_schedules", "Q18_pledges_waterfall",
        "J15_disjunctive_join", "Q21_corrections"]
 

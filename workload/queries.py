@@ -400,8 +400,8 @@ def _(s):
 
 @query("J15_disjunctive_join")
 def _(s):
-    return matching.match_any(s["register"], s["account"], account.OWNERS, ["register_id"], ["account_id"]).groupBy(
-        "register_id").agg(F.count(F.lit(1)).alias("accounts"), F.min("account_id").alias("first_account"))
+    found = matching.match_any(s["register"], s["account"], account.OWNERS, "register_id", "account_id")
+    return found.withColumnsRenamed({"partners": "accounts", "first_partner": "first_account"})
 
 
 def _account_parts(s):
