@@ -10,7 +10,9 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, functions as F
 
 from snapbook.context import RunContext
+from snapbook.operators.lookups import drop_existing
 from snapbook.plans import account, cession, client, dictionaries, guarantee, loan, pledge, portfolio, schedule
+from snapbook.session import cut
 from snapbook.sources import audit
 from snapbook.sources.slices import SliceStore
 
@@ -27,6 +29,12 @@ OBJECT_COLUMNS = {
     "schedule": ("contract_oid",), "client": ("oid",), "pledge": ("contract_oid",),
 }
 
+# What identifies a row of a slice.
+IDENTITY = {
+    "loan": ["oid"], "guarantee": ["oid"], "portfolio": ["oid"], "account": ["oid", "account_type"], "schedule": ["contract_oid"],
+    "client": ["oid"], "pledge": ["contract_oid", "pledge_oid"],
+}
+
 
 def builders(src: Mapping[str, DataFrame], ctx: RunContext, store: SliceStore) -> dict[str, Callable[[], DataFrame]]:
     """How to make each dataset; dependent ones read the slice published before them."""
@@ -57,12 +65,15 @@ def _publish(df: DataFrame, name: str, dated: bool, ctx: RunContext, store: Slic
         return store.replace(df, name, ctx.source)
     if ctx.object_id is None or name not in OBJECT_COLUMNS or not store.exists(name):
         return store.replace(df, name, ctx.source, ctx.asof)
-    # A run about one object keeps the other rows of the slice.
+    # A run about one object keeps the other rows of the slice. Rows it makes besides the object's own (its
+    # tranches, portfolio registers) take the place of their former selves.
+    fresh = cut(df)
     mine = F.lit(False)
     for col in OBJECT_COLUMNS[name]:
         mine = mine | (F.col(col) == ctx.object_id)
     kept = store.read(name, ctx.source, ctx.asof).filter(~F.coalesce(mine, F.lit(False)))
-    return store.append_to([kept, df.select(*kept.columns)], name, ctx.source, ctx.asof)
+    kept = drop_existing(kept, fresh, IDENTITY[name]).select(*kept.columns)
+    return store.append_to([kept, fresh.select(*kept.columns)], name, ctx.source, ctx.asof)
 
 
 def publish_day(src: Mapping[str, DataFrame], ctx: RunContext, store: SliceStore,

@@ -28,8 +28,8 @@ def test_publish_day(spark, sf_dir):
     assert {n: again[n] for n in again} == {n: first[n] for n in again}
 
     some = store.read("loan", "Test", D).filter(F.col("main_contract_oid").isNull()).orderBy("oid").first().oid
-    narrowed = counts(daily.publish_day(src, RunContext(D, source="Test", object_id=some), store, only=("loan",)))
-    assert narrowed["loan"] == first["loan"]
+    narrowed = counts(daily.publish_day(src, RunContext(D, source="Test", object_id=some), store, only=("loan", "account")))
+    assert narrowed == {n: first[n] for n in ("loan", "account")}
 
     broken = StandIns(spark, sf_dir, **{k: v for k, v in src.items() if k != "schedule"})
     broken["schedule"] = src["contract"]
