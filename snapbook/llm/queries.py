@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapbook.llm import quality, sharding, tokens
+from snapbook.llm import jaccard, quality, sharding, tokens
 from snapbook.llm.shared import read
 
 SHARDS = 24
@@ -39,8 +39,13 @@ def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op6_sharding": op6_sharding,
     "op7_tokens": op7_tokens,
+    "op10_jaccard": op10_jaccard,
 }
