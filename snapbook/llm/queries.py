@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapbook.llm import jaccard, quality, sharding, tokens
+from snapbook.llm import debruijn, jaccard, quality, sharding, tokens
 from snapbook.llm.shared import read
 
 SHARDS = 24
@@ -23,6 +23,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.RepeatedWords(read(spark, sf_dir, "documents", "doc_id", "text")).summary()
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     docs = read(spark, sf_dir, "documents", "doc_id", "text").select(
@@ -45,6 +49,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
+    "op3_substrings": op3_substrings,
     "op6_sharding": op6_sharding,
     "op7_tokens": op7_tokens,
     "op10_jaccard": op10_jaccard,
