@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapbook.llm import debruijn, jaccard, quality, sharding, tokens
+from snapbook.llm import debruijn, jaccard, latent, quality, sharding, tokens
 from snapbook.llm.shared import read
 
 SHARDS = 24
@@ -19,6 +19,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent.leaks(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -48,6 +52,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_leaks": op1_leaks,
     "op2_quality": op2_quality,
     "op3_substrings": op3_substrings,
     "op6_sharding": op6_sharding,

@@ -47,15 +47,15 @@ SEGMENT = 1 << 14
 BUCKET_SCHEMA = "segment int, counts binary"
 
 
-def emit_buckets(counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """A task's bucket counts cut into packed segments; empty segments are left out."""
+def emit_buckets(counts: np.ndarray, kind: str = "<i8") -> Iterator[tuple[int, bytes]]:
+    """A task's bucket counts (or sums) cut into packed segments; empty segments are left out."""
     for i in range(0, len(counts), SEGMENT):
         part = counts[i : i + SEGMENT]
         if part.any():
-            yield i // SEGMENT, zlib.compress(part.astype("<i8").tobytes(), 1)
+            yield i // SEGMENT, zlib.compress(part.astype(kind).tobytes(), 1)
 
 
-def bucket_sums(parts: DataFrame, buckets: int) -> np.ndarray:
+def bucket_sums(parts: DataFrame, buckets: int, kind: str = "<i8") -> np.ndarray:
     """Sum of all tasks' bucket counts; ``buckets`` alone bounds what reaches the driver.
 
     ``parts`` has the columns ``segment`` and ``counts`` of ``emit_buckets``. Segments are dealt out by number and
@@ -67,17 +67,17 @@ def bucket_sums(parts: DataFrame, buckets: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for s, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(zlib.decompress(c), "<i8")
+                part = np.frombuffer(zlib.decompress(c), kind)
                 sums[s] = sums[s] + part if s in sums else part
         if sums:
             yield pa.RecordBatch.from_pydict(
                 {"segment": pa.array(list(sums), pa.int32()), "counts": [zlib.compress(v.tobytes(), 1) for v in sums.values()]}
             )
 
-    total = np.zeros(segments * SEGMENT, np.int64)
+    total = np.zeros(segments * SEGMENT, kind)
     few = parts.select("segment", "counts").repartition(min(segments, 16), F.col("segment"))
     for row in few.mapInArrow(add, BUCKET_SCHEMA).toLocalIterator():
         at = row["segment"] * SEGMENT
-        part = np.frombuffer(zlib.decompress(row["counts"]), "<i8")
+        part = np.frombuffer(zlib.decompress(row["counts"]), kind)
         total[at : at + len(part)] += part
     return total[:buckets]
