@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 
-from snapbook.llm.blocks import LOWER_CODES, row_groups, runs_of, texts_of, words_of_group
+from snapbook.llm.blocks import BYTE_CODES, row_groups, runs_of, texts_of, words_of_group
 from snapbook.llm.shared import BUCKET_SCHEMA, bucket_sums, cut, emit_buckets
 
 PASSAGE = 32
@@ -51,7 +51,7 @@ class Items:
     """A block of benchmark items as word numbers; parts of at most ``REACH`` words are what is searched."""
 
     def __init__(self, rows: list[Row]):
-        words, borders = words_of_group([r["text"] or "" for r in rows], LOWER_CODES, SEPARATORS)
+        words, borders = words_of_group([(r["text"] or "").lower() for r in rows], BYTE_CODES, SEPARATORS)
         self.vocabulary = np.unique(words)
         ids = np.searchsorted(self.vocabulary, words)
         self.item: list[object] = []
@@ -95,7 +95,7 @@ def numbered_texts(rows: DataFrame, items: Items) -> DataFrame:
         for batch in batches:
             texts, packed, id_type = texts_of(batch, "text"), [], batch.column("doc_id").type
             for lo, hi in row_groups([len(t) for t in texts]):
-                words, borders = words_of_group(texts[lo:hi], LOWER_CODES, SEPARATORS)
+                words, borders = words_of_group([t.lower() for t in texts[lo:hi]], BYTE_CODES, SEPARATORS)
                 ids = own.lookup(words)
                 for i in range(hi - lo):
                     part = ids[borders[i] : borders[i + 1]]
