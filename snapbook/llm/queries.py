@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapbook.llm import debruijn, jaccard, latent, quality, sharding, tokens
+from snapbook.llm import debruijn, jaccard, latent, quality, segments, sharding, tokens
 from snapbook.llm.shared import read
 
 SHARDS = 24
@@ -31,6 +31,10 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.RepeatedWords(read(spark, sf_dir, "documents", "doc_id", "text")).summary()
 
 
+def op5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.sampled_segmentations(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     docs = read(spark, sf_dir, "documents", "doc_id", "text").select(
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_leaks": op1_leaks,
     "op2_quality": op2_quality,
     "op3_substrings": op3_substrings,
+    "op5_segments": op5_segments,
     "op6_sharding": op6_sharding,
     "op7_tokens": op7_tokens,
     "op10_jaccard": op10_jaccard,
