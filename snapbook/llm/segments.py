@@ -32,9 +32,11 @@ from pyspark.sql import DataFrame, functions as F
 from snapbook.llm.blocks import mix, row_groups, texts_of
 from snapbook.llm.shared import map_arrow
 
-GROUP = 1 << 20
+GROUP = 2 << 20
 SAMPLES = 2
 POWER = 1.0
+RANGE = 600.0
+CHAR_WEIGHT = 3.0
 SPACE = "▁"
 WORDS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 TOKEN_STEP, PIECE_STEP, PATH_STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -42,6 +44,11 @@ TOKEN_STEP, PIECE_STEP, PATH_STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC
 _models: dict[tuple[str, float], Pieces] = {}
 
 
+def times(number: int, step: np.uint64) -> np.uint64:
+    """A product modulo 2**64."""
+    return np.uint64(number * int(step) & 0xFFFFFFFFFFFFFFFF)
+
+
 def uniform(keys: np.ndarray) -> np.ndarray:
     """Numbers inside (0, 1) from hashed keys."""
     return ((mix(keys) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
@@ -70,6 +77,11 @@ class Pieces:
         keys = np.array([(s << 21) | c for s, c in states], np.int64)
         order = np.argsort(keys)
         self.keys, self.next = keys[order], np.array(list(states.values()), np.int64)[order]
+        # The first step, from the root, is a plain table over characters.
+        self.root = np.zeros(0x110000, np.int32)
+        for (s, c), state in states.items():
+            if s == 0:
+                self.root[c] = state
         self.piece, self.weight = np.full(len(states) + 1, -1, np.int64), np.zeros(len(states) + 1)
         for state, (i, w) in ends.items():
             self.piece[state], self.weight[state] = i, w
@@ -118,7 +130,7 @@ class Lattice:
         length = 0
         while len(alive):
             length += 1
-            states = model.step(states, chars[alive + length - 1])
+            states = model.root[chars].astype(np.int64) if length == 1 else model.step(states, chars[alive + length - 1])
             if length == 1:
                 missing = np.flatnonzero((states == 0) | (model.piece[states] < 0))
                 code = chars[missing]
@@ -129,48 +141,64 @@ class Lattice:
             begins.append(alive[whole]), spans.append(np.full(len(whole), length)), ids.append(model.piece[states[whole]]), weights.append(model.weight[states[whole]])
             on = (states > 0) & (alive + length < limit[alive])
             alive, states = alive[on], states[on]
-        begin, span, ids, weight = (np.concatenate(x) for x in (begins, spans, ids, weights))
+        # Edges of a node stand together, long pieces first: they are likely, so few edges are looked at when one is drawn.
+        begin, span, ids, weight = (np.concatenate(x[::-1]) for x in (begins, spans, ids, weights))
         order = np.argsort(begin, kind="stable")
-        begin, span, self.ids, weight = begin[order], span[order], ids[order], weight[order]
-        self.to = begin + span
-        self.last = self.to == limit[begin]
-        # Backward sums, all nodes with the same number of characters left at once.
-        left = limit[begin] - begin
-        sums = np.zeros(total + 1)
-        by_left = np.argsort(left, kind="stable")
-        cuts = np.searchsorted(left[by_left], np.arange(1, int(left.max(initial=0)) + 2))
+        self.begin, span, self.ids, weight = begin[order], span[order], ids[order], weight[order]
+        self.to = self.begin + span
+        self.last = self.to == limit[self.begin]
+        self.first = np.searchsorted(self.begin, np.arange(total + 1))
+        self.prob = self._probabilities(weight, span, limit - np.arange(total))
+        running = np.cumsum(self.prob)
+        self.upto = running - np.concatenate([[0.0], running])[self.first[self.begin]]
+        self.upto[self.first[1:] - 1] = 2.0
+
+    def _probabilities(self, weight: np.ndarray, span: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """Edge probabilities from backward sums over all nodes with the same number of characters left at once.
+
+        Every completion of a node spells the same characters, so a factor for each character cancels; with it the sums stay
+        in range for usual words. The path of single characters bounds them from below; where that bound is out of
+        range, for very long words, the sums are logarithms.
+        """
+        longest = int(left.max(initial=0))
+        lowest = float(weight[span == 1].min(initial=0.0)) + CHAR_WEIGHT
+        linear = longest * max(-lowest, 2 * CHAR_WEIGHT) < RANGE
+        value = np.exp(weight + CHAR_WEIGHT * span) if linear else weight
+        sums = np.ones(len(left) + 1) if linear else np.zeros(len(left) + 1)
+        nodes = np.argsort(left, kind="stable")
+        cuts = np.searchsorted(left[nodes], np.arange(1, longest + 2))
+        add = np.add if linear else np.logaddexp
+        to = np.where(self.last, len(left), self.to)
+        sizes = np.diff(self.first)
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            edges = by_left[a:b]
-            if len(edges):
-                value = weight[edges] + np.where(self.last[edges], 0.0, sums[self.to[edges]])
-                node = begin[edges]
-                first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-                sums[node[first]] = np.logaddexp.reduceat(value, first)
-        self.logp = np.minimum(weight + np.where(self.last, 0.0, sums[self.to]) - sums[begin], 0.0)
-        prob = np.exp(self.logp)
-        with np.errstate(divide="ignore"):
-            self.log_rest = np.where(prob > 1 - 1e-12, -np.inf, np.log1p(-np.minimum(prob, 1 - 1e-15)))
-        self.first = np.searchsorted(begin, np.arange(total + 1))
-        running = np.cumsum(prob)
-        before = np.concatenate([[0.0], running])[self.first[begin]]
-        self.place = begin + np.minimum(running - before, 1.0)
-        if total:
-            self.place[self.first[1:] - 1] = np.arange(1, total + 1)
-        self.begin = begin
+            own = nodes[a:b]
+            if not len(own):
+                continue
+            size = sizes[own]
+            border = np.cumsum(size) - size
+            edges = np.arange(int(size.sum())) + np.repeat(self.first[own] - border, size)
+            value[edges] = value[edges] * sums[to[edges]] if linear else value[edges] + sums[to[edges]]
+            sums[own] = add.reduceat(value[edges], border)
+        prob = value / sums[self.begin] if linear else np.exp(value - sums[self.begin])
+        return np.clip(prob, 1e-300, 1.0)
 
     def walk(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sampled paths from the nodes to their words' ends: edges one after another, and the number of edges of each."""
         counts = np.zeros(len(nodes), np.int64)
         active, node, steps = np.arange(len(nodes)), nodes, []
-        turn = np.uint64(0)
+        turn = 0
         while len(active):
-            edge = np.searchsorted(self.place, node + uniform(keys[active] + turn * PIECE_STEP), side="right")
-            edge = np.minimum(edge, self.first[node + 1] - 1)
+            drawn = uniform(keys[active] + times(turn, PIECE_STEP))
+            edge = self.first[node]
+            wait = np.flatnonzero(drawn > self.upto[edge])
+            while len(wait):
+                edge[wait] += 1
+                wait = wait[drawn[wait] > self.upto[edge[wait]]]
             steps.append((active, edge))
             counts[active] += 1
             on = ~self.last[edge]
             active, node = active[on], self.to[edge[on]]
-            turn += np.uint64(1)
+            turn += 1
         out = np.empty(int(counts.sum()), np.int64)
         offset = np.cumsum(counts) - counts
         for i, (who, edge) in enumerate(steps):
@@ -178,26 +206,41 @@ class Lattice:
         return out, counts
 
 
+class Numbers(dict):
+    """Numbers of words in order of their first use."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Search:
     """The search over one text: emitted paths and the open sets around them."""
 
     def __init__(self, lattice: Lattice, key: np.uint64, words: np.ndarray):
         self.lattice, self.key, self.words = lattice, key, words
         self.paths: list[np.ndarray] = []
+        self.logps: list[float] = []
         self.values: list[np.ndarray] = []
         self.taken: dict[tuple[int, int], list[int]] = {}
         # log of the arrival time, the negative of the Gumbel value
-        self.time = float(np.log(-np.log(uniform(np.array([key ^ PATH_STEP]))))[0])
+        self.time = float(np.log(-np.log(uniform(np.array([key ^ PATH_STEP], np.uint64))))[0])
 
     def emit(self, path: np.ndarray, own: int) -> None:
         """Adds a path whose steps from ``own`` on are new, and opens the sets that leave it there."""
-        logp = self.lattice.logp[path]
+        prob = self.lattice.prob[path]
+        logp = np.log(prob)
         upto = np.cumsum(logp) - logp
-        number = np.uint64(len(self.paths) + 1)
-        noise = uniform(self.key + number * PATH_STEP + np.arange(len(path), dtype=np.uint64) * PIECE_STEP + np.uint64(1))
-        value = np.logaddexp(self.time, np.log(-np.log(noise)) - upto - self.lattice.log_rest[path])
+        rest = 1.0 - prob
+        rest[rest < 1e-12] = 0.0
+        with np.errstate(divide="ignore"):
+            log_rest = np.log(rest)
+        places = np.arange(len(path), dtype=np.uint64) * PIECE_STEP
+        noise = uniform(places + (self.key ^ times(2 * len(self.paths) + 3, PATH_STEP)))
+        value = np.logaddexp(self.time, np.log(-np.log(noise)) - upto - log_rest)
         value[:own] = np.inf
         self.paths.append(path)
+        self.logps.append(float(logp.sum()))
         self.values.append(value)
 
     def best(self) -> tuple[int, int, float]:
@@ -215,17 +258,17 @@ class Search:
         node = int(lat.begin[path[step]])
         taken = self.taken.setdefault((i, step), [int(path[step])])
         edges = np.array([e for e in range(lat.first[node], lat.first[node + 1]) if e not in taken])
-        prob = np.exp(lat.logp[edges])
-        number = np.uint64(len(self.paths) + 1)
-        u = float(uniform(np.array([self.key ^ (number * TOKEN_STEP)]))[0])
+        prob = lat.prob[edges]
+        number = 2 * len(self.paths) + 2
+        u = float(uniform(np.array([self.key ^ times(number, TOKEN_STEP)]))[0])
         pick = int(min(np.searchsorted(np.cumsum(prob), u * prob.sum(), side="right"), len(edges) - 1))
         edge = int(edges[pick])
         taken.append(edge)
         self.time = time
         rest = prob.sum() - prob[pick]
-        upto = float(lat.logp[path[:step]].sum())
+        upto = float(np.log(lat.prob[path[:step]]).sum())
         if len(edges) > 1 and rest > 0:
-            noise = float(uniform(np.array([self.key ^ (number * TOKEN_STEP + np.uint64(1))]))[0])
+            noise = float(uniform(np.array([self.key ^ times(number + 1, TOKEN_STEP)]))[0])
             self.values[i][step] = np.logaddexp(time, math.log(-math.log(noise)) - upto - math.log(rest))
         else:
             self.values[i][step] = np.inf
@@ -235,11 +278,11 @@ class Search:
 
 def sample_group(model: Pieces, texts: list[str], keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float]]]:
     """For each text up to k distinct segmentations: piece numbers, log probability, inclusion score; best perturbed value first."""
-    numbers: dict[str, int] = {}
+    numbers = Numbers()
     words = []
     for text in texts:
         found = WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
-        words.append(np.array([numbers.setdefault(w, len(numbers)) for w in found], np.int64))
+        words.append(np.array(list(map(numbers.__getitem__, found)), np.int64))
     lattice = Lattice(model, list(numbers))
     searches = [Search(lattice, key, own) for key, own in zip(keys, words, strict=True)]
 
@@ -251,8 +294,8 @@ def sample_group(model: Pieces, texts: list[str], keys: np.ndarray, k: int) -> l
             if len(prefix):
                 own = np.concatenate([[node], own[1:]]) if node >= 0 else own[1:]
             nodes.append(own)
-            number = np.uint64(len(search.paths) + 1)
-            seeds.append(search.key + number * PATH_STEP + np.arange(len(own), dtype=np.uint64) * TOKEN_STEP)
+            places = np.arange(len(own), dtype=np.uint64) * TOKEN_STEP
+            seeds.append(places + (search.key ^ times(2 * len(search.paths) + 2, PATH_STEP)))
             sizes.append(len(own))
         edges, counts = lattice.walk(np.concatenate(nodes), np.concatenate(seeds))
         borders = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *sizes])]
@@ -268,8 +311,7 @@ def sample_group(model: Pieces, texts: list[str], keys: np.ndarray, k: int) -> l
     for search in searches:
         limit = search.best()[2]
         rows = []
-        for path in search.paths:
-            logp = float(lattice.logp[path].sum())
+        for path, logp in zip(search.paths, search.logps, strict=True):
             rows.append((lattice.ids[path], logp, 1.0 if math.isinf(limit) else -math.expm1(-math.exp(min(logp + limit, 700.0)))))
         out.append(rows)
     return out
