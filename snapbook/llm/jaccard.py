@@ -1,8 +1,8 @@
 """Exact Jaccard self-join of documents on word shingles, by size-banded tiles and bitmap signatures.
 
 Documents with the same shingle set are one node. A node enters the join with a prefix of its set: two sets with the
-wanted similarity always share a shingle of both prefixes (Chaudhuri et al., 2006), whatever global order defines
-them. The order takes shingles of few documents first, so a passage that a third of the corpus quotes rarely gets
+wanted similarity share some shingles of both prefixes (Chaudhuri et al., 2006; Wang et al., 2012), whatever global
+order defines them; a node with fewer shared prefix shingles has no partner. The order takes shingles of few documents first, so a passage that a third of the corpus quotes rarely gets
 into a prefix.
 
 Nodes that share a prefix shingle form a group. First every node meets one pivot of its size band, which links the
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from snapbook.llm.blocks import LOWER_CODES, gram_hashes, mix, row_groups, signed, texts_of, words_of_group
 from snapbook.llm.graph import components
-from snapbook.llm.shared import BUCKET_SCHEMA, bucket_sums, cut, emit_buckets
+from snapbook.llm.shared import BUCKET_SCHEMA, Stored, bucket_sums, cut, emit_buckets
 
 SHINGLE = 5
 PERCENT = 80
@@ -38,6 +38,7 @@ NODE_BUCKETS = 1 << 22
 BLOCK = 256
 BITMAP_WORDS = 16
 STAR_ROUNDS = 2
+PREFIX_STEP = 20
 SEEN = 500_000
 
 
@@ -66,11 +67,26 @@ def unpack(raw: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def shared_least(n: int) -> int:
+    """Shingles that the prefixes of two linked sets have in common at least, by the size of one of them."""
+    return 1 + n // PREFIX_STEP
+
+
 def prefix_length(n: int, percent: int = PERCENT) -> int:
-    return n - -(-percent * n // 100) + 1
+    """Length of the prefix of a set of n shingles.
+
+    Linked sets share ceil(percent n / 100) shingles or more. In the global order the first k of these lie among the first
+    n - ceil(percent n / 100) + k shingles of the set.
+    """
+    return min(n, n - -(-percent * n // 100) + shared_least(n))
+
 
+def partner_least(n: int, percent: int = PERCENT) -> int:
+    """Prefix shingles that a set of n shingles shares with any linked set, whose size is ``percent`` of n or more."""
+    return shared_least(-(-percent * n // 100))
 
-def shingle_table(docs: DataFrame, key: str, text: str) -> DataFrame:
+
+def shingle_table(docs: DataFrame, key: str, text: str) -> Stored:
     """Per document its set size, node and packed set, and per task the bucket counts of shingles; written once.
 
     A task that meets a set again does not repeat it: the copy's row has the node alone.
@@ -113,17 +129,17 @@ def shingle_table(docs: DataFrame, key: str, text: str) -> DataFrame:
             )
 
     names = ["doc_id", "n_shingles", "node", "grams", "segment", "counts"]
-    return cut(rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, grams binary, {BUCKET_SCHEMA}"))
+    return Stored(rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, grams binary, {BUCKET_SCHEMA}"), "shingles")
 
 
 def prefixes(sets: DataFrame, order: np.ndarray) -> DataFrame:
-    """``gram`` and ``node`` for the prefix of every set; rare shingles, by the logarithm of their bucket's count, come first."""
+    """``gram``, ``node`` and the least number of shared shingles for the prefix of every set; rare shingles, by the logarithm of their bucket's count, come first."""
     shared = sets.sparkSession.sparkContext.broadcast(np.log2(order + 1).astype(np.uint8))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
         for batch in batches:
-            grams, nodes = [], []
+            grams, nodes, least = [], [], []
             for node, raw in zip(batch.column("node").to_pylist(), batch.column("grams").to_pylist(), strict=True):
                 own = unpack(raw)
                 take = prefix_length(len(own))
@@ -132,16 +148,30 @@ def prefixes(sets: DataFrame, order: np.ndarray) -> DataFrame:
                     keyed = np.partition(keyed, take - 1)[:take]
                 grams.append(keyed & np.uint64((1 << 48) - 1))
                 nodes.append(np.full(len(grams[-1]), node, np.int64))
+                least.append(np.full(len(grams[-1]), partner_least(len(own)), np.int32))
             if grams:
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(grams))), pa.array(np.concatenate(nodes))], names=["gram", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(grams))), *(pa.array(np.concatenate(x)) for x in (nodes, least))], names=names)
+
+    names = ["gram", "node", "least"]
+    return sets.select("node", "grams").mapInArrow(run, "gram long, node long, least int")
 
-    return sets.select("node", "grams").mapInArrow(run, "gram long, node long")
+
+def shared_prefixes(rows: DataFrame) -> DataFrame:
+    """The prefix rows whose shingle is in the prefix of another node too, of nodes that have enough such rows."""
+    for _ in range(2):
+        whole = Window.partitionBy("gram")
+        shared = rows.withColumns({"low": F.min("node").over(whole), "high": F.max("node").over(whole)}).filter("low != high")
+        rows = cut(shared.select("gram", "node", "least").distinct())
+        enough = rows.groupBy("node", "least").agg(F.count(F.lit(1)).alias("n")).filter("n >= least").select("node")
+        rows = rows.join(enough, "node")
+    return cut(rows.select("gram", "node"))
 
 
 def only_nodes(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The sets of ``nodes``, one row each.
+    """The sets of ``nodes`` and possibly a few others, one row each.
 
-    A bit table of fixed size, built from the nodes, drops most other sets where they are read; the join drops the rest.
+    A bit table of fixed size, built from the nodes, drops the other sets where they are read. Those it lets through cost
+    only their transport.
     """
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +191,7 @@ def only_nodes(sets: DataFrame, nodes: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(marked[batch.column(0).to_numpy(zero_copy_only=False) & (NODE_BUCKETS - 1)]))
 
     near = sets.select("node", "grams").mapInArrow(keep, "node long, grams binary")
-    return cut(near.join(nodes.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
+    return cut(near.groupBy("node").agg(F.first("grams").alias("grams")))
 
 
 def linked(one: np.ndarray, two: np.ndarray, percent: int = PERCENT) -> bool:
@@ -287,18 +317,13 @@ def tile_pairs(groups: DataFrame, bitmaps: DataFrame) -> DataFrame:
     return made.distinct()
 
 
-def node_components(table: DataFrame) -> DataFrame:
-    """``node`` and ``component`` for every node that is linked to a smaller one."""
-    spark = table.sparkSession
-    sets = table.filter("grams is not null").select("node", "grams")
-    order = bucket_sums(table.filter("segment is not null"), ORDER_BUCKETS)
-    whole = Window.partitionBy("gram")
-    groups = cut(
-        prefixes(sets, order)
-        .withColumns({"low": F.min("node").over(whole), "high": F.max("node").over(whole)})
-        .filter("low != high").select("gram", "node").distinct()
-    )
+def node_components(table: Stored) -> DataFrame:
+    """``node`` and ``component`` for every node that is linked to a smaller one. The stored sets are dropped."""
+    sets = table.frame.filter("grams is not null").select("node", "grams")
+    order = bucket_sums(table.frame.filter("segment is not null"), ORDER_BUCKETS)
+    groups = shared_prefixes(prefixes(sets, order))
     grams = only_nodes(sets, groups)
+    table.drop()
     links = exact_links(star_pairs(groups, 0), grams)
     parts = cut(components(links))
     rest = open_groups(groups, parts)
@@ -313,7 +338,7 @@ def node_components(table: DataFrame) -> DataFrame:
 def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
     table = shingle_table(docs, key, text)
-    members = table.filter("segment is null").select("doc_id", "n_shingles", "node")
+    members = cut(table.frame.filter("segment is null").select("doc_id", "n_shingles", "node"))
     parts = node_components(table)
     named = cut(members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")))
     least = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))

@@ -9,9 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from snapbook.session import configure, cut
+from snapbook.session import configure, cut, new_folder
 
-__all__ = ["bucket_sums", "cut", "emit_buckets", "map_arrow", "read", "ready"]
+__all__ = ["Stored", "bucket_sums", "cut", "emit_buckets", "map_arrow", "read", "ready"]
 
 # A batch handed to Python stays below this size whatever the length of its texts.
 BATCH_CONF = {
@@ -43,6 +43,19 @@ def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], Iterable[pa.Record
     return df.mapInArrow(run, schema)
 
 
+class Stored:
+    """A frame written to a folder of its own in the shared folder, which ``drop`` deletes once nothing reads it any more."""
+
+    def __init__(self, df: DataFrame, label: str):
+        self.spark, self.folder = df.sparkSession, new_folder(df.sparkSession, label)
+        df.write.parquet(self.folder)
+        self.frame = self.spark.read.schema(df.schema).parquet(self.folder)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 SEGMENT = 1 << 14
 BUCKET_SCHEMA = "segment int, counts binary"
 
