@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapbook.llm import debruijn, jaccard, latent, quality, segments, sharding, tokens
+from snapbook.llm import debruijn, hostpaths, jaccard, latent, quality, segments, sharding, tokens
 from snapbook.llm.shared import read
 
 SHARDS = 24
@@ -31,6 +31,10 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.RepeatedWords(read(spark, sf_dir, "documents", "doc_id", "text")).summary()
 
 
+def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostpaths.main_text(read(spark, sf_dir, "pages", "page_id", "url", "html")).drop("path")
+
+
 def op5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.sampled_segmentations(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_leaks": op1_leaks,
     "op2_quality": op2_quality,
     "op3_substrings": op3_substrings,
+    "op4_pages": op4_pages,
     "op5_segments": op5_segments,
     "op6_sharding": op6_sharding,
     "op7_tokens": op7_tokens,
