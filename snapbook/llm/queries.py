@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapbook.llm import debruijn, hostpaths, jaccard, latent, quality, segments, sharding, tokens
+from snapbook.llm import debruijn, hostpaths, jaccard, langcode, latent, quality, segments, sharding, tokens
 from snapbook.llm.shared import read
 
 SHARDS = 24
@@ -55,6 +55,13 @@ def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", langcode.held_out(F.col("doc_id")))
+    classifier = langcode.fit(docs.filter("not held_out").select("doc_id", "text", "lang"))
+    found = langcode.predict(docs, classifier)
+    return found.select("doc_id", langcode.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -67,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_segments": op5_segments,
     "op6_sharding": op6_sharding,
     "op7_tokens": op7_tokens,
+    "op8_language": op8_language,
     "op10_jaccard": op10_jaccard,
 }
