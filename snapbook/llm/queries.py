@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapbook.llm import debruijn, hostpaths, jaccard, langcode, latent, quality, segments, sharding, tokens
+from snapbook.llm import debruijn, hostpaths, jaccard, langcode, latent, quality, segments, sharding, suffixes, tokens
 from snapbook.llm.shared import read
 
 SHARDS = 24
@@ -62,6 +62,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langcode.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.RepeatedBytes(read(spark, sf_dir, "documents", "doc_id", "text")).summary()
+
+
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -75,5 +79,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op7_tokens": op7_tokens,
     "op8_language": op8_language,
+    "op9_suffixes": op9_suffixes,
     "op10_jaccard": op10_jaccard,
 }

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapbook.session import configure, cut, new_folder
 
-__all__ = ["Stored", "bucket_sums", "cut", "emit_buckets", "map_arrow", "read", "ready"]
+__all__ = ["Stored", "bit_table", "bucket_sums", "cut", "emit_buckets", "has_bit", "map_arrow", "read", "ready"]
 
 # A batch handed to Python stays below this size whatever the length of its texts.
 BATCH_CONF = {
@@ -94,3 +94,41 @@ def bucket_sums(parts: DataFrame, buckets: int, kind: str = "<i8") -> np.ndarray
         part = np.frombuffer(zlib.decompress(row["counts"]), kind)
         total[at : at + len(part)] += part
     return total[:buckets]
+
+
+def bit_table(rows: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Bytes of a bit table of fixed size with the bits that ``column`` (whole numbers) modulo ``bits`` names set.
+
+    Each task sets its own table and hands on the segments it touched; segments are joined by OR as they stream by.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            at = batch.column(0).to_numpy(zero_copy_only=False) & (bits - 1)
+            np.bitwise_or.at(table, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        segments = list(emit_buckets(table, "u1"))
+        if segments:
+            yield pa.RecordBatch.from_pydict({"segment": pa.array([s for s, _ in segments], pa.int32()), "counts": [c for _, c in segments]})
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for s, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part = np.frombuffer(zlib.decompress(c), np.uint8)
+                tables[s] = tables[s] | part if s in tables else part
+        if tables:
+            yield pa.RecordBatch.from_pydict({"segment": pa.array(list(tables), pa.int32()), "counts": [zlib.compress(v.tobytes(), 1) for v in tables.values()]})
+
+    parts = rows.select(F.col(column).cast("long")).filter(F.col(column).isNotNull()).mapInArrow(mark, BUCKET_SCHEMA)
+    whole = np.zeros(bits // 8, np.uint8)
+    for row in parts.repartition(16, F.col("segment")).mapInArrow(join, BUCKET_SCHEMA).toLocalIterator():
+        part = np.frombuffer(zlib.decompress(row["counts"]), np.uint8)
+        whole[row["segment"] * SEGMENT : row["segment"] * SEGMENT + len(part)] = part
+    return whole
+
+
+def has_bit(table: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Whether the bits of whole numbers are set in a bit table."""
+    at = numbers & (8 * len(table) - 1)
+    return (table[at >> 3] >> (at & 7)) & 1 > 0
