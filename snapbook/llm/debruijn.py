@@ -21,6 +21,7 @@ other, so such rows never are a source for rows with an id. Extra columns are no
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from snapbook.llm.blocks import chosen_places, gram_hashes, mix, powers, row_groups, runs_of, signed, texts_of, union, words_of_group
 from snapbook.llm.shared import cut, map_arrow
 
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WINDOW = 50
 ANCHOR = 15
 LAST_ID = (1 << 63) - 1
@@ -62,7 +64,9 @@ def text_table(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     A task that meets a content again does not repeat its paths.
     """
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    rows = docs.select(
+        F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{text}`")).alias("text_key")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -85,11 +89,11 @@ def text_table(docs: DataFrame, key: str, text: str) -> DataFrame:
                     seen.add(content)
                     paths.append(np.stack(paths_of(own), 1).astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(contents, pa.int64()), pa.array(digests), pa.array(paths, pa.binary())],
-                names=["doc_id", "n_words", "content", "digest", "paths"],
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(counts, pa.int64()), pa.array(contents, pa.int64()), pa.array(digests), pa.array(paths, pa.binary())],
+                names=["doc_id", "text_key", "n_words", "content", "digest", "paths"],
             )
 
-    return cut(rows.mapInArrow(run, "doc_id long, n_words long, content long, digest string, paths binary"))
+    return cut(rows.mapInArrow(run, "doc_id long, text_key long, n_words long, content long, digest string, paths binary"))
 
 
 def path_rows(owned: DataFrame) -> DataFrame:
@@ -149,7 +153,8 @@ def found_spans(owned: DataFrame, docs: DataFrame, key: str, text: str) -> tuple
     shared = (
         paths.groupBy("anchor").agg(F.min("content").alias("low"), F.max("content").alias("high")).filter("low != high").select("anchor")
     )
-    paths = cut(paths.join(shared, "anchor"))
+    # The anchors are written first: the join then is a plain one, whose hot keys can be split.
+    paths = cut(paths.join(cut(shared), "anchor"))
     texts = wanted_texts(docs, key, text, paths.select("content", "owner").distinct())
     holder = F.struct("owner", "content", "first", "last")
     heads = cut(paths.groupBy("anchor", "path").agg(F.min(holder).alias("head")))
@@ -226,7 +231,7 @@ def verified(spans: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 class RepeatedWords:
-    """Tables of one run over ``docs``: ``documents`` (doc_id, n_words, content, owner, digest), ``spans`` (content, begin, end in
+    """Tables of one run over ``docs``: ``documents`` (doc_id, text_key, n_words, content, owner, digest), ``spans`` (content, begin, end in
     words, source, source_begin; verified) and ``texts`` of the contents involved."""
 
     def __init__(self, docs: DataFrame, key: str = "doc_id", text: str = "text"):
@@ -241,6 +246,42 @@ class RepeatedWords:
         """Per content that loses words: their union as ``cuts`` (begin, end)."""
         return self.spans.groupBy("content").agg(F.collect_list(F.struct("begin", "end")).alias("cuts"))
 
+    def remaining(self, docs: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = None) -> DataFrame:
+        """``docs``, the frame of this run, without the repeated words and without rows that have nothing left; all columns.
+
+        A removed span goes with the space behind it, the rest of the text stays as it is. ``length`` names a column that
+        holds the text's length in characters.
+        """
+        judged = F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("owner")
+        copies = self.documents.filter(~judged & (F.col("n_words") >= WINDOW))
+        cuts = self.documents.filter(judged).join(self.removed(), "content").select("doc_id", "text_key", "cuts")
+        whole = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_words").alias("end")))
+        edits = cuts.unionByName(copies.select("doc_id", "text_key", whole.alias("cuts"))).dropDuplicates(["doc_id", "text_key"])
+        edits = edits.select(F.col("doc_id").alias("_edit_id"), F.col("text_key").alias("_edit_key"), F.col("cuts").alias("_cuts"))
+        same = F.col(f"`{key}`").cast("long").eqNullSafe(F.col("_edit_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_edit_key"))
+        joined = docs.join(edits, same, "left").select(*(F.col(f"`{c}`") for c in docs.columns), "_cuts")
+        at, at_length = docs.columns.index(text), docs.columns.index(length) if length else None
+
+        def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            columns = [batch.column(i) for i in range(len(docs_columns))]
+            cuts, texts = batch.column(batch.num_columns - 1), columns[at].to_pylist()
+            changed = [i for i in range(batch.num_rows) if cuts[i].is_valid]
+            for i in changed:
+                texts[i] = without_words(texts[i], *cut_lists(cuts[i]))
+            if changed:
+                columns[at] = pa.array(texts, columns[at].type)
+                if at_length is not None:
+                    sizes = columns[at_length].to_pylist()
+                    for i in changed:
+                        sizes[i] = len(texts[i])
+                    columns[at_length] = pa.array(sizes, columns[at_length].type)
+            out = pa.RecordBatch.from_arrays(columns, names=docs_columns)
+            gone = {i for i in changed if not texts[i]}
+            yield out.filter(pa.array([i not in gone for i in range(batch.num_rows)], pa.bool_())) if gone else out
+
+        docs_columns = docs.columns
+        return map_arrow(joined, run, docs.schema)
+
     def summary(self) -> DataFrame:
         """One row per document: ``doc_id``, ``n_words``, ``n_removed`` and the digest of the kept words."""
 
@@ -267,3 +308,16 @@ class RepeatedWords:
 def cut_lists(cuts: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
     flat = cuts.values
     return union(flat.field("begin").to_numpy(zero_copy_only=False), flat.field("end").to_numpy(zero_copy_only=False))
+
+
+def without_words(text: str, begins: np.ndarray, ends: np.ndarray) -> str:
+    """A text without the words in the given runs; each run goes with the space behind it."""
+    words = [m.start() for m in WORD.finditer(text)]
+    starts = [*words, len(text)]
+    kept, at = [], 0
+    for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
+        kept.append(text[at : starts[a]])
+        at = starts[b]
+    kept.append(text[at:])
+    left = "".join(kept)
+    return left if WORD.search(left) else ""

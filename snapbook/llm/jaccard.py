@@ -91,12 +91,11 @@ def shingle_table(docs: DataFrame, key: str, text: str) -> Stored:
 
     A task that meets a set again does not repeat it: the copy's row has the node alone.
     """
-    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    arrow = pa.int64() if kind == "bigint" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen, id_type = np.zeros(ORDER_BUCKETS, np.int32), set(), arrow
+        counts, seen, id_type = np.zeros(ORDER_BUCKETS, np.int32), set(), pa.int64()
         for batch in batches:
             texts, id_type = texts_of(batch, "text"), batch.column("doc_id").type
             sizes, nodes, packed = [], [], []
@@ -117,19 +116,19 @@ def shingle_table(docs: DataFrame, key: str, text: str) -> Stored:
                     packed.append(pack(grams))
             none = [None] * len(texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(packed, pa.binary()),
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(packed, pa.binary()),
                  pa.array(none, pa.int32()), pa.array(none, pa.binary())], names=names,
             )
         segments = list(emit_buckets(counts))
         if segments:
             none = [None] * len(segments)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(none, id_type), pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, pa.binary()),
+                [pa.array(none, id_type), *(pa.array(none, pa.int64()) for _ in range(3)), pa.array(none, pa.binary()),
                  pa.array([s for s, _ in segments], pa.int32()), pa.array([c for _, c in segments], pa.binary())], names=names,
             )
 
-    names = ["doc_id", "n_shingles", "node", "grams", "segment", "counts"]
-    return Stored(rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, grams binary, {BUCKET_SCHEMA}"), "shingles")
+    names = ["doc_id", "text_key", "n_shingles", "node", "grams", "segment", "counts"]
+    return Stored(rows.mapInArrow(run, f"doc_id {kind}, text_key long, n_shingles long, node long, grams binary, {BUCKET_SCHEMA}"), "shingles")
 
 
 def prefixes(sets: DataFrame, order: np.ndarray) -> DataFrame:
@@ -335,13 +334,37 @@ def node_components(table: Stored) -> DataFrame:
     return components(links.unionByName(more))
 
 
-def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
+def components_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Per document ``doc_id``, ``text_key`` (hash of the text), ``n_shingles`` and ``component`` (a node; null without shingles); written once."""
     table = shingle_table(docs, key, text)
-    members = cut(table.frame.filter("segment is null").select("doc_id", "n_shingles", "node"))
+    members = cut(table.frame.filter("segment is null").select("doc_id", "text_key", "n_shingles", "node"))
     parts = node_components(table)
-    named = cut(members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    return cut(members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("node"))
+
+
+def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
+    named = components_of(docs, key, text)
     least = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     return named.join(least, "component", "left").select(
         "doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """All columns of one document for each component, the one with the smallest id; documents without shingles stay.
+
+    Of repeated rows (same id and text) one stays.
+    """
+    named = components_of(docs, key, text)
+    pick = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_key")))
+    kept = named.filter("component is not null").groupBy("component").agg(pick.alias("kept")).select(
+        F.col("kept.doc_id").alias("_kept_id"), F.col("kept.text_key").alias("_kept_key"), F.lit(False).alias("_kept_blank")
+    )
+    blank = named.filter("component is null").select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key"), F.lit(True).alias("_kept_blank"))
+    rows = docs.withColumn("_text_key", F.xxhash64(F.col(f"`{text}`")))
+    joined = rows.join(
+        kept.unionByName(blank).distinct(), F.col(f"`{key}`").eqNullSafe(F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_key"))
+    )
+    number = F.row_number().over(Window.partitionBy(f"`{key}`", "_text_key").orderBy(F.lit(1)))
+    return joined.withColumn("_number", number).filter("_number = 1 or _kept_blank").select(*(F.col(f"`{c}`") for c in docs.columns))
