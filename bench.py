@@ -10,6 +10,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -58,7 +59,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "16g")
         .config("spark.sql.files.openCostInBytes", "262144")
-        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-")).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)

@@ -47,13 +47,25 @@ def latest(
         day = F.lit(asof).cast("date")
         rows = rows.filter(F.col(eff) < day if strict else F.col(eff) <= day)
     # One struct maximum per key: date first, then the ties, then whatever else the row has. It combines on
-    # the map side and, unlike a window, does not sort the rows that lose.
+    # the map side, so a hot key leaves each map task as one row; as a struct is no fixed-width buffer, Spark sorts for it.
+    # ``latest_by_day`` does without sorts where (key, date) is unique.
     lead = [eff, *ties]
     rest = [c for c in hist.columns if c not in keys and c not in lead]
     best = rows.groupBy(*keys).agg(F.max(F.struct(*lead, *rest)).alias("_last"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in hist.columns])
 
 
+def latest_by_day(hist: DataFrame, key: Names, eff: str, asof: date) -> DataFrame:
+    """As ``latest`` for a history with one row per key and date and columns of fixed width (numbers, dates).
+
+    Each column follows the largest date on its own, which Spark keeps in a hash table: no sort on either side of the exchange.
+    """
+    keys = as_list(key)
+    rows = hist.filter(F.col(eff) <= F.lit(asof).cast("date"))
+    rest = [c for c in hist.columns if c not in keys and c != eff]
+    return rows.groupBy(*keys).agg(F.max(eff).alias(eff), *[F.max_by(c, eff).alias(c) for c in rest]).select(*hist.columns)
+
+
 def asof_latest(
     left: DataFrame,
     hist: DataFrame,
@@ -92,14 +104,10 @@ def day_balances(rests: DataFrame, asof: date) -> DataFrame:
     """Opening rest and turnovers of the day for every register that has a row by then.
 
     The row of the day and the row before it are the same lookup: when the last row is dated on the
-    day it supplies the opening rest and the turnovers, otherwise the turnovers are 0.
+    day it supplies the opening rest and the turnovers, otherwise the turnovers are 0. A register has one row per day.
     """
-    last = latest(
-        rests.select("register_id", "oper_day", "rest_in", "rest_out", "over_in", "over_out"),
-        "register_id",
-        "oper_day",
-        asof,
-        ties=("rest_out", "rest_in"),
+    last = latest_by_day(
+        rests.select("register_id", "oper_day", "rest_in", "rest_out", "over_in", "over_out"), "register_id", "oper_day", asof
     )
     on_day = F.col("oper_day") == F.lit(asof).cast("date")
     return last.select(

@@ -69,11 +69,6 @@ def match_any(left: DataFrame, right: DataFrame, keys: dict[int, str], left_id:
     )
 
 
-def best_match(cands: DataFrame, key: Names, order: Sequence[Column]) -> DataFrame:
-    """Best candidate per key."""
-    return first_per(cands, key, order)
-
-
 def prefer(df: DataFrame, key: Names, order: Sequence[Column]) -> DataFrame:
     """The preferred row of every key (largest sub type first, for accounts)."""
     return first_per(df, key, order)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -33,6 +34,7 @@ NEVER_CLOSED = "3000-01-01"
 
 OWNERS = {rt.CONTRACT: "contract_id", rt.TRANCHE: "issue_id", rt.PORTFOLIO: "portfolio_id"}
 
+# The published columns.
 ACCOUNT_COLUMNS = {
     "branch_code": "int",
     "oid": "string",
@@ -133,8 +135,11 @@ def account_entries(src: Frames, ctx: RunContext, loans: DataFrame, guarantees:
     )
     out = by_contract.unionByName(by_issue).unionByName(by_portfolio)
     if ctx.depth_days > 0:
-        for part in _closed_entries(src, ctx):
-            out = out.unionByName(part)
+        # A contract can be published and lately closed at once; it is listed as published.
+        key = ["entry_kind", "entry_id"]
+        listed = cut(out)
+        late = reduce(DataFrame.unionByName, _closed_entries(src, ctx))
+        out = listed.unionByName(late.join(listed.select(*key).distinct(), key, "left_anti"))
     return out
 
 
@@ -185,7 +190,8 @@ def register_rows(src: Frames, ctx: RunContext, entries: DataFrame, targets: Dat
 
 def register_list(src: Frames, ctx: RunContext, entries: DataFrame, targets: DataFrame) -> DataFrame:
     """Registers of the entries with opening rest and day turnovers."""
-    return opening_balance(register_rows(src, ctx, entries, targets), src["register_rest"], ctx.asof)
+    registers = cut(register_rows(src, ctx, entries, targets))
+    return opening_balance(registers, history_of(src["register_rest"], registers, "register_id"), ctx.asof)
 
 
 def account_list(src: Frames, ctx: RunContext, entries: DataFrame) -> DataFrame:
@@ -252,8 +258,11 @@ def published_pairs(pairs: DataFrame) -> DataFrame:
 def account_rows(src: Frames, ctx: RunContext, pairs: DataFrame, accounts: DataFrame) -> DataFrame:
     """Published rows of the assigned registers; only these look up their balance."""
     details = prefer(accounts, "account_id", [F.col("entry_kind").desc(), F.col("entry_id").desc()])
+    published = pairs.filter(F.col("register_type_id") != UNPUBLISHED_REGISTER)
+    # The history is cut down to these registers in its scan, before it is reduced.
+    rests = history_of(src["register_rest"], published, "register_id")
     df = (
-        opening_balance(pairs.filter(F.col("register_type_id") != UNPUBLISHED_REGISTER), src["register_rest"], ctx.asof)
+        opening_balance(published, rests, ctx.asof)
         .join(details.drop("account_type_id"), "account_id")
         .join(src["register_type"].select("register_type_id", F.col("name").alias("register_name")), "register_type_id")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from snapbook.context import RunContext
 from snapbook.functions import exprs
-from snapbook.operators.asof import history_of, latest
+from snapbook.operators.asof import history_of, latest_by_day
 from snapbook.operators.hierarchy import expand_children
 from snapbook.operators.lookups import attach
 from snapbook.plans.account import ACCOUNT_COLUMNS
@@ -45,10 +45,10 @@ def cession_operations(src: Frames, ctx: RunContext) -> DataFrame:
     return expand_children(roots, done, depth=2)
 
 
-def disposal_targets(src: Frames) -> DataFrame:
-    """Transactions debiting a disposal account, counted per operation and account."""
+def disposal_targets(src: Frames, operations: DataFrame) -> DataFrame:
+    """Transactions of the given operations that debit a disposal account, counted per operation and account."""
     accounts = src["account"].filter(F.col("account_type_id") == DISPOSAL_ACCOUNT).select(F.col("account_id").alias("debit_account_id"))
-    return src["transaction"].join(accounts, "debit_account_id").groupBy(
+    return history_of(src["transaction"], operations, "operation_id").join(accounts, "debit_account_id").groupBy(
         "operation_id", F.col("debit_account_id").alias("account_id")
     ).agg(F.count(F.lit(1)).alias("times"))
 
@@ -59,14 +59,14 @@ def register_movements(src: Frames, ctx: RunContext, operations: DataFrame) -> D
     A register counts once per movement, as often as the operation moved it.
     """
     moved = (
-        src["movement"].join(operations.select("operation_id").distinct(), "operation_id", "left_semi")
+        history_of(src["movement"], operations, "operation_id")
         .groupBy("operation_id", "register_id").agg(F.count(F.lit(1)).alias("moves"))
         .join(src["register"].filter(F.col("register_type_id") != LIMIT_REGISTER).select("register_id"), "register_id")
     )
     # A day's cessions move few registers, so the balance history is cut down to those before anything else.
     moved = cut(moved)
     rests = src["register_rest"].select("register_id", "oper_day", "rest_in", "rest_out", "over_in", "over_out")
-    last = latest(history_of(rests, moved, "register_id"), "register_id", "oper_day", ctx.asof, ties=("rest_out", "rest_in"))
+    last = latest_by_day(history_of(rests, moved, "register_id"), "register_id", "oper_day", ctx.asof)
     rest = exprs.opening_rest(F.col("oper_day"), ctx.asof, F.col("rest_in"), F.col("rest_out"))
     joined = moved.join(last, "register_id", "left").select(
         "operation_id", "moves", rest.alias("rest"),
@@ -83,11 +83,13 @@ def disposal_sums(src: Frames, ctx: RunContext) -> DataFrame:
     Every (transaction, movement) combination of an operation counts. The combinations are not built:
     the register sums of the operation are multiplied by the number of its transactions on the account.
     """
-    targets = disposal_targets(src)
+    # From the day's operations outward: their transactions are counted once, then their movements.
     tree = cut(cession_operations(src, ctx))
+    targets = cut(disposal_targets(src, tree))
     relevant = tree.join(targets.select("operation_id").distinct(), "operation_id", "left_semi")
     # An operation may be listed on two levels; each listing counts.
     listed = relevant.groupBy("operation_id", "contract_id", "oper_date").agg(F.count(F.lit(1)).alias("listings"))
+    listed = cut(listed)
     movements = register_movements(src, ctx, listed)
     joined = (
         listed.join(targets, "operation_id").join(movements, "operation_id")

@@ -14,6 +14,7 @@ from snapbook.plans.routines import bank_code
 # Fixed value: the bank whose clients get their branch from the division.
 BRANCH_BY_DIVISION_BANK = 9
 
+# The published columns.
 CLIENT_COLUMNS = {
     "oid": "string", "name": "string", "full_name": "string", "status": "string", "client_type": "string",
     "is_resident": "int", "inn": "string", "kpp": "string", "okved": "string", "okato": "string", "date_reg": "date",
@@ -28,10 +29,9 @@ def client_snapshot(src: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
     by_division = src["customer"].select("customer_id", "division_id").join(
         src["division"].select("division_id", F.col("branch_id").cast("smallint").alias("division_branch")), "division_id"
     )
-    bank = bank_code(src)
     rows = update_from(
         clients.withColumn("division_branch", F.lit(None).cast("smallint")), by_division,
         {"oid": "customer_id"}, {"division_branch": "division_branch"},
     )
-    own = F.when(bank == BRANCH_BY_DIVISION_BANK, F.col("division_branch")).otherwise(F.col("branch_code"))
+    own = F.col("division_branch" if bank_code(src) == BRANCH_BY_DIVISION_BANK else "branch_code")
     return shape(rows.withColumn("branch_code", own), ctx, CLIENT_COLUMNS)

@@ -12,6 +12,7 @@ from snapbook.operators.numbering import number_rows
 # Fixed value: label of entries made by the reporting side.
 LABEL = "MSFO"
 
+# The published columns.
 CORRECTION_COLUMNS = (
     "idx", "source", "contract_id", "issue_id", "portfolio_id", "operation_type", "transaction_date", "transaction_sum",
     "acc_number_debet", "symbol_debet", "acc_number_credit", "symbol_credit", "description",

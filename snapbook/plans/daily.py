@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping
-from datetime import datetime, timezone
-from decimal import Decimal
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
 from snapbook.context import RunContext
 from snapbook.operators.lookups import drop_existing
-from snapbook.plans import account, cession, client, dictionaries, guarantee, loan, pledge, portfolio, schedule
+from snapbook.plans import account, cession, client, dictionaries, guarantee, loan, pledge, portfolio, routines, schedule
 from snapbook.session import cut
 from snapbook.sources import audit
 from snapbook.sources.slices import SliceStore
@@ -36,9 +35,31 @@ IDENTITY = {
 }
 
 
+# Keys that a slice holds once; a step that makes one twice fails and leaves the old slice.
+UNIQUE = {"account": ["oid", "account_type"], "client": ["oid"]}
+
+# How long log rows are kept, in months before the reporting date.
+LOG_MONTHS = 12
+
+
+def checked(df: DataFrame, name: str) -> DataFrame:
+    """The rows of a dataset, written once, after a look for repeated keys: one aggregate with map-side counts."""
+    keys = UNIQUE.get(name)
+    if keys is None:
+        return df
+    fresh = cut(df)
+    twice = fresh.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n").limit(3).collect()
+    if twice:
+        raise ValueError(f"{name}: repeated key {', '.join(keys)}: {[tuple(r) for r in twice]}")
+    return fresh
+
+
 def builders(src: Mapping[str, DataFrame], ctx: RunContext, store: SliceStore) -> dict[str, Callable[[], DataFrame]]:
-    """How to make each dataset; dependent ones read the slice published before them."""
-    spark = store.spark
+    """How to make each dataset; dependent ones read the slice published before them.
+
+    Facts that are not given come from their default definitions.
+    """
+    spark, src = store.spark, routines.Facts(src, ctx.asof)
     published = lambda name: store.read(name, ctx.source, ctx.asof)
     return {
         "loan_type": lambda: dictionaries.loan_type(src, ctx),
@@ -77,29 +98,31 @@ def _publish(df: DataFrame, name: str, dated: bool, ctx: RunContext, store: Slic
 
 
 def publish_day(src: Mapping[str, DataFrame], ctx: RunContext, store: SliceStore,
-                only: tuple[str, ...] | None = None) -> DataFrame:
+                only: tuple[str, ...] | None = None, today: date | None = None) -> DataFrame:
     """Publish the datasets of one day and return the step log; a failed step leaves its old slice.
 
-    Rows are counted by the writing job. The log is appended below the store's folder.
+    Rows are counted by the writing job. The log is appended below the store's folder; runs for dates ``LOG_MONTHS`` or
+    more before ``today`` (the current date unless given) leave it.
     """
     now = lambda: datetime.now(timezone.utc).replace(tzinfo=None)
     run_id, begun = str(uuid.uuid4()), now()
     make = builders(src, ctx, store)
-    log = []
+    log, counts = [], []
     for number, (name, dated) in enumerate(STEPS, start=1):
         if only is not None and name not in only:
             continue
-        start, status, rows, error = now(), 1, 0, (None, None, None)
+        start, status, error = now(), 1, (None, None)
         try:
-            rows = _publish(make[name](), name, dated, ctx, store)
+            counts.append((name, _publish(checked(make[name](), name), name, dated, ctx, store)))
         except Exception as problem:  # the step is reported as failed and the run goes on
-            status, error = 0, (None, type(problem).__name__, str(problem)[:1024])
-        seconds = Decimal(int((now() - start).total_seconds() * 1000)).scaleb(-3)
-        log.append((f"{run_id}-{number}", run_id, start, number, name, seconds, status, rows, *error))
-    steps = store.spark.createDataFrame(log, audit.STEP_SCHEMA)
+            status, error = 0, (audit.error_class(problem), str(problem)[:1024])
+        log.append((run_id, number, name, start, now(), status, None, *error))
+    raw = store.spark.createDataFrame(log, audit.RAW_STEP_SCHEMA)
+    steps = cut(audit.step_audit(raw, store.spark.createDataFrame(counts, "target string, row_count bigint")))
     runs = store.spark.createDataFrame([(run_id, 0, ctx.asof, begun)], audit.RUN_SCHEMA)
     audit.append_audit(steps, f"{store.root}/_step_log")
     audit.append_audit(runs, f"{store.root}/_run_log")
+    audit.apply_retention(store.spark, f"{store.root}/_run_log", f"{store.root}/_step_log", LOG_MONTHS, today or now().date())
     return steps
 
 

@@ -14,6 +14,7 @@ from snapbook.operators.asof import asof_latest, first_per
 from snapbook.operators.lookups import attach, const_df, opt_filter
 from snapbook.plans import routines
 from snapbook.plans.loan import shape
+from snapbook.session import cut
 
 # Guarantee status -> base contract status; guarantee status and contract status names.
 STATUS_MAP = [
@@ -28,6 +29,7 @@ STATUS_SCHEMA = "guarantee_status int, base_status int, status_name string, base
 CHANGE_TYPES = (37, 38, 39, 40)
 UNUSED_LIMIT_REGISTER = 2
 
+# The published columns.
 GUARANTEE_COLUMNS = {
     "branch_code": "int",
     "division_code": "int",
@@ -52,7 +54,7 @@ GUARANTEE_COLUMNS = {
     "portfolio_oid": "string",
 }
 
-# Attributes that a revision may override, by their name in the current contract.
+# Attributes that a revision may override, by their name in the current contract.
 OVERRIDES = {
     "number": "number",
     "contract_date": "contract_date",
@@ -105,10 +107,11 @@ def guarantee_list(src: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
 
 
 def guarantee_snapshot(src: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
-    df = guarantee_list(src, ctx)
+    df = cut(guarantee_list(src, ctx))
     own = {"contract_id": "contract_id"}
     df = attach(df, src["contract_quality"], own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"})
-    limit = routines.register_rest(src["register"], src["register_rest"], UNUSED_LIMIT_REGISTER, ctx.asof)
+    registers = src["register"].join(df.select("contract_id").distinct(), "contract_id", "left_semi")
+    limit = routines.register_rest(registers, src["register_rest"], UNUSED_LIMIT_REGISTER, ctx.asof)
     df = attach(df, limit, own, {"amount": "summa_val"})
     df = attach(df, src["currency"], {"currency": "code"}, {"international_code": "curr"})
     df = attach(df, src["division"], {"division_id": "division_id"}, {"code": "division_code"})

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from snapbook.context import RunContext
 from snapbook.functions import exprs
 from snapbook.functions.intervals import valid_on
-from snapbook.operators.asof import asof_latest, asof_next, latest
+from snapbook.operators.asof import asof_latest, asof_next, history_of
 from snapbook.operators.lookups import attach, default_id, keep_existing, opt_filter
 from snapbook.plans import routines
 from snapbook.session import cut
@@ -26,6 +26,7 @@ ISSUE_TERM_CHANGE = 1
 UNKNOWN_SCHEDULE = 15
 CONSUMER_LOAN = "Потребительский кредит"
 
+# The published columns.
 LOAN_COLUMNS = {
     "branch_code": "int",
     "division_code": "int",
@@ -87,20 +88,24 @@ def eligible_contracts(src: Frames, ctx: RunContext) -> DataFrame:
     df = asof_latest(
         df, src["status_history"], "contract_id", "oper_day", ctx.asof, {"status": "history_status"}, ties=("date_change", "seq")
     )
-    df = asof_latest(
-        df, src["portfolio_history"], "contract_id", "date_begin", ctx.asof, {"portfolio_id": "history_portfolio"},
-        ties=("portfolio_id",),
-    )
     close = F.when(F.col("contract_type") == OVERDRAFT, F.col("closed_date")).otherwise(F.col("fact_end"))
     status = exprs.actual_status(F.col("status"), F.col("start_date"), F.col("closed_date"), F.col("history_status"), ctx.asof)
     rows = df.select(
         "contract_id",
         status.alias("actual_status"),
         close.alias("fact_close_date"),
-        F.coalesce("history_portfolio", "current_portfolio").alias("portfolio_id"),
+        "current_portfolio",
+    )
+    kept = cut(
+        rows.filter((F.col("actual_status") == 1) | ((F.col("actual_status") == 2) & (F.col("fact_close_date") == ctx.day)))
     )
-    return rows.filter(
-        (F.col("actual_status") == 1) | ((F.col("actual_status") == 2) & (F.col("fact_close_date") == ctx.day))
+    # The portfolio is looked up for the contracts that are left.
+    with_history = asof_latest(
+        kept, history_of(src["portfolio_history"], kept, "contract_id"), "contract_id", "date_begin", ctx.asof,
+        {"portfolio_id": "history_portfolio"}, ties=("portfolio_id",),
+    )
+    return with_history.withColumn("portfolio_id", F.coalesce("history_portfolio", "current_portfolio")).drop(
+        "history_portfolio", "current_portfolio"
     )
 
 
@@ -186,11 +191,10 @@ def loan_header(src: Frames, ctx: RunContext, ids: DataFrame) -> DataFrame:
     )
 
 
-def _issue_facts(src: Frames) -> DataFrame:
-    """Per contract: earliest tranche date and the summed floating code of the tranche schemes."""
-    codes = routines.floating_code(src["scheme_value"])
-    issues = attach(src["issue"].select("issue_id", "contract_id", "issue_date", "scheme_id"), codes,
-                    {"scheme_id": "scheme_id"}, {"code": "code"}, spread_nulls_by="issue_id")
+def _issue_facts(src: Frames, header: DataFrame, schemes: DataFrame) -> DataFrame:
+    """Per contract of the header: earliest tranche date and the summed floating code of the tranche schemes."""
+    own = src["issue"].select("issue_id", "contract_id", "issue_date", "scheme_id").join(header.select("contract_id").distinct(), "contract_id", "left_semi")
+    issues = attach(own, schemes, {"scheme_id": "scheme_id"}, {"code": "code"}, spread_nulls_by="issue_id")
     return issues.groupBy("contract_id").agg(F.min("issue_date").alias("date_issue"), F.sum("code").alias("code"))
 
 
@@ -203,17 +207,17 @@ def ceded_contracts(src: Frames, ctx: RunContext) -> DataFrame:
     return ops.select("contract_id").distinct().withColumn("ceded", F.lit(True))
 
 
-def contract_rows(src: Frames, ctx: RunContext, header: DataFrame) -> DataFrame:
+def contract_rows(src: Frames, ctx: RunContext, header: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
     """One row per eligible contract (more only when a re-planned date is ambiguous)."""
     df = header
+    schemes = routines.scheme_facts(src["scheme_value"], ctx.asof) if schemes is None else schemes
     own = {"contract_id": "contract_id"}
     df = attach(df, replanned_contract_terms(src, ctx), own, {"new_term": "new_term"})
-    df = attach(df, _issue_facts(src), own, {"date_issue": "date_issue", "code": "code"})
+    df = attach(df, _issue_facts(src, header, schemes), own, {"date_issue": "date_issue", "code": "code"})
     df = attach(df, ceded_contracts(src, ctx), own, {"ceded": "ceded"})
     df = attach(df, routines.contract_sum(src["contract_sum"], ctx.asof), own, {"amount": "amount"})
     df = attach(df, src["contract_quality"], own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"})
-    df = attach(df, routines.scheme_rate(src["scheme_value"], ctx.asof), {"scheme_id": "scheme_id"}, {"rate": "rate"},
-                spread_nulls_by="contract_id")
+    df = attach(df, schemes, {"scheme_id": "scheme_id"}, {"rate": "rate"}, spread_nulls_by="contract_id")
     plan = F.date_add("start_date", F.col("new_term"))
     return shape(
         df.withColumns(
@@ -249,8 +253,9 @@ def active_issues(src: Frames, ctx: RunContext) -> DataFrame:
     ).drop("oper_date")
 
 
-def tranche_rows(src: Frames, ctx: RunContext, header: DataFrame) -> DataFrame:
+def tranche_rows(src: Frames, ctx: RunContext, header: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
     """One row per active tranche of an eligible line or overdraft."""
+    schemes = routines.scheme_facts(src["scheme_value"], ctx.asof) if schemes is None else schemes
     lines = header.filter(F.col("contract_type").isin(*LINE_TYPES)).drop("scheme_id")
     issues = active_issues(src, ctx).select(
         "issue_id", "contract_id", "issue_number", "issue_date", "close_date", "plan_repayment_date", "issue_sum", "scheme_id"
@@ -260,8 +265,7 @@ def tranche_rows(src: Frames, ctx: RunContext, header: DataFrame) -> DataFrame:
     df = attach(df, replanned_issue_terms(src, ctx), own, {"new_term": "new_term"})
     df = attach(df, src["issue_quality"], own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"})
     scheme = {"scheme_id": "scheme_id"}
-    df = attach(df, routines.scheme_rate(src["scheme_value"], ctx.asof), scheme, {"rate": "rate"}, spread_nulls_by="issue_id")
-    df = attach(df, routines.floating_code(src["scheme_value"]), scheme, {"code": "code"}, spread_nulls_by="issue_id")
+    df = attach(df, schemes, scheme, {"rate": "rate", "code": "code"}, spread_nulls_by="issue_id")
     plan = F.date_add("issue_date", F.col("new_term"))
     return shape(
         df.withColumns(
@@ -291,4 +295,5 @@ def loan_snapshot(src: Frames, ctx: RunContext) -> DataFrame:
     Both parts start from the eligible contracts with their shared columns, worked out and written once.
     """
     header = cut(loan_header(src, ctx, eligible_contracts(src, ctx)))
-    return contract_rows(src, ctx, header).unionByName(tranche_rows(src, ctx, header))
+    schemes = cut(routines.scheme_facts(src["scheme_value"], ctx.asof))
+    return contract_rows(src, ctx, header, schemes).unionByName(tranche_rows(src, ctx, header, schemes))

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, functions as F
 from snapbook.context import RunContext
 from snapbook.functions import exprs
 from snapbook.functions.intervals import valid_on
-from snapbook.operators.asof import asof_latest, latest
+from snapbook.operators.asof import asof_latest, history_of, latest
 from snapbook.operators.hierarchy import chain_latest
 from snapbook.operators.lookups import attach, opt_filter
 from snapbook.plans.loan import shape
 from snapbook.plans.routines import bank_code
+from snapbook.session import cut
 
 Frames = Mapping[str, DataFrame]
 
@@ -21,8 +22,8 @@ Frames = Mapping[str, DataFrame]
 WATERFALL_BANK = 12
 ACTIVE_PLEDGE = 1
 APPROVED = 3
-UNDEFINED_COLLATERAL = "Прочее"
 
+# The published columns.
 PLEDGE_COLUMNS = {
     "branch_code": "int",
     "contract_oid": "string",
@@ -108,8 +109,9 @@ def approved_assessments(src: Frames, ctx: RunContext) -> DataFrame:
 
 
 def pledge_snapshot(src: Frames, ctx: RunContext, loans: DataFrame) -> DataFrame:
-    df = security_list(src, ctx, loans)
-    history = src["pledge_link_history"]
+    df = cut(security_list(src, ctx, loans))
+    # Only the history of the contracts at hand is reduced.
+    history = history_of(src["pledge_link_history"], df.select("contract_id"), "contract_id")
     # Value agreed per loan and pledge, by distribution date.
     df = asof_latest(
         df, history.filter(F.col("pledge_id").isNotNull()), ["contract_id", "pledge_id"], "distribution_date", ctx.asof,
@@ -127,21 +129,23 @@ def pledge_snapshot(src: Frames, ctx: RunContext, loans: DataFrame) -> DataFrame
     )
     quality = latest(src["pledge_quality"], "object_id", "setting_date", None, ties=("quality_category",))
     df = attach(df, quality, {"object_id": "object_id"}, {"quality_category": "set_quality"}, spread_nulls_by="contract_id")
-    df = attach(df, approved_assessments(src, ctx), {"object_id": "object_id"}, {"assessed": "assessed"}, spread_nulls_by="contract_id")
-    df = attach(df, base_pledge_values(src, ctx), {"pledge_id": "pledge_id"}, {"base_collateral": "base_collateral"},
-                spread_nulls_by="contract_id")
+    # The bank's code is one row of a small table; assessments and chains are for the bank that values by them.
+    by_waterfall = bank_code(src) == WATERFALL_BANK
+    if by_waterfall:
+        df = attach(df, approved_assessments(src, ctx), {"object_id": "object_id"}, {"assessed": "assessed"}, spread_nulls_by="contract_id")
+        df = attach(df, base_pledge_values(src, ctx), {"pledge_id": "pledge_id"}, {"base_collateral": "base_collateral"},
+                    spread_nulls_by="contract_id")
     df = attach(df, src["external_system"], {"source_system": "code"}, {"name": "system_name"})
     df = attach(df, src["collateral_type"], {"collateral_type_id": "collateral_type_id"}, {"code": "collateral_code", "name": "collateral_name"})
     df = attach(df, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"})
 
-    bank = bank_code(src)
     pledged = F.col("pledge_id").isNotNull()
-    waterfall = exprs.collateral_value(
-        F.col("fair_value"), F.col("link_value"), F.col("subsequent"), F.col("assessed"), F.col("collateral_value"),
-        F.col("basic_state_date"), F.col("base_collateral"), ctx.asof,
-    )
-    plain = F.coalesce("link_value", F.lit(0))
-    value = F.when(bank == WATERFALL_BANK, waterfall).otherwise(plain)
+    value = F.coalesce("link_value", F.lit(0))
+    if by_waterfall:
+        value = exprs.collateral_value(
+            F.col("fair_value"), F.col("link_value"), F.col("subsequent"), F.col("assessed"), F.col("collateral_value"),
+            F.col("basic_state_date"), F.col("base_collateral"), ctx.asof,
+        )
     category = F.when(F.col("consider_reserve") == 1, F.coalesce("set_quality", "object_quality")).otherwise(F.lit(0))
     curr = exprs.currency(F.col("currency"), default=False)
     return shape(

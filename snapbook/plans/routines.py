@@ -6,13 +6,44 @@ the dataset builders only see the frame.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from snapbook.operators.asof import latest
+from snapbook.operators.asof import history_of, latest, latest_by_day
 from snapbook.operators.hierarchy import chain_roots
+from snapbook.session import cut
+
+
+class Facts(Mapping[str, DataFrame]):
+    """Input frames with the default definitions of facts that are not given: overdue dates, qualities and pledge chains."""
+
+    def __init__(self, src: Mapping[str, DataFrame], asof: date) -> None:
+        self._src = src
+        self._made: dict[str, DataFrame] = {}
+        self._defaults: dict[str, Callable[[], DataFrame]] = {
+            "overdue": lambda: overdue_start(src["overdue_balance"], asof),
+            "contract_quality": lambda: quality(src["risk_change"], src["risk_group"], "contract_id", asof),
+            "issue_quality": lambda: quality(src["risk_change"], src["risk_group"], "issue_id", asof),
+            "pledge_series": lambda: pledge_series(src["pledge_chain"]),
+        }
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._src or name in self._defaults
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in self._defaults and name not in self._src:
+            if name not in self._made:
+                self._made[name] = self._defaults[name]()
+            return self._made[name]
+        return self._src[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter({*self._src, *self._defaults})
+
+    def __len__(self) -> int:
+        return len({*self._src, *self._defaults})
 
 
 def fact_end(src: Mapping[str, DataFrame]) -> DataFrame:
@@ -63,13 +94,24 @@ def floating_code(values: DataFrame) -> DataFrame:
     )
 
 
+def scheme_facts(values: DataFrame, asof: date) -> DataFrame:
+    """Rate on the date and floating code of every percent scheme, in one reading of the values."""
+    day = F.col("value_date") <= F.lit(asof).cast("date")
+    last = F.max(F.when(day, F.struct("value_date", "seq", "rate")))
+    code = F.sum(F.coalesce("base_rate_id", F.lit(0)) * F.coalesce("rate", F.lit(0)))
+    return values.groupBy("scheme_id").agg(last["rate"].alias("rate"), code.alias("code"))
+
+
 def register_rest(registers: DataFrame, rests: DataFrame, register_type: int, asof: date) -> DataFrame:
     """Closing balance of the contract registers of one type, summed per contract."""
-    wanted = registers.filter((F.col("register_type_id") == register_type) & F.col("contract_id").isNotNull())
-    last = latest(rests.select("register_id", "oper_day", "rest_out"), "register_id", "oper_day", asof, ties=("rest_out",))
+    wanted = cut(
+        registers.filter((F.col("register_type_id") == register_type) & F.col("contract_id").isNotNull()).select("register_id", "contract_id")
+    )
+    # Registers of one type are few: only their history is reduced.
+    rests = history_of(rests.select("register_id", "oper_day", "rest_out"), wanted, "register_id")
+    last = latest_by_day(rests, "register_id", "oper_day", asof)
     return (
-        wanted.select("register_id", "contract_id")
-        .join(last, "register_id")
+        wanted.join(last, "register_id")
         .groupBy("contract_id")
         .agg(F.sum("rest_out").cast("decimal(18,2)").alias("amount"))
     )
@@ -88,7 +130,6 @@ def pledge_series(links: DataFrame) -> DataFrame:
     )
 
 
-def bank_code(src: Mapping[str, DataFrame]) -> Column:
-    from snapbook.operators.lookups import config_value
-
-    return config_value(src["config"], "InternalBankCode")
+def bank_code(src: Mapping[str, DataFrame]) -> int | None:
+    """The bank's own code, one value of the configuration."""
+    return src["config"].filter(F.col("name") == "InternalBankCode").agg(F.max("integer_value")).first()[0]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Settable at run time. AQE picks the partition count and turns a join into a broadcast only after it
 # has measured the side; the skew rule splits hot keys even when that costs one more exchange.
@@ -48,8 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh folder name below the folder of this application in the shared folder; its owner drops one run by dropping that."""
+    return f"{shared_dir(spark)}/run-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def folder_exists(spark: SparkSession, folder: str) -> bool:
@@ -58,6 +58,45 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
+def _place(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def sub_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in a folder; none when it does not exist. A listing, no job."""
+    fs, path = _place(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()) if fs.exists(path) else []
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder with all it holds, if it is there."""
+    fs, path = _place(spark, folder)
+    fs.delete(path, True)
+
+
+def read_note(spark: SparkSession, name: str) -> str | None:
+    """A small text file, or None."""
+    fs, path = _place(spark, name)
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_note(spark: SparkSession, name: str, text: str) -> None:
+    """Write a small text file in the place of a former one."""
+    fs, path = _place(spark, name)
+    stream = fs.create(path, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage: write the frame as a table in the shared folder and go on from there.
 
@@ -69,10 +108,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def dictionary(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """A dictionary worked out once: written to the shared folder, and broadcast only when its counted rows are few.
-
-    Beyond ``max_rows`` it stays an ordinary frame and joins by shuffle.
-    """
-    done = cut(df)
-    return F.broadcast(done) if done.count() <= max_rows else done
+def dictionary(df: DataFrame) -> DataFrame:
+    """A dictionary worked out once and written to the shared folder; its measured size decides whether it is broadcast."""
+    return cut(df)

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapbook.functions import exprs
+from snapbook.session import cut
 
 STEP_SCHEMA = (
     "step_id string, run_id string, start timestamp_ntz, number int, target string, duration decimal(9,3), "
     "status int, record_count bigint, error_number int, error_proc string, error_message string"
 )
+RAW_STEP_SCHEMA = (
+    "run_id string, number int, target string, start timestamp_ntz, finish timestamp_ntz, status int, "
+    "error_number int, error_proc string, error_message string"
+)
 RUN_SCHEMA = "run_id string, event_type int, for_date date, start timestamp_ntz"
 
 
@@ -36,6 +42,27 @@ def retain_steps(steps: DataFrame, runs: DataFrame) -> DataFrame:
     return steps.join(runs.select("run_id").distinct(), "run_id", "left_semi")
 
 
+def apply_retention(spark: SparkSession, runs_path: str, steps_path: str, months: int, today: date) -> None:
+    """Take runs out of the log whose reporting date is ``months`` or more before today, and their steps.
+
+    The logs are rewritten only when there is such a run. The new log is complete in the shared folder before it takes the old one's place.
+    """
+    runs = spark.read.schema(RUN_SCHEMA).parquet(runs_path)
+    kept = retain(runs, "for_date", months, today)
+    if runs.count() == kept.count():
+        return
+    kept = cut(kept)
+    steps = cut(retain_steps(spark.read.schema(STEP_SCHEMA).parquet(steps_path), kept))
+    steps.write.mode("overwrite").parquet(steps_path)
+    kept.write.mode("overwrite").parquet(runs_path)
+
+
+def error_class(problem: Exception) -> str:
+    """Spark's error class of a failed step, or the exception's type."""
+    condition = problem.getCondition() if isinstance(problem, PySparkException) else None
+    return condition or type(problem).__name__
+
+
 def last_runs(runs: DataFrame, steps: DataFrame) -> DataFrame:
     """Steps of the last run of every reporting date; runs that share the last start time all count.
 
@@ -53,7 +80,8 @@ def last_runs(runs: DataFrame, steps: DataFrame) -> DataFrame:
 def step_audit(steps: DataFrame, counts: DataFrame) -> DataFrame:
     """Step log rows from raw step times: duration in seconds and the row count of the target.
 
-    ``steps``: run_id, number, target, start, finish, status. A failed step reports no rows.
+    ``steps``: run_id, number, target, start, finish, status, and the error columns if there are any. A failed step
+    reports no rows.
     """
     joined = steps.join(counts, "target", "left")
     return joined.select(
@@ -62,6 +90,7 @@ def step_audit(steps: DataFrame, counts: DataFrame) -> DataFrame:
         exprs.seconds_between(F.col("start"), F.col("finish")).alias("duration"),
         "status",
         F.when(F.col("status") == 1, F.coalesce("row_count", F.lit(0))).otherwise(F.lit(0)).cast("bigint").alias("record_count"),
+        *(c for c in ("error_number", "error_proc", "error_message") if c in steps.columns),
     )
 
 

@@ -7,15 +7,16 @@ commits, so a failed job leaves the old slice.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from snapbook.operators.asof import Names, as_list
-from snapbook.session import folder_exists
+from snapbook.session import folder_exists, read_note, remove_folder, sub_folders, write_note
 
 # Datasets whose slices the clearing step empties; the dictionaries stay.
 DATED = ("guarantee", "pledge", "client", "schedule", "portfolio", "account", "loan")
@@ -23,6 +24,10 @@ DATED = ("guarantee", "pledge", "client", "schedule", "portfolio", "account", "l
 _TAG = re.compile(r"[A-Za-z0-9_.\-]+\Z")
 
 
+def _stack(one: DataFrame, two: DataFrame) -> DataFrame:
+    return one.unionByName(two, allowMissingColumns=True)
+
+
 class SliceStore:
     """Reads and replaces the slices below one folder."""
 
@@ -44,10 +49,46 @@ class SliceStore:
         """Whether the dataset has been published at all."""
         return folder_exists(self.spark, self._folder(name))
 
+    def _note(self, name: str) -> str:
+        return f"{self.root}/_schemas/{name}.json"
+
+    def declared(self, name: str) -> tuple[bool, T.StructType] | None:
+        """Whether a dataset is dated, and its columns without the partition ones; None before its first publication.
+
+        The declaration is kept beside the data and grows when a publication brings a new column, so no file's own schema decides
+        what is read. A store without one is declared from all its files.
+        """
+        note = read_note(self.spark, self._note(name))
+        if note is not None:
+            known = json.loads(note)
+            return known["dated"], T.StructType.fromJson(known["columns"])
+        if not self.exists(name):
+            return None
+        files = self.spark.read.option("mergeSchema", "true").parquet(self._folder(name)).schema
+        return "date1" in files.names, T.StructType([f for f in files if f.name not in ("source", "date1")])
+
+    def _declare(self, name: str, new: T.StructType, dated: bool) -> None:
+        """Check a publication against the declaration, before anything is written, and add its new columns."""
+        known = self.declared(name)
+        columns = list(known[1]) if known else []
+        if known and known[0] != dated:
+            raise ValueError(f"dataset {name} is published {'by' if known[0] else 'without'} date")
+        have = {f.name: f.dataType for f in columns}
+        for f in new:
+            if f.name not in have:
+                columns.append(T.StructField(f.name, f.dataType))
+            elif have[f.name] != f.dataType:
+                raise ValueError(f"column {f.name} of {name} is {have[f.name].simpleString()}, not {f.dataType.simpleString()}")
+        if known is None or len(columns) > len(known[1]):
+            write_note(self.spark, self._note(name), json.dumps({"dated": dated, "columns": T.StructType(columns).jsonValue()}))
+
     def read(self, name: str, source: str | None = None, day: date | None = None) -> DataFrame:
-        """A dataset or one slice of it; both filters prune partitions."""
-        df = self.spark.read.parquet(self._folder(name))
-        df = df.withColumn("source", F.col("source").cast("string"))
+        """A dataset or one slice of it with its declared columns; both filters prune partitions."""
+        known = self.declared(name)
+        if known is None:
+            raise ValueError(f"dataset {name} has not been published")
+        parts = [T.StructField("source", T.StringType())] + ([T.StructField("date1", T.DateType())] if known[0] else [])
+        df = self.spark.read.schema(T.StructType([*known[1], *parts])).parquet(self._folder(name))
         if source is not None:
             df = df.filter(F.col("source") == source)
         if day is not None:
@@ -55,12 +96,17 @@ class SliceStore:
         return df
 
     def replace(self, df: DataFrame, name: str, source: str, day: date | None = None) -> int:
-        """Make ``df`` the whole slice and return its row count, taken by the writing job itself."""
+        """Make ``df`` the whole slice and return its row count, taken by the writing job itself.
+
+        A dataset is published by date or without; the other form is refused.
+        """
         self._folder(name, source, day)
         keys = {"source": F.lit(source)}
         if day is not None:
             keys["date1"] = F.lit(day)
-        body = df.drop("source", "date1").withColumns(keys)
+        plain = df.drop("source", "date1")
+        self._declare(name, plain.schema, day is not None)
+        body = plain.withColumns(keys)
         seen = Observation()
         (
             body.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -72,12 +118,12 @@ class SliceStore:
         rows = seen.get.get("rows", 0)
         if rows == 0:
             # Nothing was written, so nothing was swapped: the old slice is still there.
-            self._empty(body.drop(*keys), name, source, day)
+            remove_folder(self.spark, self._folder(name, source, day))
         return rows
 
     def append_to(self, parts: Sequence[DataFrame], name: str, source: str, day: date | None = None) -> int:
         """Several result sets of one slice, written once."""
-        return self.replace(reduce(DataFrame.unionByName, parts), name, source, day)
+        return self.replace(reduce(_stack, parts), name, source, day)
 
     def replace_objects(self, df: DataFrame, name: str, source: str, day: date, key: str, ids: Iterable) -> int:
         """Replace only the rows of the given objects and keep the rest of the slice."""
@@ -85,42 +131,38 @@ class SliceStore:
             return self.replace(df, name, source, day)
         old = self.read(name, source, day)
         kept = old.filter(~F.coalesce(F.col(key).isin(list(ids)), F.lit(False)))
-        return self.replace(kept.drop("source", "date1").unionByName(df.drop("source", "date1")), name, source, day)
+        return self.replace(_stack(kept.drop("source", "date1"), df.drop("source", "date1")), name, source, day)
 
     def replace_matching(self, df: DataFrame, name: str, source: str, day: date, key: Names, ids: DataFrame) -> int:
         """As ``replace_objects`` with the ids in a frame of any size."""
+        if not self.exists(name):
+            return self.replace(df, name, source, day)
         keys = as_list(key)
         kept = self.read(name, source, day).join(ids.select(*keys).distinct(), keys, "left_anti")
-        return self.replace(kept.drop("source", "date1").unionByName(df.drop("source", "date1")), name, source, day)
+        return self.replace(_stack(kept.drop("source", "date1"), df.drop("source", "date1")), name, source, day)
 
     def delete_where(self, name: str, source: str, day: date, pred: Column) -> int:
         """Remove the rows of a slice for which the predicate is true; unknown keeps the row."""
         kept = self.read(name, source, day).filter(~F.coalesce(pred, F.lit(False)))
         return self.replace(kept, name, source, day)
 
-    def _empty(self, like: DataFrame, name: str, source: str, day: date | None) -> None:
-        like.limit(0).write.mode("overwrite").parquet(self._folder(name, source, day))
-
     def clear_range(self, names: Iterable[str], source: str, start: date, finish: date) -> list[tuple[str, date]]:
-        """Empty every slice of the period, both ends included; nothing when start is after finish.
+        """Remove every slice of the period, both ends included; nothing when start is after finish.
 
-        The dates come from one read of partition values, at most one per day of the period.
+        The dates come from the names of the slice folders: a listing and deletions, no job and no empty files.
         """
         cleared = []
-        if start > finish:
-            return cleared
         for name in names:
-            if not self.exists(name):
-                continue
-            df = self.read(name, source).filter(F.col("date1").between(F.lit(start), F.lit(finish)))
-            like = df.drop("source", "date1")
-            for row in df.select("date1").distinct().collect():
-                self._empty(like, name, source, row.date1)
-                cleared.append((name, row.date1))
+            for folder in sub_folders(self.spark, self._folder(name, source)):
+                if folder.startswith("date1="):
+                    day = date.fromisoformat(folder.removeprefix("date1="))
+                    if start <= day <= finish:
+                        remove_folder(self.spark, self._folder(name, source, day))
+                        cleared.append((name, day))
         return cleared
 
     def clear(self, names: Iterable[str], source: str, day: date) -> list[tuple[str, date]]:
-        """Empty the slices of one date."""
+        """Remove the slices of one date."""
         return self.clear_range(names, source, day, day)
 
     def counts(self, names: Sequence[str], source: str, day: date | None = None) -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from snapbook.session import folder_exists
+
 
 def read_source(spark: SparkSession, name: str, root: str | None = None,
                 schema: T.StructType | None = None) -> DataFrame:
@@ -17,18 +19,31 @@ def read_source(spark: SparkSession, name: str, root: str | None = None,
 
 
 class Sources(Mapping[str, DataFrame]):
-    """Input frames by name, read on first use; given frames win over stored ones."""
+    """Input frames by name, read on first use; given frames win over stored ones.
+
+    ``schemas`` declares stored tables by name; without a declaration a table has the schema of its files.
+    """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, **frames: DataFrame) -> None:
+    def __init__(self, spark: SparkSession, root: str | None = None, schemas: Mapping[str, T.StructType] | None = None,
+                 **frames: DataFrame) -> None:
         self._spark = spark
         self._root = root
+        self._schemas = dict(schemas or {})
         self._frames: dict[str, DataFrame] = dict(frames)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            self._frames[name] = read_source(self._spark, name, self._root)
+            self._frames[name] = read_source(self._spark, name, self._root, self._schemas.get(name))
         return self._frames[name]
 
+    def __contains__(self, name: object) -> bool:
+        """Whether a frame is given or its table is there; looks, reads nothing."""
+        if name in self._frames:
+            return True
+        if self._root is None:
+            return self._spark.catalog.tableExists(str(name))
+        return folder_exists(self._spark, f"{self._root}/{name}.parquet")
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._frames)
 

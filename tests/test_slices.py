@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from snapbook.session import new_folder
+from snapbook.session import new_folder, sub_folders
 from snapbook.sources.slices import DATED, SliceStore
 
 D1, D2 = date(1998, 6, 29), date(1998, 6, 30)
@@ -72,3 +72,58 @@ def test_reading_one_slice_prunes_partitions(spark, store):
 def test_source_tag_must_fit_a_folder(spark, store):
     with pytest.raises(ValueError):
         store.replace(frame(spark, "a"), "loan", "a/b", D1)
+
+
+@pytest.mark.parametrize("tags", [["007"], ["1e3"], ["2024-01-01"], ["007", "A", "1e3"], ["7", "007"]])
+def test_tags_keep_their_spelling(spark, store, tags):
+    for tag in tags:
+        store.replace(frame(spark, "a", "b"), "loan", tag, D1)
+    for tag in tags:
+        assert [r.source for r in store.read("loan", tag).collect()] == [tag, tag]
+        store.replace_objects(frame(spark, "a").withColumn("number", F.lit("new")), "loan", tag, D1, "oid", ["a"])
+        assert sorted((r.oid, r.number) for r in store.read("loan", tag, D1).collect()) == [("a", "new"), ("b", "nb")]
+        store.replace_matching(frame(spark, "b"), "loan", tag, D1, "oid", frame(spark, "b"))
+        store.delete_where("loan", tag, D1, F.col("oid") == "a")
+        assert [r.oid for r in store.read("loan", tag, D1).collect()] == ["b"]
+
+
+def test_the_wrong_form_is_refused_before_anything_is_written(spark, store):
+    store.replace(frame(spark, "a"), "loan", "S", D1)
+    store.replace(frame(spark, "b"), "loan", "S", D2)
+    store.replace(frame(spark, "x"), "segment", "S")
+    for call in (
+        lambda: store.replace(frame(spark, "c"), "loan", "S"), lambda: store.append_to([frame(spark, "c")], "loan", "S"),
+        lambda: store.replace(frame(spark, "y"), "segment", "S", D1), lambda: store.delete_where("loan", "S", None, F.lit(True)),
+        lambda: store.replace(frame(spark, "c").withColumn("number", F.lit(1)), "loan", "S", D1),
+    ):
+        with pytest.raises(ValueError):
+            call()
+    assert content(store) == [("S", D1, "a"), ("S", D2, "b")]
+    assert [r.oid for r in store.read("segment").collect()] == ["x"]
+
+
+def test_a_later_column_is_read_and_kept(spark, store):
+    store.replace(frame(spark, "a", "b"), "loan", "S", D1)
+    store.replace(frame(spark, "c").withColumn("n2", F.lit(5)), "loan", "S", D2)
+    assert sorted((r.oid, r.n2) for r in store.read("loan").collect()) == [("a", None), ("b", None), ("c", 5)]
+    store.replace_objects(frame(spark, "a"), "loan", "S", D2, "oid", ["a"])
+    store.delete_where("loan", "S", D1, F.col("oid") == "a")
+    assert sorted((r.oid, r.n2) for r in store.read("loan").collect()) == [("a", None), ("b", None), ("c", 5)]
+
+
+def test_a_store_without_declaration_is_read_whole(spark, store):
+    for day, ids in ((D1, ["a"]), (D2, ["b"])):
+        frame(spark, *ids).withColumn(f"n{day.day}", F.lit(1)).write.parquet(f"{store.root}/loan/source=007/date1={day}")
+    assert sorted((r.oid, r.source, r.date1, r.n29, r.n30) for r in store.read("loan").collect()) == [("a", "007", D1, 1, None), ("b", "007", D2, None, 1)]
+
+
+def test_cleared_slices_leave_no_folder_and_run_no_job(spark, store):
+    for day in (D1, D2):
+        store.replace(frame(spark, "a"), "loan", "S", day)
+    store.replace(frame(spark, "a"), "segment", "S")
+    spark.sparkContext.setJobGroup("clearing", "clearing")
+    assert store.clear_range([*DATED, "segment"], "S", D1, D2) == [("loan", D1), ("loan", D2)]
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("clearing")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sub_folders(spark, f"{store.root}/loan/source=S") == []
+    assert store.read("loan").columns[:2] == ["oid", "number"] and content(store) == []

@@ -348,7 +348,7 @@ SQL: dict[str, str] = {
     "S1_scan": "select o_orderkey, o_custkey, o_orderstatus from {orders} where o_orderdate <= @D",
     "S2_read_slice": "select oid, client_oid, number, @D as date1 from {loan_slice}",
     "S3_const_relation": f"select status_name, base_status, count(*) as events from {{guarantee_event}} join {STATUS} on guarantee_status = guarant_status group by all",
-    "S4_replace_slice": "select oid, number, 'A' as source, case when main_contract_oid is null then date '1998-06-29' else @D end as date1 from {loan_slice}",
+    "S4_replace_slice": "select oid, number, '007' as source, case when main_contract_oid is null then date '1998-06-29' else @D end as date1 from {loan_slice}",
     "S5_replace_objects": """
         select s.oid, s.number || case when b.status = 2 then '*' else '' end as number, @D as date1
         from {loan_slice} s left join {base_contract} b on b.contract_id = s.oid
@@ -658,7 +658,7 @@ SQL: dict[str, str] = {
         select * replace (cast(transaction_sum as double) as transaction_sum) from r where portfolio_id in (select portfolio_id from {{portfolio}})""",
     "Q21_rejected_entries": """select contract_oid, portfolio_oid, date1 from {entry} where (contract_oid <> '' and not regexp_matches(contract_oid, '^[ci][0-9-]+$'))
         or (tranche_oid <> '' and not regexp_matches(tranche_oid, '^[ci][0-9-]+$')) or (portfolio_oid <> '' and not regexp_matches(portfolio_oid, '^[ci][0-9-]+$'))""",
-    "Q23_step_audit": """select r.run_id, r.start, r.number, r.target, date_diff('millisecond', r.start, r.finish) / 1000.0 as duration, r.status,
+    "Q23_step_audit": """select sha256(r.run_id || '|' || cast(r.number as varchar)) as step_id, r.run_id, r.start, r.number, r.target, date_diff('millisecond', r.start, r.finish) / 1000.0 as duration, r.status,
         case when r.status = 1 then (select count(*) from {step} s where s.target = r.target) else 0 end as record_count from {raw_step} r""",
     "Q24_presence_report": """select e.name, e.synonym, case when f.name is null then 0 else 1 end as present from {expected} e
         left join (select distinct name from {found}) f on f.name = e.name where e.synonym like 'brand%'""",

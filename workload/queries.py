@@ -80,14 +80,14 @@ def _(s):
 def _loan_days(s, label):
     """The loan slice published for two dates: everything, and contracts only."""
     st = store(s, label)
-    st.replace(s["loan_slice"], "loan", "A", D)
-    st.replace(s["loan_slice"].filter(F.col("main_contract_oid").isNull()), "loan", "A", date(1998, 6, 29))
+    st.replace(s["loan_slice"], "loan", "007", D)
+    st.replace(s["loan_slice"].filter(F.col("main_contract_oid").isNull()), "loan", "007", date(1998, 6, 29))
     return st
 
 
 @query("S2_read_slice")
 def _(s):
-    return _loan_days(s, "s2").read("loan", "A", D).select("oid", "client_oid", "number", "date1")
+    return _loan_days(s, "s2").read("loan", "007", D).select("oid", "client_oid", "number", "date1")
 
 
 @query("S3_const_relation")
@@ -100,7 +100,7 @@ def _(s):
 @query("S4_replace_slice")
 def _(s):
     st = _loan_days(s, "s4")
-    st.replace(s["loan_slice"].filter(F.col("main_contract_oid").isNotNull()), "loan", "A", D)
+    st.replace(s["loan_slice"].filter(F.col("main_contract_oid").isNotNull()), "loan", "007", D)
     st.replace(s["loan_slice"].limit(0), "loan", "B", D)
     return st.read("loan").select("oid", "number", "source", "date1")
 
@@ -110,8 +110,8 @@ def _(s):
     st = _loan_days(s, "s5")
     ids = s["base_contract"].filter(F.col("status") == 2).select(F.col("contract_id").alias("oid"))
     fresh = s["loan_slice"].join(ids, "oid", "left_semi").withColumn("number", F.concat("number", F.lit("*")))
-    st.replace_matching(fresh, "loan", "A", D, "oid", ids)
-    return st.read("loan", "A").select("oid", "number", "date1")
+    st.replace_matching(fresh, "loan", "007", D, "oid", ids)
+    return st.read("loan", "007").select("oid", "number", "date1")
 
 
 @query("S6_replace_dictionary")
@@ -795,7 +795,7 @@ def _(s):
 @query("Q23_step_audit")
 def _(s):
     counts = s["step"].groupBy("target").agg(F.count(F.lit(1)).alias("row_count"))
-    return audit.step_audit(s["raw_step"], counts).drop("step_id")
+    return audit.step_audit(s["raw_step"], counts)
 
 
 @query("Q24_presence_report")

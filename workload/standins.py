@@ -410,11 +410,11 @@ VIEWS: dict[str, str] = {
     "pledge_quality": """
         select 'b' || cast(l_partkey as string) as object_id, cast(1 + l_linenumber % 3 as int) as quality_category,
                cast(l_shipdate as date) as setting_date
-        from {lineitem} where l_partkey % 2 = 1""",
+        from {lineitem}""",
     "pledge_assessment": """
         select 'b' || cast(l_partkey as string) as object_id, 'n' || cast(l_suppkey as string) as conclusion_id,
                cast(l_shipdate as date) as assessment_date, cast(l_extendedprice as decimal(21,2)) as collateral_value
-        from {lineitem} where l_linenumber = 1""",
+        from {lineitem}""",
     "pledge_conclusion": "select 'n' || cast(s_suppkey as string) as conclusion_id, 'a' || cast(s_suppkey as string) as activity_id from {supplier}",
     "activity": "select 'a' || cast(s_suppkey as string) as activity_id, cast(1 + s_suppkey % 3 as int) as status from {supplier}",
     "pledge_chain": """
