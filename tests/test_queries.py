@@ -14,7 +14,7 @@ def duck(sf_dir):
 
 
 # Queries with no rows at the smallest scale; none may join them unnoticed.
-MAY_BE_EMPTY = set()
+MAY_BE_EMPTY = {"Q21_corrections", "S17_entries_scan", "X1_union_all"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

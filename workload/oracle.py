@@ -575,7 +575,8 @@ SQL: dict[str, str] = {
         where (select count(a.account_id) from {{account}} a join {{base_account}} b using (base_account_id)
                where a.portfolio_id = p.portfolio_id and @D between b.date_open and coalesce(b.date_close, @D)) > 0""",
     "Q8_account_entries": f"select * from {ENTRIES}",
-    "Q8_account_entries_lookback": f"select * from {ENTRIES} union all ({CLOSED_ENTRIES})",
+    "Q8_account_entries_lookback": f"""select * from {ENTRIES} union all select c.* from ({CLOSED_ENTRIES}) c
+        where not exists (select 1 from (select * from {ENTRIES}) e where e.entry_kind = c.entry_kind and e.entry_id = c.entry_id)""",
     "Q9_register_list": f"""select g.register_id, g.register_type_id, g.portfolio_id, g.contract_id, g.issue_id, g.contract_oid,
         cast(coalesce(case when r.oper_day = @D then r.rest_in else r.rest_out end, 0) as double) as rest,
         cast(coalesce(d.over_in, 0) as double) as over_in, cast(coalesce(d.over_out, 0) as double) as over_out

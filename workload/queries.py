@@ -394,7 +394,8 @@ def _(s):
 
 @query("J14_lateral_aggregate")
 def _(s):
-    return s["contract"].select("contract_id").join(loan._issue_facts(s), "contract_id", "left").select(
+    facts = loan._issue_facts(s, s["contract"], routines.scheme_facts(s["scheme_value"], D))
+    return s["contract"].select("contract_id").join(facts, "contract_id", "left").select(
         "contract_id", "date_issue", exprs.flag(F.col("code") > 0).alias("is_floating"))
 
 
