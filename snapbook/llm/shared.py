@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -11,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapbook.session import configure, cut, new_folder
 
-__all__ = ["Stored", "bit_table", "bucket_sums", "cut", "emit_buckets", "has_bit", "map_arrow", "read", "ready"]
+__all__ = ["Stored", "bit_table", "bucket_sums", "cut", "emit_buckets", "has_bit", "map_arrow", "read", "ready", "tidy"]
 
 # A batch handed to Python stays below this size whatever the length of its texts.
 BATCH_CONF = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
@@ -32,6 +33,26 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return ready(spark).read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: Python workers live on from task to task, and an executor's workers share its memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for one task, with its memory given back at the end."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """``make`` on each Arrow batch of a frame."""
 
@@ -40,7 +61,7 @@ def map_arrow(df: DataFrame, make: Callable[[pa.RecordBatch], Iterable[pa.Record
             if batch.num_rows:
                 yield from make(batch)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 class Stored:
@@ -89,7 +110,7 @@ def bucket_sums(parts: DataFrame, buckets: int, kind: str = "<i8") -> np.ndarray
 
     total = np.zeros(segments * SEGMENT, kind)
     few = parts.select("segment", "counts").repartition(min(segments, 16), F.col("segment"))
-    for row in few.mapInArrow(add, BUCKET_SCHEMA).toLocalIterator():
+    for row in few.mapInArrow(tidy(add), BUCKET_SCHEMA).toLocalIterator():
         at = row["segment"] * SEGMENT
         part = np.frombuffer(zlib.decompress(row["counts"]), kind)
         total[at : at + len(part)] += part
@@ -120,9 +141,9 @@ def bit_table(rows: DataFrame, column: str, bits: int) -> np.ndarray:
         if tables:
             yield pa.RecordBatch.from_pydict({"segment": pa.array(list(tables), pa.int32()), "counts": [zlib.compress(v.tobytes(), 1) for v in tables.values()]})
 
-    parts = rows.select(F.col(column).cast("long")).filter(F.col(column).isNotNull()).mapInArrow(mark, BUCKET_SCHEMA)
+    parts = rows.select(F.col(column).cast("long")).filter(F.col(column).isNotNull()).mapInArrow(tidy(mark), BUCKET_SCHEMA)
     whole = np.zeros(bits // 8, np.uint8)
-    for row in parts.repartition(16, F.col("segment")).mapInArrow(join, BUCKET_SCHEMA).toLocalIterator():
+    for row in parts.repartition(16, F.col("segment")).mapInArrow(tidy(join), BUCKET_SCHEMA).toLocalIterator():
         part = np.frombuffer(zlib.decompress(row["counts"]), np.uint8)
         whole[row["segment"] * SEGMENT : row["segment"] * SEGMENT + len(part)] = part
     return whole

@@ -2,8 +2,8 @@
 
 A 100-byte window belongs to its anchor, the 24-gram of bytes with the smallest hash inside it; windows side by side with one
 anchor are a stretch of some 140 bytes. Equal windows have equal anchors, so a stretch whose anchor occurs once in the corpus
-needs no further look; the others are dealt out to shards by anchor. In a shard the stretches are laid end to end and their
-windows sorted: ranks by 8 bytes are refined by doubling, sorting unresolved groups only (Larsson and Sadakane, 2007), and common
+needs no further look; the others are dealt out to shards by anchor. In a shard equal stretches collapse, and those that can share a
+window are laid end to end and their windows sorted: ranks by 8 bytes are refined by doubling, sorting unresolved groups only (Larsson and Sadakane, 2007), and common
 prefixes of neighbours are taken in text order (Kasai et al., 2001), both in numpy and up to the window's length. A class of equal windows keeps its
 first one.
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from snapbook.llm.blocks import BYTE_CODES, chosen_places, gram_hashes, mix, runs_of, signed, texts_of, union
-from snapbook.llm.shared import BUCKET_SCHEMA, Stored, bit_table, bucket_sums, cut, emit_buckets, has_bit, map_arrow
+from snapbook.llm.shared import BUCKET_SCHEMA, bit_table, bucket_sums, cut, emit_buckets, has_bit, map_arrow, Stored, tidy
 
 WINDOW = 100
 ANCHOR = 24
@@ -44,14 +44,14 @@ def content_of(data: bytes) -> int:
 
 
 def stretches(data: bytes) -> np.ndarray:
-    """Rows (anchor, first window, last window) of a text, one for each run of windows with the same anchor place."""
+    """Rows (anchor, first window, last window, anchor's place) of a text, one for each run of windows with the same anchor place."""
     raw, rows = np.frombuffer(data, np.uint8), []
     for at in range(0, max(len(raw) - WINDOW + 1, 0), PIECE):
         grams = gram_hashes(BYTE_CODES[raw[at : at + PIECE + WINDOW - 1]], ANCHOR)
         places = chosen_places(grams, WINDOW - ANCHOR + 1)
         first, last = runs_of(places)
-        rows.append(np.stack([signed(grams[places[first]]), first + at, last + at], 1))
-    return np.concatenate(rows) if rows else np.zeros((0, 3), np.int64)
+        rows.append(np.stack([signed(grams[places[first]]), first + at, last + at, places[first] + at], 1))
+    return np.concatenate(rows) if rows else np.zeros((0, 4), np.int64)
 
 
 def text_table(docs: DataFrame, key: str, text: str) -> Stored:
@@ -84,20 +84,20 @@ def text_table(docs: DataFrame, key: str, text: str) -> Stored:
                 names=["doc_id", "n_bytes", "content", "digest", "anchors", "places"],
             )
 
-    return Stored(rows.mapInArrow(run, "doc_id long, n_bytes long, content long, digest string, anchors binary, places binary"), "stretches")
+    return Stored(rows.mapInArrow(tidy(run), "doc_id long, n_bytes long, content long, digest string, anchors binary, places binary"), "stretches")
 
 
 def packed_places(rows: np.ndarray) -> bytes:
-    """First windows as steps from one to the next, and lengths; a byte each, as a stretch has at most 77 windows and starts where the
-    one before it ended."""
-    return (rows[:, 2] - rows[:, 1]).astype(np.uint8).tobytes()
+    """Lengths of the stretches and the places of their anchors in them; a byte each, as a stretch has at most 77 windows and
+    starts where the one before it ended."""
+    return np.stack([rows[:, 2] - rows[:, 1], rows[:, 3] - rows[:, 1]]).astype(np.uint8).tobytes()
 
 
 def opened(anchors: bytes, places: bytes) -> np.ndarray:
-    """Rows (anchor, first, last): stretches of a text follow one another without a gap."""
-    sizes = np.frombuffer(places, np.uint8).astype(np.int64) + 1
-    last = np.cumsum(sizes) - 1
-    return np.stack([np.frombuffer(anchors, "<i8"), last - sizes + 1, last], 1)
+    """Rows (anchor, first, last, anchor's place): stretches of a text follow one another without a gap."""
+    sizes, inner = np.frombuffer(places, np.uint8).astype(np.int64).reshape(2, -1)
+    last = np.cumsum(sizes + 1) - 1
+    return np.stack([np.frombuffer(anchors, "<i8"), last - sizes, last, last - sizes + inner], 1)
 
 
 def repeated_anchors(table: DataFrame) -> DataFrame:
@@ -136,7 +136,7 @@ def wanted_stretches(owned: DataFrame, bits: np.ndarray) -> DataFrame:
     return cut(map_arrow(ready, run, "owner long, content long, n long, rows binary").dropDuplicates(["content"]))
 
 
-STRETCH = "shard int, part int, anchor long, owner long, content long, first long, last long, data binary"
+STRETCH = "shard int, part int, anchor long, owner long, content long, first long, last long, at long, data binary"
 
 
 def dealt_stretches(docs: DataFrame, key: str, text: str, wanted: DataFrame, counts: np.ndarray, shards: int) -> DataFrame:
@@ -152,20 +152,21 @@ def dealt_stretches(docs: DataFrame, key: str, text: str, wanted: DataFrame, cou
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         columns = (batch.column(c).to_pylist() for c in ("owner", "content", "rows"))
+        out, pieces = [], []
         for t, owner, content, packed in zip(texts_of(batch, "text"), *columns, strict=True):
             data = t.encode("utf-8", "surrogatepass")
             if content_of(data) != content:
                 continue  # another row with the same id
-            own = np.frombuffer(packed, "<i8").reshape(-1, 3)
+            own = np.frombuffer(packed, "<i8").reshape(-1, 4)
             bucket = (mix(own[:, 0].view(np.uint64)) >> np.uint64(20)).astype(np.int64)
-            part = (content & 0x7FFFFFFF) % shared.value[own[:, 0] & (COUNT_BUCKETS - 1)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((bucket % shards).astype(np.int32)), pa.array(np.where(shared.value[own[:, 0] & (COUNT_BUCKETS - 1)] > 1, part + 1, 0).astype(np.int32)),
-                 pa.array(np.ascontiguousarray(own[:, 0])), pa.array(np.full(len(own), owner)), pa.array(np.full(len(own), content)),
-                 pa.array(np.ascontiguousarray(own[:, 1])), pa.array(np.ascontiguousarray(own[:, 2])),
-                 pa.array([data[a : b + WINDOW] for a, b in own[:, 1:].tolist()], pa.binary())],
-                names=names,
-            )
+            count = shared.value[own[:, 0] & (COUNT_BUCKETS - 1)]
+            part = np.where(count > 1, (content & 0x7FFFFFFF) % count + 1, 0)
+            out.append((bucket % shards, part, own[:, 0], np.full(len(own), owner), np.full(len(own), content), own[:, 1], own[:, 2], own[:, 3]))
+            pieces += [data[a : b + WINDOW] for a, b in own[:, 1:3].tolist()]
+        if out:
+            columns = [np.concatenate(x) for x in zip(*out, strict=True)]
+            types = (pa.int32(), pa.int32(), *[pa.int64()] * 6)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, types, strict=True)), pa.array(pieces, pa.binary())], names=names)
 
     names = [c.split()[0] for c in STRETCH.split(", ")]
     joined = map_arrow(rows, near, "owner long, text string").join(wanted, "owner").select("owner", "text", "content", "rows")
@@ -249,29 +250,64 @@ def judged(classes: np.ndarray, owner: np.ndarray, content: np.ndarray, place: n
 
 
 class Shard:
-    """The stretches of one shard, or of one part of a hot shard, as arrays."""
+    """The stretches of one shard, or of one part of a hot shard, as arrays.
+
+    Stretches that are equal as a whole collapse first: all windows of the later ones repeat. Of the others only those go into the
+    suffix array that share, with another one, what every common window has: the anchor with the 38 bytes behind it, or before it.
+    """
 
     def __init__(self, rows: pa.Table):
-        owner, content, first, last = (rows.column(c).to_numpy() for c in ("owner", "content", "first", "last"))
-        data = rows.column("data").to_pylist()
+        names = ("owner", "content", "first", "last", "at", "anchor", "shard")
+        columns = [rows.column(c).to_numpy() for c in names]
         # A text read by several tasks gives the same stretch more than once.
-        _, one = np.unique(np.stack([content, first]), axis=1, return_index=True)
-        self.owner, self.content, self.first, self.last = owner[one], content[one], first[one], last[one]
-        self.anchor, self.shard = rows.column("anchor").to_numpy()[one], rows.column("shard").to_numpy()[one]
-        data = [data[i] for i in one]
-        sizes = np.array([len(d) for d in data])
-        self.offset = np.cumsum(sizes) - sizes
+        order = np.lexsort((columns[2], columns[1]))
+        c, f = columns[1][order], columns[2][order]
+        one = order[np.concatenate([[True], (c[1:] != c[:-1]) | (f[1:] != f[:-1])])]
+        self.owner, self.content, self.first, self.last, at, self.anchor, self.shard = (x[one] for x in columns)
+        data = rows.column("data").to_pylist()
+        self.bytes = [data[i] for i in one.tolist()]
+        numbers: dict[bytes, int] = {}
+        same = np.array([numbers.setdefault(d, len(numbers)) for d in self.bytes], np.int64)
+        self.whole = judged(same, self.owner, self.content, self.first)
+        self.inside = self._near(np.flatnonzero(~self.whole), at - self.first)
+        self._windows()
+
+    def _near(self, rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+        """The rows that can have a window in common with another row."""
+        half = (WINDOW - ANCHOR) // 2
+        seen: dict[bytes, int] = {}
+        near = np.zeros(len(self.bytes), bool)
+        for i in rows.tolist():
+            data, a = self.bytes[i], int(anchor[i])
+            keys = []
+            if a - half <= self.last[i] - self.first[i]:
+                keys.append(b">" + data[a : a + ANCHOR + half])
+            if a >= half:
+                keys.append(b"<" + data[a - half : a + ANCHOR])
+            for key in keys:
+                other = seen.setdefault(key, i)
+                if other != i:
+                    near[i] = near[other] = True
+        return np.flatnonzero(near)
+
+    def _windows(self) -> None:
+        """Windows of the rows inside the suffix array, with their classes and whether they repeat."""
+        data = [self.bytes[i] for i in self.inside.tolist()]
+        sizes = np.array([len(d) for d in data], np.int64)
+        offset = np.cumsum(sizes) - sizes
         self.data = np.concatenate([np.frombuffer(b"".join(data), np.uint8), np.zeros(WINDOW + 8, np.uint8)])
-        counts = self.last - self.first + 1
-        self.row = np.repeat(np.arange(len(counts)), counts)
-        inner = np.arange(len(self.row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        self.place = self.offset[self.row] + inner
+        counts = (self.last - self.first + 1)[self.inside]
+        own = np.repeat(np.arange(len(counts)), counts)
+        inner = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts)
+        self.row, self.place = self.inside[own], offset[own] + inner
         self.window = self.first[self.row] + inner
+        if not len(own):
+            self.removed = np.zeros(0, bool)
+            return
         order, prefix = ranked(self.data, self.place)
         number = np.empty(len(self.data), np.int64)
         number[order] = np.cumsum(prefix < WINDOW)
-        self.classes = number[self.place]
-        self.removed = judged(self.classes, self.owner[self.row], self.content[self.row], self.window)
+        self.removed = judged(number[self.place], self.owner[self.row], self.content[self.row], self.window)
 
 
 RUNS = "content long, first long, last long, kept boolean, shard int, anchor long, owner long, data binary"
@@ -279,37 +315,42 @@ RUNS = "content long, first long, last long, kept boolean, shard int, anchor lon
 
 def runs_out(shard: Shard, hand_on: bool) -> pa.RecordBatch:
     """Runs of removed windows; for a hot shard's part also the kept windows' runs with their bytes."""
-    key = shard.row * 2 + shard.removed
-    first, last = runs_of(key)
+    first, last = runs_of(shard.row * 2 + shard.removed)
     # Windows of a stretch stand side by side, so a run inside one row is a run of places.
-    keep = np.flatnonzero(shard.removed[first] | hand_on)
-    first, last = first[keep], last[keep]
     row, kept = shard.row[first], ~shard.removed[first]
-    data = [shard.data[a : b + WINDOW].tobytes() if k else None for a, b, k in zip(shard.place[first].tolist(), shard.place[last].tolist(), kept.tolist(), strict=True)]
+    begin, end = shard.window[first], shard.window[last]
+    plain = np.ones(len(shard.bytes), bool)
+    plain[shard.inside] = False
+    whole = np.flatnonzero(plain)
+    row, kept = np.concatenate([row, whole]), np.concatenate([kept, ~shard.whole[whole]])
+    begin, end = np.concatenate([begin, shard.first[whole]]), np.concatenate([end, shard.last[whole]])
+    out = np.flatnonzero(~kept | hand_on)
+    row, kept, begin, end = row[out], kept[out], begin[out], end[out]
+    places = zip(row.tolist(), (begin - shard.first[row]).tolist(), (end - shard.first[row]).tolist(), kept.tolist(), strict=True)
+    data = [shard.bytes[r][a : b + WINDOW] if k else None for r, a, b, k in places]
     return pa.RecordBatch.from_arrays(
-        [pa.array(shard.content[row]), pa.array(shard.window[first]), pa.array(shard.window[last]), pa.array(kept), pa.array(shard.shard[row]),
+        [pa.array(shard.content[row]), pa.array(begin), pa.array(end), pa.array(kept), pa.array(shard.shard[row].astype(np.int32)),
          pa.array(shard.anchor[row]), pa.array(shard.owner[row]), pa.array(data, pa.binary())],
         names=[c.split()[0] for c in RUNS.split(", ")],
     )
 
 
 def by_group(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.Table]:
-    """Tables of rows with equal values in ``columns`` from batches sorted by them."""
+    """Tables of rows with equal values in ``columns`` (whole numbers) from batches sorted by them."""
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = list(zip(*(batch.column(c).to_pylist() for c in columns), strict=True))
-        at = 0
-        for i in range(len(keys) + 1):
-            if i == len(keys) or keys[i] != keys[at]:
-                if held and last != keys[at]:
-                    yield pa.Table.from_batches(held)
-                    held = []
-                held.append(batch.slice(at, i - at))
-                last = keys[at]
-                at = i
+        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns])
+        turns = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        for a, b in zip([0, *turns.tolist()], [*turns.tolist(), batch.num_rows], strict=True):
+            key = tuple(keys[:, a].tolist())
+            if held and last != key:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
     if held:
         yield pa.Table.from_batches(held)
 
@@ -322,7 +363,7 @@ def shard_runs(stretch_rows: DataFrame, shards: int) -> DataFrame:
             yield runs_out(Shard(table), table.column("part")[0].as_py() > 0)
 
     dealt = stretch_rows.repartition(shards, "shard", "part").sortWithinPartitions("shard", "part")
-    return cut(dealt.mapInArrow(run, RUNS))
+    return cut(dealt.mapInArrow(tidy(run), RUNS))
 
 
 def merged_runs(kept: DataFrame, shards: int) -> DataFrame:
@@ -356,7 +397,7 @@ def merged_runs(kept: DataFrame, shards: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(content[removed]), pa.array(place[removed]), pa.array(place[removed])], names=["content", "first", "last"])
 
     dealt = kept.repartition(shards, "shard", "anchor").sortWithinPartitions("shard", "anchor", "content", "first")
-    return dealt.mapInArrow(run, "content long, first long, last long")
+    return dealt.mapInArrow(tidy(run), "content long, first long, last long")
 
 
 class RepeatedBytes:
@@ -427,4 +468,4 @@ def anchor_counts(anchors: DataFrame) -> np.ndarray:
         if segments:
             yield pa.RecordBatch.from_pydict({"segment": pa.array([s for s, _ in segments], pa.int32()), "counts": [c for _, c in segments]})
 
-    return bucket_sums(anchors.mapInArrow(run, BUCKET_SCHEMA), COUNT_BUCKETS)
+    return bucket_sums(anchors.mapInArrow(tidy(run), BUCKET_SCHEMA), COUNT_BUCKETS)
