@@ -18,13 +18,14 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from snapbook.llm.blocks import texts_of
-from snapbook.llm.shared import map_arrow
+from snapbook.llm.shared import cut, map_arrow
 
 TAG = re.compile(
     r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
@@ -55,6 +56,8 @@ NO_TEXT_NAMES = frozenset(
 GOOD_NAMES = frozenset("article content entry post story main body text page".split())
 CONTAINERS = frozenset("article main section div td body center".split())
 GOOD_FACTOR = 1.5
+BROADCAST_HOSTS = 100_000
+PATH_LENGTH = 400
 
 
 class Element:
@@ -170,7 +173,9 @@ class Page:
             if self.elements[index].tag in BLOCK:
                 labels.append(self.elements[index].label)
             index = self.elements[index].parent
-        return ">".join(reversed(labels))
+        path = ">".join(reversed(labels))
+        # Paths are votes and are broadcast: a very long one is named by its end and a hash of the whole.
+        return path if len(path) <= PATH_LENGTH else f"{zlib.crc32(path.encode()):08x}>{path[-PATH_LENGTH:]}"
 
     def container(self, index: int) -> int:
         while index > 0 and self.elements[index].tag not in CONTAINERS:
@@ -227,10 +232,13 @@ def host_votes(pages: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """One row per page: ``page_id``, ``url``, ``text``, ``n_chars`` and the ``path`` it was taken from.
 
-    The winners are one short row for each host; whether they are small enough to be broadcast is left to their measured size.
+    The winners are one short row for each host. Up to ``BROADCAST_HOSTS`` counted hosts they are broadcast and no page moves;
+    beyond, pages and winners meet in a shuffle, where the skew rule splits a large host.
     """
     rows = pages.select(F.col(f"`{key}`").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{source}`").alias("html")).withColumn("host", host_of(F.col("url")))
-    winners = host_votes(rows).withColumnRenamed("path", "winner")
+    winners = cut(host_votes(rows).withColumnRenamed("path", "winner"))
+    if winners.count() <= BROADCAST_HOSTS:
+        winners = F.broadcast(winners)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts, paths = [], []
