@@ -132,4 +132,34 @@ def test_no_nested_loops_or_cross_products(spark, sf_dir, name):
 def test_history_scan_is_pruned_and_filtered(spark, sf_dir):
     plan = plan_of(entry.queries()["J10_E17_opening_balance"](spark, sf_dir))
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "oper_day" in line)
-    assert "LessThanOrEqual(oper_day" in scan or "oper_day#" in scan.split("DataFilters")[1]
+    assert "LessThanOrEqual(oper_day" in scan
+
+
+def test_balances_need_no_sort(spark, sf_dir):
+    plan = plan_of(entry.queries()["J10_E17_opening_balance"](spark, sf_dir))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+@pytest.mark.parametrize("name", ["Q14_accounts", "Q9_register_list", "U8_register_rest", "Q15_disposal_accounts"])
+def test_histories_are_cut_to_the_keys_at_hand(spark, sf_dir, name):
+    """Below the aggregate of the balance history stands a semi-join with a written key set."""
+    lines = plan_of(entry.queries()[name](spark, sf_dir)).splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line and "oper_day" in line and "rest_out" in line]
+    assert scans
+    for i in scans:
+        above = []
+        level = depth(lines[i])
+        for line in reversed(lines[:i]):
+            if depth(line) < level:
+                level = depth(line)
+                above.append(line)
+        semi = next(n for n, line in enumerate(above) if "LeftSemi" in line)
+        reduced = next(n for n, line in enumerate(above) if "Aggregate" in line)
+        assert semi < reduced
+
+
+def test_disposal_reads_transactions_of_the_day_only(spark, sf_dir):
+    """The plan left after the written tables has no scan of all transactions or movements."""
+    plan = plan_of(entry.queries()["Q15_disposal_accounts"](spark, sf_dir))
+    assert "debit_account_id" not in plan

@@ -15,7 +15,7 @@ from snapbook.plans import (
     account, cession, client, corrections, dictionaries, guarantee, loan, pledge, portfolio, register_types as rt, routines,
     schedule,
 )
-from snapbook.session import new_folder
+from snapbook.session import cut, new_folder
 from snapbook.sources import audit
 from snapbook.sources.slices import DATED, SliceStore
 from snapbook.sources.tables import read_source
@@ -407,7 +407,8 @@ def _(s):
 
 def _account_parts(s):
     targets = rt.target_types(s)
-    entries = account.account_entries(s, CTX, s["loan_slice"], s["guarantee_slice"])
+    # Entries feed registers and accounts; as in ``account_snapshot`` they are written once.
+    entries = cut(account.account_entries(s, CTX, s["loan_slice"], s["guarantee_slice"]))
     return targets, entries, account.register_rows(s, CTX, entries, targets), account.account_list(s, CTX, entries)
 
 
