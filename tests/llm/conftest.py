@@ -1,6 +1,5 @@
-import random
-
 import pytest
+from plain import prose
 from pyspark.sql import types as T
 
 SCHEMA = T.StructType([
@@ -11,12 +10,6 @@ SCHEMA = T.StructType([
 ])
 
 
-def prose(seed: int, words: int) -> str:
-    rng = random.Random(seed)
-    made = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(2, 9))) for _ in range(words)]
-    return "".join(w + ("\n" if i % 17 == 16 else " ") for i, w in enumerate(made)).strip()
-
-
 def edge_texts() -> list[tuple]:
     """Ids and texts with nulls, blanks, ties, repeated rows, one shared id, long passages and a very long text."""
     shared = prose(1, 70)

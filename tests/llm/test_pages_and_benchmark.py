@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import prose
+from plain import prose
 
 from snapbook.llm import hostpaths, latent
 
