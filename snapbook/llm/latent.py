@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 
 from snapbook.llm.blocks import BYTE_CODES, row_groups, runs_of, texts_of, words_of_group
-from snapbook.llm.shared import BUCKET_SCHEMA, bucket_sums, cut, emit_buckets
+from snapbook.llm.shared import BUCKET_SCHEMA, bucket_sums, cut, emit_buckets, tidy
 
 PASSAGE = 32
 WINDOW_PASSAGES = 3
@@ -39,7 +39,8 @@ LCS_ALONE = 0.75
 LCS_WITH_ANSWER = 0.55
 ANSWER_WORDS = 8
 ANSWER_SHARE = 0.75
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
+NEAR_ROWS = 1_024
 CHUNK_WORDS = 60_000
 
 # A word is a run of ASCII letters and digits and of bytes of other letters.
@@ -117,7 +118,7 @@ def numbered_texts(rows: DataFrame, items: Items) -> DataFrame:
             )
 
     names = ["doc_id", "ids", "segment", "counts"]
-    return cut(rows.mapInArrow(run, f"doc_id {kind}, ids binary, {BUCKET_SCHEMA}"))
+    return cut(rows.mapInArrow(tidy(run), f"doc_id {kind}, ids binary, {BUCKET_SCHEMA}"))
 
 
 def unpacked(raw: bytes, size: int) -> np.ndarray:
@@ -184,12 +185,28 @@ class Passages:
         return out
 
 
-def item_rows(items: Items, weights: np.ndarray) -> np.ndarray:
-    """Unit TF-IDF rows of the item parts."""
-    rows = np.zeros((len(items.parts), len(weights)))
-    for i, part in enumerate(items.parts):
-        np.add.at(rows[i], part, weights[part])
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+class ItemRows:
+    """Unit TF-IDF rows of the item parts, by their words only."""
+
+    def __init__(self, items: Items, weights: np.ndarray):
+        pairs = [np.unique(part, return_counts=True) for part in items.parts]
+        self.words = np.concatenate([w for w, _ in pairs])
+        values = np.concatenate([n for _, n in pairs]) * weights[self.words]
+        sizes = np.array([len(w) for w, _ in pairs])
+        self.first = np.cumsum(sizes) - sizes
+        length = np.sqrt(np.add.reduceat(values**2, self.first))
+        self.part = np.repeat(np.arange(len(pairs)), sizes)
+        self.values = (values / np.maximum(length, 1e-12)[self.part])[:, None]
+
+    def times(self, matrix: np.ndarray) -> np.ndarray:
+        """The rows times a matrix with a row for each word."""
+        return np.add.reduceat(self.values * matrix[self.words], self.first, axis=0)
+
+    def transposed_times(self, matrix: np.ndarray, words: int) -> np.ndarray:
+        """The transposed rows times a matrix with a row for each part."""
+        out = np.zeros((words, matrix.shape[1]))
+        np.add.at(out, self.words, self.values * matrix[self.part])
+        return out
 
 
 def latent_space(table: DataFrame, items: Items, weights: np.ndarray) -> np.ndarray:
@@ -224,11 +241,11 @@ def latent_space(table: DataFrame, items: Items, weights: np.ndarray) -> np.ndar
         if segments:
             yield pa.RecordBatch.from_pydict({"segment": pa.array([s for s, _ in segments], pa.int32()), "counts": [c for _, c in segments]})
 
-    parts = table.filter("segment is null").select("ids").mapInArrow(run, BUCKET_SCHEMA)
+    parts = table.filter("segment is null").select("ids").mapInArrow(tidy(run), BUCKET_SCHEMA)
     sums = bucket_sums(parts, (size + 2) * width, "<f8").reshape(size + 2, width)
-    rows, omega = item_rows(items, weights)[:, :size], omega[:size]
-    corpus = sums[:size] * weights[:size, None] * (len(rows) / max(sums[size + 1, 0], 1.0))
-    gram = corpus + ITEM_WEIGHT * (rows.T @ (rows @ omega))
+    rows, omega = ItemRows(items, weights), omega[:size]
+    corpus = sums[:size] * weights[:size, None] * (len(items.parts) / max(sums[size + 1, 0], 1.0))
+    gram = corpus + ITEM_WEIGHT * rows.transposed_times(rows.times(omega), size)
     values, vectors = np.linalg.eigh((omega.T @ gram + gram.T @ omega) / 2)
     good = values > 1e-10 * max(values.max(initial=0.0), 1e-12)
     left, _, _ = np.linalg.svd(gram @ (vectors[:, good] / np.sqrt(values[good])), full_matrices=False)
@@ -264,7 +281,7 @@ def search(table: DataFrame, items: Items, weights: np.ndarray, space: np.ndarra
     rows = np.zeros((size + 1, space.shape[1] + 1), np.float32)
     rows[:size, :-1] = space * weights[:size, None]
     rows[:, -1] = weights**2
-    queries = item_rows(items, weights)[:, :size] @ space
+    queries = ItemRows(items, weights).times(space)
     queries = (queries / np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)).astype(np.float32)
     shared = table.sparkSession.sparkContext.broadcast((rows, queries, items.parts, weights))
     kind = table.schema["doc_id"].dataType.simpleString()
@@ -285,8 +302,8 @@ def search(table: DataFrame, items: Items, weights: np.ndarray, space: np.ndarra
                     same = own.text[shift:] == own.text[:-shift]
                     window[:-shift][same] += sums[shift:][same]
                 length = np.sqrt(np.maximum(window[:, -1], 1e-12))
-                for at in range(0, len(window), 4096):
-                    near = (window[at : at + 4096, :-1] @ queries.T) / length[at : at + 4096, None]
+                for at in range(0, len(window), NEAR_ROWS):
+                    near = (window[at : at + NEAR_ROWS, :-1] @ queries.T) / length[at : at + NEAR_ROWS, None]
                     for w, q in zip(*np.nonzero(near >= COSINE), strict=True):
                         first, text = own.starts[at + w], own.text[at + w]
                         words = own.ids[first : min(first + PASSAGE * WINDOW_PASSAGES, own.ends[text])].tolist()
@@ -307,7 +324,7 @@ def search(table: DataFrame, items: Items, weights: np.ndarray, space: np.ndarra
 
     names = ["doc_id", "part", "first_word", "cosine", "lcs_share", "answer_share"]
     found = table.filter("segment is null").select("doc_id", "ids")
-    return found.mapInArrow(run, f"doc_id {kind}, part long, first_word long, cosine double, lcs_share double, answer_share double")
+    return found.mapInArrow(tidy(run), f"doc_id {kind}, part long, first_word long, cosine double, lcs_share double, answer_share double")
 
 
 def leaks(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
