@@ -66,7 +66,7 @@ def _closed_entries(src: Frames, ctx: RunContext) -> list[DataFrame]:
         .join(src["base_contract"].filter(~F.col("status").isin(0, 3)).select(
             "contract_id", "client_id", "branch_id", "number", "closed_date"), "contract_id")
     )
-    contracts = attach(contracts, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"})
+    contracts = attach(contracts, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"}, spread_nulls_by="contract_id")
     contracts = contracts.withColumn("branch_code", exprs.code_or_zero(F.col("inner_code")))
     by_contract = contracts.filter(closed_within(F.col("closed_date"), ctx.asof, ctx.depth_days))
     by_issue = (

@@ -165,16 +165,16 @@ def loan_header(src: Frames, ctx: RunContext, ids: DataFrame) -> DataFrame:
     df = keep_existing(df, src["account"].filter(F.col("contract_id").isNotNull()), "contract_id")
     df = attach(df, src["overdue"], {"contract_id": "contract_id"},
                 {"principal_from": "date_start_overdue_principal", "interest_from": "date_start_overdue_interest"})
-    df = attach(df, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"})
+    df = attach(df, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"}, spread_nulls_by="contract_id")
     df = attach(df, src["division"], {"division_id": "division_id"}, {"code": "division_code"})
     df = attach(df, src["customer"], {"client_id": "customer_id"},
                 {"customer_id": "client_oid", "legal_person_id": "legal_person_id"}, how="inner")
     df = attach(df, src["legal_person"], {"legal_person_id": "legal_person_id"}, {"criterion": "criterion"},
                 spread_nulls_by="contract_id")
-    df = attach(df, src["loan_purpose"], {"purpose_id": "purpose_id"}, {"name": "purpose"})
+    df = attach(df, src["loan_purpose"], {"purpose_id": "purpose_id"}, {"name": "purpose"}, spread_nulls_by="contract_id")
     df = attach(df, src["product_type"], {"product_type_id": "product_type_id"}, {"program_id": "program_id"}, how="inner")
-    df = attach(df, src["loan_program"], {"program_id": "program_id"}, {"product_id": "_program_product"})
-    df = attach(df, src["product"], {"_program_product": "product_id"}, {"product_id": "product_id"})
+    df = attach(df, src["loan_program"], {"program_id": "program_id"}, {"product_id": "_program_product"}, spread_nulls_by="contract_id")
+    df = attach(df, src["product"], {"_program_product": "product_id"}, {"product_id": "product_id"}, spread_nulls_by="contract_id")
     fallback = default_id(src["product"], "name", CONSUMER_LOAN, "product_id")
     return df.withColumns(
         {

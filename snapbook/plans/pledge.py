@@ -135,9 +135,9 @@ def pledge_snapshot(src: Frames, ctx: RunContext, loans: DataFrame) -> DataFrame
         df = attach(df, approved_assessments(src, ctx), {"object_id": "object_id"}, {"assessed": "assessed"}, spread_nulls_by="contract_id")
         df = attach(df, base_pledge_values(src, ctx), {"pledge_id": "pledge_id"}, {"base_collateral": "base_collateral"},
                     spread_nulls_by="contract_id")
-    df = attach(df, src["external_system"], {"source_system": "code"}, {"name": "system_name"})
-    df = attach(df, src["collateral_type"], {"collateral_type_id": "collateral_type_id"}, {"code": "collateral_code", "name": "collateral_name"})
-    df = attach(df, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"})
+    df = attach(df, src["external_system"], {"source_system": "code"}, {"name": "system_name"}, spread_nulls_by="contract_id")
+    df = attach(df, src["collateral_type"], {"collateral_type_id": "collateral_type_id"}, {"code": "collateral_code", "name": "collateral_name"}, spread_nulls_by="contract_id")
+    df = attach(df, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"}, spread_nulls_by="contract_id")
 
     pledged = F.col("pledge_id").isNotNull()
     value = F.coalesce("link_value", F.lit(0))
