@@ -32,10 +32,10 @@ from pyspark.sql import DataFrame, functions as F
 from snapbook.llm.blocks import mix, row_groups, texts_of
 from snapbook.llm.shared import map_arrow
 
-GROUP = 2 << 20
+GROUP = 1 << 20
 SAMPLES = 2
 POWER = 1.0
-RANGE = 600.0
+LINEAR = 15
 CHAR_WEIGHT = 3.0
 SPACE = "▁"
 WORDS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -148,39 +148,43 @@ class Lattice:
         self.to = self.begin + span
         self.last = self.to == limit[self.begin]
         self.first = np.searchsorted(self.begin, np.arange(total + 1))
-        self.prob = self._probabilities(weight, span, limit - np.arange(total))
-        running = np.cumsum(self.prob)
-        self.upto = running - np.concatenate([[0.0], running])[self.first[self.begin]]
+        self.prob = np.empty(len(self.ids))
+        long = np.repeat(sizes > LINEAR, sizes)
+        for linear in (True, False):
+            self._fill(np.flatnonzero(long != linear), weight, span, limit - np.arange(total), linear)
+        self.prob = np.clip(self.prob, 1e-300, 1.0)
+        # Running sums node by node, so that a draw does not depend on the other words of the group.
+        self.upto = self.prob.copy()
+        count = np.diff(self.first)
+        for k in range(1, int(count.max(initial=0))):
+            at = self.first[:-1][count > k] + k
+            self.upto[at] += self.upto[at - 1]
         self.upto[self.first[1:] - 1] = 2.0
 
-    def _probabilities(self, weight: np.ndarray, span: np.ndarray, left: np.ndarray) -> np.ndarray:
-        """Edge probabilities from backward sums over all nodes with the same number of characters left at once.
+    def _fill(self, nodes: np.ndarray, weight: np.ndarray, span: np.ndarray, left: np.ndarray, linear: bool) -> None:
+        """Edge probabilities of the given nodes from backward sums, all nodes with the same number of characters left at once.
 
-        Every completion of a node spells the same characters, so a factor for each character cancels; with it the sums stay
-        in range for usual words. The path of single characters bounds them from below; where that bound is out of
-        range, for very long words, the sums are logarithms.
+        Every completion of a node spells the same characters, so a factor for each character cancels; with it plain sums stay in range
+        for words of ``LINEAR`` characters, even where each is written in bytes. Longer words are summed as logarithms.
         """
-        longest = int(left.max(initial=0))
-        lowest = float(weight[span == 1].min(initial=0.0)) + CHAR_WEIGHT
-        linear = longest * max(-lowest, 2 * CHAR_WEIGHT) < RANGE
-        value = np.exp(weight + CHAR_WEIGHT * span) if linear else weight
-        sums = np.ones(len(left) + 1) if linear else np.zeros(len(left) + 1)
-        nodes = np.argsort(left, kind="stable")
-        cuts = np.searchsorted(left[nodes], np.arange(1, longest + 2))
-        add = np.add if linear else np.logaddexp
-        to = np.where(self.last, len(left), self.to)
+        total = len(left)
+        value = np.exp(weight + CHAR_WEIGHT * span) if linear else weight.copy()
+        sums = np.ones(total + 1) if linear else np.zeros(total + 1)
+        nodes = nodes[np.argsort(left[nodes], kind="stable")]
+        cuts = np.searchsorted(left[nodes], np.arange(1, int(left[nodes].max(initial=0)) + 2))
+        to = np.where(self.last, total, self.to)
         sizes = np.diff(self.first)
+        add = np.add if linear else np.logaddexp
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             own = nodes[a:b]
-            if not len(own):
-                continue
-            size = sizes[own]
-            border = np.cumsum(size) - size
-            edges = np.arange(int(size.sum())) + np.repeat(self.first[own] - border, size)
-            value[edges] = value[edges] * sums[to[edges]] if linear else value[edges] + sums[to[edges]]
-            sums[own] = add.reduceat(value[edges], border)
-        prob = value / sums[self.begin] if linear else np.exp(value - sums[self.begin])
-        return np.clip(prob, 1e-300, 1.0)
+            if len(own):
+                size = sizes[own]
+                border = np.cumsum(size) - size
+                edges = np.arange(int(size.sum())) + np.repeat(self.first[own] - border, size)
+                value[edges] = value[edges] * sums[to[edges]] if linear else value[edges] + sums[to[edges]]
+                sums[own] = add.reduceat(value[edges], border)
+                rest = np.repeat(sums[own], size)
+                self.prob[edges] = value[edges] / rest if linear else np.exp(value[edges] - rest)
 
     def walk(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sampled paths from the nodes to their words' ends: edges one after another, and the number of edges of each."""
