@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 HASH_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE_BASE = np.uint64(pow(int(HASH_BASE), -1, 1 << 64))
-POWERS = 1 << 20
+POWERS = 1 << 18
 
 # Spaces of the word rule [^\x20\x09-\x0D]+.
 SPACES = np.zeros(256, bool)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from snapbook.llm.blocks import chosen_places, gram_hashes, mix, powers, row_groups, runs_of, signed, texts_of, union, words_of_group
-from snapbook.llm.shared import cut, map_arrow
+from snapbook.llm.shared import cut, map_arrow, tidy
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WINDOW = 50
@@ -93,7 +93,7 @@ def text_table(docs: DataFrame, key: str, text: str) -> DataFrame:
                 names=["doc_id", "text_key", "n_words", "content", "digest", "paths"],
             )
 
-    return cut(rows.mapInArrow(run, "doc_id long, text_key long, n_words long, content long, digest string, paths binary"))
+    return cut(rows.mapInArrow(tidy(run), "doc_id long, text_key long, n_words long, content long, digest string, paths binary"))
 
 
 def path_rows(owned: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from snapbook.llm.blocks import LOWER_CODES, gram_hashes, mix, row_groups, signed, texts_of, words_of_group
 from snapbook.llm.graph import components
-from snapbook.llm.shared import BUCKET_SCHEMA, Stored, bucket_sums, cut, emit_buckets
+from snapbook.llm.shared import BUCKET_SCHEMA, bucket_sums, cut, emit_buckets, Stored, tidy
 
 SHINGLE = 5
 PERCENT = 80
@@ -128,7 +128,7 @@ def shingle_table(docs: DataFrame, key: str, text: str) -> Stored:
             )
 
     names = ["doc_id", "text_key", "n_shingles", "node", "grams", "segment", "counts"]
-    return Stored(rows.mapInArrow(run, f"doc_id {kind}, text_key long, n_shingles long, node long, grams binary, {BUCKET_SCHEMA}"), "shingles")
+    return Stored(rows.mapInArrow(tidy(run), f"doc_id {kind}, text_key long, n_shingles long, node long, grams binary, {BUCKET_SCHEMA}"), "shingles")
 
 
 def prefixes(sets: DataFrame, order: np.ndarray) -> DataFrame:
@@ -152,7 +152,7 @@ def prefixes(sets: DataFrame, order: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(grams))), *(pa.array(np.concatenate(x)) for x in (nodes, least))], names=names)
 
     names = ["gram", "node", "least"]
-    return sets.select("node", "grams").mapInArrow(run, "gram long, node long, least int")
+    return sets.select("node", "grams").mapInArrow(tidy(run), "gram long, node long, least int")
 
 
 def shared_prefixes(rows: DataFrame) -> DataFrame:
@@ -181,7 +181,7 @@ def only_nodes(sets: DataFrame, nodes: DataFrame) -> DataFrame:
         if segments:
             yield pa.RecordBatch.from_pydict({"segment": pa.array([s for s, _ in segments], pa.int32()), "counts": [c for _, c in segments]})
 
-    bits = np.packbits(bucket_sums(nodes.select("node").mapInArrow(mark, BUCKET_SCHEMA), NODE_BUCKETS) > 0)
+    bits = np.packbits(bucket_sums(nodes.select("node").mapInArrow(tidy(mark), BUCKET_SCHEMA), NODE_BUCKETS) > 0)
     shared = sets.sparkSession.sparkContext.broadcast(bits)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +189,7 @@ def only_nodes(sets: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(marked[batch.column(0).to_numpy(zero_copy_only=False) & (NODE_BUCKETS - 1)]))
 
-    near = sets.select("node", "grams").mapInArrow(keep, "node long, grams binary")
+    near = sets.select("node", "grams").mapInArrow(tidy(keep), "node long, grams binary")
     return cut(near.groupBy("node").agg(F.first("grams").alias("grams")))
 
 
@@ -213,7 +213,7 @@ def exact_links(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     one = grams.select(F.col("node").alias("a"), F.col("grams").alias("x"))
     two = grams.select(F.col("node").alias("b"), F.col("grams").alias("y"))
     ready = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
-    return cut(ready.mapInArrow(run, "a long, b long"))
+    return cut(ready.mapInArrow(tidy(run), "a long, b long"))
 
 
 def band(column: str) -> F.Column:
@@ -262,7 +262,7 @@ def bitmap_table(grams: DataFrame) -> DataFrame:
                 names=["node", "n", "bits"],
             )
 
-    return cut(grams.mapInArrow(run, "node long, n long, bits binary"))
+    return cut(grams.mapInArrow(tidy(run), "node long, n long, bits binary"))
 
 
 def tile_pairs(groups: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -312,7 +312,7 @@ def tile_pairs(groups: DataFrame, bitmaps: DataFrame) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["a", "b"])
 
-    made = tiles.select("amembers", "bmembers", (F.col("ablock") == F.col("bblock")).alias("same")).mapInArrow(run, "a long, b long")
+    made = tiles.select("amembers", "bmembers", (F.col("ablock") == F.col("bblock")).alias("same")).mapInArrow(tidy(run), "a long, b long")
     return made.distinct()
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from snapbook.llm.blocks import texts_of
-from snapbook.llm.shared import map_arrow
+from snapbook.llm.shared import map_arrow, tidy
 
 # Pre-token rule of the byte-level vocabulary (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -93,7 +93,7 @@ def frequent_pretokens(docs: DataFrame, text: str, path: str, size: int = FREQUE
         if top:
             yield pa.RecordBatch.from_pydict({"pretoken": [t for t, _ in top], "n": pa.array([n for _, n in top], pa.int64())})
 
-    summaries = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(count, "pretoken string, n long")
+    summaries = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(tidy(count), "pretoken string, n long")
     best = summaries.groupBy("pretoken").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pretoken").limit(size)
     return [row["pretoken"] for row in best.collect()]
 
