@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from snapbook.llm.blocks import row_groups, texts_of
 from snapbook.llm.shared import map_arrow
 
-SAMPLE_ROWS = 3_000
+SAMPLE_ROWS = 1_200
 GRAMS = (1, 2, 3)
 FEATURES = 1 << 13
 RIDGE = 0.05
