@@ -7,8 +7,8 @@ more different texts matter, and joins on them do the compaction:
 
 * texts with the same words are one node set, owned by the smallest document id;
 * equal paths of an anchor collapse to their first owner; every later owner's windows are repeated as a whole;
-* where an anchor has several paths (the path branches: a passage begins or ends there), the windows of one
-  owner for each path are compared one by one, again by a join on their hashes.
+* where an anchor has several paths (the path branches: a passage begins or ends there), all windows of the first
+  owner of each path are compared one by one, again by a join on their hashes.
 
 Every found span has a source (text and place). Spans are put together along source coordinates and verified:
 the words of both places are read again and compared by digest.
@@ -162,10 +162,11 @@ def found_spans(owned: DataFrame, docs: DataFrame, key: str, text: str) -> tuple
     whole = paths.join(heads, ["anchor", "path"]).filter(F.col("owner") > F.col("head.owner")).select(
         "content", "first", "last", F.col("head.content").alias("source"), F.col("head.first").alias("source_first")
     )
-    # Anchors with several paths: their heads' windows are compared one by one.
+    # Anchors with several paths: the windows of each path's first owner are compared one by one, wherever the path lies in its texts.
     branching = heads.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    requests = heads.join(branching, "anchor").groupBy(F.col("head.content").alias("content")).agg(
-        F.collect_set(F.struct(F.col("head.first").alias("first"), F.col("head.last").alias("last"))).alias("runs")
+    asked = heads.join(branching, "anchor").select("anchor", "path", F.col("head.owner").alias("owner"))
+    requests = paths.join(asked, ["anchor", "path", "owner"]).groupBy("content").agg(
+        F.collect_set(F.struct("first", "last")).alias("runs")
     )
     windows = branching_windows(texts, requests)
     firsts = windows.groupBy("window").agg(

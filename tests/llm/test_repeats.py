@@ -1,7 +1,7 @@
 """Repeated words, repeated bytes and similar documents against plain versions."""
 
 import pytest
-from plain import repeated_bytes, repeated_words, similar
+from plain import prose, repeated_bytes, repeated_words, similar
 
 from snapbook.llm import debruijn, jaccard, suffixes
 
@@ -28,6 +28,16 @@ def test_repeated_words_small(spark, sf_dir, small_docs):
     check(debruijn.RepeatedWords(docs).summary(), repeated_words(small_docs), *WORD_COLUMNS)
 
 
+def test_passage_repeated_inside_a_later_document(spark):
+    """A passage of an earlier text stands twice or more in one later text, with the same words around it each time."""
+    passage = prose(300, 80)
+    part = f"{prose(301, 60)} {passage} {prose(302, 60)} "
+    own = f"{prose(303, 70)} {passage} {prose(304, 70)} "
+    rows = [(1, f"{prose(305, 60)} {passage} {prose(306, 60)}"), (2, part * 2), (3, part * 3 + prose(307, 40)), (4, own * 2), (4, own + prose(308, 60)), (None, own * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    check(debruijn.RepeatedWords(docs).summary(), repeated_words(rows), *WORD_COLUMNS)
+
+
 def test_spans_point_at_equal_words(edge_docs, edge_rows):
     run = debruijn.RepeatedWords(edge_docs)
     texts = {r["content"]: r["text"].split() for r in run.texts.collect()}
