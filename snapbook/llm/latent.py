@@ -7,8 +7,10 @@ other words keep their places and count as one unknown word. On that table:
 1. document frequencies give TF-IDF weights;
 2. a distributed randomised singular value decomposition of the TF-IDF passages (one pass over the rows, Nyström form:
    Halko, Martinsson and Tropp, 2011) gives the latent space; tasks send sums of fixed size only;
-3. every window of three passages is compared with every item by the cosine in the latent space;
-4. candidates are checked by their longest common subsequence of words and by the item's closing words, which carry
+3. every window of three passages is compared with every item by the cosine in the latent space. What a space of fixed rank
+   misses is found by an exact rule: of any n - need + k words of an item, a window that holds ``need`` of its n words has k;
+   the rarest ones are counted in every window;
+4. candidates of both are checked by their longest common subsequence of words and by the item's closing words, which carry
    its answer. A paraphrase that keeps most words in order is found as well as a quotation.
 
 Rules: words are runs of letters and digits in lower case. Null and empty texts and items without a word match nothing.
@@ -41,6 +43,8 @@ ANSWER_WORDS = 8
 ANSWER_SHARE = 0.75
 BLOCK_BYTES = 1 << 18
 NEAR_ROWS = 1_024
+RARE_SHARE = 4
+RARE_PAIRS = 1_000_000
 CHUNK_WORDS = 60_000
 
 # A word is a run of ASCII letters and digits and of bytes of other letters.
@@ -271,11 +275,67 @@ def bit_masks(words: np.ndarray) -> dict[int, int]:
     return masks
 
 
-def search(table: DataFrame, items: Items, weights: np.ndarray, space: np.ndarray) -> DataFrame:
+class RareWords:
+    """Exact candidates: windows that have enough of an item part's rarest words to hold the least share of the part.
+
+    A word that stands in several passages of a window counts for each of them, so counts are never too small.
+    """
+
+    def __init__(self, parts: list[np.ndarray], counts: np.ndarray):
+        words, times, sizes, self.least = [], [], [], np.zeros(len(parts), np.int64)
+        for i, part in enumerate(parts):
+            need = max(1, int(np.ceil(LCS_WITH_ANSWER * len(part) - 1e-9)))
+            self.least[i] = -(-need // RARE_SHARE)
+            rare = part[np.lexsort((part, counts[part]))[: len(part) - need + self.least[i]]]
+            word, n = np.unique(rare, return_counts=True)
+            words.append(word)
+            times.append(n)
+            sizes.append(len(word))
+        word, part = np.concatenate(words), np.repeat(np.arange(len(parts)), sizes)
+        order = np.argsort(word, kind="stable")
+        self.part, self.times = part[order], np.concatenate(times)[order]
+        self.first = np.searchsorted(word[order], np.arange(len(counts) + 1))
+
+    def candidates(self, own: Passages) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Windows and item parts, in slices of bounded size."""
+        sizes = np.diff(self.first)
+        places = np.flatnonzero(sizes[own.ids])
+        passage = np.searchsorted(own.starts, places, side="right") - 1
+        passage, word = np.divmod(np.unique(passage * len(sizes) + own.ids[places]), len(sizes))
+        pairs = np.cumsum(sizes[word])
+        at, total = 0, len(own.starts)
+        begins = np.searchsorted(passage, np.arange(total + WINDOW_PASSAGES))
+        ahead = np.append(0, pairs)[begins]
+        while at < total:
+            # Windows from ``at`` to ``to`` read passages up to the last window's end.
+            to = max(at + 1, int(np.searchsorted(ahead, ahead[at] + RARE_PAIRS, side="right")) - WINDOW_PASSAGES)
+            to = min(to, total)
+            rows = slice(begins[at], begins[min(to + WINDOW_PASSAGES - 1, total)])
+            n = sizes[word[rows]]
+            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            entry = np.repeat(self.first[word[rows]], n) + inner
+            home = np.repeat(passage[rows], n)
+            keys, times = [], []
+            for shift in range(WINDOW_PASSAGES):
+                window = home - shift
+                good = (window >= at) & (window < to)
+                good &= own.text[np.maximum(window, 0)] == own.text[home]
+                keys.append(window[good] * len(self.least) + self.part[entry[good]])
+                times.append(self.times[entry[good]])
+            key, where = np.unique(np.concatenate(keys), return_inverse=True)
+            if len(key):
+                have = np.bincount(where, weights=np.concatenate(times))
+                window, part = np.divmod(key, len(self.least))
+                enough = have >= self.least[part]
+                yield window[enough], part[enough]
+            at = to
+
+
+def search(table: DataFrame, items: Items, weights: np.ndarray, space: np.ndarray, counts: np.ndarray) -> DataFrame:
     """Rows (doc_id, part, first_word, cosine, lcs_share, answer_share) for every window that an item part is found in.
 
     The cosine is the latent inner product of window and item over the window's full TF-IDF length and the item's
-    latent length, so a window with little in the space cannot come near by chance.
+    latent length, so a window with little in the space cannot come near by chance. Windows with enough rare words of an item are checked whatever the cosine.
     """
     size = len(items.vocabulary)
     rows = np.zeros((size + 1, space.shape[1] + 1), np.float32)
@@ -283,11 +343,11 @@ def search(table: DataFrame, items: Items, weights: np.ndarray, space: np.ndarra
     rows[:, -1] = weights**2
     queries = ItemRows(items, weights).times(space)
     queries = (queries / np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)).astype(np.float32)
-    shared = table.sparkSession.sparkContext.broadcast((rows, queries, items.parts, weights))
+    shared = table.sparkSession.sparkContext.broadcast((rows, queries, items.parts, weights, RareWords(items.parts, counts)))
     kind = table.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, queries, parts, weights = shared.value
+        rows, queries, parts, weights, rare = shared.value
         masks = [bit_masks(p) for p in parts]
         tails = [(bit_masks(p[-ANSWER_WORDS:]), len(p[-ANSWER_WORDS:])) for p in parts]
         for batch in batches:
@@ -302,9 +362,13 @@ def search(table: DataFrame, items: Items, weights: np.ndarray, space: np.ndarra
                     same = own.text[shift:] == own.text[:-shift]
                     window[:-shift][same] += sums[shift:][same]
                 length = np.sqrt(np.maximum(window[:, -1], 1e-12))
+                exact = [np.concatenate(x) for x in zip((np.zeros(0, np.int64), np.zeros(0, np.int64)), *rare.candidates(own), strict=True)]
                 for at in range(0, len(window), NEAR_ROWS):
                     near = (window[at : at + NEAR_ROWS, :-1] @ queries.T) / length[at : at + NEAR_ROWS, None]
-                    for w, q in zip(*np.nonzero(near >= COSINE), strict=True):
+                    asked = near >= COSINE
+                    mine = slice(*np.searchsorted(exact[0], [at, at + NEAR_ROWS]))
+                    asked[exact[0][mine] - at, exact[1][mine]] = True
+                    for w, q in zip(*np.nonzero(asked), strict=True):
                         first, text = own.starts[at + w], own.text[at + w]
                         words = own.ids[first : min(first + PASSAGE * WINDOW_PASSAGES, own.ends[text])].tolist()
                         n, mask = len(parts[q]), masks[q]
@@ -345,7 +409,7 @@ def leaks(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "t
         named = spark.createDataFrame([(i, item) for i, item in enumerate(items.item)], f"part long, item_id {item_type}")
         best = F.max(F.struct("lcs_share", "answer_share", "cosine", (-F.col("first_word")).alias("back")))
         block = (
-            search(table, items, weights, space).join(F.broadcast(named), "part").groupBy("doc_id", "item_id").agg(best.alias("best"))
+            search(table, items, weights, space, counts).join(F.broadcast(named), "part").groupBy("doc_id", "item_id").agg(best.alias("best"))
             .select("doc_id", "item_id", (-F.col("best.back")).alias("first_word"), "best.cosine", "best.lcs_share", "best.answer_share")
         )
         found = block if found is None else found.unionByName(block)

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from plain import prose
 
@@ -116,6 +117,50 @@ def test_leaks_in_blocks_and_empty_tables(spark, edge_docs, no_docs, monkeypatch
     assert {(r["doc_id"], r["item_id"]) for r in latent.leaks(docs, bench).collect()} == whole == {(i, i) for i in range(12)} | {(0, 52)}
 
 
+def test_many_items_in_one_block(spark):
+    """Quotes and paraphrases of 1,500 items that share their words, between other words of the benchmark."""
+    rng = random.Random(11)
+    words = prose(700, 3000).split()
+    bench = [(i, " ".join(rng.choices(words, k=rng.randint(20, 58)))) for i in range(1500)]
+
+    def changed(text: str, share: float) -> str:
+        own = text.split()
+        gone = set(rng.sample(range(len(own) - 8), int(share * len(own))))
+        return " ".join(rng.choice(words) if k in gone else w for k, w in enumerate(own))
+
+    def around(text: str) -> str:
+        return " ".join(rng.choices(words, k=60)) + " " + text + " " + " ".join(rng.choices(words, k=60))
+
+    rows = [(i, around(t if i % 2 else changed(t, 0.3))) for i, t in bench]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r["doc_id"], r["item_id"]) for r in latent.leaks(docs, spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert got == {(i, i) for i in range(1500)}
+
+
+def test_rare_words_in_slices(monkeypatch):
+    """Every window that holds enough of a part is a candidate, however the pairs are sliced."""
+    rng = random.Random(12)
+    parts = [np.array(rng.choices(range(80), k=rng.randint(1, 30))) for _ in range(20)]
+    texts = [np.array(rng.choices(range(81), k=n)) for n in (1, 40, 300, 31, 32, 97)] + [np.concatenate([parts[3], parts[7], parts[9]])]
+    own = latent.Passages(texts, np.append(np.ones(80), 0.0))
+    rare = latent.RareWords(parts, np.bincount(np.concatenate(texts), minlength=81))
+    must = set()
+    for w, (start, text) in enumerate(zip(own.starts, own.text, strict=True)):
+        words = own.ids[start : min(start + latent.PASSAGE * latent.WINDOW_PASSAGES, own.ends[text])].tolist()
+        for q, part in enumerate(parts):
+            mask = latent.bit_masks(part)
+            if latent.common_length(mask, len(part), words) / len(part) >= latent.LCS_WITH_ANSWER:
+                must.add((w, q))
+    whole = None
+    for pairs in (1, 50, 1_000_000):
+        monkeypatch.setattr(latent, "RARE_PAIRS", pairs)
+        got = [(int(w), int(q)) for a, b in rare.candidates(own) for w, q in zip(a, b, strict=True)]
+        assert got == sorted(set(got)) and must <= set(got)
+        assert whole is None or got == whole
+        whole = got
+    assert must
+
+
 def test_every_quoted_item_is_found(spark, sf_dir, small_docs):
     """Against a plain search for whole items, letter case and marks aside."""
     import re
