@@ -1,7 +1,8 @@
 """Main text of web pages by consensus of the pages of a host.
 
 Every page scores its containers: a block of text counts for the element around it and half for the one above, less
-its links. The best container's generalised path (tags and classes from the root, digits and ids left out) is the page's
+its links. From the best container the page climbs to the article or main element around it, or to an outer element named as an
+article whose further blocks are text with few links, so headings, leads and other sections beside a wrapper stay. The generalised path (tags and classes from the root, digits and ids left out) of what is reached is the page's
 vote. Votes are summed up for each host in Spark, and every page is extracted again from the host's winning path; a page without
 that path uses its own best container. Votes combine before the exchange, so a host with a third of all
 pages costs one row for each task and path.
@@ -20,6 +21,7 @@ import html
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -55,7 +57,10 @@ NO_TEXT_NAMES = frozenset(
 )
 GOOD_NAMES = frozenset("article content entry post story main body text page".split())
 CONTAINERS = frozenset("article main section div td body center".split())
+# Names of whole pages (page, body) are good for a container, but do not make an outer element an article.
+ARTICLE_NAMES = GOOD_NAMES - {"page", "body"}
 GOOD_FACTOR = 1.5
+LINK_SHARE = 1 / 3
 BROADCAST_HOSTS = 100_000
 PATH_LENGTH = 400
 
@@ -192,12 +197,46 @@ class Page:
                 self.elements[own].score += worth
                 if own > 0:
                     self.elements[self.container(self.elements[own].parent)].score += worth / 2
-        top, path = 0.0, ""
+        top, at = 0.0, 0
         for i, e in enumerate(self.elements):
             score = e.score * (GOOD_FACTOR if e.tag in ("article", "main") or e.names & GOOD_NAMES else 1.0)
             if score > top:
-                top, path = score, self.path(i)
-        return path, top
+                top, at = score, i
+        return self.path(self.whole(at, out)), top
+
+    def whole(self, index: int, out: list[bool]) -> int:
+        """The element that holds the whole article of a container."""
+        at = index
+        while at > 0 and self.elements[at].tag not in ("article", "main"):
+            at = self.elements[at].parent
+        if at > 0:
+            return at
+        # Elements stand in page order: a subtree is a run of them, so its sums are differences.
+        size = len(self.elements)
+        last = list(range(size))
+        for i in range(size - 1, 0, -1):
+            parent = self.elements[i].parent
+            last[parent] = max(last[parent], last[i])
+        chars, links = [0] * (size + 1), [0] * (size + 1)
+        for text, linked, i in self.blocks:
+            if not out[i]:
+                chars[i + 1] += len(text)
+                links[i + 1] += linked
+        chars, links = list(accumulate(chars)), list(accumulate(links))
+
+        def under(sums: list[int], i: int) -> int:
+            return sums[last[i] + 1] - sums[i]
+
+        at, above = index, self.container(self.elements[index].parent) if index > 0 else 0
+        nearest = above
+        while above > 0:
+            e = self.elements[above]
+            # A section is part of what is around it.
+            joins = e.tag != "body" and e.names & ARTICLE_NAMES or above == nearest and self.elements[at].tag == "section"
+            if joins and under(links, above) - under(links, at) <= LINK_SHARE * (under(chars, above) - under(chars, at)):
+                at, nearest = above, self.container(e.parent)
+            above = self.container(e.parent)
+        return at
 
     def text(self, path: str) -> str:
         """Article text of the elements on a path."""

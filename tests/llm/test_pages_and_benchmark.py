@@ -38,6 +38,34 @@ def test_one_page(name):
     assert made.text(made.best()[0]).split("\n") == lines
 
 
+LEAD = " ".join(prose(60, 12).split())
+AFTER = " ".join(prose(61, 20).split())
+WRAPPED = {
+    "wrapper in an article": (f'<article><h1>Head</h1><p>{LEAD}</p><div class="entry-content">{ARTICLE}</div><p>{AFTER}</p></article>', ["Head", LEAD, *LINES, AFTER]),
+    "unnamed wrapper": (f"<main><h1>Head</h1><p>{LEAD}</p><div><div>{ARTICLE}</div></div></main>", ["Head", LEAD, *LINES]),
+    "sections": (f'<article><h1>Head</h1><section class="a"><p>{LEAD}</p></section><section class="b">{ARTICLE}</section></article>', ["Head", LEAD, *LINES]),
+    "wrapper in a named element": (
+        f'<div class="post"><h1>Head</h1><p>{LEAD}</p><div class="in"><div class="text">{ARTICLE}</div></div></div><div class="list"><p>x</p></div>', ["Head", LEAD, *LINES]),
+    "sections in an unnamed element": (f'<div><section class="a">{ARTICLE}</section><section class="b"><p>{LEAD}</p></section></div>', [*LINES, LEAD]),
+    "left out beside the wrapper": (
+        f'<article><nav>menu</nav><h1>Head</h1><div class="entry-content">{ARTICLE}</div><div class="share"><p>share</p></div></article>', ["Head", *LINES]),
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_wrapped_text(name):
+    """Headings, leads and sections beside the container with most text."""
+    body, lines = WRAPPED[name]
+    made = hostpaths.Page(page(body))
+    assert made.text(made.best()[0]).split("\n") == lines
+
+
+def test_links_beside_a_container_stay_out():
+    links = "".join(f"<p><a href=x>{prose(90 + i, 9)}</a></p>" for i in range(6))
+    made = hostpaths.Page(page(f'<div class="content"><div class="post">{ARTICLE}</div><div class="list">{links}</div></div>'))
+    assert made.text(made.best()[0]).split("\n") == LINES
+
+
 def test_host_consensus(spark):
     """A page with a long list outside the article follows its host's other pages."""
     usual = page(f'<div class="post p7"><h1>T</h1>{ARTICLE}</div><div class="list"><p>x</p></div>')
