@@ -7,8 +7,8 @@ window are laid end to end and their windows sorted: ranks by 8 bytes are refine
 prefixes of neighbours are taken in text order (Kasai et al., 2001), both in numpy and up to the window's length. A class of equal windows keeps its
 first one.
 
-An anchor found in very many places is dealt out to several shards by text. Each shard hands on the windows it keeps, sorted,
-and shards of one anchor are merged by binary search of one's windows in the other's.
+An anchor found in very many places is dealt out to several shards by text. Each shard hands on the windows it keeps,
+and they meet by the hash of their bytes, dealt out over all tasks.
 
 Rules: null and empty texts have no bytes; shorter texts than a window lose nothing. Rows with equal text: those with the smallest document
 id are judged, the others lose everything. A null document id is larger than every other. Texts of any length are read in
@@ -35,6 +35,7 @@ ID_BUCKETS = 1 << 22
 COUNT_BUCKETS = 1 << 20
 HOT = 2_000
 SHARD_STRETCHES = 12_000
+MERGE_ROWS = 50_000
 LAST_ID = (1 << 63) - 1
 NO_BYTES = hashlib.sha256(b"").hexdigest()
 
@@ -366,38 +367,32 @@ def shard_runs(stretch_rows: DataFrame, shards: int) -> DataFrame:
     return cut(dealt.mapInArrow(tidy(run), RUNS))
 
 
-def merged_runs(kept: DataFrame, shards: int) -> DataFrame:
-    """Removed runs among the windows that the parts of an anchor kept.
+def merged_runs(kept: DataFrame) -> DataFrame:
+    """Removed windows among those that the parts of an anchor kept.
 
-    The parts' windows come as sorted lists. Each list is looked up in the merged list so far by binary search; windows found there
-    join its classes, the others are put in between.
+    Equal windows have equal anchors, so windows meet by the 128-bit hash of their bytes alone: counts and least owners combine before
+    the exchange, and a window stands at most as often as it has parts. No task holds an anchor.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in by_group(batches, ["shard", "anchor"]):
-            sorted_keys = np.zeros(0, f"S{WINDOW}")
-            numbers = np.zeros(0, np.int64)
-            classes, where = [], []
-            columns = [table.column(c).to_pylist() for c in ("owner", "content", "first", "last", "data")]
-            for at in range(0, len(columns[0]), 512):
-                rows = list(zip(*(c[at : at + 512] for c in columns), strict=True))
-                keys = np.array([d[i : i + WINDOW] for _, _, a, b, d in rows for i in range(b - a + 1)], f"S{WINDOW}")
-                where += [(o, c, a + i) for o, c, a, b, _ in rows for i in range(b - a + 1)]
-                found = np.minimum(np.searchsorted(sorted_keys, keys), max(len(sorted_keys) - 1, 0))
-                known = sorted_keys[found] == keys if len(sorted_keys) else np.zeros(len(keys), bool)
-                own = np.full(len(keys), -1, np.int64)
-                own[known] = numbers[found[known]]
-                fresh, inverse = np.unique(keys[~known], return_inverse=True)
-                own[~known] = len(numbers) + inverse
-                slot = np.searchsorted(sorted_keys, fresh)
-                sorted_keys, numbers = np.insert(sorted_keys, slot, fresh), np.insert(numbers, slot, len(numbers) + np.arange(len(fresh)))
-                classes.append(own)
-            owner, content, place = (np.array(x, np.int64) for x in zip(*where, strict=True))
-            removed = judged(np.concatenate(classes), owner, content, place)
-            yield pa.RecordBatch.from_arrays([pa.array(content[removed]), pa.array(place[removed]), pa.array(place[removed])], names=["content", "first", "last"])
-
-    dealt = kept.repartition(shards, "shard", "anchor").sortWithinPartitions("shard", "anchor", "content", "first")
-    return dealt.mapInArrow(tidy(run), "content long, first long, last long")
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        columns = [batch.column(c).to_pylist() for c in ("owner", "content", "first", "last", "data")]
+        out: list[tuple] = []
+        for owner, content, first, last, data in zip(*columns, strict=True):
+            out += [(hashlib.blake2b(data[i : i + WINDOW], digest_size=16).digest(), owner, content, first + i) for i in range(last - first + 1)]
+            if len(out) > MERGE_ROWS:
+                yield packed(out)
+                out = []
+        if out:
+            yield packed(out)
+
+    def packed(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=["window", "owner", "content", "place"])
+
+    windows = cut(map_arrow(kept, run, "window binary, owner long, content long, place long"))
+    shared = windows.groupBy("window").agg(F.min("owner").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("window", "least")
+    met = cut(windows.join(shared, "window"))
+    firsts = met.groupBy("window", "content").agg(F.min("place").alias("begin"))
+    return met.join(firsts, ["window", "content"]).filter("owner > least or place > begin").select("content", F.col("place").alias("first"), F.col("place").alias("last"))
 
 
 class RepeatedBytes:
@@ -417,7 +412,7 @@ class RepeatedBytes:
         total = wanted.agg(F.sum("n")).first()[0] or 0
         shards = max(total // SHARD_STRETCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
         runs = shard_runs(dealt_stretches(docs, key, text, wanted, counts, shards), shards)
-        merged = merged_runs(runs.filter("kept").select("shard", "anchor", "owner", "content", "first", "last", "data"), shards)
+        merged = merged_runs(runs.filter("kept").select("owner", "content", "first", "last", "data"))
         removed = runs.filter("not kept").select("content", "first", "last").unionByName(merged)
         self.spans = cut(
             removed.groupBy("content").agg(F.collect_list(F.struct("first", "last")).alias("cuts")).join(wanted.select("content", "owner"), "content")

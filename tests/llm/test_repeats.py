@@ -1,7 +1,10 @@
 """Repeated words, repeated bytes and similar documents against plain versions."""
 
+import inspect
+
 import pytest
 from plain import prose, repeated_bytes, repeated_words, similar
+from pyspark.sql import functions as F
 
 from snapbook.llm import debruijn, jaccard, suffixes
 
@@ -104,3 +107,26 @@ def test_keep_one(edge_docs, edge_rows):
 ])
 def test_empty_tables(no_docs, make):
     assert make(no_docs).collect() == []
+
+
+def test_merge_of_one_anchor_is_spread(spark):
+    """Windows kept by the parts of one anchor meet in many tasks, not in one for each anchor."""
+    text = prose(320, 90).encode()
+    data = [text[10 * k % 300 : 10 * k % 300 + 130] for k in range(60)]
+    rows = [(0, 5, k // 2, k // 2 + 1000, 40 * (k % 2), 40 * (k % 2) + 30, d) for k, d in enumerate(data)]
+    kept = spark.createDataFrame(rows, "shard int, anchor long, owner long, content long, first long, last long, data binary").repartition(3)
+    least, begin, expected = {}, {}, set()
+    windows = [(d[i : i + 100], o, c, a + i) for _, _, o, c, a, _, d in rows for i in range(31)]
+    for w, o, c, at in windows:
+        least[w], begin[w, c] = min(least.get(w, o), o), min(begin.get((w, c), at), at)
+    expected = {(c, at) for w, o, c, at in windows if o > least[w] or at > begin[w, c]}
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        args = (kept, 4) if "shards" in inspect.signature(suffixes.merged_runs).parameters else (kept,)
+        got = suffixes.merged_runs(*args).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert expected and {(r["content"], r["first"]) for r in got} == expected
+    assert len({r["task"] for r in got}) > 1
