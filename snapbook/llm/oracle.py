@@ -142,4 +142,43 @@ select s.doc_id, coalesce(n, 0)::bigint as n_shingles, least(s.doc_id, coalesce(
 from split s left join sizes using (doc_id) left join lowest on a = s.doc_id
 """
 
-ORACLE: dict[str, str] = {"op2_quality": OP2, "op3_substrings": OP3, "op6_sharding": OP6, "op9_suffixes": OP9, "op10_jaccard": OP10}
+OP11 = f"""
+with sized as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, {WORDS})), 0)::bigint as size, md5(concat_ws(':', 'mix', doc_id)) as mixed from documents
+),
+numbered as (
+  select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as number from sized group by source
+),
+weighed as (select *, (number - 1) % 3 + 1 as weight, 3 * source_size as most from numbered),
+totals as (
+  select *, coalesce(sum(most) over (order by most / weight, number rows between unbounded preceding and 1 preceding), 0) as spent_before,
+    sum(weight) over (order by most / weight, number rows between current row and unbounded following) as weight_from,
+    sum(source_size) over () as budget
+  from weighed
+),
+judged as (select *, most * weight_from <= (budget - spent_before) * weight as stops from totals),
+targets as (
+  select *, case when stops then most::double else ((budget - coalesce(sum(most) filter (where stops) over (), 0)) * weight)::double
+    / (sum(weight) filter (where not stops) over ())::double end as target
+  from judged
+),
+offers as (
+  select doc_id, source, size, source_size, number, target, budget,
+    sum(size) over (partition by number order by mixed, doc_id nulls first, size rows between unbounded preceding and current row)::bigint as upto
+  from sized join targets using (source) where source is not null
+  union all
+  select doc_id, null, size, source_size, number, target, budget,
+    sum(size) over (order by mixed, doc_id nulls first, size rows between unbounded preceding and current row)::bigint
+  from sized, targets where sized.source is null and targets.source is null
+),
+rows as (select *, row_number() over () as line from offers),
+copies as (
+  select line, size, number, budget, upto + turn * source_size as handed, (upto + turn * source_size)::double / target as finish
+  from rows, (values (0), (1), (2)) turns(turn) where size > 0 and target > 0
+),
+placed as (select *, sum(size) over (order by finish, number, handed rows between unbounded preceding and current row) as position from copies),
+taken as (select line, count(*) as times from placed where 2 * position - size <= 2 * budget group by line)
+select doc_id, source, size, source_size, target, size * coalesce(times, 0) as taken from rows left join taken using (line)
+"""
+
+ORACLE: dict[str, str] = {"op2_quality": OP2, "op3_substrings": OP3, "op6_sharding": OP6, "op9_suffixes": OP9, "op10_jaccard": OP10, "op11_mixing": OP11}

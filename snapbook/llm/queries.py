@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators."""
+"""The registered queries of the document operators."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapbook.llm import debruijn, hostpaths, jaccard, langcode, latent, quality, segments, sharding, suffixes, tokens
+from snapbook.llm import debruijn, hostpaths, jaccard, langcode, latent, mixing, quality, segments, sharding, suffixes, tokens
 from snapbook.llm.shared import read
 
 SHARDS = 24
@@ -70,6 +70,10 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix(read(spark, sf_dir, "documents", "doc_id", "text", "source")).documents()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_leaks": op1_leaks,
     "op2_quality": op2_quality,
@@ -81,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_suffixes": op9_suffixes,
     "op10_jaccard": op10_jaccard,
+    "op11_mixing": op11_mixing,
 }
