@@ -181,4 +181,26 @@ taken as (select line, count(*) as times from placed where 2 * position - size <
 select doc_id, source, size, source_size, target, size * coalesce(times, 0) as taken from rows left join taken using (line)
 """
 
-ORACLE: dict[str, str] = {"op2_quality": OP2, "op3_substrings": OP3, "op6_sharding": OP6, "op9_suffixes": OP9, "op10_jaccard": OP10, "op11_mixing": OP11}
+OP12 = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label::bigint end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q, row_number() over () as line
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+  select a.line as anchor, a.vec_id as anchor_id, a.label = b.label as same, b.vec_id, b.line as line,
+    coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))), 0)::bigint as score
+  from rows a join rows b on a.vec_id % 100 = 0
+),
+positives as (
+  select anchor, anchor_id, vec_id as positive_id, score as positive_score, row_number() over (partition by anchor order by score desc, vec_id) as place
+  from scored where same and vec_id <> anchor_id qualify place <= 5
+)
+select p.anchor_id, positive_id, row_number() over (partition by p.anchor, place order by score desc, vec_id)::int as rank, vec_id as negative_id,
+  positive_score, score as negative_score
+from positives p join scored s on s.anchor = p.anchor and not same and 100 * score between 80 * positive_score and 100 * positive_score
+qualify rank <= 5
+"""
+
+ORACLE: dict[str, str] = {"op2_quality": OP2, "op3_substrings": OP3, "op6_sharding": OP6, "op9_suffixes": OP9, "op10_jaccard": OP10, "op11_mixing": OP11, "op12_negatives": OP12}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapbook.llm import debruijn, hostpaths, jaccard, langcode, latent, mixing, quality, segments, sharding, suffixes, tokens
+from snapbook.llm import debruijn, hostpaths, jaccard, langcode, latent, mixing, negatives, quality, segments, sharding, suffixes, tokens
 from snapbook.llm.shared import read
 
 SHARDS = 24
@@ -74,6 +74,13 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(read(spark, sf_dir, "documents", "doc_id", "text", "source")).documents()
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    moved = (F.col("label").cast("long") + 1) % 10
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label").cast("long")))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_leaks": op1_leaks,
     "op2_quality": op2_quality,
@@ -86,4 +93,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffixes": op9_suffixes,
     "op10_jaccard": op10_jaccard,
     "op11_mixing": op11_mixing,
+    "op12_negatives": op12_negatives,
 }
