@@ -203,4 +203,46 @@ from positives p join scored s on s.anchor = p.anchor and not same and 100 * sco
 qualify rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op2_quality": OP2, "op3_substrings": OP3, "op6_sharding": OP6, "op9_suffixes": OP9, "op10_jaccard": OP10, "op11_mixing": OP11, "op12_negatives": OP12}
+OP13 = f"""
+with recursive polynomial as (
+  select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, s: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as tab
+),
+turns as (
+  select conv_id, turn, coalesce(role, '') as role, md5(md5(coalesce(role, '')) || coalesce(text, '')) as digest,
+    coalesce(len(regexp_extract_all(text, {WORDS})), 0)::bigint as words
+  from conversations where conv_id is not null
+),
+own as (select conv_id, list({{'digest': digest, 'words': words}} order by turn nulls first, role, digest) as said from turns group by conv_id),
+heads as (
+  select conv_id, said,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+      lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 4 as h
+  from own, polynomial
+),
+rebuilt as (
+  select c.conv_id, list_concat(case when b.conv_id is null then [] else b.said[1:c.h] end, c.said[c.h + 1:]) as said
+  from heads c left join own b on b.conv_id = c.conv_id - c.conv_id % 20
+),
+steps as (select conv_id, said, unnest(range(0, len(said) + 1)) as depth from rebuilt),
+members as (
+  select conv_id, depth, md5(array_to_string(list_transform(said[1:depth], lambda t: t.digest), '')) as node,
+    case when depth > 0 then md5(array_to_string(list_transform(said[1:depth - 1], lambda t: t.digest), '')) end as parent,
+    case when depth > 0 then said[depth].words else 0 end as words, depth = len(said) as ends
+  from steps
+),
+nodes as (
+  select depth, node, any_value(parent) as parent, any_value(words) as words, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256
+  from members group by depth, node
+),
+children as (select depth - 1 as depth, parent as node, count(*) as n_children from nodes where depth > 0 group by 1, 2),
+subtrees as (
+  select m.depth, m.node, count(*) filter (where n_children is null) as n_leaves, sum((n_convs - 1) * n.words)::bigint as saved_tokens
+  from nodes n left join children using (depth, node) join members m on m.conv_id = n.conv_id and m.depth <= n.depth
+  group by 1, 2
+)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves, saved_tokens, n.ends_sha256
+from nodes n left join children using (depth, node) join subtrees using (depth, node) left join nodes p on p.depth = n.depth - 1 and p.node = n.parent
+"""
+
+ORACLE: dict[str, str] = {"op2_quality": OP2, "op3_substrings": OP3, "op6_sharding": OP6, "op9_suffixes": OP9, "op10_jaccard": OP10, "op11_mixing": OP11, "op12_negatives": OP12, "op13_prefixes": OP13}

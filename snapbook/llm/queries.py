@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapbook.llm import debruijn, hostpaths, jaccard, langcode, latent, mixing, negatives, quality, segments, sharding, suffixes, tokens
+from snapbook.llm import debruijn, hostpaths, jaccard, langcode, latent, mixing, negatives, quality, segments, sharding, suffixes, tokens, tries
 from snapbook.llm.shared import read
 
 SHARDS = 24
 TOKEN_LIMIT = 512
+# Conversations of a group that start with turns of one of them, and the bound of how many.
+LENT_EVERY, LENT_BELOW = 20, 4
 
 
 def tokenizer_path(name: str) -> str:
@@ -81,6 +83,11 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
 
 
+def op13_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = tries.sequences(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return tries.trie(tries.spliced(turns, LENT_EVERY, LENT_BELOW))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_leaks": op1_leaks,
     "op2_quality": op2_quality,
@@ -94,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard": op10_jaccard,
     "op11_mixing": op11_mixing,
     "op12_negatives": op12_negatives,
+    "op13_prefixes": op13_prefixes,
 }
