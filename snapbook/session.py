@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settable at run time. AQE picks the partition count and turns a join into a broadcast only after it
@@ -75,6 +76,35 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that fit a pattern, in one listing; none when nothing fits."""
+    fs, path = _place(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(path) or ())
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    """Create a folder and those above it."""
+    fs, path = _place(spark, folder)
+    fs.mkdirs(path)
+
+
+def move_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a file or folder to a name that is not taken, in one rename; False when it is taken or its folder is gone.
+
+    Whether two movers can both win depends on the file system's rename: HDFS decides it in one step, a local disk looks first and renames then.
+    """
+    jvm = spark._jvm.org.apache.hadoop.fs
+    one, two = jvm.Path(source), jvm.Path(target)
+    context = jvm.FileContext.getFileContext(one.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(one, two, spark.sparkContext._gateway.new_array(getattr(jvm, "Options$Rename"), 0))
+    except Py4JJavaError as problem:
+        if problem.java_exception.getClass().getSimpleName() in ("FileAlreadyExistsException", "FileNotFoundException"):
+            return False
+        raise
+    return True
+
+
 def read_note(spark: SparkSession, name: str) -> str | None:
     """A small text file, or None."""
     fs, path = _place(spark, name)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapbook.session import new_folder, sub_folders
-from snapbook.sources.slices import DATED, SliceStore
+from snapbook.sources import slices
+from snapbook.sources.slices import DATED, SliceStore, StaleWriter
 
 D1, D2 = date(1998, 6, 29), date(1998, 6, 30)
 
@@ -127,3 +128,118 @@ def test_cleared_slices_leave_no_folder_and_run_no_job(spark, store):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert sub_folders(spark, f"{store.root}/loan/source=S") == []
     assert store.read("loan").columns[:2] == ["oid", "number"] and content(store) == []
+
+
+# publication: all or nothing
+
+def test_a_reader_keeps_the_version_it_began_with(spark, store):
+    store.replace(frame(spark, "a", "b"), "loan", "S", D1)
+    reader = store.read("loan", "S", D1)
+    store.replace(frame(spark, "c"), "loan", "S", D1)
+    assert sorted(r.oid for r in reader.collect()) == ["a", "b"]
+    assert content(store) == [("S", D1, "c")]
+
+
+def test_versions_before_the_last_two_go(spark, store):
+    for i in range(4):
+        store.replace(frame(spark, f"r{i}"), "loan", "S", D1)
+    assert len(sub_folders(spark, f"{store.root}/loan/source=S/date1={D1}")) == 2
+    assert content(store) == [("S", D1, "r3")] and sub_folders(spark, f"{store.root}/_staging") == []
+
+
+def test_a_writer_that_began_from_an_older_version_is_refused(spark, store):
+    store.replace(frame(spark, "a"), "loan", "S", D1)
+    began = store.version("loan", "S", D1)
+    store.replace(frame(spark, "b"), "loan", "S", D1)
+    with pytest.raises(StaleWriter):
+        store.replace(frame(spark, "c"), "loan", "S", D1, since=began)
+    with pytest.raises(StaleWriter):
+        store.replace(frame(spark, "c").filter("false"), "loan", "S", D1, since=began)
+    store.clear(["loan"], "S", D1)
+    with pytest.raises(StaleWriter):
+        store.replace(frame(spark, "c"), "loan", "S", D1, since=began)
+    assert content(store) == [] and store.version("loan", "S", D1) is None
+    assert store.replace(frame(spark, "d"), "loan", "S", D1) == 1 and store.version("loan", "S", D1) > began
+
+
+def test_two_writers_that_look_at_the_same_time_do_not_mix(spark, store, monkeypatch):
+    """Both find the slice unchanged; the rename lets one through."""
+    store.replace(frame(spark, "a"), "loan", "S", D1)
+    began = store.version("loan", "S", D1)
+    store.replace(frame(spark, "b"), "loan", "S", D1)
+    monkeypatch.setattr(store, "_unchanged", lambda *_: None)
+    with pytest.raises(StaleWriter):
+        store.replace(frame(spark, "c").withColumn("extra", F.lit(1)), "loan", "S", D1, since=began)
+    # Cleared and published anew in between: the older number does not come back either.
+    store.clear(["loan"], "S", D1)
+    store.replace(frame(spark, "d"), "loan", "S", D1)
+    with pytest.raises(StaleWriter):
+        store.replace(frame(spark, "e"), "loan", "S", D1, since=began)
+    assert content(store) == [("S", D1, "d")] and store.read("loan").columns == ["oid", "number", "source", "date1"]
+
+
+def test_a_failed_job_with_a_new_column_leaves_rows_and_declaration(spark, store):
+    store.replace(frame(spark, "a"), "loan", "S", D1)
+    bad = frame(spark, "b").withColumns({"extra": F.lit(1), "number": F.raise_error(F.lit("boom")).cast("string")})
+    with pytest.raises(Exception, match="boom"):
+        store.replace(bad, "loan", "S", D1)
+    assert store.read("loan").columns == ["oid", "number", "source", "date1"] and content(store) == [("S", D1, "a")]
+    assert store.replace(frame(spark, "b").withColumn("extra", F.lit("text")), "loan", "S", D1) == 1
+    assert [(r.oid, r.extra) for r in store.read("loan").collect()] == [("b", "text")]
+
+
+def test_a_stop_between_declaration_and_publication_changes_nothing(spark, store, monkeypatch):
+    store.replace(frame(spark, "a"), "loan", "S", D1)
+    move = slices.move_new
+
+    def stop(spark, source, target):
+        if "/v=" in target:
+            raise KeyboardInterrupt
+        return move(spark, source, target)
+
+    monkeypatch.setattr(slices, "move_new", stop)
+    with pytest.raises(KeyboardInterrupt):
+        store.replace(frame(spark, "b").withColumn("extra", F.lit(1)), "loan", "S", D1)
+    monkeypatch.undo()
+    assert store.read("loan").columns == ["oid", "number", "source", "date1"] and content(store) == [("S", D1, "a")]
+    # The next one may bring the column with another type.
+    store.replace(frame(spark, "c").withColumn("extra", F.lit("x")), "loan", "S", D2)
+    assert sorted((r.oid, r.extra) for r in store.read("loan").collect()) == [("a", None), ("c", "x")]
+
+
+def test_declarers_of_two_slices_both_count(spark, store, monkeypatch):
+    """A second declaration takes the number in between; the first looks again and adds its own."""
+    store.replace(frame(spark, "a"), "loan", "S", D1)
+    put, other = store._put_declaration, SliceStore(spark, store.root)
+
+    def late(name, number, known):
+        monkeypatch.setattr(store, "_put_declaration", put)
+        other.replace(frame(spark, "b").withColumn("theirs", F.lit(1)), "loan", "S", D2)
+        return put(name, number, known)
+
+    monkeypatch.setattr(store, "_put_declaration", late)
+    store.replace(frame(spark, "c").withColumn("mine", F.lit(2)), "loan", "T", D1)
+    assert sorted((r.oid, r.theirs, r.mine) for r in store.read("loan").collect()) == [("a", None, None), ("b", 1, None), ("c", None, 2)]
+
+
+def test_a_plain_slice_folder_gives_way_to_a_publication(spark, store):
+    frame(spark, "old").write.parquet(f"{store.root}/loan/source=S/date1={D1}")
+    frame(spark, "left").write.parquet(f"{store.root}/loan/source=S/date1={D2}")
+    store.replace(frame(spark, "new"), "loan", "S", D1)
+    assert content(store) == [("S", D1, "new"), ("S", D2, "left")]
+
+
+def test_notes_travel_with_the_publication(spark, store):
+    store.replace(frame(spark, "a", "b"), "loan", "S", D1, note={"from": "x"})
+    assert {k: store.note("loan", "S", D1)[k] for k in ("rows", "from")} == {"rows": 2, "from": "x"}
+    store.replace(frame(spark, "c"), "loan", "S", D1)
+    assert store.note("loan", "S", D1)["rows"] == 1 and "from" not in store.note("loan", "S", D1) and store.note("loan", "S", D2) == {}
+
+
+def test_all_dates_are_cleared_on_purpose(spark, store):
+    for day in (D1, D2):
+        store.replace(frame(spark, "a"), "loan", "S", day)
+        store.replace(frame(spark, "a"), "loan", "T", day)
+    assert store.clear(["loan"], "S", None) == [("loan", D1), ("loan", D2)]
+    assert content(store) == [("T", D1, "a"), ("T", D2, "a")]
+    assert store.clear_range(["loan"], "T", None, D1) == [("loan", D1)]
