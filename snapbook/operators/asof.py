@@ -100,15 +100,12 @@ def history_of(hist: DataFrame, keys: DataFrame, on: Names) -> DataFrame:
     return hist.join(cut(keys.select(*names).distinct()), names, "left_semi")
 
 
-def day_balances(rests: DataFrame, asof: date) -> DataFrame:
-    """Opening rest and turnovers of the day for every register that has a row by then.
+def last_balances(last: DataFrame, asof: date) -> DataFrame:
+    """Opening rest and turnovers of the day from the last row of every register.
 
     The row of the day and the row before it are the same lookup: when the last row is dated on the
-    day it supplies the opening rest and the turnovers, otherwise the turnovers are 0. A register has one row per day.
+    day it supplies the opening rest and the turnovers, otherwise the turnovers are 0.
     """
-    last = latest_by_day(
-        rests.select("register_id", "oper_day", "rest_in", "rest_out", "over_in", "over_out"), "register_id", "oper_day", asof
-    )
     on_day = F.col("oper_day") == F.lit(asof).cast("date")
     return last.select(
         "register_id",
@@ -118,8 +115,65 @@ def day_balances(rests: DataFrame, asof: date) -> DataFrame:
     )
 
 
+def day_balances(rests: DataFrame, asof: date) -> DataFrame:
+    """Opening rest and turnovers of the day for every register that has a row by then. A register has one row per day."""
+    rows = rests.select("register_id", "oper_day", "rest_in", "rest_out", "over_in", "over_out")
+    return last_balances(latest_by_day(rows, "register_id", "oper_day", asof), asof)
+
+
+def opening_rows(registers: DataFrame, balances: DataFrame) -> DataFrame:
+    """Registers with their balances; registers without history get zeros."""
+    joined = registers.join(balances, "register_id", "left")
+    return joined.withColumns({c: F.coalesce(c, F.lit(0)).cast(exprs.MONEY) for c in ("rest", "over_in", "over_out")})
+
+
 def opening_balance(registers: DataFrame, rests: DataFrame, asof: date) -> DataFrame:
     """Registers with their opening rest and day turnovers; registers without history get zeros."""
-    joined = registers.join(day_balances(rests, asof), "register_id", "left")
-    zeros = {c: F.coalesce(c, F.lit(0)).cast(exprs.MONEY) for c in ("rest", "over_in", "over_out")}
-    return joined.withColumns(zeros)
+    return opening_rows(registers, day_balances(rests, asof))
+
+
+def asof_each(left: DataFrame, hist: DataFrame, on: Names, day: str, eff: str, cols: dict[str, str]) -> DataFrame:
+    """``left`` with columns of the last history row on or before each row's own ``day``; one reading of the history for any number of days.
+
+    Both sides are sorted together by key and date over range partitions, and every row carries on the last history row before it. A key that fills several
+    partitions is carried across their borders: each partition hands on the last history row of its last key, one row per
+    partition in one task. So a hot key is spread like any other. A history row counts on its own day; ties go to the largest remaining columns.
+    """
+    keys = as_list(on)
+    kept = F.struct(F.col(eff).alias("_eff"), *[F.col(c).alias(a) for c, a in cols.items()])
+    mine = F.struct(*[F.col(c) for c in left.columns])
+    facts = hist.filter(F.col(eff).isNotNull()).select(*keys, F.col(eff).alias("_at"), F.lit(0).alias("_side"), kept.alias("_last"), F.lit(None).cast(left.select(mine.alias("r")).schema["r"].dataType).alias("_row"))
+    asked = left.select(*keys, F.col(day).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(facts.schema["_last"].dataType).alias("_last"), mine.alias("_row"))
+    order = [F.col(k).asc_nulls_first() for k in keys] + [F.col("_at").asc_nulls_first(), F.col("_side").asc(), F.col("_last").asc_nulls_first(), F.col("_spread").asc()]
+    # Many left rows may share key and day; a number from the input spreads them.
+    both = facts.unionByName(asked).withColumn("_spread", F.monotonically_increasing_id())
+    sorted_rows = cut(both.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    key = F.struct(*[F.col(k) for k in keys])
+    place = F.struct(*[F.col(k) for k in keys], F.col("_at"), F.col("_side"), F.col("_last"))
+    ends = sorted_rows.groupBy("_part").agg(F.min(key).alias("_head"), F.max(key).alias("_tail"), F.max(F.when(F.col("_side") == 0, place)).alias("_fact"))
+    # The last fact of a partition is handed on; further on it counts only for its own key.
+    handed = F.last(F.when(F.col("_fact").isNotNull(), F.col("_fact")), ignorenulls=True).over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    borders = ends.withColumn("_handed", handed).filter(F.struct(*[F.col(f"_handed.{k}") for k in keys]) == F.col("_head")).select("_part", "_head", F.col("_handed._last").alias("_carried"))
+    within = Window.partitionBy("_part", *keys).orderBy(*order[len(keys):]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = sorted_rows.withColumn("_seen", F.last("_last", ignorenulls=True).over(within)).filter(F.col("_side") == 1)
+    joined = seen.join(F.broadcast(borders), "_part", "left")
+    found = F.coalesce("_seen", F.when(key == F.col("_head"), F.col("_carried")))
+    # A row without a key or a day finds nothing.
+    usable = F.col("_at").isNotNull()
+    for k in keys:
+        usable = usable & F.col(k).isNotNull()
+    rows = joined.select("_row", F.when(usable, found).alias("_found"))
+    return rows.select("_row.*", *[F.col(f"_found.{a}").alias(a) for a in cols.values()])
+
+
+def opening_balances(registers: DataFrame, rests: DataFrame, days: Sequence[date]) -> DataFrame:
+    """As ``opening_balance`` for many days at once, with the day as column ``day``; the history is read once."""
+    wanted = registers.withColumn("day", F.explode(F.array(*[F.lit(d).cast("date") for d in days])))
+    cols = {c: f"_{c}" for c in ("oper_day", "rest_in", "rest_out", "over_in", "over_out")}
+    last = asof_each(wanted, rests, "register_id", "day", "oper_day", cols)
+    on_day = F.col("_oper_day") == F.col("day")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast(exprs.MONEY)
+    return last.select(
+        *wanted.columns, zero(F.when(on_day, F.col("_rest_in")).otherwise(F.col("_rest_out"))).alias("rest"),
+        zero(F.when(on_day, F.col("_over_in"))).alias("over_in"), zero(F.when(on_day, F.col("_over_out"))).alias("over_out"),
+    )

@@ -83,6 +83,10 @@ class SliceStore:
         one = self._versions(name, day is not None, source, day)
         return max(next(iter(one.values()))) if one else None
 
+    def days(self, name: str, source: str) -> list[date]:
+        """Dates of a source's slices, in order; a listing."""
+        return sorted(date.fromisoformat(day) for _, day in self._versions(name, True, source, None))
+
     def note(self, name: str, source: str, day: date | None = None) -> dict[str, Any]:
         """What the current publication of a slice left about itself: its id, row count and whatever the publisher added."""
         one = self._versions(name, day is not None, source, day)

@@ -28,6 +28,12 @@ BACK_OFFICE = """(select l.back_type_id, d.code as division_code, coalesce(cast(
     from {back_type_office} l join {division} d on d.division_id = l.division_id join {branch} b on b.branch_id = d.branch_id
     where l.create_account = 1)"""
 
+OPENING_BALANCE = f"""select g.register_id,
+    cast(coalesce(case when r.oper_day = @D then r.rest_in else r.rest_out end, 0) as double) as rest,
+    cast(coalesce(d.over_in, 0) as double) as over_in, cast(coalesce(d.over_out, 0) as double) as over_out
+    from {{register}} g left join {LATEST_REST} r on r.register_id = g.register_id
+    left join {{register_rest}} d on d.register_id = g.register_id and d.oper_day = @D"""
+
 ELIGIBLE = """(
     select c.contract_id, c.contract_type,
            case when b.status in (1, 2) and b.start_date <= @D and @D < coalesce(b.closed_date, @D + 1) then 1
@@ -349,6 +355,10 @@ SQL: dict[str, str] = {
     "S2_read_slice": "select oid, client_oid, number, @D as date1 from {loan_slice}",
     "S3_const_relation": f"select status_name, base_status, count(*) as events from {{guarantee_event}} join {STATUS} on guarantee_status = guarant_status group by all",
     "S4_replace_slice": "select oid, number, '007' as source, case when main_contract_oid is null then date '1998-06-29' else @D end as date1 from {loan_slice}",
+    "S4_S8_versions": """
+        select oid, 'before' as seen, 1 as refused from {loan_slice}
+        union all select oid, 'after', 1 from {loan_slice} where main_contract_oid is not null
+        union all select oid || '+', 'after', 1 from {loan_slice} where main_contract_oid is not null""",
     "S5_replace_objects": """
         select s.oid, s.number || case when b.status = 2 then '*' else '' end as number, @D as date1
         from {loan_slice} s left join {base_contract} b on b.contract_id = s.oid
@@ -362,6 +372,9 @@ SQL: dict[str, str] = {
         select date '1998-06-26' + d as date1, n as row_count, s as dataset from (values (1), (2), (3), (4)) t(d),
         (select 'loan' as s, count(*) as n from {loan_slice} union all select 'pledge', count(*) from {guarantee_slice}
          union all select 'account_type', count(*) from {guarantee_slice}) where s = 'account_type' or d in (1, 4)""",
+    "F1_clear_every_date": """
+        select date '1998-06-26' + d as date1, n as row_count, s as dataset from (values (1), (2), (3), (4)) t(d),
+        (select 'pledge' as s, count(*) as n from {guarantee_slice} union all select 'account_type', count(*) from {guarantee_slice}) where s = 'account_type' or d > 2""",
     "S11_slice_counts": """select 'loan' as dataset, count(*) as row_count from {loan_slice} union all select 'pledge', count(*) from {guarantee_slice}
         union all select 'account_type', count(*) from {guarantee_slice}""",
     "S12_config_value": "select oid, (select integer_value from {config9} where name = 'InternalBankCode') as bank_code from {client}",
@@ -415,11 +428,16 @@ SQL: dict[str, str] = {
         select distinct 'contract' as level, b.contract_id as oid, b.start_date + n.contract_term as plan_date from {NEXT_CONTRACT} n
         join {{contract}} using (contract_id) join {{base_contract}} b using (contract_id)
         union all select distinct 'tranche', i.issue_id, i.issue_date + n.issue_term from {NEXT_ISSUE} n join {{issue}} i using (issue_id)""",
-    "J10_E17_opening_balance": f"""select g.register_id,
-        cast(coalesce(case when r.oper_day = @D then r.rest_in else r.rest_out end, 0) as double) as rest,
-        cast(coalesce(d.over_in, 0) as double) as over_in, cast(coalesce(d.over_out, 0) as double) as over_out
-        from {{register}} g left join {LATEST_REST} r on r.register_id = g.register_id
-        left join {{register_rest}} d on d.register_id = g.register_id and d.oper_day = @D""",
+    "J10_E17_opening_balance": OPENING_BALANCE,
+    "J7_J10_carried_balances": OPENING_BALANCE,
+    "J7_S10_days_of_a_month": """
+        with days as (select cast(unnest(generate_series(date '1998-06-01', date '1998-06-30', interval 1 day)) as date) as day),
+        seen as (select g.register_id, g.register_type_id, d.day, r.oper_day, case when r.oper_day = d.day then r.rest_in else r.rest_out end as rest,
+                        case when r.oper_day = d.day then r.over_in end as over_in, case when r.oper_day = d.day then r.over_out end as over_out
+                 from {register} g cross join days d left join {register_rest} r on r.register_id = g.register_id and r.oper_day <= d.day
+                 qualify row_number() over (partition by g.register_id, d.day order by r.oper_day desc) = 1)
+        select day, register_type_id, count(*) as registers, cast(coalesce(sum(rest), 0) as double) as rest,
+               cast(coalesce(sum(over_in), 0) as double) as over_in, cast(coalesce(sum(over_out), 0) as double) as over_out from seen group by 1, 2""",
     "J11_asof_through_join": f"select contract_id, history_id, base_status, change_type from {LAST_REVISION}",
     "J12_fanout_lookup": f"select p.portfolio_id, o.division_code, o.branch_code from {{portfolio}} p left join {BACK_OFFICE} o using (back_type_id)",
     "J13_U4_attach_overdue": f"select c.contract_id, o.principal_from, o.interest_from from {{contract}} c left join {OVERDUE} o using (contract_id)",

@@ -17,7 +17,8 @@ from snapbook.plans import (
 )
 from snapbook.session import cut, new_folder
 from snapbook.sources import audit
-from snapbook.sources.slices import DATED, SliceStore
+from snapbook.sources.carried import CarriedBalances, History
+from snapbook.sources.slices import DATED, SliceStore, StaleWriter
 from snapbook.sources.tables import read_source
 from workload.standins import EVENT_DAY, ORDER_DAY, StandIns
 
@@ -105,6 +106,22 @@ def _(s):
     return st.read("loan").select("oid", "number", "source", "date1")
 
 
+@query("S4_S8_versions")
+def _(s):
+    """What a reader sees that began before a replacement, and what is there after a second writer, begun before it too, was refused."""
+    st = _loan_days(s, "s4v")
+    before, began = st.read("loan", "007", D), st.version("loan", "007", D)
+    lines = s["loan_slice"].filter(F.col("main_contract_oid").isNotNull())
+    st.append_to([lines, lines.withColumn("oid", F.concat("oid", F.lit("+")))], "loan", "007", D)
+    refused = 0
+    try:
+        st.replace(s["loan_slice"].withColumn("late", F.lit(1)), "loan", "007", D, since=began)
+    except StaleWriter:
+        refused = 1
+    now = st.read("loan", "007", D).withColumn("seen", F.lit("after"))
+    return before.withColumn("seen", F.lit("before")).unionByName(now).select("oid", "seen").withColumn("refused", F.lit(refused))
+
+
 @query("S5_replace_objects")
 def _(s):
     st = _loan_days(s, "s5")
@@ -168,6 +185,16 @@ def _(s):
     return names[0].unionByName(names[1]).unionByName(names[2])
 
 
+@query("F1_clear_every_date")
+def _(s):
+    st = _many_days(s, "f1")
+    st.clear(["loan"], "A", None)
+    st.clear_range(["pledge"], "A", None, date(1998, 6, 28))
+    names = [st.read(n).groupBy("date1").agg(F.count(F.lit(1)).alias("row_count")).withColumn("dataset", F.lit(n))
+             for n in ("loan", "pledge", "account_type")]
+    return names[0].unionByName(names[1]).unionByName(names[2])
+
+
 @query("S11_slice_counts")
 def _(s):
     return _many_days(s, "s11").counts(["loan", "pledge", "account_type"], "A", D)
@@ -374,6 +401,27 @@ def _(s):
     return ao.opening_balance(s["register"].select("register_id"), s["register_rest"], D)
 
 
+@query("J7_J10_carried_balances")
+def _(s):
+    """Carried from March to June over a history by month that gets late rows of earlier years in between."""
+    folder, late = new_folder(s.spark, "history"), (F.col("oper_day") < F.lit(date(1997, 6, 1))) & (F.crc32(F.col("register_id").cast("binary")) % 40 == 0)
+    rows = s["register_rest"].withColumn("oper_month", F.date_format("oper_day", "yyyy-MM"))
+    rows.filter(~late).repartition("oper_month").write.partitionBy("oper_month").parquet(folder)
+    carried = CarriedBalances(store(s, "carried"), History(s.spark, folder), "A")
+    carried.advance(date(1998, 3, 31))
+    rows.filter(late).repartition("oper_month").write.mode("append").partitionBy("oper_month").parquet(folder)
+    return carried.opening_balance(s["register"].select("register_id"), D)
+
+
+@query("J7_S10_days_of_a_month")
+def _(s):
+    days = [date(1998, 6, d) for d in range(1, 31)]
+    found = ao.opening_balances(s["register"].select("register_id", "register_type_id"), s["register_rest"].select(
+        "register_id", "oper_day", "rest_in", "rest_out", "over_in", "over_out"), days)
+    return found.groupBy("day", "register_type_id").agg(
+        F.count(F.lit(1)).alias("registers"), *[F.sum(c).cast(exprs.WIDE_MONEY).alias(c) for c in ("rest", "over_in", "over_out")])
+
+
 @query("J11_asof_through_join")
 def _(s):
     return guarantee.last_revisions(s, CTX).select("contract_id", "history_id", "base_status", "change_type")
