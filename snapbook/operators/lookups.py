@@ -2,16 +2,71 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from snapbook.operators.asof import Names, as_list, first_per
+from snapbook.session import cut
 
 NULL_SPREAD = 1024
 
 
+def _once(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Rows with a whole key, checked to have it once."""
+    rest = [c for c in df.columns if c not in keys]
+    once = df.filter(_known(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"), *([F.first(F.struct(*rest)).alias("_row")] if rest else []))
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    alarm = F.raise_error(F.concat(F.lit(f"{name}: repeated key {', '.join(keys)}: "), shown)).cast(df.schema[keys[0]].dataType)
+    first = F.when(F.col("_times") > 1, alarm).otherwise(F.col(keys[0])).alias(keys[0])
+    return once.select(first, *keys[1:], *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+
+
+def _known(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def unique(df: DataFrame, key: Names, name: str) -> DataFrame:
+    """``df`` with the promise that its key is there once: the job that reads the rows fails on a repeated one and names frame and key.
+
+    The check is an aggregate by the key inside the plan, on the partitioning a join by that key needs anyway, so there is no pass of its own. It counts
+    rows of the plan, not of task attempts, so a task run twice after a lost executor raises no false alarm. Rows
+    with a null in the key match nothing; they stay and are not checked.
+    """
+    keys = as_list(key)
+    return _once(df, keys, name).unionByName(df.filter(~_known(keys)))
+
+
+def accumulate(parts: Sequence[DataFrame], key: Names, names: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Inserting the rows of several parts one after another into a table with a key: what it holds then, and what it turned away.
+
+    A row whose key an earlier part has is turned away; the second frame has the key, the part that was first (from 0) and how many rows were turned
+    away. With ``names`` of the parts, a key twice in one part fails the job, as it would break the key. Without, the part's smallest row
+    stays. One aggregate, combined before the exchange; a key that fills a third of the parts leaves each task as one row.
+    """
+    keys = as_list(key)
+    columns = parts[0].columns
+    tagged = [part.select(*columns, F.lit(i).alias("_part")) for i, part in enumerate(parts)]
+    rest = [c for c in columns if c not in keys]
+    met = reduce(DataFrame.unionByName, tagged).groupBy(*keys).agg(
+        F.min(F.struct("_part", *rest)).alias("_first"), F.count(F.lit(1)).alias("_times"),
+        F.array(*[F.count_if(F.col("_part") == i) for i in range(len(parts))]).alias("_by_part"),
+    )
+    if names is not None:
+        where = F.element_at(F.array(*map(F.lit, names)), F.col("_first._part") + 1)
+        shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+        alarm = F.raise_error(F.concat(where, F.lit(f": repeated key {', '.join(keys)}: "), shown)).cast("long")
+        twice = F.exists("_by_part", lambda n: n > 1)
+        met = met.withColumn("_times", F.when(twice, alarm).otherwise(F.col("_times")))
+    met = cut(met)
+    held = met.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in columns])
+    turned = met.filter(F.col("_times") > 1).select(*keys, F.col("_first._part").alias("kept_part"), (F.col("_times") - 1).alias("rejected_rows"))
+    return held, turned
+
+
 def attach(
     left: DataFrame,
     frame: DataFrame,
@@ -20,9 +75,13 @@ def attach(
     how: str = "left",
     default: Column | None = None,
     spread_nulls_by: str | None = None,
+    once: str | None = None,
 ) -> DataFrame:
     """Add columns of a keyed frame; ``on`` maps left key columns to the frame's.
 
+    ``once`` names a frame whose key has to be unique: a repeated key then fails the job (see ``unique``). Without it the frame may have
+    several rows per key, and a left row comes out once for each.
+
     ``spread_nulls_by`` names a well distributed left column. Rows without a key never match, yet a
     plain left join would send them all to one task; with it they are spread over many.
     """
@@ -39,6 +98,9 @@ def attach(
         keys.append(F.pmod(F.hash(*on.values()), F.lit(1)).alias("_k_spread"))
         cond.append(F.col("_spread") == F.col("_k_spread"))
         drop += ["_spread", "_k_spread"]
+    if once is not None:
+        # Rows without a key never match, so they need no look.
+        frame = _once(frame.select(*dict.fromkeys([*on.values(), *cols])), list(on.values()), once)
     right = frame.select(*keys, *[F.col(c).alias(a) for c, a in cols.items()])
     joined = left.join(right, cond, how).drop(*drop)
     if default is not None:

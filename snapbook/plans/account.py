@@ -11,7 +11,7 @@ from snapbook.context import RunContext
 from snapbook.functions import exprs
 from snapbook.functions.intervals import account_window, closed_within
 from snapbook.operators.asof import history_of, latest, opening_balance
-from snapbook.operators.lookups import attach, opt_filter
+from snapbook.operators.lookups import accumulate, attach, opt_filter, unique
 from snapbook.operators.matching import (
     assign_accounts, best_accounts, class_representative, owner_rows, prefer,
 )
@@ -66,7 +66,7 @@ def _closed_entries(src: Frames, ctx: RunContext) -> list[DataFrame]:
         .join(src["base_contract"].filter(~F.col("status").isin(0, 3)).select(
             "contract_id", "client_id", "branch_id", "number", "closed_date"), "contract_id")
     )
-    contracts = attach(contracts, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"}, spread_nulls_by="contract_id")
+    contracts = attach(contracts, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"}, spread_nulls_by="contract_id", once="branch")
     contracts = contracts.withColumn("branch_code", exprs.code_or_zero(F.col("inner_code")))
     by_contract = contracts.filter(closed_within(F.col("closed_date"), ctx.asof, ctx.depth_days))
     by_issue = (
@@ -101,7 +101,7 @@ def _closed_entries(src: Frames, ctx: RunContext) -> list[DataFrame]:
 
 
 def account_entries(src: Frames, ctx: RunContext, loans: DataFrame, guarantees: DataFrame) -> DataFrame:
-    """What accounts are looked up for: contracts, tranches and portfolios of the day.
+    """What accounts are looked up for: contracts, tranches and portfolios of the day. An entry that one of these parts has twice fails the job.
 
     ``loans`` and ``guarantees`` are the slices published for the same date and source.
     """
@@ -133,14 +133,12 @@ def account_entries(src: Frames, ctx: RunContext, loans: DataFrame, guarantees:
             F.col("name").alias("entry_name"), F.lit(None).cast("int").alias("contract_type"),
         )
     )
-    out = by_contract.unionByName(by_issue).unionByName(by_portfolio)
+    parts, names = [by_contract, by_issue, by_portfolio], ["published contracts", "published tranches", "portfolios"]
     if ctx.depth_days > 0:
         # A contract can be published and lately closed at once; it is listed as published.
-        key = ["entry_kind", "entry_id"]
-        listed = cut(out)
-        late = reduce(DataFrame.unionByName, _closed_entries(src, ctx))
-        out = listed.unionByName(late.join(listed.select(*key).distinct(), key, "left_anti"))
-    return out
+        parts += _closed_entries(src, ctx)
+        names += ["lately closed contracts", "lately closed tranches"]
+    return accumulate(parts, ["entry_kind", "entry_id"], names)[0].select(*ENTRY_COLUMNS)
 
 
 def register_rows(src: Frames, ctx: RunContext, entries: DataFrame, targets: DataFrame) -> DataFrame:
@@ -148,7 +146,7 @@ def register_rows(src: Frames, ctx: RunContext, entries: DataFrame, targets: Dat
 
     A register belongs to exactly one entry: a contract register to its contract, a tranche register to
     its tranche when the contract is a line and to the contract otherwise, a portfolio register to its
-    portfolio. So the four families are one join on (kind, id).
+    portfolio. So the four families are one join on (kind, id). A register listed twice fails the job.
     """
     types = targets.groupBy("register_type_id", "sub_type").agg(F.min("level").alias("level"))
     registers = src["register"].join(types, "register_type_id").filter(
@@ -180,12 +178,13 @@ def register_rows(src: Frames, ctx: RunContext, entries: DataFrame, targets: Dat
             F.when(F.col("is_line"), F.col("issue_id")).otherwise(F.col("contract_id")).alias("entry_id"),
         )
     )
-    return (
+    rows = (
         own.unionByName(tranche)
-        .join(entries.select("entry_kind", "entry_id").distinct(), ["entry_kind", "entry_id"], "left_semi")
+        .join(entries.select("entry_kind", "entry_id"), ["entry_kind", "entry_id"], "left_semi")
         .withColumn("contract_oid", F.col("entry_id"))
         .drop("entry_kind", "entry_id")
     )
+    return unique(rows, "register_id", "register list")
 
 
 def register_list(src: Frames, ctx: RunContext, entries: DataFrame, targets: DataFrame) -> DataFrame:
@@ -266,7 +265,7 @@ def account_rows(src: Frames, ctx: RunContext, pairs: DataFrame, accounts: DataF
         .join(details.drop("account_type_id"), "account_id")
         .join(src["register_type"].select("register_type_id", F.col("name").alias("register_name")), "register_type_id")
     )
-    df = attach(df, src["customer"], {"client_id": "customer_id"}, {"name": "customer_name"}, spread_nulls_by="register_id")
+    df = attach(df, src["customer"], {"client_id": "customer_id"}, {"name": "customer_name"}, spread_nulls_by="register_id", once="customer")
     active = F.col("is_active") == 1
     external = F.col("is_external") == 1
     title = F.concat(F.col("register_name"), F.lit(" "), F.col("entry_name"))
@@ -299,7 +298,7 @@ def account_snapshot(src: Frames, ctx: RunContext, loans: DataFrame, guarantees:
     reuse; they are narrow, so each is written to the shared folder once.
     """
     targets = rt.target_types(src)
-    entries = cut(account_entries(src, ctx, loans, guarantees))
+    entries = account_entries(src, ctx, loans, guarantees)
     registers = register_rows(src, ctx, entries, targets)
     accounts = cut(account_list(src, ctx, entries))
     pairs = cut(register_accounts(registers, accounts, rt.type_links(src, targets), targets))

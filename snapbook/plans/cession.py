@@ -106,8 +106,8 @@ def disposal_rows(src: Frames, ctx: RunContext) -> DataFrame:
     df = disposal_sums(src, ctx).join(disposal_accounts(src), "account_id")
     base = src["base_contract"].select("contract_id", F.col("number").alias("contract_number"), "client_id", "branch_id")
     df = df.join(base, "contract_id").join(src["loan_contract"].select("contract_id", "portfolio_id"), "contract_id")
-    df = attach(df, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"}, spread_nulls_by="account_id")
-    df = attach(df, src["customer"], {"client_id": "customer_id"}, {"name": "customer_name"}, spread_nulls_by="account_id")
+    df = attach(df, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"}, spread_nulls_by="account_id", once="branch")
+    df = attach(df, src["customer"], {"client_id": "customer_id"}, {"name": "customer_name"}, spread_nulls_by="account_id", once="customer")
     active = F.col("is_active") == 1
     money = exprs.WIDE_MONEY
     title = F.concat(F.col("type_name"), F.lit(" "), F.col("contract_number"))

@@ -13,7 +13,7 @@ from snapbook.functions.intervals import valid_on
 from snapbook.operators.asof import asof_latest, first_per
 from snapbook.operators.lookups import attach, const_df, opt_filter
 from snapbook.plans import routines
-from snapbook.plans.loan import shape
+from snapbook.plans.loan import of_keys, shape
 from snapbook.session import cut
 
 # Guarantee status -> base contract status; guarantee status and contract status names.
@@ -100,8 +100,9 @@ def guarantee_list(src: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
         .filter(valid_on(F.col("_contract_date"), F.col("_closed_date"), ctx.asof))
     )
     df = df.withColumns({c: F.coalesce(F.col(f"_{c}"), F.col(c)) for c in OVERRIDES})
+    df = cut(df)
     return asof_latest(
-        df, src["portfolio_history"], "contract_id", "date_begin", ctx.asof, {"portfolio_id": "history_portfolio"},
+        df, of_keys(src["portfolio_history"], df, "contract_id"), "contract_id", "date_begin", ctx.asof, {"portfolio_id": "history_portfolio"},
         ties=("portfolio_id",),
     )
 
@@ -109,14 +110,14 @@ def guarantee_list(src: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
 def guarantee_snapshot(src: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
     df = cut(guarantee_list(src, ctx))
     own = {"contract_id": "contract_id"}
-    df = attach(df, src["contract_quality"], own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"})
+    df = attach(df, of_keys(src["contract_quality"], df, "contract_id"), own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"}, once="contract_quality")
     registers = src["register"].join(df.select("contract_id").distinct(), "contract_id", "left_semi")
     limit = routines.register_rest(registers, src["register_rest"], UNUSED_LIMIT_REGISTER, ctx.asof)
     df = attach(df, limit, own, {"amount": "summa_val"})
-    df = attach(df, src["currency"], {"currency": "code"}, {"international_code": "curr"})
-    df = attach(df, src["division"], {"division_id": "division_id"}, {"code": "division_code"})
+    df = attach(df, src["currency"], {"currency": "code"}, {"international_code": "curr"}, once="currency")
+    df = attach(df, src["division"], {"division_id": "division_id"}, {"code": "division_code"}, once="division")
     df = attach(df, src["customer"], {"beneficiary_id": "customer_id"},
-                {"inn": "beneficiary_inn", "name": "beneficiary_name"}, spread_nulls_by="contract_id")
+                {"inn": "beneficiary_inn", "name": "beneficiary_name"}, spread_nulls_by="contract_id", once="customer")
     return shape(
         df.withColumns(
             {

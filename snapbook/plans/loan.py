@@ -82,12 +82,14 @@ def eligible_contracts(src: Frames, ctx: RunContext) -> DataFrame:
         .join(src["loan_contract"].select("contract_id", F.col("portfolio_id").alias("current_portfolio")), "contract_id")
     )
     if "contract_fact_end" in src:
-        df = attach(df, src["contract_fact_end"], {"contract_id": "contract_id"}, {"fact_end": "fact_end"})
+        df = attach(df, src["contract_fact_end"], {"contract_id": "contract_id"}, {"fact_end": "fact_end"}, once="contract_fact_end")
     else:
         df = df.withColumn("fact_end", F.col("closed_date"))
-    df = asof_latest(
-        df, src["status_history"], "contract_id", "oper_day", ctx.asof, {"status": "history_status"}, ties=("date_change", "seq")
-    )
+    # Most contracts are open or closed by their base data; only the others look into the status history.
+    df = cut(df)
+    base_status = exprs.actual_status(F.col("status"), F.col("start_date"), F.col("closed_date"), F.lit(None).cast("int"), ctx.asof)
+    history = history_of(src["status_history"], df.filter(base_status == 0), "contract_id")
+    df = asof_latest(df, history, "contract_id", "oper_day", ctx.asof, {"status": "history_status"}, ties=("date_change", "seq"))
     close = F.when(F.col("contract_type") == OVERDRAFT, F.col("closed_date")).otherwise(F.col("fact_end"))
     status = exprs.actual_status(F.col("status"), F.col("start_date"), F.col("closed_date"), F.col("history_status"), ctx.asof)
     rows = df.select(
@@ -109,10 +111,15 @@ def eligible_contracts(src: Frames, ctx: RunContext) -> DataFrame:
     )
 
 
-def replanned_contract_terms(src: Frames, ctx: RunContext) -> DataFrame:
-    """Contract term set by the earliest change after the date: ``contract_id, new_term``."""
+def of_keys(df: DataFrame, keys: DataFrame | None, key: str) -> DataFrame:
+    """Rows whose key is in a frame that is written out already. The semi-join goes down to the scan, below a reduction by the key too."""
+    return df if keys is None else df.join(keys.select(key), key, "left_semi")
+
+
+def replanned_contract_terms(src: Frames, ctx: RunContext, only: DataFrame | None = None) -> DataFrame:
+    """Contract term set by the earliest change after the date: ``contract_id, new_term``; of the contracts in ``only`` if given."""
     changes = src["agreement_history"].filter(F.col("change_type") == CONTRACT_TERM_CHANGE)
-    changes = opt_filter(changes, "contract_id", ctx.object_id)
+    changes = of_keys(opt_filter(changes, "contract_id", ctx.object_id), only, "contract_id")
     first = asof_next(
         changes.select("contract_id", "issue_id", "change_date", "contract_term"), "contract_id", "change_date", ctx.asof
     )
@@ -123,11 +130,12 @@ def replanned_contract_terms(src: Frames, ctx: RunContext) -> DataFrame:
     )
 
 
-def replanned_issue_terms(src: Frames, ctx: RunContext) -> DataFrame:
-    """Tranche term set by the earliest change after the date: ``issue_id, new_term``."""
+def replanned_issue_terms(src: Frames, ctx: RunContext, only: DataFrame | None = None) -> DataFrame:
+    """Tranche term set by the earliest change after the date: ``issue_id, new_term``; of the tranches in ``only`` if given."""
     changes = src["agreement_history"].filter(
         (F.col("change_type") == ISSUE_TERM_CHANGE) & F.col("issue_id").isNotNull()
     )
+    changes = of_keys(changes, only, "issue_id")
     first = asof_next(changes.select("issue_id", "change_date", "issue_term"), "issue_id", "change_date", ctx.asof)
     return first.select("issue_id", F.col("issue_term").alias("new_term")).distinct()
 
@@ -164,17 +172,17 @@ def loan_header(src: Frames, ctx: RunContext, ids: DataFrame) -> DataFrame:
     # Only contracts that have accounts are reported.
     df = keep_existing(df, src["account"].filter(F.col("contract_id").isNotNull()), "contract_id")
     df = attach(df, src["overdue"], {"contract_id": "contract_id"},
-                {"principal_from": "date_start_overdue_principal", "interest_from": "date_start_overdue_interest"})
-    df = attach(df, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"}, spread_nulls_by="contract_id")
-    df = attach(df, src["division"], {"division_id": "division_id"}, {"code": "division_code"})
+                {"principal_from": "date_start_overdue_principal", "interest_from": "date_start_overdue_interest"}, once="overdue")
+    df = attach(df, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"}, spread_nulls_by="contract_id", once="branch")
+    df = attach(df, src["division"], {"division_id": "division_id"}, {"code": "division_code"}, once="division")
     df = attach(df, src["customer"], {"client_id": "customer_id"},
-                {"customer_id": "client_oid", "legal_person_id": "legal_person_id"}, how="inner")
+                {"customer_id": "client_oid", "legal_person_id": "legal_person_id"}, how="inner", once="customer")
     df = attach(df, src["legal_person"], {"legal_person_id": "legal_person_id"}, {"criterion": "criterion"},
-                spread_nulls_by="contract_id")
-    df = attach(df, src["loan_purpose"], {"purpose_id": "purpose_id"}, {"name": "purpose"}, spread_nulls_by="contract_id")
-    df = attach(df, src["product_type"], {"product_type_id": "product_type_id"}, {"program_id": "program_id"}, how="inner")
-    df = attach(df, src["loan_program"], {"program_id": "program_id"}, {"product_id": "_program_product"}, spread_nulls_by="contract_id")
-    df = attach(df, src["product"], {"_program_product": "product_id"}, {"product_id": "product_id"}, spread_nulls_by="contract_id")
+                spread_nulls_by="contract_id", once="legal_person")
+    df = attach(df, src["loan_purpose"], {"purpose_id": "purpose_id"}, {"name": "purpose"}, spread_nulls_by="contract_id", once="loan_purpose")
+    df = attach(df, src["product_type"], {"product_type_id": "product_type_id"}, {"program_id": "program_id"}, how="inner", once="product_type")
+    df = attach(df, src["loan_program"], {"program_id": "program_id"}, {"product_id": "_program_product"}, spread_nulls_by="contract_id", once="loan_program")
+    df = attach(df, src["product"], {"_program_product": "product_id"}, {"product_id": "product_id"}, spread_nulls_by="contract_id", once="product")
     fallback = default_id(src["product"], "name", CONSUMER_LOAN, "product_id")
     return df.withColumns(
         {
@@ -193,7 +201,7 @@ def loan_header(src: Frames, ctx: RunContext, ids: DataFrame) -> DataFrame:
 
 def _issue_facts(src: Frames, header: DataFrame, schemes: DataFrame) -> DataFrame:
     """Per contract of the header: earliest tranche date and the summed floating code of the tranche schemes."""
-    own = src["issue"].select("issue_id", "contract_id", "issue_date", "scheme_id").join(header.select("contract_id").distinct(), "contract_id", "left_semi")
+    own = of_keys(src["issue"].select("issue_id", "contract_id", "issue_date", "scheme_id"), header, "contract_id")
     issues = attach(own, schemes, {"scheme_id": "scheme_id"}, {"code": "code"}, spread_nulls_by="issue_id")
     return issues.groupBy("contract_id").agg(F.min("issue_date").alias("date_issue"), F.sum("code").alias("code"))
 
@@ -212,11 +220,13 @@ def contract_rows(src: Frames, ctx: RunContext, header: DataFrame, schemes: Data
     df = header
     schemes = routines.scheme_facts(src["scheme_value"], ctx.asof) if schemes is None else schemes
     own = {"contract_id": "contract_id"}
-    df = attach(df, replanned_contract_terms(src, ctx), own, {"new_term": "new_term"})
+    # Each history is cut down to the header's contracts before it is reduced.
+    mine = lambda frame: of_keys(frame, header, "contract_id")
+    df = attach(df, replanned_contract_terms(src, ctx, header), own, {"new_term": "new_term"})
     df = attach(df, _issue_facts(src, header, schemes), own, {"date_issue": "date_issue", "code": "code"})
-    df = attach(df, ceded_contracts(src, ctx), own, {"ceded": "ceded"})
-    df = attach(df, routines.contract_sum(src["contract_sum"], ctx.asof), own, {"amount": "amount"})
-    df = attach(df, src["contract_quality"], own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"})
+    df = attach(df, mine(ceded_contracts(src, ctx)), own, {"ceded": "ceded"})
+    df = attach(df, routines.contract_sum(mine(src["contract_sum"]), ctx.asof), own, {"amount": "amount"})
+    df = attach(df, mine(src["contract_quality"]), own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"}, once="contract_quality")
     df = attach(df, schemes, {"scheme_id": "scheme_id"}, {"rate": "rate"}, spread_nulls_by="contract_id")
     plan = F.date_add("start_date", F.col("new_term"))
     return shape(
@@ -240,14 +250,15 @@ def contract_rows(src: Frames, ctx: RunContext, header: DataFrame, schemes: Data
     )
 
 
-def active_issues(src: Frames, ctx: RunContext) -> DataFrame:
-    """Tranches with the date between their last successful issue operation (or issue date) and closing."""
+def active_issues(src: Frames, ctx: RunContext, lines: DataFrame) -> DataFrame:
+    """Tranches of the lines with the date between their last successful issue operation (or issue date) and closing."""
+    issues = cut(of_keys(src["issue"], lines, "contract_id"))
     ops = src["operation"].filter(
         (F.col("type_id") == ISSUE_OPERATION) & (F.col("status") == 1) & (F.col("oper_date") <= ctx.day)
         & F.col("issue_id").isNotNull()
     )
-    last = ops.groupBy("issue_id").agg(F.max("oper_date").alias("oper_date"))
-    issues = attach(src["issue"], last, {"issue_id": "issue_id"}, {"oper_date": "oper_date"})
+    last = of_keys(ops, issues, "issue_id").groupBy("issue_id").agg(F.max("oper_date").alias("oper_date"))
+    issues = attach(issues, last, {"issue_id": "issue_id"}, {"oper_date": "oper_date"})
     return issues.filter(
         valid_on(F.coalesce("oper_date", "issue_date"), F.col("close_date"), ctx.asof)
     ).drop("oper_date")
@@ -257,13 +268,13 @@ def tranche_rows(src: Frames, ctx: RunContext, header: DataFrame, schemes: DataF
     """One row per active tranche of an eligible line or overdraft."""
     schemes = routines.scheme_facts(src["scheme_value"], ctx.asof) if schemes is None else schemes
     lines = header.filter(F.col("contract_type").isin(*LINE_TYPES)).drop("scheme_id")
-    issues = active_issues(src, ctx).select(
+    issues = cut(active_issues(src, ctx, lines).select(
         "issue_id", "contract_id", "issue_number", "issue_date", "close_date", "plan_repayment_date", "issue_sum", "scheme_id"
-    )
+    ))
     df = lines.join(issues, "contract_id")
     own = {"issue_id": "issue_id"}
-    df = attach(df, replanned_issue_terms(src, ctx), own, {"new_term": "new_term"})
-    df = attach(df, src["issue_quality"], own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"})
+    df = attach(df, replanned_issue_terms(src, ctx, issues), own, {"new_term": "new_term"})
+    df = attach(df, of_keys(src["issue_quality"], issues, "issue_id"), own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"}, once="issue_quality")
     scheme = {"scheme_id": "scheme_id"}
     df = attach(df, schemes, scheme, {"rate": "rate", "code": "code"}, spread_nulls_by="issue_id")
     plan = F.date_add("issue_date", F.col("new_term"))

@@ -12,7 +12,7 @@ from snapbook.functions.intervals import valid_on
 from snapbook.operators.asof import asof_latest, history_of, latest
 from snapbook.operators.hierarchy import chain_latest
 from snapbook.operators.lookups import attach, opt_filter
-from snapbook.plans.loan import shape
+from snapbook.plans.loan import of_keys, shape
 from snapbook.plans.routines import bank_code
 from snapbook.session import cut
 
@@ -76,12 +76,12 @@ def security_list(src: Frames, ctx: RunContext, loans: DataFrame) -> DataFrame:
         "basic_state_date", "consider_reserve",
     )
     df = df.join(pledges, "pledge_contract_id", "left")
-    df = attach(df, src["pledge_owner"], {"owner_id": "owner_id"}, {"object_id": "object_id"}, spread_nulls_by="contract_id")
+    df = attach(df, src["pledge_owner"], {"owner_id": "owner_id"}, {"object_id": "object_id"}, spread_nulls_by="contract_id", once="pledge_owner")
     df = attach(df, src["pledge_object"], {"object_id": "object_id"}, {
         "collateral_type_id": "object_collateral", "pledge_kind": "pledge_kind", "name": "object_name",
-        "quality_category": "object_quality"}, spread_nulls_by="contract_id")
+        "quality_category": "object_quality"}, spread_nulls_by="contract_id", once="pledge_object")
     df = attach(df, src["surety"], {"pledge_contract_id": "contract_id"}, {
-        "contract_id": "surety_id", "collateral_type_id": "surety_collateral", "quality_category": "surety_quality"})
+        "contract_id": "surety_id", "collateral_type_id": "surety_collateral", "quality_category": "surety_quality"}, once="surety")
     return df.withColumns(
         {
             "security_id": F.coalesce("pledge_id", "surety_id"),
@@ -109,7 +109,7 @@ def approved_assessments(src: Frames, ctx: RunContext) -> DataFrame:
 
 
 def pledge_snapshot(src: Frames, ctx: RunContext, loans: DataFrame) -> DataFrame:
-    df = cut(security_list(src, ctx, loans))
+    df = listed = cut(security_list(src, ctx, loans))
     # Only the history of the contracts at hand is reduced.
     history = history_of(src["pledge_link_history"], df.select("contract_id"), "contract_id")
     # Value agreed per loan and pledge, by distribution date.
@@ -127,17 +127,18 @@ def pledge_snapshot(src: Frames, ctx: RunContext, loans: DataFrame) -> DataFrame
                            F.col("insurance_sum").alias("surety_insurance")),
         ["contract_id", "pledge_contract_id"], "left",
     )
-    quality = latest(src["pledge_quality"], "object_id", "setting_date", None, ties=("quality_category",))
+    objects = listed.filter(F.col("object_id").isNotNull())
+    quality = latest(of_keys(src["pledge_quality"], objects, "object_id"), "object_id", "setting_date", None, ties=("quality_category",))
     df = attach(df, quality, {"object_id": "object_id"}, {"quality_category": "set_quality"}, spread_nulls_by="contract_id")
     # The bank's code is one row of a small table; assessments and chains are for the bank that values by them.
     by_waterfall = bank_code(src) == WATERFALL_BANK
     if by_waterfall:
-        df = attach(df, approved_assessments(src, ctx), {"object_id": "object_id"}, {"assessed": "assessed"}, spread_nulls_by="contract_id")
+        df = attach(df, of_keys(approved_assessments(src, ctx), objects, "object_id"), {"object_id": "object_id"}, {"assessed": "assessed"}, spread_nulls_by="contract_id")
         df = attach(df, base_pledge_values(src, ctx), {"pledge_id": "pledge_id"}, {"base_collateral": "base_collateral"},
                     spread_nulls_by="contract_id")
-    df = attach(df, src["external_system"], {"source_system": "code"}, {"name": "system_name"}, spread_nulls_by="contract_id")
-    df = attach(df, src["collateral_type"], {"collateral_type_id": "collateral_type_id"}, {"code": "collateral_code", "name": "collateral_name"}, spread_nulls_by="contract_id")
-    df = attach(df, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"}, spread_nulls_by="contract_id")
+    df = attach(df, src["external_system"], {"source_system": "code"}, {"name": "system_name"}, spread_nulls_by="contract_id", once="external_system")
+    df = attach(df, src["collateral_type"], {"collateral_type_id": "collateral_type_id"}, {"code": "collateral_code", "name": "collateral_name"}, spread_nulls_by="contract_id", once="collateral_type")
+    df = attach(df, src["branch"], {"branch_id": "branch_id"}, {"inner_code": "inner_code"}, spread_nulls_by="contract_id", once="branch")
 
     pledged = F.col("pledge_id").isNotNull()
     value = F.coalesce("link_value", F.lit(0))

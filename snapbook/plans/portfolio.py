@@ -105,9 +105,9 @@ def portfolio_snapshot(src: Mapping[str, DataFrame], ctx: RunContext) -> DataFra
     risk = src["risk_change"].filter(F.col("portfolio_id").isNotNull()).join(src["risk_group"], "risk_group_id")
     df = asof_latest(df, risk, "portfolio_id", "action_date", ctx.asof, {"ratio": "ratio", "code": "quality"}, ties=("change_id",))
     df = attach(df, src["portfolio_back_type"], {"back_type_id": "back_type_id"},
-                {"name": "type_name", "freeze_client_status": "freeze"})
-    df = attach(df, src["portfolio_criteria"], {"criteria_id": "criteria_id"}, {"name": "criterion"})
-    df = attach(df, src["risk_group"], {"risk_group_id": "risk_group_id"}, {"max_ratio": "default_ratio", "code": "default_code"})
+                {"name": "type_name", "freeze_client_status": "freeze"}, once="portfolio_back_type")
+    df = attach(df, src["portfolio_criteria"], {"criteria_id": "criteria_id"}, {"name": "criterion"}, once="portfolio_criteria")
+    df = attach(df, src["risk_group"], {"risk_group_id": "risk_group_id"}, {"max_ratio": "default_ratio", "code": "default_code"}, once="risk_group")
     df = attach(df, back_office(src), {"back_type_id": "back_type_id"}, {"division_code": "division_code", "branch_code": "branch_code"})
     return shape(
         df.withColumns(

@@ -440,6 +440,8 @@ SQL: dict[str, str] = {
                cast(coalesce(sum(over_in), 0) as double) as over_in, cast(coalesce(sum(over_out), 0) as double) as over_out from seen group by 1, 2""",
     "J11_asof_through_join": f"select contract_id, history_id, base_status, change_type from {LAST_REVISION}",
     "J12_fanout_lookup": f"select p.portfolio_id, o.division_code, o.branch_code from {{portfolio}} p left join {BACK_OFFICE} o using (back_type_id)",
+    "J12_checked_and_fanned_out": """select c.contract_id, c.purpose_id, p.name as purpose, i.issue_id from {contract} c
+        left join {loan_purpose} p using (purpose_id) left join {issue} i on i.contract_id = c.contract_id""",
     "J13_U4_attach_overdue": f"select c.contract_id, o.principal_from, o.interest_from from {{contract}} c left join {OVERDUE} o using (contract_id)",
     "J14_lateral_aggregate": """select c.contract_id, (select min(issue_date) from {issue} i where i.contract_id = c.contract_id) as date_issue,
         case when (select sum(coalesce(v.base_rate_id, 0) * coalesce(v.rate, 0)) from {issue} i left join {scheme_value} v on v.scheme_id = i.scheme_id
@@ -501,6 +503,11 @@ SQL: dict[str, str] = {
         select r.contract_id, issue_id, portfolio_id, cast(transaction_sum as double) as transaction_sum from r where contract_id in (select contract_id from {{contract}})
         union all
         select r.contract_id, issue_id, portfolio_id, cast(transaction_sum as double) from r where portfolio_id in (select portfolio_id from {{portfolio}})""",
+    "X3_accumulating_inserts": """
+        with parts as (select contract_id, 0 as part from {issue} where contract_id is not null
+            union all select contract_id, 1 from {agreement_history} where contract_id is not null union all select contract_id, 2 from {contract})
+        select contract_id, case min(part) when 0 then 'issue' when 1 then 'change' else 'contract' end as origin,
+               case when count(*) > 1 then min(part) end as kept_part, count(*) - 1 as rejected_rows from parts group by 1""",
     "X2_exclusive_union": """
         with z as (
             select distinct x.contract_id, x.pledge_contract_id from {loan_slice} s join {contract} k on k.contract_id = coalesce(s.main_contract_oid, s.oid)

@@ -455,8 +455,7 @@ def _(s):
 
 def _account_parts(s):
     targets = rt.target_types(s)
-    # Entries feed registers and accounts; as in ``account_snapshot`` they are written once.
-    entries = cut(account.account_entries(s, CTX, s["loan_slice"], s["guarantee_slice"]))
+    entries = account.account_entries(s, CTX, s["loan_slice"], s["guarantee_slice"])
     return targets, entries, account.register_rows(s, CTX, entries, targets), account.account_list(s, CTX, entries)
 
 
@@ -585,6 +584,22 @@ def _(s):
     return a.unionByName(b).select("contract_id", "issue_id", "portfolio_id", "transaction_sum")
 
 
+@query("X3_accumulating_inserts")
+def _(s):
+    """Contracts with a tranche, then with an agreement change, then all: what the table holds, from which part, and how many rows it turned away."""
+    pick = lambda df, n: df.filter(F.col("contract_id").isNotNull()).select("contract_id").withColumn("origin", F.lit(n))
+    parts = [pick(s["issue"], "issue"), pick(s["agreement_history"], "change"), pick(s["contract"], "contract")]
+    held, turned = lookups.accumulate(parts, "contract_id")
+    return held.join(turned, "contract_id", "left").select("contract_id", "origin", "kept_part", F.coalesce("rejected_rows", F.lit(0)).alias("rejected_rows"))
+
+
+@query("J12_checked_and_fanned_out")
+def _(s):
+    """A lookup in a frame checked to have each key once, beside one in a frame that may have several rows per key."""
+    df = lookups.attach(s["contract"].select("contract_id", "purpose_id"), s["loan_purpose"], {"purpose_id": "purpose_id"}, {"name": "purpose"}, once="loan_purpose")
+    return lookups.attach(df, s["issue"], {"contract_id": "contract_id"}, {"issue_id": "issue_id"})
+
+
 @query("X2_exclusive_union")
 def _(s):
     df = pledge.security_list(s, CTX, s["loan_slice"])
