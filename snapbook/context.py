@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
+from typing import Any
 
 from pyspark.sql import Column, functions as F
 
@@ -27,6 +29,11 @@ class RunContext:
         if self.depth_days < 0:
             raise ValueError("depth_days must not be negative")
 
+    @classmethod
+    def today(cls, clock: Callable[[], date] = date.today, **rest: Any) -> RunContext:
+        """The context of a run without a given date: the clock is asked once, and all steps share the answer."""
+        return cls(clock(), **rest)
+
     @property
     def day(self) -> Column:
         return F.lit(self.asof).cast("date")

@@ -46,11 +46,12 @@ def expand_parents(links: DataFrame, edges: DataFrame, step: int = 10, rounds: i
     return out
 
 
-def chain_roots(links: DataFrame, node: str, prev: str, max_rounds: int = 40) -> DataFrame:
-    """Root and depth of every node of a set of chains given by a previous-node column.
+def resolve_chains(links: DataFrame, node: str, prev: str) -> tuple[DataFrame, DataFrame]:
+    """Root and depth of every node of a set of chains given by a previous-node column, and the nodes that have no root.
 
     Pointer doubling: every round joins each node with its current ancestor, so a chain of length n
-    takes log2(n) rounds. Rounds go on until nothing moves; a cycle is reported, not cut off.
+    takes log2(n) rounds. A round after which as many nodes are open as before leaves only those whose way ends in a cycle. They come in
+    the second frame: the node, ``base_id`` (smallest node of its cycle), ``cycle_length``, and ``on_cycle`` (false for a node that leads into it).
     """
     known = links.select(F.col(node).alias("_up"), F.lit(True).alias("_known")).distinct()
     # A previous node that is not in the set itself is a root.
@@ -62,10 +63,13 @@ def chain_roots(links: DataFrame, node: str, prev: str, max_rounds: int = 40) ->
     state = state.join(known, state.root == known._up, "left").select(
         node, "root", "level", (F.col("_known").isNotNull() & (F.col("level") > 0)).alias("open")
     )
-    for _ in range(max_rounds):
+    before, steps = -1, 1
+    while True:
         state = cut(state)
-        if state.filter("open").isEmpty():
-            return state.drop("open")
+        left = state.filter("open").count()
+        if left == 0 or left == before and steps >= left:
+            break
+        before, steps = left, 2 * steps
         up = state.select(
             F.col(node).alias("_up"),
             F.col("root").alias("_root"),
@@ -78,7 +82,32 @@ def chain_roots(links: DataFrame, node: str, prev: str, max_rounds: int = 40) ->
             F.when(F.col("open"), F.col("level") + F.col("_level")).otherwise(F.col("level")).alias("level"),
             (F.col("open") & F.col("_open")).alias("open"),
         )
-    raise ValueError("the chains contain a cycle")
+    return state.filter(~F.col("open")).drop("open"), _cycles(links, state.filter("open"), left, node, prev)
+
+
+def _cycles(links: DataFrame, stuck: DataFrame, count: int, node: str, prev: str) -> DataFrame:
+    """Nodes that ``count`` or more steps up have not led to a root. Where such a walk ends is on a cycle, and every cycle node is such an end."""
+    ring = stuck.select(F.col("root").alias(node)).distinct()
+    walk = cut(links.join(ring, node, "left_semi").select(node, F.col(prev).alias("_at"), F.least(node, prev).alias("base_id")).distinct())
+    steps = 1
+    while steps < count:
+        # The smallest node on the way, over twice as many steps each round.
+        ahead = walk.select(F.col(node).alias("_up"), F.col("_at").alias("_next"), F.col("base_id").alias("_low"))
+        walk = cut(walk.join(ahead, walk._at == ahead._up).select(node, F.col("_next").alias("_at"), F.least("base_id", "_low").alias("base_id")))
+        steps *= 2
+    sized = walk.join(walk.groupBy("base_id").agg(F.count(F.lit(1)).alias("cycle_length")), "base_id")
+    ends = sized.select(F.col(node).alias("_end"), "base_id", "cycle_length")
+    on = sized.select(node, F.lit(True).alias("on_cycle"))
+    found = stuck.join(ends, stuck.root == ends._end).join(on, node, "left")
+    return cut(found.select(node, "base_id", "cycle_length", F.coalesce("on_cycle", F.lit(False)).alias("on_cycle")))
+
+
+def chain_roots(links: DataFrame, node: str, prev: str) -> DataFrame:
+    """As ``resolve_chains`` where a cycle is an error."""
+    roots, cycles = resolve_chains(links, node, prev)
+    if not cycles.isEmpty():
+        raise ValueError("the chains contain a cycle")
+    return roots
 
 
 def chain_latest(series: DataFrame, asof: date) -> DataFrame:

@@ -16,13 +16,13 @@ NULL_SPREAD = 1024
 
 
 def _once(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Rows with a whole key, checked to have it once."""
+    """Rows with a whole key, checked to have it once. The check is a filter on the key's count, which leaves the partitioning as it is and is never pruned."""
     rest = [c for c in df.columns if c not in keys]
     once = df.filter(_known(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"), *([F.first(F.struct(*rest)).alias("_row")] if rest else []))
     shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
-    alarm = F.raise_error(F.concat(F.lit(f"{name}: repeated key {', '.join(keys)}: "), shown)).cast(df.schema[keys[0]].dataType)
-    first = F.when(F.col("_times") > 1, alarm).otherwise(F.col(keys[0])).alias(keys[0])
-    return once.select(first, *keys[1:], *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    alarm = F.raise_error(F.concat(F.lit(f"{name}: repeated key {', '.join(keys)}: "), shown)).cast("boolean")
+    checked = once.filter(F.when(F.col("_times") > 1, alarm).otherwise(F.lit(True)))
+    return checked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def _known(keys: Sequence[str]) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections import ChainMap
 from collections.abc import Callable, Mapping
 from datetime import date, datetime, timezone
 
@@ -13,6 +14,7 @@ from snapbook.operators.lookups import drop_existing
 from snapbook.plans import account, cession, client, dictionaries, guarantee, loan, pledge, portfolio, routines, schedule
 from snapbook.session import cut
 from snapbook.sources import audit
+from snapbook.sources.carried import CarriedBalances
 from snapbook.sources.slices import SliceStore
 
 # Dataset and whether its slice is dated, in the order of publication.
@@ -78,6 +80,7 @@ def builders(src: Mapping[str, DataFrame], ctx: RunContext, store: SliceStore) -
         "schedule": lambda: schedule.schedule_snapshot(src, ctx, published("loan")),
         "client": lambda: client.client_snapshot(src, ctx),
         "pledge": lambda: pledge.pledge_snapshot(src, ctx, published("loan")),
+        "pledge_reject": lambda: src["pledge_reject"],
     }
 
 
@@ -97,36 +100,57 @@ def _publish(df: DataFrame, name: str, dated: bool, ctx: RunContext, store: Slic
     return store.append_to([kept, fresh.select(*kept.columns)], name, ctx.source, ctx.asof)
 
 
+def _rejected(make: Mapping[str, Callable[[], DataFrame]], src: Mapping[str, DataFrame], ctx: RunContext, store: SliceStore) -> None:
+    """Publish the pledges without a base beside the pledges. A bank that gives its own series has none."""
+    if "pledge_series" not in src and "pledge_chain" in src:
+        cycles = make["pledge_reject"]()
+        if store.exists("pledge_reject") or not cycles.isEmpty():
+            store.replace(cycles, "pledge_reject", ctx.source, ctx.asof)
+
+
 def publish_day(src: Mapping[str, DataFrame], ctx: RunContext, store: SliceStore,
-                only: tuple[str, ...] | None = None, today: date | None = None) -> DataFrame:
+                only: tuple[str, ...] | None = None, today: date | None = None, carried: CarriedBalances | None = None) -> DataFrame:
     """Publish the datasets of one day and return the step log; a failed step leaves its old slice.
 
+    With ``carried`` balances the day's lookups read the last row per register, brought up to the day first, and not the history; that is a step of its own.
     Rows are counted by the writing job. The log is appended below the store's folder; runs for dates ``LOG_MONTHS`` or
     more before ``today`` (the current date unless given) leave it.
     """
     now = lambda: datetime.now(timezone.utc).replace(tzinfo=None)
     run_id, begun = str(uuid.uuid4()), now()
-    make = builders(src, ctx, store)
     log, counts = [], []
-    for number, (name, dated) in enumerate(STEPS, start=1):
+    instead: dict[str, DataFrame] = {}
+    make = builders(ChainMap(instead, src), ctx, store)
+
+    def do(name: str, dated: bool) -> int:
+        if carried is not None and name == carried.name:
+            rows = carried.advance(ctx.asof)
+            instead["register_rest"] = carried.rows(ctx.asof)
+            return rows
+        rows = _publish(checked(make[name](), name), name, dated, ctx, store)
+        if name == "pledge":
+            _rejected(make, src, ctx, store)
+        return rows
+
+    for number, (name, dated) in enumerate(STEPS if carried is None else ((carried.name, True), *STEPS), start=1):
         if only is not None and name not in only:
             continue
         start, status, error = now(), 1, (None, None)
         try:
-            counts.append((name, _publish(checked(make[name](), name), name, dated, ctx, store)))
+            counts.append((name, do(name, dated)))
         except Exception as problem:  # the step is reported as failed and the run goes on
             status, error = 0, (audit.error_class(problem), str(problem)[:1024])
         log.append((run_id, number, name, start, now(), status, None, *error))
     raw = store.spark.createDataFrame(log, audit.RAW_STEP_SCHEMA)
     steps = cut(audit.step_audit(raw, store.spark.createDataFrame(counts, "target string, row_count bigint")))
     runs = store.spark.createDataFrame([(run_id, 0, ctx.asof, begun)], audit.RUN_SCHEMA)
-    audit.append_audit(steps, f"{store.root}/_step_log")
-    audit.append_audit(runs, f"{store.root}/_run_log")
-    audit.apply_retention(store.spark, f"{store.root}/_run_log", f"{store.root}/_step_log", LOG_MONTHS, today or now().date())
+    kept = audit.RunLog(store.spark, store.root)
+    kept.append(run_id, runs, steps)
+    kept.retain(LOG_MONTHS, today or now().date())
     return steps
 
 
 def last_run_log(store: SliceStore) -> DataFrame:
     """Steps of the last run of every reporting date."""
-    read = store.spark.read.parquet
-    return audit.last_runs(read(f"{store.root}/_run_log"), read(f"{store.root}/_step_log"))
+    kept = audit.RunLog(store.spark, store.root)
+    return audit.last_runs(kept.runs(), kept.steps())

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 from datetime import date
+from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
 from snapbook.operators.asof import history_of, latest, latest_by_day
-from snapbook.operators.hierarchy import chain_roots
+from snapbook.operators.hierarchy import resolve_chains
 from snapbook.session import cut
 
 
@@ -21,14 +22,21 @@ class Facts(Mapping[str, DataFrame]):
 
     def __init__(self, src: Mapping[str, DataFrame], asof: date) -> None:
         self._src = src
-        self._made: dict[str, DataFrame] = {}
+        self._made: dict[str, Any] = {}
         self._defaults: dict[str, Callable[[], DataFrame]] = {
             "overdue": lambda: overdue_start(src["overdue_balance"], asof),
             "contract_quality": lambda: quality(src["risk_change"], src["risk_group"], "contract_id", asof),
             "issue_quality": lambda: quality(src["risk_change"], src["risk_group"], "issue_id", asof),
-            "pledge_series": lambda: pledge_series(src["pledge_chain"]),
+            "pledge_series": lambda: self._pledges()[0],
+            "pledge_reject": lambda: self._pledges()[1],
         }
 
+    def _pledges(self) -> tuple[DataFrame, DataFrame]:
+        if "_pledges" not in self._made:
+            series, cycles = pledge_chains(self._src["pledge_chain"])
+            self._made |= {"_pledges": (cut(series), cycles)}
+        return self._made["_pledges"]
+
     def __contains__(self, name: object) -> bool:
         return name in self._src or name in self._defaults
 
@@ -122,12 +130,21 @@ def division_code(divisions: DataFrame) -> DataFrame:
     return divisions.select("division_id", F.col("code").alias("division_code"))
 
 
-def pledge_series(links: DataFrame) -> DataFrame:
-    """Chains of subsequent pledges from ``pledge_id, prev_pledge_id, switch_date``: base and level."""
-    roots = chain_roots(links.select("pledge_id", "prev_pledge_id"), "pledge_id", "prev_pledge_id")
-    return links.select("pledge_id", "switch_date").join(
+def pledge_chains(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Chains of subsequent pledges from ``pledge_id, prev_pledge_id, switch_date``: base and level, and the pledges whose chain is a cycle.
+
+    A pledge that follows itself over others has no base; it is left out of the series and reported with the cycle it is on or leads into.
+    """
+    roots, cycles = resolve_chains(links.select("pledge_id", "prev_pledge_id"), "pledge_id", "prev_pledge_id")
+    series = links.select("pledge_id", "switch_date").join(
         roots.select("pledge_id", F.col("root").alias("base_id"), F.col("level").cast("int").alias("level")), "pledge_id"
     )
+    return series, cycles
+
+
+def pledge_series(links: DataFrame) -> DataFrame:
+    """The chains of ``pledge_chains``."""
+    return pledge_chains(links)[0]
 
 
 def bank_code(src: Mapping[str, DataFrame]) -> int | None:

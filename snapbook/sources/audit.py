@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import calendar
+import re
+import uuid
 from datetime import date
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapbook.functions import exprs
-from snapbook.session import cut
+from snapbook.session import folder_exists, make_folder, move_new, remove_folder, sub_folders
 
 STEP_SCHEMA = (
     "step_id string, run_id string, start timestamp_ntz, number int, target string, duration decimal(9,3), "
@@ -19,6 +22,8 @@ RAW_STEP_SCHEMA = (
     "error_number int, error_proc string, error_message string"
 )
 RUN_SCHEMA = "run_id string, event_type int, for_date date, start timestamp_ntz"
+# Before any reporting date.
+NO_DATE = "1900-01-01"
 
 
 def append_audit(df: DataFrame, path: str) -> None:
@@ -42,19 +47,71 @@ def retain_steps(steps: DataFrame, runs: DataFrame) -> DataFrame:
     return steps.join(runs.select("run_id").distinct(), "run_id", "left_semi")
 
 
-def apply_retention(spark: SparkSession, runs_path: str, steps_path: str, months: int, today: date) -> None:
-    """Take runs out of the log whose reporting date is ``months`` or more before today, and their steps.
+class RunLog:
+    """Run headers and steps by reporting date: ``_run_log/for_date=…/batch=…`` and ``_step_log/for_date=…/batch=…``.
 
-    The logs are rewritten only when there is such a run. The new log is complete in the shared folder before it takes the old one's place.
+    A batch (one run, or many taken over from elsewhere) is written beside the log and moved in by renames, its steps before its headers. So a
+    batch appended twice is there once, also after a stop halfway, and a header never lacks its steps. Runs leave the log by dropping dates: no job, and nothing is
+    rewritten. A partition without rows carries the columns.
     """
-    runs = spark.read.schema(RUN_SCHEMA).parquet(runs_path)
-    kept = retain(runs, "for_date", months, today)
-    if runs.count() == kept.count():
-        return
-    kept = cut(kept)
-    steps = cut(retain_steps(spark.read.schema(STEP_SCHEMA).parquet(steps_path), kept))
-    steps.write.mode("overwrite").parquet(steps_path)
-    kept.write.mode("overwrite").parquet(runs_path)
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _folder(self, table: str) -> str:
+        return f"{self.root}/_{table}_log"
+
+    def _move_in(self, df: DataFrame, table: str, batch: str) -> int:
+        staged = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        df.write.partitionBy("for_date").parquet(staged)
+        moved = 0
+        for day in sub_folders(self.spark, staged):
+            make_folder(self.spark, f"{self._folder(table)}/{day}")
+            moved += move_new(self.spark, f"{staged}/{day}", f"{self._folder(table)}/{day}/batch={batch}")
+        remove_folder(self.spark, staged)
+        return moved
+
+    def append(self, batch: str, runs: DataFrame, steps: DataFrame) -> int:
+        """Add runs (columns of RUN_SCHEMA) and their steps (STEP_SCHEMA); how many dates of the batch are new to the log."""
+        if not re.fullmatch(r"[A-Za-z0-9_.\-]+", batch):
+            raise ValueError(f"batch {batch!r} cannot be a folder name")
+        self._begin()
+        dated = steps.join(runs.select("run_id", "for_date"), "run_id")
+        self._move_in(dated.repartition("for_date"), "step", batch)
+        return self._move_in(runs.repartition("for_date"), "run", batch)
+
+    def _begin(self) -> None:
+        """Lay down the partitions that carry the columns, once."""
+        for table, schema in (("step", STEP_SCHEMA), ("run", RUN_SCHEMA.replace(", for_date date", ""))):
+            first = f"{self._folder(table)}/for_date={NO_DATE}/batch=0"
+            if not folder_exists(self.spark, first):
+                staged = f"{self.root}/_staging/{uuid.uuid4().hex}"
+                self.spark.createDataFrame([], schema).write.parquet(staged)
+                make_folder(self.spark, f"{self._folder(table)}/for_date={NO_DATE}")
+                move_new(self.spark, staged, first)
+                remove_folder(self.spark, staged)
+
+    def runs(self) -> DataFrame:
+        return self.spark.read.parquet(self._folder("run")).select(*(c.split()[0] for c in RUN_SCHEMA.split(", ")))
+
+    def steps(self) -> DataFrame:
+        return self.spark.read.parquet(self._folder("step")).select(*(c.split()[0] for c in STEP_SCHEMA.split(", ")))
+
+    def retain(self, months: int, today: date) -> list[date]:
+        """Drop runs for dates ``months`` or more before today, headers first; the dates dropped. A listing and deletions."""
+        last = _months_before(today, months)
+        days = {table: [d for d in sub_folders(self.spark, self._folder(table)) if d > f"for_date={NO_DATE}" and d <= f"for_date={last}"] for table in ("run", "step")}
+        for table in ("run", "step"):
+            for day in days[table]:
+                remove_folder(self.spark, f"{self._folder(table)}/{day}")
+        return [date.fromisoformat(d.removeprefix("for_date=")) for d in days["run"]]
+
+
+def _months_before(day: date, months: int) -> date:
+    """The same day so many months before, or the last one of a shorter month."""
+    number = day.year * 12 + day.month - 1 - months
+    year, month = divmod(number, 12)
+    return date(year, month + 1, min(day.day, calendar.monthrange(year, month + 1)[1]))
 
 
 def error_class(problem: Exception) -> str:

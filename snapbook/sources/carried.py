@@ -94,10 +94,14 @@ class CarriedBalances:
             return note["rows"]
         return self.store.replace(self.merged(day, start, corrected), self.name, self.source, day, note={"seen": seen})
 
+    def rows(self, day: date) -> DataFrame:
+        """The carried rows of a published date. They can stand for the whole history in any lookup as of that date."""
+        return self.store.read(self.name, self.source, day).drop("source", "date1")
+
     def last(self, day: date) -> DataFrame:
-        """The carried rows of a date, brought up to date first. They can stand for the whole history in any lookup as of that date."""
+        """The carried rows of a date, brought up to date first."""
         self.advance(day)
-        return self.store.read(self.name, self.source, day).drop("source", "date1")
+        return self.rows(day)
 
     def opening_balance(self, registers: DataFrame, day: date) -> DataFrame:
         """As ``asof.opening_balance``, from the carried rows."""

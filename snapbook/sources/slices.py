@@ -25,7 +25,7 @@ from snapbook.session import (
 )
 
 # Datasets whose slices the clearing step empties; the dictionaries stay.
-DATED = ("guarantee", "pledge", "client", "schedule", "portfolio", "account", "loan")
+DATED = ("guarantee", "pledge", "pledge_reject", "client", "schedule", "portfolio", "account", "loan")
 
 _TAG = re.compile(r"[A-Za-z0-9_.\-]+\Z")
 _PLACE = re.compile(r"/source=([^/]+)(?:/date1=([^/]+))?/(?:v=(\d+)|[^/]+)\Z")

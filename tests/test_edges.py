@@ -137,7 +137,7 @@ def test_chain_roots_of_long_chains_and_cycles(spark):
     assert out["p0"] == ("p0", 0) and out["p99"] == ("p0", 99) and out["p64"] == ("p0", 64) and out["q1"] == ("gone", 1)
     loop = spark.createDataFrame([("a", "b"), ("b", "a")], "pledge_id string, prev string")
     with pytest.raises(ValueError):
-        hierarchy.chain_roots(loop, "pledge_id", "prev", max_rounds=6)
+        hierarchy.chain_roots(loop, "pledge_id", "prev")
 
 
 def test_correction_with_contract_and_portfolio_appears_twice(spark):

@@ -381,6 +381,9 @@ SQL: dict[str, str] = {
     "S13_default_id": """select contract_id, coalesce(g.product_id, (select product_id from {product} where name = 'Потребительский кредит')) as product_id
         from {contract} join {product_type} using (product_type_id) left join {loan_program} g using (program_id)""",
     "S14_append_audit": "select run_id, count(*) as steps, max(number) as last_number from {step} group by 1",
+    "S14_S16_run_log": """
+        select run_id, for_date, r.start, nullif(count(s.step_id), 0) as steps, max(s.number) as last_number
+        from {run} r left join {step} s using (run_id) where for_date > date '2024-01-10' group by 1, 2, 3""",
     "S15_error_counts": "select r.*, (select count(*) from {step} s where s.run_id = r.run_id and s.status = 0) as error_count from {run} r",
     "S16_retention": "select run_id, count(*) as steps from {step} where run_id in (select run_id from {run} where for_date > date '2024-01-10') group by 1",
     "S17_entries_scan": f"select contract_id, issue_id, portfolio_id, cast(transaction_sum as double) as transaction_sum from ({_ENTRY_ROWS})",
@@ -430,6 +433,7 @@ SQL: dict[str, str] = {
         union all select distinct 'tranche', i.issue_id, i.issue_date + n.issue_term from {NEXT_ISSUE} n join {{issue}} i using (issue_id)""",
     "J10_E17_opening_balance": OPENING_BALANCE,
     "J7_J10_carried_balances": OPENING_BALANCE,
+    "J1_J10_colocated_tables": OPENING_BALANCE,
     "J7_S10_days_of_a_month": """
         with days as (select cast(unnest(generate_series(date '1998-06-01', date '1998-06-30', interval 1 day)) as date) as day),
         seen as (select g.register_id, g.register_type_id, d.day, r.oper_day, case when r.oper_day = d.day then r.rest_in else r.rest_out end as rest,
@@ -529,6 +533,8 @@ SQL: dict[str, str] = {
         cast(trunc(sum_rub) as int) as whole, try_cast(tranche_oid as int) as not_a_number from {entry}""",
     "E6_E7_E8_dates": """select contract_id, contract_date + 45 as plus_days, cast(contract_date - interval 12 month as date) as year_back,
         cast(end_date - contract_date as int) as days, coalesce(closed_date, @D) as closed_or_today from {base_contract}""",
+    "E8_default_date": """select contract_id, @D as day, date_diff('day', contract_date, @D) as age,
+        case when closed_date <= @D then 1 else 0 end as is_closed from {base_contract}""",
     "E10_E12_E13_names": """select contract_id, 'Счет ' || b.number || case when c.name is null then '' else ' (' || trim(c.name) || ')' end as title,
         case when currency is null then '' else currency || '. ' end || upper(substring(lower(b.number), 1, 1)) || substring(lower(b.number), 2) as capital,
         length(rtrim(c.name)) as name_length from {base_contract} b left join {customer_dim} c on c.customer_id = b.client_id""",
@@ -560,6 +566,21 @@ SQL: dict[str, str] = {
             union all
             select c.pledge_id, c.switch_date, t.base_id, t.level + 1 from chain t join {pledge_chain} c on c.prev_pledge_id = t.pledge_id)
         select * from chain""",
+    "U11_J21_cycles": """
+        with recursive links as (
+            select pledge_id, cast(substring(pledge_id, 2) as bigint) as n,
+                   case when cast(substring(pledge_id, 2) as bigint) % 40 = 0 then 'p' || cast(cast(substring(pledge_id, 2) as bigint) + 5 as string) else prev_pledge_id end as prev
+            from {pledge_chain}),
+        closed as (select n as first from links where n % 40 = 0 and n + 5 in (select n from links)),
+        chain as (
+            select l.pledge_id, coalesce(l.prev, l.pledge_id) as base_id, case when l.prev is null then 0 else 1 end as level from links l
+            where l.prev is null or l.prev not in (select pledge_id from links)
+            union all
+            select c.pledge_id, t.base_id, t.level + 1 from chain t join links c on c.prev = t.pledge_id)
+        select pledge_id, base_id, level, cast(null as bigint) as cycle_length, cast(null as int) as on_cycle from chain
+        union all
+        select l.pledge_id, (select min(b.pledge_id) from links b where b.n between first and first + 5), null, 6, case when l.n <= first + 5 then 1 else 0 end
+        from closed join links l on l.n between first and first + 7""",
     "U12_client_rows": "select * exclude (branch_code) replace (cast(rating_internal_score as double) as rating_internal_score) from {client}",
     "Q3_Q4_loans": f"""
         with elig as (select * from {ELIGIBLE} where actual_status = 1 or (actual_status = 2 and fact_close_date = @D))

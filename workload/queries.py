@@ -19,7 +19,7 @@ from snapbook.session import cut, new_folder
 from snapbook.sources import audit
 from snapbook.sources.carried import CarriedBalances, History
 from snapbook.sources.slices import DATED, SliceStore, StaleWriter
-from snapbook.sources.tables import read_source
+from snapbook.sources.tables import Sources, read_source, write_buckets
 from workload.standins import EVENT_DAY, ORDER_DAY, StandIns
 
 D = date.fromisoformat(ORDER_DAY)
@@ -221,6 +221,19 @@ def _(s):
     return s.spark.read.parquet(path).groupBy("run_id").agg(F.count(F.lit(1)).alias("steps"), F.max("number").alias("last_number"))
 
 
+@query("S14_S16_run_log")
+def _(s):
+    """The runs by halves, each appended twice, then the dates a year back dropped."""
+    log = audit.RunLog(s.spark, new_folder(s.spark, "log"))
+    half = F.crc32(F.col("run_id").cast("binary")) % 2 == 0
+    for _ in range(2):
+        log.append("even", s["run"].filter(half), s["step"].filter(half))
+        log.append("odd", s["run"].filter(~half), s["step"].filter(~half))
+    log.retain(12, date(2025, 1, 10))
+    steps = log.steps().groupBy("run_id").agg(F.count(F.lit(1)).alias("steps"), F.max("number").alias("last_number"))
+    return log.runs().join(steps, "run_id", "left").select("run_id", "for_date", "start", "steps", "last_number")
+
+
 @query("S15_error_counts")
 def _(s):
     return audit.error_counts(s["run"], s["step"])
@@ -359,6 +372,16 @@ def _(s):
     return df.groupBy("portfolio_id", "contract_type").agg(F.count(F.lit(1)).alias("contracts"))
 
 
+@query("J1_J10_colocated_tables")
+def _(s):
+    """Registers and their history in buckets by register, joined and reduced where they are."""
+    root = new_folder(s.spark, "buckets")
+    for name in ("register", "register_rest"):
+        write_buckets(s[name], root, name, "register_id", s.spark.sparkContext.defaultParallelism)
+    src = Sources(s.spark, root)
+    return ao.opening_balance(src["register"].select("register_id"), src["register_rest"], D)
+
+
 @query("J2_left_lookup")
 def _(s):
     df = lookups.attach(s["contract"], s["loan_purpose"], {"purpose_id": "purpose_id"}, {"name": "purpose"}, spread_nulls_by="contract_id")
@@ -637,6 +660,15 @@ def _(s):
         F.datediff("end_date", "contract_date").alias("days"), F.coalesce("closed_date", CTX.day).alias("closed_or_today"))
 
 
+@query("E8_default_date")
+def _(s):
+    """A run without a given date: the clock is asked once, whatever it says later."""
+    days = iter([D, E])
+    ctx = RunContext.today(clock=lambda: next(days), source="clock")
+    return s["base_contract"].select("contract_id", ctx.day.alias("day"), F.datediff(ctx.day, "contract_date").alias("age"),
+                                     exprs.flag(is_closed(F.col("closed_date"), ctx.asof)).alias("is_closed"))
+
+
 @query("E10_E12_E13_names")
 def _(s):
     df = s["base_contract"].join(s["customer"], F.col("client_id") == F.col("customer_id"), "left")
@@ -736,6 +768,18 @@ def _(s):
     return routines.pledge_series(s["pledge_chain"])
 
 
+@query("U11_J21_cycles")
+def _(s):
+    """Some chains of eight closed into a cycle of six, with two pledges that lead into it."""
+    number = F.substring("pledge_id", 2, 20).cast("long")
+    closed = F.concat(F.lit("p"), (number + 5).cast("string"))
+    links = s["pledge_chain"].withColumn("prev_pledge_id", F.when(number % 40 == 0, closed).otherwise(F.col("prev_pledge_id")))
+    series, cycles = routines.pledge_chains(links)
+    none = F.lit(None)
+    return series.select("pledge_id", "base_id", "level", none.cast("long").alias("cycle_length"), none.cast("boolean").alias("on_cycle")).unionByName(
+        cycles.select("pledge_id", "base_id", none.cast("int").alias("level"), "cycle_length", "on_cycle"))
+
+
 @query("U12_client_rows")
 def _(s):
     return s["client"].select(*[F.col(c) for c in client.CLIENT_COLUMNS if c != "branch_code"])
