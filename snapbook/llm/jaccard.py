@@ -7,9 +7,9 @@ into a prefix.
 
 Nodes that share a prefix shingle form a group. First every node meets one pivot of its size band, which links the
 members of a large group of near copies in as many comparisons as it has members. What is left, groups whose nodes
-are still in different components, is cut into blocks of nodes of a component and of similar sizes; a pair of blocks
-that sizes allow is a tile. Bit counts of hashed bitmaps bound the overlap of each pair of a tile from above; pairs
-that pass are compared exactly on their sorted arrays. No pair of a group is skipped except those in one component already.
+are still in different components, is cut into blocks of nodes of similar sizes; a pair of blocks
+that sizes allow is a tile. Bit counts of hashed bitmaps, as long as the sets ask for, bound the overlap of each pair of a tile from above; pairs
+that pass come out of one tile only and are compared exactly on their sorted arrays. No pair of a group is skipped except those in one component already.
 
 Shingles are 64-bit hashes; the arrays keep 48 bits of them. Sets are told apart by size band and 56 bits of hash.
 
@@ -20,6 +20,7 @@ repeated results. Extra columns are not read.
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterator
 
@@ -36,8 +37,9 @@ PERCENT = 80
 ORDER_BUCKETS = 1 << 20
 NODE_BUCKETS = 1 << 22
 BLOCK = 256
-BITMAP_WORDS = 16
-STAR_ROUNDS = 2
+# Places of a bitmap for each shingle, and the least and most of one bitmap.
+BITMAP_LOAD, BITMAP_LEAST, BITMAP_MOST = 16, 1 << 10, 1 << 14
+STAR_ROUNDS = 1
 PREFIX_STEP = 20
 SEEN = 500_000
 
@@ -244,11 +246,25 @@ def open_groups(groups: DataFrame, parts: DataFrame) -> DataFrame:
     return cut(named.join(mixed.select("gram"), "gram", "left_semi"))
 
 
+def bitmap_bits(n: int) -> int:
+    """Places of the bitmap of a set of n shingles: a power of two, BITMAP_LOAD or more for each shingle within bounds."""
+    return min(max(1 << (BITMAP_LOAD * n - 1).bit_length(), BITMAP_LEAST), BITMAP_MOST)
+
+
 def bitmap(grams: np.ndarray) -> np.ndarray:
-    """Bits of a set's shingles in a table of 64 * BITMAP_WORDS places."""
-    bits = np.zeros(64 * BITMAP_WORDS, np.uint8)
-    bits[((grams >> np.uint64(20)) % np.uint64(64 * BITMAP_WORDS)).astype(np.int64)] = 1
-    return np.packbits(bits).view(np.uint64)
+    """Bits of a set's shingles, packed into words."""
+    size = bitmap_bits(len(grams))
+    bits = np.zeros(size, np.uint8)
+    bits[((grams >> np.uint64(12)) & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def folded(raw: list[bytes], words: int) -> np.ndarray:
+    """Bitmaps of one width: a wider one is folded by OR, which gives the bitmap that so many places would have had."""
+    out = np.empty((len(raw), words), np.uint64)
+    for i, bits in enumerate(raw):
+        out[i] = np.bitwise_or.reduce(np.frombuffer(bits, np.uint64).reshape(-1, words), axis=0)
+    return out
 
 
 def bitmap_table(grams: DataFrame) -> DataFrame:
@@ -265,55 +281,90 @@ def bitmap_table(grams: DataFrame) -> DataFrame:
     return cut(grams.mapInArrow(tidy(run), "node long, n long, bits binary"))
 
 
+class Block:
+    """The members of a block, opened."""
+
+    def __init__(self, members: pa.Array, least: int) -> None:
+        self.node, self.component, self.n = (members.field(c).to_numpy(zero_copy_only=False) for c in ("node", "component", "n"))
+        self.raw, self.least = members.field("bits").to_pylist(), least
+        self.groups = members.field("groups").to_pylist()
+        self._folded: dict[int, np.ndarray] = {}
+
+    def bits(self, words: int) -> np.ndarray:
+        if words not in self._folded:
+            self._folded[words] = folded(self.raw, words)
+        return self._folded[words]
+
+
+def allowed_pairs(one: Block, two: Block, alone: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of a tile whose bitmaps and sizes allow the similarity."""
+    words = bitmap_bits(min(one.least, two.least)) // 64
+    x, y = one.bits(words), two.bits(words)
+    total = one.n[:, None] + two.n[None, :]
+    small = np.minimum(one.n[:, None], two.n[None, :])
+    # overlap * (100 + PERCENT) >= PERCENT * total, and overlap <= (total - differ) / 2.
+    room = total - 2 * -(-PERCENT * total // (100 + PERCENT))
+    good = (one.component[:, None] != two.component[None, :]) & (100 * small >= PERCENT * (total - small))
+    if alone:
+        good = np.triu(good, 1)
+    differ = np.zeros(good.shape, np.int64)
+    for w in range(words):
+        differ += np.bitwise_count(x[:, w, None] ^ y[None, :, w])
+        if w % 16 == 15:
+            good &= differ <= room
+            if not good.any():
+                break
+    return np.nonzero(good & (differ <= room))
+
+
 def tile_pairs(groups: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Pairs of different components whose bitmaps allow the similarity.
+    """Pairs of different components whose bitmaps allow the similarity, each once.
 
     A shingle in one set only can still hide behind a shared bit, never the other way round: the sets differ by at least
-    as many shingles as the bitmaps by bits, so overlap <= (n_a + n_b - differing bits) / 2.
+    as many shingles as the bitmaps by bits, so overlap <= (n_a + n_b - differing bits) / 2. Bitmaps grow with the sets, so sets well below the
+    similarity seldom pass. A pair meets in every group that both are in and comes out of the smallest of these alone.
+
+    A group of up to BLOCK nodes is one block and meets itself. The blocks of a larger one hold nodes of one size band, dealt out by hash, and meet
+    by a join; so no task holds a group, however large.
     """
-    rows = groups.join(bitmaps, "node")
-    place = F.row_number().over(Window.partitionBy("gram").orderBy("component", "n", "node")) - 1
-    member = F.struct("node", "component", "n", "bits")
+    sizes = groups.groupBy("gram", band("node").alias("band")).agg(F.count(F.lit(1)).alias("in_band"))
+    whole = sizes.groupBy("gram").agg(F.sum("in_band").alias("in_group"))
+    listed = groups.groupBy("node", "component").agg(F.sort_array(F.collect_list("gram")).alias("groups"))
+    known = cut(listed.join(bitmaps, "node"))
+    rows = groups.select("gram", "node").join(whole, "gram")
+    member = F.struct("node", "component", "n", "bits", "groups")
+    small = rows.filter(F.col("in_group") <= BLOCK).join(known, "node").groupBy("gram").agg(F.collect_list(member).alias("amembers"), F.min("n").alias("an0"))
+    small = small.select("amembers", "an0", F.lit(None).cast(small.schema["amembers"].dataType).alias("bmembers"), F.col("an0").alias("bn0"), F.lit(True).alias("same"), "gram")
+    large = rows.filter(F.col("in_group") > BLOCK).withColumn("band", band("node")).join(sizes, ["gram", "band"]).join(known, "node")
     blocks = cut(
-        rows.withColumn("block", F.floor(place / BLOCK))
-        .groupBy("gram", "block")
+        large.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("in_band") / BLOCK)))
+        .groupBy("gram", "band", "block")
         .agg(F.collect_list(member).alias("members"), F.min("n").alias("n0"), F.max("n").alias("n1"),
              F.min("component").alias("c0"), F.max("component").alias("c1"))
+        .withColumn("place", F.struct("band", "block"))
     )
-    a, b = (blocks.select(F.col("gram"), *[F.col(c).alias(f"{s}{c}") for c in ("block", "members", "n0", "n1", "c0", "c1")]) for s in "ab")
+    a, b = (blocks.select(F.col("gram"), *[F.col(c).alias(f"{s}{c}") for c in ("place", "members", "n0", "n1", "c0", "c1")]) for s in "ab")
     tiles = a.join(b, "gram").filter(
-        f"ablock <= bblock and an1 * 100 >= bn0 * {PERCENT} and bn1 * 100 >= an0 * {PERCENT} "
+        f"aplace <= bplace and an1 * 100 >= bn0 * {PERCENT} and bn1 * 100 >= an0 * {PERCENT} "
         "and not (ac0 = ac1 and bc0 = bc1 and ac0 = bc0)"
-    )
-
-    def opened(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
-        for members in column:
-            flat = members.values
-            bits = np.frombuffer(b"".join(flat.field("bits").to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS)
-            yield *(flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "component", "n")), bits
+    ).select("amembers", "an0", "bmembers", "bn0", (F.col("aplace") == F.col("bplace")).alias("same"), "gram")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            same = batch.column("same").to_pylist()
-            for one, two, alone in zip(opened(batch.column("amembers")), opened(batch.column("bmembers")), same, strict=True):
-                differ = np.zeros((len(one[0]), len(two[0])), np.int64)
-                for w in range(BITMAP_WORDS):
-                    differ += np.bitwise_count(one[3][:, w, None] ^ two[3][None, :, w])
-                total = one[2][:, None] + two[2][None, :]
-                most = (total - differ) // 2
-                most = np.minimum(most, np.minimum(one[2][:, None], two[2][None, :]))
-                good = (100 * most >= PERCENT * (total - most)) & (one[1][:, None] != two[1][None, :])
-                if alone:
-                    good = np.triu(good, 1)
-                i, j = np.nonzero(good)
-                if len(i):
-                    found.append((np.minimum(one[0][i], two[0][j]), np.maximum(one[0][i], two[0][j])))
+            columns = [batch.column(c) for c in ("amembers", "an0", "bmembers", "bn0", "same", "gram")]
+            for ours, least, theirs, low, alone, gram in zip(*columns, strict=True):
+                one = Block(ours.values, least.as_py())
+                two = Block(theirs.values, low.as_py()) if theirs.is_valid else one
+                for i, j in zip(*allowed_pairs(one, two, alone.as_py()), strict=True):
+                    mine = one.groups[i]
+                    # Both lists ascend; this group is the first they share unless an earlier entry of one is in the other.
+                    if not set(mine[: bisect.bisect_left(mine, gram.as_py())]).intersection(two.groups[j]):
+                        found.append((min(one.node[i], two.node[j]), max(one.node[i], two.node[j])))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
 
-    made = tiles.select("amembers", "bmembers", (F.col("ablock") == F.col("bblock")).alias("same")).mapInArrow(tidy(run), "a long, b long")
-    return made.distinct()
+    return small.unionByName(tiles).mapInArrow(tidy(run), "a long, b long")
 
 
 def node_components(table: Stored) -> DataFrame:
