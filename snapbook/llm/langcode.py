@@ -16,11 +16,11 @@ prediction. Only text decides a prediction.
 from __future__ import annotations
 
 import itertools
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from snapbook.llm.blocks import row_groups, texts_of
@@ -35,7 +35,7 @@ AMBIGUOUS = 0.15
 UNKNOWN = "und"
 PIECE = 1 << 20
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 # ASCII letters stay (in lower case), all other ASCII bytes become a space; bytes of other letters stay.
 _FOLD = np.full(256, 32, np.uint8)

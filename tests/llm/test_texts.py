@@ -175,6 +175,13 @@ def test_language_edges(spark, edge_docs, no_docs):
     assert all((r["lang_pred"] == "und") == (r["doc_id"] in blank) for r in found)
 
 
+def test_signs_and_numerals_are_no_letters(spark):
+    one = langcode.fit(spark.createDataFrame([(1, "some text", "en")], "doc_id long, text string, lang string"))
+    texts = ["½ ² ①", "Ⅷ", "_ 12", "٣", "ª", "½ x", "日", "é"]
+    found = langcode.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), one).collect()
+    assert [r["lang_pred"] for r in sorted(found, key=lambda r: r["doc_id"])] == ["und"] * 4 + ["en"] * 4
+
+
 @pytest.mark.parametrize("languages", [2, 3, 4, 7, 9, 20])
 def test_codewords_differ(languages):
     code = langcode.codewords(languages).astype(int)
