@@ -13,7 +13,7 @@ from snapbook.functions.intervals import valid_on
 from snapbook.operators.asof import asof_latest, first_per
 from snapbook.operators.lookups import attach, const_df, opt_filter
 from snapbook.plans import routines
-from snapbook.plans.loan import of_keys, shape
+from snapbook.plans.loan import of_keys, quality_of, shape
 from snapbook.session import cut
 
 # Guarantee status -> base contract status; guarantee status and contract status names.
@@ -110,7 +110,7 @@ def guarantee_list(src: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
 def guarantee_snapshot(src: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
     df = cut(guarantee_list(src, ctx))
     own = {"contract_id": "contract_id"}
-    df = attach(df, of_keys(src["contract_quality"], df, "contract_id"), own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"}, once="contract_quality")
+    df = attach(df, quality_of(src, "contract", df), own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"}, once="contract_quality")
     registers = src["register"].join(df.select("contract_id").distinct(), "contract_id", "left_semi")
     limit = routines.register_rest(registers, src["register_rest"], UNUSED_LIMIT_REGISTER, ctx.asof)
     df = attach(df, limit, own, {"amount": "summa_val"})

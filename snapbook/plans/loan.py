@@ -112,10 +112,15 @@ def eligible_contracts(src: Frames, ctx: RunContext) -> DataFrame:
 
 
 def of_keys(df: DataFrame, keys: DataFrame | None, key: str) -> DataFrame:
-    """Rows whose key is in a frame that is written out already. The semi-join goes down to the scan, below a reduction by the key too."""
+    """Rows whose key is in a frame that is written out already; for a history, before it is reduced."""
     return df if keys is None else df.join(keys.select(key), key, "left_semi")
 
 
+def quality_of(src: Frames, level: str, keys: DataFrame) -> DataFrame:
+    """Qualities of the contracts or tranches at hand, from a given frame or from their own risk changes."""
+    return src.quality_of(level, keys) if isinstance(src, routines.Facts) else of_keys(src[f"{level}_quality"], keys, f"{level}_id")
+
+
 def replanned_contract_terms(src: Frames, ctx: RunContext, only: DataFrame | None = None) -> DataFrame:
     """Contract term set by the earliest change after the date: ``contract_id, new_term``; of the contracts in ``only`` if given."""
     changes = src["agreement_history"].filter(F.col("change_type") == CONTRACT_TERM_CHANGE)
@@ -226,7 +231,7 @@ def contract_rows(src: Frames, ctx: RunContext, header: DataFrame, schemes: Data
     df = attach(df, _issue_facts(src, header, schemes), own, {"date_issue": "date_issue", "code": "code"})
     df = attach(df, mine(ceded_contracts(src, ctx)), own, {"ceded": "ceded"})
     df = attach(df, routines.contract_sum(mine(src["contract_sum"]), ctx.asof), own, {"amount": "amount"})
-    df = attach(df, mine(src["contract_quality"]), own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"}, once="contract_quality")
+    df = attach(df, quality_of(src, "contract", header), own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"}, once="contract_quality")
     df = attach(df, schemes, {"scheme_id": "scheme_id"}, {"rate": "rate"}, spread_nulls_by="contract_id")
     plan = F.date_add("start_date", F.col("new_term"))
     return shape(
@@ -274,7 +279,7 @@ def tranche_rows(src: Frames, ctx: RunContext, header: DataFrame, schemes: DataF
     df = lines.join(issues, "contract_id")
     own = {"issue_id": "issue_id"}
     df = attach(df, replanned_issue_terms(src, ctx, issues), own, {"new_term": "new_term"})
-    df = attach(df, of_keys(src["issue_quality"], issues, "issue_id"), own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"}, once="issue_quality")
+    df = attach(df, quality_of(src, "issue", issues), own, {"reserve_ratio": "coef_reserve", "quality_code": "category_quality"}, once="issue_quality")
     scheme = {"scheme_id": "scheme_id"}
     df = attach(df, schemes, scheme, {"rate": "rate", "code": "code"}, spread_nulls_by="issue_id")
     plan = F.date_add("issue_date", F.col("new_term"))

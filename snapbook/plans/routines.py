@@ -21,7 +21,7 @@ class Facts(Mapping[str, DataFrame]):
     """Input frames with the default definitions of facts that are not given: overdue dates, qualities and pledge chains."""
 
     def __init__(self, src: Mapping[str, DataFrame], asof: date) -> None:
-        self._src = src
+        self._src, self._asof = src, asof
         self._made: dict[str, Any] = {}
         self._defaults: dict[str, Callable[[], DataFrame]] = {
             "overdue": lambda: overdue_start(src["overdue_balance"], asof),
@@ -37,6 +37,14 @@ class Facts(Mapping[str, DataFrame]):
             self._made |= {"_pledges": (cut(series), cycles)}
         return self._made["_pledges"]
 
+    def quality_of(self, level: str, keys: DataFrame) -> DataFrame:
+        """Qualities of the contracts or tranches in ``keys``; where they are not given, only the risk changes of these are reduced."""
+        key = f"{level}_id"
+        if f"{level}_quality" in self._src:
+            return self._src[f"{level}_quality"].join(keys.select(key), key, "left_semi")
+        changes = self._src["risk_change"].join(keys.select(key), key, "left_semi")
+        return quality(changes, self._src["risk_group"], key, self._asof)
+
     def __contains__(self, name: object) -> bool:
         return name in self._src or name in self._defaults
 

@@ -256,3 +256,26 @@ def test_today_asks_the_clock_once():
     assert (ctx.asof, ctx.source, ctx.depth_days) == (D, "X", 2) and RunContext.today().asof == date.today()
     with pytest.raises(ValueError):
         RunContext(None)
+
+
+# histories cut down before they are reduced
+
+def _below(plan, reducer):
+    """Whether each node of that kind over a history has a semi-join below it, by the indentation of the plan's lines."""
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-|"))
+    found = []
+    for i, line in enumerate(lines):
+        if reducer in line:
+            inside = [x for x in lines[i + 1 :]][: next((n for n, x in enumerate(lines[i + 1 :]) if depth(x) <= depth(line)), len(lines))]
+            found.append(any("LeftSemi" in x for x in inside))
+    return found
+
+
+def test_loan_histories_are_cut_down_in_their_scan(spark, sf_dir):
+    src = StandIns(spark, sf_dir)
+    header = loan.cut(src["contract"].select("contract_id").limit(50))
+    facts = loan.routines.Facts({n: src[n] for n in ("risk_change", "risk_group")}, D)
+    for frame in (loan.routines.contract_sum(loan.of_keys(src["contract_sum"], header, "contract_id"), D), loan.quality_of(facts, "contract", header)):
+        below = _below(frame._jdf.queryExecution().optimizedPlan().toString(), "Aggregate [contract_id")
+        assert below and all(below)
