@@ -38,6 +38,57 @@ def test_one_page(name):
     assert made.text(made.best()[0]).split("\n") == lines
 
 
+def links(n: int) -> str:
+    return "".join(f"<li><a href=x>{prose(90 + i, 6)}</a>" for i in range(n))
+
+
+# Names in an article: those of parts of the text, and those of furniture.
+NAMED = {
+    "heading ids": (f'<h1>Head</h1><h2 id="discussion">Discussion</h2>{ARTICLE}<h2 id="comments">Comments</h2><p>end</p>', ["Head", "Discussion", *LINES, "Comments", "end"]),
+    "section ids": (f'{ARTICLE}<section id="related-work"><h2>Related work</h2><p>more</p></section><section id="legal"><p>law</p></section>', [*LINES, "Related work", "more", "law"]),
+    "id from a heading": (f'{ARTICLE}<section id="cookies"><h2>Cookies</h2><p>recipe</p></section><section id="cookies"><p>accept</p></section>', [*LINES, "Cookies", "recipe"]),
+    "comments with a heading": (f'{ARTICLE}<section id="comments"><h2>Comments</h2><p>first</p></section>', LINES),
+    "compound classes": (f'<p class="share-price">up</p><div class="banner-year">good</div>{ARTICLE}<div class="legal">terms</div>', ["up", "good", *LINES, "terms"]),
+    "furniture classes": (f'{ARTICLE}<div class="adBox">a</div><div class="cookie-banner">b</div><ul class="related-posts2"><li>c</ul><p class="advert">d</p><div class="social_share">e</div>', LINES),
+    "evidence": (f'{ARTICLE}<div class="newsletter-teaser">mail <input name=m></div><ul class="promo-summer">{links(4)}</ul><div class="promo-winter">snow</div>', [*LINES, "snow"]),
+    "formulas and drawings": (f"{ARTICLE}<p>so <math><mi>x</mi></math></p><svg><text>no</text></svg><noscript><p>no</p></noscript><aside>no</aside>", [*LINES, "so x"]),
+}
+
+
+@pytest.mark.parametrize("name", NAMED)
+def test_names_in_an_article(name):
+    body, lines = NAMED[name]
+    for around in ("article", 'div class="post"'):
+        made = hostpaths.Page(page(f"<{around}>{body}</{around.split()[0]}>"))
+        assert made.text(made.best()[0]).split("\n") == lines
+
+
+def test_header_of_a_named_article():
+    made = hostpaths.Page(page(f'<header><p>Site</p></header><div class="post"><header><h1>Head</h1></header><div class="postHeader">By</div>{ARTICLE}</div>'))
+    assert made.text(made.best()[0]).split("\n") == ["Head", "By", *LINES]
+
+
+MEGABYTE = 1 << 20
+BROKEN = {
+    "unclosed quotes": '<a "x', "unclosed quotes with ends": '<a ">" ', "comments": "<!--", "declarations": "<!x", "cdata": "<![CDATA[", "end tags": "</b", "scripts": "</script ",
+    "nested": "<div>", "nested inline": "<span>", "nested quotes": "<blockquote>x", "articles": "<article>", "spans and paragraphs": "<span><p>x", "stray ends": "<div></b>",
+}
+
+
+@pytest.mark.parametrize("name", BROKEN)
+def test_long_broken_pages(name):
+    """A page of a megabyte takes time in proportion to its length."""
+    import time
+
+    for head, tail in (("", ""), ("<b><i>", "y>"), ("<script>", "y>")):
+        start = time.process_time()
+        made = hostpaths.Page(head + BROKEN[name] * (MEGABYTE // len(BROKEN[name])) + tail)
+        path = made.best()[0]
+        assert made.has(path) or not path
+        made.text(path)
+        assert time.process_time() - start < 12
+
+
 LEAD = " ".join(prose(60, 12).split())
 AFTER = " ".join(prose(61, 20).split())
 WRAPPED = {
