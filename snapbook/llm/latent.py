@@ -1,21 +1,23 @@
 """Benchmark decontamination by latent semantic retrieval with a longest-common-subsequence check.
 
-The benchmark is the query set. It is read in blocks of items, so what is broadcast has a fixed bound; every block
-meets every passage of every document. Texts become numbers of benchmark words once, as a table in the shared folder;
-other words keep their places and count as one unknown word. On that table:
+The benchmark is the query set. It is read in shelves of items, so what is broadcast has a fixed bound; every shelf
+meets every passage of every document. Texts become numbers of a shelf's words once, as a table in the shared folder that is dropped
+when the shelf is done; other words keep their places and count as one unknown word. On that table, for each block of item parts:
 
 1. document frequencies give TF-IDF weights;
 2. a distributed randomised singular value decomposition of the TF-IDF passages (one pass over the rows, Nyström form:
-   Halko, Martinsson and Tropp, 2011) gives the latent space; tasks send sums of fixed size only;
-3. every window of three passages is compared with every item by the cosine in the latent space. What a space of fixed rank
-   misses is found by an exact rule: of any n - need + k words of an item, a window that holds ``need`` of its n words has k;
-   the rarest ones are counted in every window;
-4. candidates of both are checked by their longest common subsequence of words and by the item's closing words, which carry
+   Halko, Martinsson and Tropp, 2011) gives the latent space; tasks send sums of fixed size only. Its rank grows with the block's parts,
+   so a part keeps nearly its whole length in the space;
+3. every window of three passages is compared with every part by the cosine in the latent space. Only for parts that keep less than
+   ``KEPT`` of their length there, an exact rule adds candidates: of any n - need + k words of a part, a window that holds ``need`` of its n words
+   has k; the rarest ones are counted in every window;
+4. candidates are checked by their longest common subsequence of words and by the item's closing words, which carry
    its answer. A paraphrase that keeps most words in order is found as well as a quotation.
 
 Rules: words are runs of letters and digits in lower case. Null and empty texts and items without a word match nothing.
 Items with equal texts each get their rows; repeated documents repeat theirs. Items longer than a window's reach are searched in
-equal parts. Empty tables give an empty result. Extra columns are not read.
+equal parts and judged whole: a part that is found by ``LCS_WITH_ANSWER`` counts with its common words, another one with none, their sum over the
+item's words is its share, and the closing words are the item's. Empty tables give an empty result. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 
 from snapbook.llm.blocks import BYTE_CODES, row_groups, runs_of, texts_of, words_of_group
-from snapbook.llm.shared import BUCKET_SCHEMA, bucket_sums, cut, emit_buckets, tidy
+from snapbook.llm.shared import BUCKET_SCHEMA, bucket_sums, cut, emit_buckets, Stored, tidy
 
 PASSAGE = 32
 WINDOW_PASSAGES = 3
@@ -41,7 +43,11 @@ LCS_ALONE = 0.75
 LCS_WITH_ANSWER = 0.55
 ANSWER_WORDS = 8
 ANSWER_SHARE = 0.75
-BLOCK_BYTES = 1 << 18
+# Bounds of what is broadcast: text of a shelf of items, and parts of a block that has a latent space of its own.
+SHELF_BYTES = 1 << 18
+BLOCK_PARTS = 256
+# Share of its length that a part must keep in the space to be searched there alone.
+KEPT = 0.9
 NEAR_ROWS = 1_024
 RARE_SHARE = 4
 RARE_PAIRS = 1_000_000
@@ -53,7 +59,7 @@ SEPARATORS[48:58] = SEPARATORS[65:91] = SEPARATORS[97:123] = SEPARATORS[128:] =
 
 
 class Items:
-    """A block of benchmark items as word numbers; parts of at most ``REACH`` words are what is searched."""
+    """A shelf of benchmark items as word numbers; parts of at most ``REACH`` words are what is searched."""
 
     def __init__(self, rows: list[Row]):
         words, borders = words_of_group([(r["text"] or "").lower() for r in rows], BYTE_CODES, SEPARATORS)
@@ -61,12 +67,18 @@ class Items:
         ids = np.searchsorted(self.vocabulary, words)
         self.item: list[object] = []
         self.parts: list[np.ndarray] = []
+        self.number: list[int] = []  # of the item in the shelf, as items can share an id
+        self.last: list[bool] = []
+        self.sizes: list[int] = []
         for i, row in enumerate(rows):
             own = ids[borders[i] : borders[i + 1]]
             if len(own):
-                for part in np.array_split(own, -(-len(own) // REACH)):
-                    self.item.append(row["item_id"])
-                    self.parts.append(part)
+                pieces = np.array_split(own, -(-len(own) // REACH))
+                self.parts += pieces
+                self.item += [row["item_id"]] * len(pieces)
+                self.number += [i] * len(pieces)
+                self.last += [False] * (len(pieces) - 1) + [True]
+                self.sizes += [len(own)] * len(pieces)
 
     def lookup(self, words: np.ndarray) -> np.ndarray:
         """Word numbers; words outside the vocabulary get the number after the last."""
@@ -74,22 +86,47 @@ class Items:
         at[at == len(self.vocabulary)] = 0
         return np.where(self.vocabulary[at] == words, at, len(self.vocabulary)).astype(np.int32)
 
+    def blocks(self, counts: np.ndarray, weights: np.ndarray) -> Iterator[Block]:
+        for at in range(0, len(self.parts), BLOCK_PARTS):
+            yield Block(self, at, counts, weights)
 
-def item_blocks(bench: DataFrame) -> Iterator[Items]:
-    """The benchmark in blocks of about ``BLOCK_BYTES``, streamed to the driver."""
-    block, size = [], 0
+
+class Block:
+    """Some parts of a shelf in numbers of their own words, with the counts and weights of these."""
+
+    def __init__(self, items: Items, first: int, counts: np.ndarray, weights: np.ndarray):
+        parts = items.parts[first : first + BLOCK_PARTS]
+        words = np.unique(np.concatenate(parts))
+        self.first, self.size, self.shelf_size = first, len(words), len(items.vocabulary)
+        self.local = np.full(self.shelf_size + 1, self.size, np.int32)
+        self.local[words] = np.arange(self.size)
+        self.parts = [self.local[p].astype(np.int64) for p in parts]
+        self.whole = [items.sizes[first + i] == len(p) for i, p in enumerate(parts)]
+        self.last = items.last[first : first + BLOCK_PARTS]
+        self.counts = np.append(counts[words], counts[-1])
+        self.weights = np.append(weights[words], 0.0)
+
+    def texts(self, batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """Texts in runs of about ``CHUNK_WORDS`` words, with the first one's row."""
+        for lo, texts in chunks(batch, self.shelf_size):
+            yield lo, [self.local[t] for t in texts]
+
+
+def item_shelves(bench: DataFrame) -> Iterator[Items]:
+    """The benchmark in shelves of about ``SHELF_BYTES``, streamed to the driver."""
+    shelf, size = [], 0
     for row in bench.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
-        block.append(row)
+        shelf.append(row)
         size += len(row["text"] or "")
-        if size >= BLOCK_BYTES:
-            yield Items(block)
-            block, size = [], 0
-    if block:
-        yield Items(block)
+        if size >= SHELF_BYTES:
+            yield Items(shelf)
+            shelf, size = [], 0
+    if shelf:
+        yield Items(shelf)
 
 
-def numbered_texts(rows: DataFrame, items: Items) -> DataFrame:
-    """Per document the word numbers of its text, and per task the document counts of each word; written once."""
+def numbered_texts(rows: DataFrame, items: Items) -> Stored:
+    """Per document the word numbers of its text, and per task the document counts of each word; written once for a shelf."""
     shared = rows.sparkSession.sparkContext.broadcast(items)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -122,7 +159,7 @@ def numbered_texts(rows: DataFrame, items: Items) -> DataFrame:
             )
 
     names = ["doc_id", "ids", "segment", "counts"]
-    return cut(rows.mapInArrow(tidy(run), f"doc_id {kind}, ids binary, {BUCKET_SCHEMA}"))
+    return Stored(rows.mapInArrow(tidy(run), f"doc_id {kind}, ids binary, {BUCKET_SCHEMA}"), "numbered")
 
 
 def unpacked(raw: bytes, size: int) -> np.ndarray:
@@ -192,8 +229,9 @@ class Passages:
 class ItemRows:
     """Unit TF-IDF rows of the item parts, by their words only."""
 
-    def __init__(self, items: Items, weights: np.ndarray):
-        pairs = [np.unique(part, return_counts=True) for part in items.parts]
+    def __init__(self, block: Block):
+        weights = block.weights
+        pairs = [np.unique(part, return_counts=True) for part in block.parts]
         self.words = np.concatenate([w for w, _ in pairs])
         values = np.concatenate([n for _, n in pairs]) * weights[self.words]
         sizes = np.array([len(w) for w, _ in pairs])
@@ -213,24 +251,25 @@ class ItemRows:
         return out
 
 
-def latent_space(table: DataFrame, items: Items, weights: np.ndarray) -> np.ndarray:
-    """Right singular vectors (words x rank) of the unit TF-IDF passages together with the items.
+def latent_space(table: DataFrame, block: Block) -> np.ndarray:
+    """Right singular vectors (words x rank) of the unit TF-IDF passages together with the block's parts.
 
-    One pass gives the sketch A'(A omega) of all passages; the items' rows are added on the driver with a weight that
-    keeps directions seen in few passages in the space.
+    One pass gives the sketch A'(A omega) of all passages; the parts' rows are added on the driver with a weight that
+    keeps directions seen in few passages in the space. ``RANK`` directions and one for each part make up the space.
     """
-    size = len(items.vocabulary)
-    width = min(RANK + OVERSAMPLING, size)
+    size, weights = block.size, block.weights
+    rank = min(RANK + len(block.parts), size)
+    width = min(rank + OVERSAMPLING, size)
     omega = np.random.default_rng(7).standard_normal((size + 1, width))
     squares = (weights**2).astype(np.float32)
-    shared = table.sparkSession.sparkContext.broadcast(((omega * weights[:, None]).astype(np.float32), squares, weights))
+    shared = table.sparkSession.sparkContext.broadcast(((omega * weights[:, None]).astype(np.float32), squares, block))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, squares, weights = shared.value
+        rows, squares, block = shared.value
         sums = np.zeros((size + 2, width), np.float64)
         for batch in batches:
-            for _, texts in chunks(batch, size):
-                own = Passages(texts, weights)
+            for _, texts in block.texts(batch):
+                own = Passages(texts, block.weights)
                 if not len(own.first):
                     continue
                 sketch = own.sums(rows) / own.sums(squares)[:, None]
@@ -247,13 +286,13 @@ def latent_space(table: DataFrame, items: Items, weights: np.ndarray) -> np.ndar
 
     parts = table.filter("segment is null").select("ids").mapInArrow(tidy(run), BUCKET_SCHEMA)
     sums = bucket_sums(parts, (size + 2) * width, "<f8").reshape(size + 2, width)
-    rows, omega = ItemRows(items, weights), omega[:size]
-    corpus = sums[:size] * weights[:size, None] * (len(items.parts) / max(sums[size + 1, 0], 1.0))
+    rows, omega = ItemRows(block), omega[:size]
+    corpus = sums[:size] * weights[:size, None] * (len(block.parts) / max(sums[size + 1, 0], 1.0))
     gram = corpus + ITEM_WEIGHT * rows.transposed_times(rows.times(omega), size)
     values, vectors = np.linalg.eigh((omega.T @ gram + gram.T @ omega) / 2)
     good = values > 1e-10 * max(values.max(initial=0.0), 1e-12)
     left, _, _ = np.linalg.svd(gram @ (vectors[:, good] / np.sqrt(values[good])), full_matrices=False)
-    return left[:, :RANK]
+    return left[:, :rank]
 
 
 def common_length(masks: dict[int, int], size: int, words: list[int]) -> int:
@@ -278,12 +317,14 @@ def bit_masks(words: np.ndarray) -> dict[int, int]:
 class RareWords:
     """Exact candidates: windows that have enough of an item part's rarest words to hold the least share of the part.
 
-    A word that stands in several passages of a window counts for each of them, so counts are never too small.
+    A word that stands in several passages of a window counts for each of them, so counts are never too small. ``asked`` names the parts
+    that are searched so.
     """
 
-    def __init__(self, parts: list[np.ndarray], counts: np.ndarray):
-        words, times, sizes, self.least = [], [], [], np.zeros(len(parts), np.int64)
-        for i, part in enumerate(parts):
+    def __init__(self, parts: list[np.ndarray], counts: np.ndarray, asked: np.ndarray):
+        words, times, sizes, self.least = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], np.zeros(len(parts), np.int64)
+        for i in asked.tolist():
+            part = parts[i]
             need = max(1, int(np.ceil(LCS_WITH_ANSWER * len(part) - 1e-9)))
             self.least[i] = -(-need // RARE_SHARE)
             rare = part[np.lexsort((part, counts[part]))[: len(part) - need + self.least[i]]]
@@ -291,13 +332,15 @@ class RareWords:
             words.append(word)
             times.append(n)
             sizes.append(len(word))
-        word, part = np.concatenate(words), np.repeat(np.arange(len(parts)), sizes)
+        word, part = np.concatenate(words), np.repeat(asked, sizes)
         order = np.argsort(word, kind="stable")
         self.part, self.times = part[order], np.concatenate(times)[order]
         self.first = np.searchsorted(word[order], np.arange(len(counts) + 1))
 
     def candidates(self, own: Passages) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Windows and item parts, in slices of bounded size."""
+        if not len(self.part):
+            return
         sizes = np.diff(self.first)
         places = np.flatnonzero(sizes[own.ids])
         passage = np.searchsorted(own.starts, places, side="right") - 1
@@ -331,30 +374,35 @@ class RareWords:
             at = to
 
 
-def search(table: DataFrame, items: Items, weights: np.ndarray, space: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """Rows (doc_id, part, first_word, cosine, lcs_share, answer_share) for every window that an item part is found in.
+def search(table: DataFrame, block: Block, space: np.ndarray, latent: bool = True, exact: bool = True) -> DataFrame:
+    """Rows (doc_id, part, first_word, cosine, matched, answer_share) for every window that an item part is found in.
 
-    The cosine is the latent inner product of window and item over the window's full TF-IDF length and the item's
-    latent length, so a window with little in the space cannot come near by chance. Windows with enough rare words of an item are checked whatever the cosine.
+    The cosine is the latent inner product of window and part over the window's full TF-IDF length and the part's
+    latent length, so a window with little in the space cannot come near by chance. For parts that keep less than ``KEPT`` of their length in the space,
+    windows with enough of their rare words are checked whatever the cosine. ``latent`` and ``exact`` leave out one of the ways, to measure the other.
     """
-    size = len(items.vocabulary)
+    size, weights = block.size, block.weights
     rows = np.zeros((size + 1, space.shape[1] + 1), np.float32)
     rows[:size, :-1] = space * weights[:size, None]
     rows[:, -1] = weights**2
-    queries = ItemRows(items, weights).times(space)
-    queries = (queries / np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)).astype(np.float32)
-    shared = table.sparkSession.sparkContext.broadcast((rows, queries, items.parts, weights, RareWords(items.parts, counts)))
+    queries = ItemRows(block).times(space)
+    kept = np.linalg.norm(queries, axis=1)
+    queries = (queries / np.maximum(kept[:, None], 1e-12)).astype(np.float32)
+    low = np.flatnonzero(kept < KEPT) if exact else np.zeros(0, np.int64)
+    shared = table.sparkSession.sparkContext.broadcast((rows, queries, block, RareWords(block.parts, block.counts, low)))
     kind = table.schema["doc_id"].dataType.simpleString()
+    least = COSINE if latent else np.inf
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, queries, parts, weights, rare = shared.value
+        rows, queries, block, rare = shared.value
+        parts = block.parts
         masks = [bit_masks(p) for p in parts]
         tails = [(bit_masks(p[-ANSWER_WORDS:]), len(p[-ANSWER_WORDS:])) for p in parts]
         for batch in batches:
             found: list[tuple] = []
             ids_of = batch.column("doc_id")
-            for lo, texts in chunks(batch, size):
-                own = Passages(texts, weights)
+            for lo, texts in block.texts(batch):
+                own = Passages(texts, block.weights)
                 sums = np.zeros((len(own.starts), rows.shape[1]), np.float32)
                 sums[own.used] = own.sums(rows)
                 window = sums.copy()
@@ -362,12 +410,12 @@ def search(table: DataFrame, items: Items, weights: np.ndarray, space: np.ndarra
                     same = own.text[shift:] == own.text[:-shift]
                     window[:-shift][same] += sums[shift:][same]
                 length = np.sqrt(np.maximum(window[:, -1], 1e-12))
-                exact = [np.concatenate(x) for x in zip((np.zeros(0, np.int64), np.zeros(0, np.int64)), *rare.candidates(own), strict=True)]
+                rarely = [np.concatenate(x) for x in zip((np.zeros(0, np.int64), np.zeros(0, np.int64)), *rare.candidates(own), strict=True)]
                 for at in range(0, len(window), NEAR_ROWS):
                     near = (window[at : at + NEAR_ROWS, :-1] @ queries.T) / length[at : at + NEAR_ROWS, None]
-                    asked = near >= COSINE
-                    mine = slice(*np.searchsorted(exact[0], [at, at + NEAR_ROWS]))
-                    asked[exact[0][mine] - at, exact[1][mine]] = True
+                    asked = near >= least
+                    mine = slice(*np.searchsorted(rarely[0], [at, at + NEAR_ROWS]))
+                    asked[rarely[0][mine] - at, rarely[1][mine]] = True
                     for w, q in zip(*np.nonzero(asked), strict=True):
                         first, text = own.starts[at + w], own.text[at + w]
                         words = own.ids[first : min(first + PASSAGE * WINDOW_PASSAGES, own.ends[text])].tolist()
@@ -375,43 +423,66 @@ def search(table: DataFrame, items: Items, weights: np.ndarray, space: np.ndarra
                         words = [x for x in words if x in mask]
                         if len(words) < LCS_WITH_ANSWER * n:
                             continue
-                        share = common_length(mask, n, words) / n
-                        if share < LCS_WITH_ANSWER:
+                        matched = common_length(mask, n, words)
+                        if matched < LCS_WITH_ANSWER * n:
                             continue
                         tail, m = tails[q]
-                        answer = common_length(tail, m, words) / m
-                        if share >= LCS_ALONE or answer >= ANSWER_SHARE:
-                            found.append((lo + int(text), int(q), int(first - own.begins[text]), float(near[w, q]), share, answer))
+                        answer = common_length(tail, m, words) / m if block.last[q] else 0.0
+                        # A part of a longer item is judged with the others.
+                        if not block.whole[q] or matched >= LCS_ALONE * n or answer >= ANSWER_SHARE:
+                            found.append((lo + int(text), block.first + int(q), int(first - own.begins[text]), float(near[w, q]), matched, answer))
             if found:
                 row, *rest = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([ids_of.take(pa.array(row, pa.int64())), *map(pa.array, rest)], names=names)
 
-    names = ["doc_id", "part", "first_word", "cosine", "lcs_share", "answer_share"]
+    names = ["doc_id", "part", "first_word", "cosine", "matched", "answer_share"]
     found = table.filter("segment is null").select("doc_id", "ids")
-    return found.mapInArrow(tidy(run), f"doc_id {kind}, part long, first_word long, cosine double, lcs_share double, answer_share double")
-
-
-def leaks(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each document and benchmark item found in it: the best window's place, cosine and shares."""
+    return found.mapInArrow(tidy(run), f"doc_id {kind}, part long, first_word long, cosine double, matched long, answer_share double")
+
+
+def judged(found: DataFrame, items: Items, item_type: str) -> DataFrame:
+    """Found windows of parts as documents and whole items."""
+    rows = list(zip(range(len(items.item)), items.item, items.number, items.sizes, strict=True))
+    named = found.sparkSession.createDataFrame(rows, f"part long, item_id {item_type}, number long, size long")
+    best = F.max(F.struct("matched", "answer_share", "cosine", (-F.col("first_word")).alias("back")))
+    parts = found.groupBy("doc_id", "part").agg(best.alias("best"), F.max("answer_share").alias("answer"))
+    top = F.max(F.struct("best.matched", "best.cosine", "best.back"))
+    whole = (
+        parts.join(F.broadcast(named), "part").groupBy("doc_id", "number", "item_id", "size")
+        .agg(F.sum("best.matched").alias("matched"), F.max("answer").alias("answer_share"), top.alias("best"))
+        .withColumn("lcs_share", F.col("matched") / F.col("size"))
+        .filter((F.col("lcs_share") >= LCS_ALONE) | (F.col("lcs_share") >= LCS_WITH_ANSWER) & (F.col("answer_share") >= ANSWER_SHARE))
+    )
+    first = F.max(F.struct("lcs_share", "answer_share", "best.cosine", "best.back"))
+    return (
+        whole.groupBy("doc_id", "item_id").agg(first.alias("best"))
+        .select("doc_id", "item_id", (-F.col("best.back")).alias("first_word"), "best.cosine", "best.lcs_share", "best.answer_share")
+    )
+
+
+def leaks(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text", latent: bool = True, exact: bool = True) -> DataFrame:
+    """One row for each document and benchmark item found in it: the best window's place, cosine and shares.
+
+    ``found_by`` is ``latent`` where the cosine made the best window a candidate, else ``rare words``.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     item_type = bench.schema["item_id"].dataType.simpleString()
     kind = rows.schema["doc_id"].dataType.simpleString()
     found = None
-    for items in item_blocks(bench):
+    for items in item_shelves(bench):
         if not items.parts:
             continue
-        size = len(items.vocabulary)
-        table = numbered_texts(rows, items)
-        counts = bucket_sums(table.filter("segment is not null"), size + 1)
-        weights = informative(items, counts)
-        space = latent_space(table, items, weights)
-        named = spark.createDataFrame([(i, item) for i, item in enumerate(items.item)], f"part long, item_id {item_type}")
-        best = F.max(F.struct("lcs_share", "answer_share", "cosine", (-F.col("first_word")).alias("back")))
-        block = (
-            search(table, items, weights, space, counts).join(F.broadcast(named), "part").groupBy("doc_id", "item_id").agg(best.alias("best"))
-            .select("doc_id", "item_id", (-F.col("best.back")).alias("first_word"), "best.cosine", "best.lcs_share", "best.answer_share")
-        )
-        found = block if found is None else found.unionByName(block)
+        stored = numbered_texts(rows, items)
+        table = stored.frame
+        counts = bucket_sums(table.filter("segment is not null"), len(items.vocabulary) + 1)
+        windows = None
+        for block in items.blocks(counts, informative(items, counts)):
+            part = search(table, block, latent_space(table, block), latent, exact)
+            windows = part if windows is None else windows.unionByName(part)
+        shelf = cut(judged(windows, items, item_type))
+        stored.drop()
+        found = shelf if found is None else found.unionByName(shelf)
     schema = f"doc_id {kind}, item_id {item_type}, first_word long, cosine double, lcs_share double, answer_share double"
-    return spark.createDataFrame([], schema) if found is None else found
+    found = spark.createDataFrame([], schema) if found is None else found
+    return found.withColumn("found_by", F.when(F.col("cosine") >= COSINE, "latent").otherwise("rare words"))

@@ -192,7 +192,8 @@ def test_leaks_in_blocks_and_empty_tables(spark, edge_docs, no_docs, monkeypatch
     assert latent.leaks(edge_docs, bench).collect() == []
     docs = spark.createDataFrame([(i, planted(4000 + 2 * i, ITEMS[i][1])) for i in range(12)], "doc_id long, text string")
     whole = {(r["doc_id"], r["item_id"]) for r in latent.leaks(docs, bench).collect()}
-    monkeypatch.setattr(latent, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(latent, "SHELF_BYTES", 500)
+    monkeypatch.setattr(latent, "BLOCK_PARTS", 2)
     assert {(r["doc_id"], r["item_id"]) for r in latent.leaks(docs, bench).collect()} == whole == {(i, i) for i in range(12)} | {(0, 52)}
 
 
@@ -212,8 +213,25 @@ def test_many_items_in_one_block(spark):
 
     rows = [(i, around(t if i % 2 else changed(t, 0.3))) for i, t in bench]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = {(r["doc_id"], r["item_id"]) for r in latent.leaks(docs, spark.createDataFrame(bench, "item_id long, text string")).collect()}
-    assert got == {(i, i) for i in range(1500)}
+    bench_rows = spark.createDataFrame(bench, "item_id long, text string")
+    got = latent.leaks(docs, bench_rows).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i) for i in range(1500)}
+    # The latent search finds nearly all of them alone, and without it most are missing.
+    alone = {(r["doc_id"], r["item_id"]) for r in latent.leaks(docs, bench_rows, exact=False).collect()}
+    without = {(r["doc_id"], r["item_id"]) for r in latent.leaks(docs, bench_rows, latent=False).collect()}
+    print("recall of the latent search", len(alone) / 1500, "without it", len(without) / 1500, "by latent", sum(r["found_by"] == "latent" for r in got))
+    assert len(alone) >= 0.9 * 1500 and len(without) < 0.5 * 1500
+
+
+def test_long_items_are_judged_whole(spark):
+    """Words out of the middle of an item of several parts are no leak; three quarters of it, or the larger part with its end, are."""
+    own = prose(600, 200).split()
+    bench = spark.createDataFrame([(1, " ".join(own))], "item_id long, text string")
+    # Its parts have 50 words each.
+    cuts = {1: own, 2: own[50:100], 3: own[:150], 4: own[:100], 5: own[50:200], 6: own[:100] + own[150:200], 7: own[100:200], 8: own[:60]}
+    docs = spark.createDataFrame([(i, planted(5000 + 2 * i, " ".join(w))) for i, w in cuts.items()], "doc_id long, text string")
+    got = {r["doc_id"]: round(r["lcs_share"], 2) for r in latent.leaks(docs, bench).collect()}
+    assert got == {1: 1.0, 3: 0.75, 5: 0.75, 6: 0.75}
 
 
 def test_rare_words_in_slices(monkeypatch):
@@ -222,7 +240,7 @@ def test_rare_words_in_slices(monkeypatch):
     parts = [np.array(rng.choices(range(80), k=rng.randint(1, 30))) for _ in range(20)]
     texts = [np.array(rng.choices(range(81), k=n)) for n in (1, 40, 300, 31, 32, 97)] + [np.concatenate([parts[3], parts[7], parts[9]])]
     own = latent.Passages(texts, np.append(np.ones(80), 0.0))
-    rare = latent.RareWords(parts, np.bincount(np.concatenate(texts), minlength=81))
+    rare = latent.RareWords(parts, np.bincount(np.concatenate(texts), minlength=81), np.arange(len(parts)))
     must = set()
     for w, (start, text) in enumerate(zip(own.starts, own.text, strict=True)):
         words = own.ids[start : min(start + latent.PASSAGE * latent.WINDOW_PASSAGES, own.ends[text])].tolist()
