@@ -5,12 +5,13 @@ others in each Python worker and remembers them in a cache of bounded size. No p
 up its own most frequent ones, and only these summaries meet. Neither tier changes a count, only the time it takes.
 
 Rules: a null or empty text has 0 tokens. A special token's string inside a text is that one token, as the tokenizer
-library takes it by default. Equal rows get equal counts. A text of any length is counted in pieces that end where
-a pre-token ends.
+library takes it by default. Equal rows get equal counts. A text longer than ``PIECE`` characters is counted in pieces of about that length that end
+before white space after a letter, digit or ASCII sign, where a pre-token always ends; a longer stretch without such a place is one piece.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,6 +34,7 @@ FREQUENT = 16_384
 PER_TASK = 2_048
 SUMMARY = 200_000
 CACHE = 500_000
+PIECE = 1 << 18
 
 _state: dict[str, object] = {}
 
@@ -44,6 +46,7 @@ class Splitter:
         self.tokenizer = Tokenizer.from_file(path)
         self.usual = regex.compile(PATTERN).findall
         self.unusual = regex.compile(UNUSUAL).search
+        self.border = regex.compile(r"(?<=[!-~\p{L}\p{N}])[ \n\t\r]").search
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.specials = regex.compile("|".join(regex.escape(s) for s in sorted(specials, key=len, reverse=True))) if specials else None
 
@@ -54,6 +57,17 @@ class Splitter:
         pieces = self.specials.split(text)
         return len(pieces) - 1, [p for p in pieces if p]
 
+    def pieces(self, text: str) -> Iterator[list[str]]:
+        """The pre-tokens of an ordinary text, a piece at a time."""
+        at = 0
+        while len(text) - at > PIECE:
+            border = self.border(text, at + PIECE)
+            if border is None:
+                break
+            yield self.split(text[at : border.start()])
+            at = border.start()
+        yield self.split(text[at:] if at else text)
+
     def split(self, text: str) -> list[str]:
         if self.unusual(text) is None:
             return self.usual(text)
@@ -86,9 +100,10 @@ def frequent_pretokens(docs: DataFrame, text: str, path: str, size: int = FREQUE
         for batch in batches:
             for value in texts_of(batch, "text"):
                 for part in cut.parts(value)[1]:
-                    counts.update(cut.split(part))
-                if len(counts) > SUMMARY:
-                    counts = Counter(dict(counts.most_common(SUMMARY // 4)))
+                    for pretokens in cut.pieces(part):
+                        counts.update(pretokens)
+                        if len(counts) > SUMMARY:
+                            counts = Counter(dict(counts.most_common(SUMMARY // 4)))
         top = counts.most_common(PER_TASK)
         if top:
             yield pa.RecordBatch.from_pydict({"pretoken": [t for t, _ in top], "n": pa.array([n for _, n in top], pa.int64())})
@@ -114,13 +129,13 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     table = compact_table(frequent_pretokens(rows, "text", path, frequent), path)
     shared = docs.sparkSession.sparkContext.broadcast(table)
+    # A worker lives on from query to query; its tables belong to one tokenizer and one broadcast table.
+    name = (path, hashlib.blake2b(b"".join(table), digest_size=16).digest())
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def lookup() -> tuple[Splitter, dict[str, int], dict[str, int]]:
-        if _state.get("table") != id(shared.value):
-            _state.update(table=id(shared.value), known=open_table(shared.value), cache={})
-        if len(_state["cache"]) > CACHE:
-            _state["cache"] = {}
+        if _state.get("table") != name:
+            _state.update(table=name, known=open_table(shared.value), cache={})
         return splitter(path), _state["known"], _state["cache"]
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -128,8 +143,9 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
         for value in texts_of(batch, "text"):
             cut, known, cache = lookup()
             total, parts = cut.parts(value)
-            for part in parts:
-                pretokens = cut.split(part)
+            for pretokens in (pretokens for part in parts for pretokens in cut.pieces(part)):
+                if len(cache) > CACHE:
+                    cache.clear()
                 lengths = list(map(known.get, pretokens))
                 if None in lengths:
                     rest = [t for t, n in zip(pretokens, lengths, strict=True) if n is None]

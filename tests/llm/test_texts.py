@@ -2,12 +2,13 @@
 
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
-from plain import base_quality, gram_share
+from plain import base_quality, gram_share, prose
 from pyspark.sql import functions as F
 
 from snapbook.llm import langcode, quality, segments, sharding, tokens
@@ -138,6 +139,26 @@ def test_token_counts_small(spark, sf_dir, small_docs):
     assert [rows[i] for i, _ in small_docs] == plain_counts([t for _, t in small_docs])
 
 
+def test_pretokens_in_pieces(monkeypatch):
+    """Pieces of any length give the pre-tokens of the whole text."""
+    cut = tokens.Splitter(BPE)
+    rng = random.Random(5)
+    signs = [" ", "  ", "\n", "\t", "\r\n", "a", "it's", "é", "日本", "12", "!", "--", "\u00a0", "\u2003", "\u200b", "\x1f", "😀", "ﬁ", "\u0301"]
+    texts = ["".join(rng.choices(signs, k=400)) for _ in range(60)] + ["x" * 500, " " * 500, "日本" * 200, ""]
+    whole = [cut.split(t) for t in texts]
+    for size in (1, 7, 50):
+        monkeypatch.setattr(tokens, "PIECE", size)
+        for text, expected in zip(texts, whole, strict=True):
+            assert [t for piece in cut.pieces(text) for t in piece] == expected
+
+
+def test_long_text_counts(spark):
+    text = " ".join(prose(40 + i, 4000) for i in range(20)) + "<|endoftext|>" + "日本語 " * 90_000
+    assert len(text) > tokens.PIECE
+    got = tokens.count_tokens(spark.createDataFrame([(1, text)], "doc_id long, text string"), BPE).collect()
+    assert [r["n_tokens"] for r in got] == plain_counts([text])
+
+
 def test_pretokens_for_every_kind_of_character():
     cut = tokens.Splitter(BPE)
     for code in range(0, 0x30000, 7):
