@@ -14,7 +14,7 @@ Every found span has a source (text and place). Spans are put together along sou
 the words of both places are read again and compared by digest.
 
 Rules: null and empty texts have no words. A text with fewer words than a window never loses any. Rows with the same words: those with
-the smallest document id are judged, the others repeat them and lose all words. A null document id is larger than every
+the smallest document id are judged, the others repeat them and lose all words. Document ids are whole numbers (others must be numbered first); a null id is larger than every
 other, so such rows never are a source for rows with an id. Extra columns are not read.
 """
 

@@ -135,7 +135,7 @@ def training_rows(labelled: DataFrame, limit: int = SAMPLE_ROWS) -> list:
     """Features and language of at most ``limit`` documents, equal shares for each language, by hash order of the key.
 
     The counts of all labelled documents set the share that is looked at, so the exact choice sorts few rows; the driver gets
-    ``limit`` vectors of fixed size at most.
+    ``limit`` vectors of fixed size at most. Of more than ``limit`` languages the first ``limit`` by code point are learned.
     """
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy("lang").limit(limit).collect()}
     if not counts:

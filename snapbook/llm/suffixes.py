@@ -11,7 +11,7 @@ An anchor found in very many places is dealt out to several shards by text. Each
 and they meet by the hash of their bytes, dealt out over all tasks.
 
 Rules: null and empty texts have no bytes; shorter texts than a window lose nothing. Rows with equal text: those with the smallest document
-id are judged, the others lose everything. A null document id is larger than every other. Texts of any length are read in
+id are judged, the others lose everything. Document ids are whole numbers (others must be numbered first); a null id is larger than every other. Texts of any length are read in
 pieces. Extra columns are not read.
 """
 
