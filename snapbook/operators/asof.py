@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -167,13 +168,28 @@ def asof_each(left: DataFrame, hist: DataFrame, on: Names, day: str, eff: str, c
 
 
 def opening_balances(registers: DataFrame, rests: DataFrame, days: Sequence[date]) -> DataFrame:
-    """As ``opening_balance`` for many days at once, with the day as column ``day``; the history is read once."""
-    wanted = registers.withColumn("day", F.explode(F.array(*[F.lit(d).cast("date") for d in days])))
-    cols = {c: f"_{c}" for c in ("oper_day", "rest_in", "rest_out", "over_in", "over_out")}
-    last = asof_each(wanted, rests, "register_id", "day", "oper_day", cols)
-    on_day = F.col("_oper_day") == F.col("day")
+    """As ``opening_balance`` for many days at once, with the day as column ``day``; the history is read once.
+
+    Of each register stays the last row for every stretch between two of the days, combined before the exchange. Such a row counts from the first day it
+    is known until the next one takes over, and comes out once for each of these days after the join: what is moved and sorted
+    does not depend on the number of days. Ties go to the largest remaining columns.
+    """
+    asked = sorted(days)
+    on = [F.lit(d).cast("date") for d in asked]
+    columns = ("oper_day", "rest_in", "rest_out", "over_in", "over_out")
+    slot = reduce(lambda later, i: F.when(F.col("oper_day") <= on[i], F.lit(i)).otherwise(later), reversed(range(len(on))), F.lit(None).cast("int"))
+    known = rests.filter(F.col("oper_day") <= on[-1]).groupBy(F.col("register_id"), slot.alias("_slot")).agg(F.max(F.struct(*columns)).alias("_last"))
+    order = Window.partitionBy("register_id").orderBy("_slot")
+    # The first row of a register also stands for the days before it, which find nothing.
+    spans = known.select(
+        "register_id", "_last", F.when(F.lag("_slot").over(order).isNull(), F.lit(0)).otherwise(F.col("_slot")).alias("_from"),
+        F.coalesce(F.lead("_slot").over(order), F.lit(len(on))).alias("_until"),
+    )
+    begin, end = F.coalesce("_from", F.lit(0)), F.coalesce("_until", F.lit(len(on)))
+    each = registers.join(spans, "register_id", "left").withColumn("day", F.explode(F.slice(F.array(*on), begin + 1, end - begin)))
+    seen, on_day = F.col("_last.oper_day") <= F.col("day"), F.col("_last.oper_day") == F.col("day")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast(exprs.MONEY)
-    return last.select(
-        *wanted.columns, zero(F.when(on_day, F.col("_rest_in")).otherwise(F.col("_rest_out"))).alias("rest"),
-        zero(F.when(on_day, F.col("_over_in"))).alias("over_in"), zero(F.when(on_day, F.col("_over_out"))).alias("over_out"),
+    return each.select(
+        *registers.columns, "day", zero(F.when(on_day, F.col("_last.rest_in")).when(seen, F.col("_last.rest_out"))).alias("rest"),
+        zero(F.when(on_day, F.col("_last.over_in"))).alias("over_in"), zero(F.when(on_day, F.col("_last.over_out"))).alias("over_out"),
     )

@@ -143,3 +143,35 @@ def test_no_window_holds_a_whole_key(spark):
     left = spark.createDataFrame([("k", START)], "k string, day date")
     plan = ao.asof_each(left, h, "k", "day", "d", {"v": "value"})._jdf.queryExecution().optimizedPlan().toString()
     assert all("_part" in line for line in plan.splitlines() if "windowspecdefinition(k" in line)
+
+
+def test_the_days_of_a_month_are_not_moved(spark):
+    """Rows per register and day appear after the last exchange, and none is written out."""
+    rng = random.Random(3)
+    day = lambda i: START + timedelta(days=i)
+    hist = [(f"k{rng.randint(0, 12)}" if rng.random() < 0.7 else "hot", day(rng.randint(-40, 40)), *[rng.choice([None, rng.randint(0, 9)]) for _ in range(4)]) for _ in range(300)]
+    hist += [("k1", None, 1, 2, 3, 4), (None, START, 1, 2, 3, 4), ("early", day(-400), 1, 2, 3, 4), ("late", day(9), 5, 6, 7, 8)]
+    keys = [f"k{i}" for i in range(15)] + ["hot", "hot", "early", "late", None]
+    days = [day(i) for i in (3, 0, 1, 2, 9, 20)]
+    rests = spark.createDataFrame(hist, SCHEMA.simpleString()[7:-1].replace("decimal(21,2)", "long")).select(
+        *[F.col(f.name).cast(f.dataType) for f in SCHEMA])
+    registers = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "register_id string, n int")
+    want = []
+    for i, k in enumerate(keys):
+        for d in days:
+            low = lambda row: tuple((v is not None, v or 0) for v in row[2:])
+            last = max((h for h in hist if k is not None and h[0] == k and h[1] is not None and h[1] <= d), key=lambda h: (h[1], low(h)), default=None)
+            on = last is not None and last[1] == d
+            rest = 0 if last is None else last[2] if on else last[3]
+            want.append((k, i, d, rest or 0, (last[4] or 0) if on else 0, (last[5] or 0) if on else 0))
+    written, cut = [], ao.cut
+    ao.cut = lambda df: written.append(df) or cut(df)
+    try:
+        found = ao.opening_balances(registers, rests, days)
+    finally:
+        ao.cut = cut
+    assert found.columns == ["register_id", "n", "day", "rest", "over_in", "over_out"]
+    numbers = lambda rows: sorted(((*r[:3], *map(float, r[3:])) for r in rows), key=str)
+    assert numbers(found.collect()) == numbers(want)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not written and plan.index("Generate explode") < plan.index("Exchange")
