@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +21,18 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Bytes of Parquet a scan task takes at most. Narrow rows unfold to some fifteen times that in a sort or hash table, which
+# a task then holds without spilling, however large the table is.
+SCAN_BYTES = 16 << 20
+
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings the plans are written for."""
+    """Apply the run-time settings the plans are written for; a smaller scan size that is set stays."""
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    if spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() > SCAN_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(SCAN_BYTES))
     return spark
 
 
@@ -70,6 +77,14 @@ def sub_folders(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()) if fs.exists(path) else []
 
 
+def bytes_of(spark: SparkSession, files: Sequence[str]) -> int:
+    """Size of files given as ``DataFrame.inputFiles`` names them. A look at each, no job."""
+    uri, path = spark._jvm.java.net.URI, spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    places = [path(uri(f)) for f in files]
+    return sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in places)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder with all it holds, if it is there."""
     fs, path = _place(spark, folder)

@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapbook.plans.register_types import TARGET_TYPES
-from snapbook.session import folder_exists, new_folder
+from snapbook.session import bytes_of, folder_exists, new_folder
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -450,6 +450,41 @@ VIEWS: dict[str, str] = {
     "found": "select p_brand as name from {part} where p_size > 49",
 }
 
+# The same rows for Spark, dealt out by register before they are summed: day sums and the running sum then need no exchange of their
+# own. Portfolio registers have rows of the whole book, so their days are summed before that.
+PLACED: dict[str, str] = {
+    "register_rest": """
+        select register_id, oper_day, cast(rest_out - over_in + over_out as decimal(21,2)) as rest_in, rest_out, over_in, over_out
+        from (
+            select register_id, oper_day, over_in, over_out,
+                   cast(sum(cast(over_in - over_out as decimal(21,2))) over (partition by register_id order by oper_day
+                        rows between unbounded preceding and current row) as decimal(21,2)) as rest_out
+            from (
+                select register_id, oper_day, cast(sum(price) as decimal(21,2)) as over_in, cast(sum(spent) as decimal(21,2)) as over_out
+                from (
+                    select /*+ repartition({parts}, register_id) */ register_id, oper_day, price, spent
+                    from (
+                        select 'rc' || cast(l_orderkey as string) as register_id, cast(l_shipdate as date) as oper_day,
+                               cast(l_extendedprice as decimal(15,2)) as price,
+                               cast(l_extendedprice as decimal(15,2)) * cast(l_discount as decimal(6,4)) as spent
+                        from {lineitem}
+                        union all
+                        select case when l_partkey % 2 = 0 then 'ri' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string)
+                                    else 'rd' || cast(l_orderkey as string) end,
+                               cast(l_shipdate as date), cast(l_extendedprice as decimal(15,2)),
+                               cast(l_extendedprice as decimal(15,2)) * cast(l_discount as decimal(6,4))
+                        from {lineitem}
+                        union all
+                        select 'rp' || cast(l_linenumber % 4 as string) || p_brand, cast(l_shipdate as date),
+                               sum(cast(l_extendedprice as decimal(15,2))),
+                               sum(cast(l_extendedprice as decimal(15,2)) * cast(l_discount as decimal(6,4)))
+                        from {lineitem} join {part} on l_partkey = p_partkey group by 1, 2
+                    ) a
+                ) m group by register_id, oper_day
+            ) d
+        ) r""",
+}
+
 _REF = re.compile(r"\{(\w+)\}")
 
 
@@ -485,14 +520,23 @@ def duck_sql(sql: str) -> str:
     return "with " + ", ".join(views) + " " + body
 
 
-# Everything built on orders or line items. A loan system holds these as tables, so each is written once per
-# application and data folder, and read as a table from then on.
+# Everything joined, reduced or put together from orders or line items. A loan system holds these as tables, so each is
+# written once per application and data folder, and read as a table from then on. Plain columns of one table are read
+# where they are: a copy would be moved and written for nothing.
+_COMBINED = re.compile(r"\b(join|union|distinct|group by|over)\b")
 STAGED = tuple(
     name for name, sql in VIEWS.items()
-    if {"orders", "lineitem", "issue", "contract", "base_contract"} & set(references(sql))
+    if {"orders", "lineitem", "issue", "contract", "base_contract"} & set(references(sql)) and _COMBINED.search(sql)
 ) + ("portfolio", "run")
 
 
+# Bytes of input behind one part of a view that is dealt out by a key: sums and sorts of a part stay within one task's memory.
+PLACED_BYTES = 4 << 20
+
+# Input below this size for each core is dealt out over the cores.
+SPREAD_BYTES = 8 << 20
+
+
 class StandIns(dict):
     """The views as Spark frames over one data folder, built on first use."""
 
@@ -509,8 +553,13 @@ class StandIns(dict):
         """A driver table, or a view by its own name."""
         if name not in self._raw:
             if name in VIEWS:
-                sql = VIEWS[name]
-                frame = self.spark.sql(sql, **{r: self.raw(r) for r in references(sql)})
+                tables = {r: self.raw(r) for r in references(VIEWS[name])}
+                if name in PLACED:
+                    read = sum(bytes_of(self.spark, f.inputFiles()) for f in tables.values())
+                    parts = max(self.spark.sparkContext.defaultParallelism, -(-read // PLACED_BYTES))
+                    frame = self.spark.sql(PLACED[name], parts=parts, **tables)
+                else:
+                    frame = self.spark.sql(VIEWS[name], **tables)
                 self._raw[name] = self._stage(name, frame) if name in STAGED else frame
             else:
                 self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -521,10 +570,11 @@ class StandIns(dict):
         if key not in self._written or not folder_exists(self.spark, self._written[key]):
             folder = new_folder(self.spark, f"source-{name}")
             cores = self.spark.sparkContext.defaultParallelism
-            if len(frame.inputFiles()) < cores:
-                # A handful of input files would leave a handful of tasks, here and in every later scan.
+            files = frame.inputFiles()
+            if len(files) < cores and bytes_of(self.spark, files) < cores * SPREAD_BYTES:
+                # A handful of small input files would leave a handful of tasks, here and in every later scan. Larger ones are split by the scan.
                 frame = frame.repartition(cores)
-            frame.write.parquet(folder)
+            frame.write.option("compression", "zstd").parquet(folder)
             self._written[key] = folder
         return self.spark.read.parquet(self._written[key])
 
