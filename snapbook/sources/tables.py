@@ -13,9 +13,10 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from snapbook.operators.asof import Names, as_list
-from snapbook.session import folder_exists, read_note, write_note
+from snapbook.session import bytes_of, folder_exists, read_note, write_note
 
 BUCKETS = "_buckets"
+BUCKET_BYTES = 16 << 20
 
 
 def _table(root: str, name: str) -> str:
@@ -23,6 +24,16 @@ def _table(root: str, name: str) -> str:
     return f"snapbook_{hashlib.md5(root.encode()).hexdigest()[:12]}_{name}"
 
 
+def bucket_count(*frames: DataFrame) -> int:
+    """Buckets for tables joined by one key: one for each core, and more where the files of the largest would fill a bucket past ``BUCKET_BYTES``.
+
+    A bucket is sorted, read and reduced by one task, so a fixed number would let its memory grow with the table.
+    """
+    spark = frames[0].sparkSession
+    largest = max(bytes_of(spark, frame.inputFiles()) for frame in frames)
+    return max(spark.sparkContext.defaultParallelism, -(-largest // BUCKET_BYTES))
+
+
 def write_buckets(df: DataFrame, root: str, name: str, key: Names, buckets: int) -> None:
     """Write ``root/name.parquet`` in so many buckets by ``key``, sorted by it, one file each, and note that beside the tables.
 

@@ -19,7 +19,7 @@ from snapbook.session import cut, new_folder
 from snapbook.sources import audit
 from snapbook.sources.carried import CarriedBalances, History
 from snapbook.sources.slices import DATED, SliceStore, StaleWriter
-from snapbook.sources.tables import Sources, read_source, write_buckets
+from snapbook.sources.tables import Sources, bucket_count, read_source, write_buckets
 from workload.standins import EVENT_DAY, ORDER_DAY, StandIns
 
 D = date.fromisoformat(ORDER_DAY)
@@ -375,9 +375,10 @@ def _(s):
 @query("J1_J10_colocated_tables")
 def _(s):
     """Registers and their history in buckets by register, joined and reduced where they are."""
-    root = new_folder(s.spark, "buckets")
-    for name in ("register", "register_rest"):
-        write_buckets(s[name], root, name, "register_id", s.spark.sparkContext.defaultParallelism)
+    root, names = new_folder(s.spark, "buckets"), ("register", "register_rest")
+    buckets = bucket_count(*[s[name] for name in names])
+    for name in names:
+        write_buckets(s[name], root, name, "register_id", buckets)
     src = Sources(s.spark, root)
     return ao.opening_balance(src["register"].select("register_id"), src["register_rest"], D)
 
