@@ -382,7 +382,9 @@ def node_components(table: Stored) -> DataFrame:
         parts = cut(components(links))
         rest = open_groups(rest, parts)
     more = exact_links(tile_pairs(rest, bitmap_table(grams)), grams)
-    return components(links.unionByName(more))
+    # What the links join already is known: one link from each node to its component stands for all of them.
+    known = parts.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return components(known.unionByName(more))
 
 
 def components_of(docs: DataFrame, key: str, text: str) -> DataFrame:
