@@ -5,9 +5,9 @@ wanted similarity share some shingles of both prefixes (Chaudhuri et al., 2006;
 order defines them; a node with fewer shared prefix shingles has no partner. The order takes shingles of few documents first, so a passage that a third of the corpus quotes rarely gets
 into a prefix.
 
-Nodes that share a prefix shingle form a group. First every node meets one pivot of its size band, which links the
-members of a large group of near copies in as many comparisons as it has members. What is left, groups whose nodes
-are still in different components, is cut into blocks of nodes of similar sizes; a pair of blocks
+Nodes that share a prefix shingle form a group. First every node meets one or two pivots of its size band, which links the
+members of a large group of near copies in at most twice as many comparisons as it has members. In groups whose nodes are still in different
+components every node meets the pivots of the others. What is left then is cut into blocks of nodes of similar sizes; a pair of blocks
 that sizes allow is a tile. Bit counts of hashed bitmaps, as long as the sets ask for, bound the overlap of each pair of a tile from above; pairs
 that pass come out of one tile only and are compared exactly on their sorted arrays. No pair of a group is skipped except those in one component already.
 
@@ -39,7 +39,9 @@ NODE_BUCKETS = 1 << 22
 BLOCK = 256
 # Places of a bitmap for each shingle, and the least and most of one bitmap.
 BITMAP_LOAD, BITMAP_LEAST, BITMAP_MOST = 16, 1 << 10, 1 << 14
-STAR_ROUNDS = 1
+STAR_ROUNDS = 2
+# Pivots a node meets in the first round.
+FIRST_PIVOTS = 2
 PREFIX_STEP = 20
 SEEN = 500_000
 
@@ -223,10 +225,17 @@ def band(column: str) -> F.Column:
 
 
 def star_pairs(groups: DataFrame, turn: int) -> DataFrame:
-    """Each node with the pivot of its group and size band; the pivot changes with the turn."""
+    """Each node with the pivots of its groups and size band; the pivots change with the turn.
+
+    In the first turn a node meets only the first few: near copies share many groups, and links to all their pivots would say the same again.
+    Later turns bring the component of each node and leave out pivots of the same one.
+    """
     pick = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), F.col("node"))
-    pivots = groups.groupBy("gram", band("node").alias("band")).agg(F.min(pick)["node"].alias("pivot"))
+    pivots = groups.groupBy("gram", band("node").alias("band")).agg(F.min(pick).alias("first")).select("gram", "band", F.col("first.order").alias("order"), F.col("first.node").alias("pivot"))
     met = groups.withColumn("band", band("node")).join(pivots, ["gram", "band"]).filter("node != pivot")
+    if turn == 0:
+        few = F.slice(F.sort_array(F.collect_set(F.struct("order", "pivot"))), 1, FIRST_PIVOTS)
+        met = met.groupBy("node").agg(few.alias("few")).select("node", F.explode("few.pivot").alias("pivot"))
     if "component" in groups.columns:
         own = groups.select(F.col("gram"), F.col("node").alias("pivot"), F.col("component").alias("pivot_component"))
         met = met.join(own, ["gram", "pivot"]).filter("component != pivot_component")
@@ -367,6 +376,11 @@ def tile_pairs(groups: DataFrame, bitmaps: DataFrame) -> DataFrame:
     return small.unionByName(tiles).mapInArrow(tidy(run), "a long, b long")
 
 
+def joined_by(parts: DataFrame, more: DataFrame) -> DataFrame:
+    """``node`` and ``component`` after further links. What is joined already is known: one link from each node to its component stands for it."""
+    return components(parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more))
+
+
 def node_components(table: Stored) -> DataFrame:
     """``node`` and ``component`` for every node that is linked to a smaller one. The stored sets are dropped."""
     sets = table.frame.filter("grams is not null").select("node", "grams")
@@ -374,17 +388,15 @@ def node_components(table: Stored) -> DataFrame:
     groups = shared_prefixes(prefixes(sets, order))
     grams = only_nodes(sets, groups)
     table.drop()
-    links = exact_links(star_pairs(groups, 0), grams)
-    parts = cut(components(links))
+    parts = cut(components(exact_links(star_pairs(groups, 0), grams)))
     rest = open_groups(groups, parts)
     for turn in range(1, STAR_ROUNDS):
-        links = links.unionByName(exact_links(star_pairs(rest, turn), grams))
-        parts = cut(components(links))
+        more = exact_links(star_pairs(rest, turn), grams)
+        if more.isEmpty():
+            break
+        parts = cut(joined_by(parts, more))
         rest = open_groups(rest, parts)
-    more = exact_links(tile_pairs(rest, bitmap_table(grams)), grams)
-    # What the links join already is known: one link from each node to its component stands for all of them.
-    known = parts.select(F.col("component").alias("a"), F.col("node").alias("b"))
-    return components(known.unionByName(more))
+    return joined_by(parts, exact_links(tile_pairs(rest, bitmap_table(grams)), grams))
 
 
 def components_of(docs: DataFrame, key: str, text: str) -> DataFrame:
