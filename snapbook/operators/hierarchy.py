@@ -52,6 +52,8 @@ def resolve_chains(links: DataFrame, node: str, prev: str) -> tuple[DataFrame, D
     Pointer doubling: every round joins each node with its current ancestor, so a chain of length n
     takes log2(n) rounds. A round after which as many nodes are open as before leaves only those whose way ends in a cycle. They come in
     the second frame: the node, ``base_id`` (smallest node of its cycle), ``cycle_length``, and ``on_cycle`` (false for a node that leads into it).
+
+    Both sides of these joins grow with the links, so they are merged: a broadcast in every round would pass the whole set through the driver each time.
     """
     known = links.select(F.col(node).alias("_up"), F.lit(True).alias("_known")).distinct()
     # A previous node that is not in the set itself is a root.
@@ -60,7 +62,7 @@ def resolve_chains(links: DataFrame, node: str, prev: str) -> tuple[DataFrame, D
         F.coalesce(F.col(prev), F.col(node)).alias("root"),
         F.when(F.col(prev).isNull(), F.lit(0)).otherwise(F.lit(1)).cast("long").alias("level"),
     ).distinct()
-    state = state.join(known, state.root == known._up, "left").select(
+    state = state.join(known.hint("merge"), state.root == known._up, "left").select(
         node, "root", "level", (F.col("_known").isNotNull() & (F.col("level") > 0)).alias("open")
     )
     before, steps = -1, 1
@@ -76,7 +78,7 @@ def resolve_chains(links: DataFrame, node: str, prev: str) -> tuple[DataFrame, D
             F.col("level").alias("_level"),
             F.col("open").alias("_open"),
         )
-        state = state.join(up, state.root == up._up, "left").select(
+        state = state.join(up.hint("merge"), state.root == up._up, "left").select(
             node,
             F.when(F.col("open"), F.col("_root")).otherwise(F.col("root")).alias("root"),
             F.when(F.col("open"), F.col("level") + F.col("_level")).otherwise(F.col("level")).alias("level"),
@@ -88,17 +90,17 @@ def resolve_chains(links: DataFrame, node: str, prev: str) -> tuple[DataFrame, D
 def _cycles(links: DataFrame, stuck: DataFrame, count: int, node: str, prev: str) -> DataFrame:
     """Nodes that ``count`` or more steps up have not led to a root. Where such a walk ends is on a cycle, and every cycle node is such an end."""
     ring = stuck.select(F.col("root").alias(node)).distinct()
-    walk = cut(links.join(ring, node, "left_semi").select(node, F.col(prev).alias("_at"), F.least(node, prev).alias("base_id")).distinct())
+    walk = cut(links.join(ring.hint("merge"), node, "left_semi").select(node, F.col(prev).alias("_at"), F.least(node, prev).alias("base_id")).distinct())
     steps = 1
     while steps < count:
         # The smallest node on the way, over twice as many steps each round.
         ahead = walk.select(F.col(node).alias("_up"), F.col("_at").alias("_next"), F.col("base_id").alias("_low"))
-        walk = cut(walk.join(ahead, walk._at == ahead._up).select(node, F.col("_next").alias("_at"), F.least("base_id", "_low").alias("base_id")))
+        walk = cut(walk.join(ahead.hint("merge"), walk._at == ahead._up).select(node, F.col("_next").alias("_at"), F.least("base_id", "_low").alias("base_id")))
         steps *= 2
-    sized = walk.join(walk.groupBy("base_id").agg(F.count(F.lit(1)).alias("cycle_length")), "base_id")
+    sized = walk.join(walk.groupBy("base_id").agg(F.count(F.lit(1)).alias("cycle_length")).hint("merge"), "base_id")
     ends = sized.select(F.col(node).alias("_end"), "base_id", "cycle_length")
     on = sized.select(node, F.lit(True).alias("on_cycle"))
-    found = stuck.join(ends, stuck.root == ends._end).join(on, node, "left")
+    found = stuck.join(ends.hint("merge"), stuck.root == ends._end).join(on.hint("merge"), node, "left")
     return cut(found.select(node, "base_id", "cycle_length", F.coalesce("on_cycle", F.lit(False)).alias("on_cycle")))
 
 

@@ -204,3 +204,14 @@ def test_log_rules(spark):
 def test_context_needs_a_date():
     with pytest.raises(ValueError):
         RunContext(None)
+
+
+def test_chains_are_not_broadcast(spark, monkeypatch):
+    plans, cut = [], hierarchy.cut
+    monkeypatch.setattr(hierarchy, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    rows = [("a", None), ("b", "a"), ("c", "b"), ("x", "y"), ("y", "z"), ("z", "x"), ("w", "x")]
+    roots, cycles = hierarchy.resolve_chains(spark.createDataFrame(rows, "node string, prev string"), "node", "prev")
+    assert {(r["node"], r["root"], r["level"]) for r in roots.collect()} == {("a", "a", 0), ("b", "a", 1), ("c", "a", 2)}
+    assert {(r["node"], r["base_id"], r["cycle_length"], r["on_cycle"]) for r in cycles.collect()} == {
+        ("x", "x", 3, True), ("y", "x", 3, True), ("z", "x", 3, True), ("w", "x", 3, False)}
+    assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
