@@ -9,7 +9,7 @@ from typing import Any
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from snapbook.operators.asof import Names, as_list, first_per
+from snapbook.operators.asof import Names, as_list, first_per, history_of
 from snapbook.session import cut
 
 NULL_SPREAD = 1024
@@ -114,6 +114,12 @@ def keep_existing(df: DataFrame, ref: DataFrame, on: Names) -> DataFrame:
     return df.join(ref.select(*keys).distinct(), keys, "left_semi")
 
 
+def keep_few_existing(df: DataFrame, ref: DataFrame, on: Names) -> DataFrame:
+    """As ``keep_existing`` for few rows and a large ``ref``: its keys are cut down to those at hand in its scan, so what is moved grows with ``df``."""
+    keys = as_list(on)
+    return keep_existing(df, history_of(ref.select(*keys), df.dropna(subset=keys), keys), keys)
+
+
 def drop_existing(df: DataFrame, ref: DataFrame, on: Names) -> DataFrame:
     """Rows whose key does not occur in ``ref``."""
     keys = as_list(on)

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from snapbook.functions import exprs
+from snapbook.operators.lookups import keep_few_existing
 from snapbook.operators.numbering import number_rows
 
 # Fixed value: label of entries made by the reporting side.
@@ -47,8 +48,8 @@ def corrections(entries: DataFrame, contracts: DataFrame, portfolios: DataFrame,
     leading = ["contract_id", "issue_id", "portfolio_id"]
     order = leading + [c for c in rows.columns if c not in (*leading, "source")]
     numbered = number_rows(rows, [F.col(c).asc_nulls_first() for c in order], "idx")
-    by_contract = numbered.join(contracts.select("contract_id").distinct(), "contract_id", "left_semi")
-    by_portfolio = numbered.join(portfolios.select("portfolio_id").distinct(), "portfolio_id", "left_semi")
+    by_contract = keep_few_existing(numbered, contracts, "contract_id")
+    by_portfolio = keep_few_existing(numbered, portfolios, "portfolio_id")
     return by_contract.unionByName(by_portfolio).select(*CORRECTION_COLUMNS)
 
 

@@ -602,9 +602,9 @@ def _(s):
 
 @query("X1_union_all")
 def _(s):
-    rows = corrections.day_entries(s["entry"], D, 1, "loan-book")
-    a = rows.join(s["contract"].select("contract_id"), "contract_id", "left_semi")
-    b = rows.join(s["portfolio"].select("portfolio_id"), "portfolio_id", "left_semi")
+    rows = cut(corrections.day_entries(s["entry"], D, 1, "loan-book"))
+    a = lookups.keep_few_existing(rows, s["contract"], "contract_id")
+    b = lookups.keep_few_existing(rows, s["portfolio"], "portfolio_id")
     return a.unionByName(b).select("contract_id", "issue_id", "portfolio_id", "transaction_sum")
 
 
