@@ -571,8 +571,9 @@ class StandIns(dict):
             folder = new_folder(self.spark, f"source-{name}")
             cores = self.spark.sparkContext.defaultParallelism
             files = frame.inputFiles()
-            if len(files) < cores and bytes_of(self.spark, files) < cores * SPREAD_BYTES:
-                # A handful of small input files would leave a handful of tasks, here and in every later scan. Larger ones are split by the scan.
+            if name not in PLACED and len(files) < cores and bytes_of(self.spark, files) < cores * SPREAD_BYTES:
+                # A handful of small input files would leave a handful of tasks, here and in every later scan. Larger ones are split by the scan,
+                # and a view dealt out by its key has a part for each core already.
                 frame = frame.repartition(cores)
             frame.write.option("compression", "zstd").parquet(folder)
             self._written[key] = folder
