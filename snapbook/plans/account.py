@@ -189,7 +189,11 @@ def register_rows(src: Frames, ctx: RunContext, entries: DataFrame, targets: Dat
 
 def register_list(src: Frames, ctx: RunContext, entries: DataFrame, targets: DataFrame) -> DataFrame:
     """Registers of the entries with opening rest and day turnovers."""
-    registers = cut(register_rows(src, ctx, entries, targets))
+    registers = register_rows(src, ctx, entries, targets)
+    if ctx.object_id is None:
+        # The registers of the whole book: their history shrinks before the exchange. Cut down to them first, every row of it would be moved.
+        return opening_balance(registers, src["register_rest"], ctx.asof)
+    registers = cut(registers)
     return opening_balance(registers, history_of(src["register_rest"], registers, "register_id"), ctx.asof)
 
 

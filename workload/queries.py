@@ -477,9 +477,12 @@ def _(s):
     return found.withColumnsRenamed({"partners": "accounts", "first_partner": "first_account"})
 
 
+def _entries(s):
+    return rt.target_types(s), account.account_entries(s, CTX, s["loan_slice"], s["guarantee_slice"])
+
+
 def _account_parts(s):
-    targets = rt.target_types(s)
-    entries = account.account_entries(s, CTX, s["loan_slice"], s["guarantee_slice"])
+    targets, entries = _entries(s)
     return targets, entries, account.register_rows(s, CTX, entries, targets), account.account_list(s, CTX, entries)
 
 
@@ -816,7 +819,7 @@ def _(s):
 
 @query("Q9_register_list")
 def _(s):
-    targets, entries, _, _ = _account_parts(s)
+    targets, entries = _entries(s)
     return account.register_list(s, CTX, entries, targets)
 
 
