@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from snapbook.context import RunContext
 from snapbook.functions import exprs
 from snapbook.functions.intervals import valid_on
-from snapbook.operators.asof import asof_latest, first_per
+from snapbook.operators.asof import asof_latest, first_per, history_of
 from snapbook.operators.lookups import attach, const_df, opt_filter
 from snapbook.plans import routines
 from snapbook.plans.loan import of_keys, quality_of, shape
@@ -72,11 +72,14 @@ def status_map(spark) -> DataFrame:
     return const_df(spark, STATUS_MAP, STATUS_SCHEMA)
 
 
-def last_revisions(src: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
-    """Last revision per contract among the mapped statuses and the four change types, created by the date."""
+def last_revisions(src: Mapping[str, DataFrame], ctx: RunContext, contracts: DataFrame | None = None) -> DataFrame:
+    """Last revision per contract among the mapped statuses and the four change types, created by the date; of the given contracts only, if any are."""
     next_day = F.lit(ctx.asof + timedelta(days=1)).cast("timestamp_ntz")
     events = src["guarantee_event"].filter(F.col("create_date") < next_day)
     revisions = src["contract_revision"].filter(F.col("change_type").isin(*CHANGE_TYPES))
+    if contracts is not None:
+        # Revisions are wide and looked up by their own id, so those of other contracts go before they are moved.
+        revisions = history_of(revisions, contracts, "contract_id")
     mapped = status_map(events.sparkSession).select(
         F.col("guarantee_status").alias("guarant_status"), "base_status"
     )
@@ -87,7 +90,7 @@ def last_revisions(src: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
 def guarantee_list(src: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
     """Guarantees valid on the date, historic attributes before current ones."""
     contract = opt_filter(src["contract"].filter(F.col("kind") == 2), "contract_id", ctx.object_id)
-    info = last_revisions(src, ctx).select(
+    info = last_revisions(src, ctx, contract).select(
         "contract_id", "base_status",
         *[F.col(h).alias(f"_{c}") for c, h in OVERRIDES.items()],
     )
