@@ -6,10 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from snapbook.session import cut
+from snapbook.session import bytes_of, cut
 
 ROW_BITS = 33
 
+# Bytes of input files behind one range partition at most, so that a task sorts no more when the table grows.
+NUMBERED_BYTES = 16 << 20
+
 
 def number_rows(df: DataFrame, order: Sequence[Column], name: str, partitions: int | None = None) -> DataFrame:
     """1, 2, 3, ... over the whole frame, without gathering it in one task.
@@ -19,7 +22,8 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str, partitions: i
     partition) are summed in one task. Copies of one row are told apart by their input position, so even
     a frame of equal rows spreads.
     """
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-bytes_of(spark, df.inputFiles()) // NUMBERED_BYTES))
     by = [*order, F.col("_position").asc()]
     placed = cut(
         df.withColumn("_position", F.monotonically_increasing_id())
