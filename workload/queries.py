@@ -564,9 +564,11 @@ def _(s):
 
 @query("G6_grouped_sums")
 def _(s):
-    df = s["register_rest"].join(s["register"], "register_id")
-    return df.groupBy("register_type_id", "contract_id", "issue_id", "portfolio_id").agg(
-        *[F.sum(c).cast(exprs.WIDE_MONEY).alias(c) for c in ("over_in", "over_out", "rest_out")])
+    sums = ("over_in", "over_out", "rest_out")
+    # Sums of each register first, so its history is not moved row by row to meet the register.
+    each = s["register_rest"].groupBy("register_id").agg(*[F.sum(c).alias(c) for c in sums])
+    return each.join(s["register"], "register_id").groupBy("register_type_id", "contract_id", "issue_id", "portfolio_id").agg(
+        *[F.sum(c).cast(exprs.WIDE_MONEY).alias(c) for c in sums])
 
 
 @query("G7_G8_counts_having")
