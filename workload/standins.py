@@ -450,12 +450,33 @@ VIEWS: dict[str, str] = {
     "found": "select p_brand as name from {part} where p_size > 49",
 }
 
-# The same rows for Spark, dealt out by register before they are summed: day sums and the running sum then need no exchange of their
-# own. Portfolio registers have rows of the whole book, so their days are summed before that.
+# The same rows for Spark. A line item belongs to a contract register and a tranche or disposal register of its own order, so it is dealt out once, by its
+# order, before it becomes the rows of both: day sums and the running sum then need no exchange of their own. Portfolio registers have rows of
+# the whole book and a missing register has rows of any order; their days are summed before they are dealt out by register.
 PLACED: dict[str, str] = {
     "register_rest": """
         select register_id, oper_day, cast(rest_out - over_in + over_out as decimal(21,2)) as rest_in, rest_out, over_in, over_out
         from (
+            select register_id, oper_day, over_in, over_out,
+                   cast(sum(cast(over_in - over_out as decimal(21,2))) over (partition by order_id, register_id order by oper_day
+                        rows between unbounded preceding and current row) as decimal(21,2)) as rest_out
+            from (
+                select order_id, register_id, oper_day, cast(sum(price) as decimal(21,2)) as over_in, cast(sum(price * discount) as decimal(21,2)) as over_out
+                from (
+                    select order_id, oper_day, price, discount,
+                           explode(array('rc' || cast(order_id as string), case when tranche then 'ri' || cast(order_id as string) || '-' || cast(line as string)
+                                                                                else 'rd' || cast(order_id as string) end)) as register_id
+                    from (
+                        select /*+ repartition({parts}, order_id) */ order_id, line, tranche, oper_day, price, discount
+                        from (
+                            select l_orderkey as order_id, l_linenumber as line, l_partkey % 2 = 0 as tranche, cast(l_shipdate as date) as oper_day,
+                                   cast(l_extendedprice as decimal(15,2)) as price, cast(l_discount as decimal(6,4)) as discount
+                            from {lineitem}
+                        ) l
+                    ) o
+                ) m where register_id is not null group by order_id, register_id, oper_day
+            ) d
+            union all
             select register_id, oper_day, over_in, over_out,
                    cast(sum(cast(over_in - over_out as decimal(21,2))) over (partition by register_id order by oper_day
                         rows between unbounded preceding and current row) as decimal(21,2)) as rest_out
@@ -464,21 +485,21 @@ PLACED: dict[str, str] = {
                 from (
                     select /*+ repartition({parts}, register_id) */ register_id, oper_day, price, spent
                     from (
-                        select 'rc' || cast(l_orderkey as string) as register_id, cast(l_shipdate as date) as oper_day,
-                               cast(l_extendedprice as decimal(15,2)) as price,
-                               cast(l_extendedprice as decimal(15,2)) * cast(l_discount as decimal(6,4)) as spent
-                        from {lineitem}
+                        select 'rp' || cast(l_linenumber % 4 as string) || p_brand as register_id, cast(l_shipdate as date) as oper_day,
+                               sum(cast(l_extendedprice as decimal(15,2))) as price,
+                               sum(cast(l_extendedprice as decimal(15,2)) * cast(l_discount as decimal(6,4))) as spent
+                        from {lineitem} join {part} on l_partkey = p_partkey group by 1, 2
                         union all
-                        select case when l_partkey % 2 = 0 then 'ri' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string)
-                                    else 'rd' || cast(l_orderkey as string) end,
-                               cast(l_shipdate as date), cast(l_extendedprice as decimal(15,2)),
-                               cast(l_extendedprice as decimal(15,2)) * cast(l_discount as decimal(6,4))
-                        from {lineitem}
+                        select cast(null as string), cast(l_shipdate as date),
+                               sum(cast(l_extendedprice as decimal(15,2))),
+                               sum(cast(l_extendedprice as decimal(15,2)) * cast(l_discount as decimal(6,4)))
+                        from {lineitem} where l_orderkey is null group by 2
                         union all
-                        select 'rp' || cast(l_linenumber % 4 as string) || p_brand, cast(l_shipdate as date),
+                        select cast(null as string), cast(l_shipdate as date),
                                sum(cast(l_extendedprice as decimal(15,2))),
                                sum(cast(l_extendedprice as decimal(15,2)) * cast(l_discount as decimal(6,4)))
-                        from {lineitem} join {part} on l_partkey = p_partkey group by 1, 2
+                        from {lineitem}
+                        where (l_orderkey is null or l_linenumber is null) and (l_orderkey is null or l_partkey % 2 = 0) group by 2
                     ) a
                 ) m group by register_id, oper_day
             ) d
@@ -554,17 +575,24 @@ class StandIns(dict):
         if name not in self._raw:
             if name in VIEWS:
                 tables = {r: self.raw(r) for r in references(VIEWS[name])}
-                if name in PLACED:
-                    read = sum(bytes_of(self.spark, f.inputFiles()) for f in tables.values())
-                    parts = max(self.spark.sparkContext.defaultParallelism, -(-read // PLACED_BYTES))
-                    frame = self.spark.sql(PLACED[name], parts=parts, **tables)
-                else:
-                    frame = self.spark.sql(VIEWS[name], **tables)
+                frame = self._view(name, tables)
                 self._raw[name] = self._stage(name, frame) if name in STAGED else frame
             else:
                 self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._raw[name]
 
+    def once(self, name: str) -> DataFrame:
+        """A view for a query that goes through it once: not written as a table, and cut down to the columns asked for where it is built."""
+        tables = {r: self.once(r) if r in VIEWS else self.raw(r) for r in references(VIEWS[name])}
+        return self._view(name, tables)
+
+    def _view(self, name: str, tables: dict[str, DataFrame]) -> DataFrame:
+        if name not in PLACED:
+            return self.spark.sql(VIEWS[name], **tables)
+        read = sum(bytes_of(self.spark, f.inputFiles()) for f in tables.values())
+        parts = max(self.spark.sparkContext.defaultParallelism, -(-read // PLACED_BYTES))
+        return self.spark.sql(PLACED[name], parts=parts, **tables)
+
     def _stage(self, name: str, frame: DataFrame) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in self._written or not folder_exists(self.spark, self._written[key]):
