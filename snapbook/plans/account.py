@@ -232,7 +232,9 @@ def register_accounts(registers: DataFrame, accounts: DataFrame, links: DataFram
                         "account_type_id", "will_close", "account_id"),
         links, rt.RESERVE_ACCOUNT_TYPE,
     )
-    pairs = assign_accounts(registers, choices, OWNERS).join(targets, "register_type_id")
+    # A register whose type has no linked account type finds none: it goes before it is moved to its owners.
+    linked = registers.join(links.select("register_type_id").distinct(), "register_type_id", "left_semi").select(*registers.columns)
+    pairs = assign_accounts(linked, choices, OWNERS).join(targets, "register_type_id")
     own = [*registers.columns, "sub_type", "base_type_id"]
     direct = F.struct(F.col("direct_id").alias("account_id"), F.col("direct_type").alias("account_type_id"), "level")
     special = F.struct(

@@ -541,13 +541,14 @@ def duck_sql(sql: str) -> str:
     return "with " + ", ".join(views) + " " + body
 
 
-# Everything joined, reduced or put together from orders or line items. A loan system holds these as tables, so each is
-# written once per application and data folder, and read as a table from then on. Plain columns of one table are read
-# where they are: a copy would be moved and written for nothing.
+# Everything joined or reduced from orders or line items. A loan system holds these as tables, so each is
+# written once per application and data folder, and read as a table from then on. Plain columns of a table are read
+# where they are, and so are the unions of such (registers and accounts, which reduce the parts only): a copy would be moved and written for nothing.
+UNIONS = ("register", "account", "base_account")
 _COMBINED = re.compile(r"\b(join|union|distinct|group by|over)\b")
 STAGED = tuple(
     name for name, sql in VIEWS.items()
-    if {"orders", "lineitem", "issue", "contract", "base_contract"} & set(references(sql)) and _COMBINED.search(sql)
+    if {"orders", "lineitem", "issue", "contract", "base_contract"} & set(references(sql)) and _COMBINED.search(sql) and name not in UNIONS
 ) + ("portfolio", "run")
 
 
