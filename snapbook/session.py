@@ -149,7 +149,7 @@ def cut(df: DataFrame) -> DataFrame:
     sees the real size.
     """
     folder = new_folder(df.sparkSession, "step")
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

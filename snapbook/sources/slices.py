@@ -212,7 +212,7 @@ class SliceStore:
         mark = uuid.uuid4().hex
         staged, seen = f"{self.root}/_staging/{mark}", Observation()
         try:
-            plain.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
+            plain.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").parquet(staged)
             rows = seen.get.get("rows", 0)
             if rows:
                 write_note(self.spark, f"{staged}/{_NOTE}", json.dumps({"id": mark, "rows": rows, **(note or {})}))
