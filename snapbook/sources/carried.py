@@ -1,8 +1,9 @@
 """Balances carried forward: the last row of every key per reporting date, kept as a slice and brought up to a later date by the new rows only.
 
 A history is a folder of Parquet partitions by day or month. The carried slice notes which files of each partition it has seen. The next one merges
-the rows after its date into it with one keyed maximum. Partitions of the time before whose files have changed since hold late
-corrections: the keys in them, and those whose carried row came from them, are worked out from the history again, all others stay carried.
+the rows after its date into it with one keyed maximum. Files that partitions of the time before have gained since hold late rows, which are merged in
+the same way. Partitions that lost or changed a file are corrected: the keys in them, and those whose carried row came from them, are
+worked out from the history again, all others stay carried.
 """
 
 from __future__ import annotations
@@ -30,21 +31,23 @@ class History:
     def partition(self, day: date) -> str:
         return day.strftime(self.format)
 
-    def signatures(self) -> dict[str, str]:
-        """For each partition a digest of its files' names, sizes and times; their listing is a job, no file is opened."""
+    def signatures(self) -> dict[str, dict[str, str]]:
+        """For each partition its files by a mark of name, size and time; their listing is a job, no file is opened."""
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(self.folder)
         value = F.regexp_extract("path", f"/{self.part}=([^/]+)/", 1)
-        mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(20,0)")
-        rows = files.select(value.alias("part"), mark.alias("mark")).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("mark").alias("mark")).collect()
-        return {r["part"]: f"{r['n']}:{r['mark']}" for r in rows}
-
-    def read(self, after: date | None = None, upto: date | None = None, parts: Collection[str] | None = None) -> DataFrame:
-        """Rows after one day, up to another, or of some partitions; only the partitions in question are read."""
+        mark = F.xxhash64("path", "length", "modificationTime").cast("string")
+        found: dict[str, dict[str, str]] = {}
+        for r in files.select(value.alias("part"), mark.alias("mark"), "path").collect():
+            found.setdefault(r["part"], {})[r["mark"]] = r["path"]
+        return found
+
+    def read(self, after: date | None = None, upto: date | None = None, parts: Collection[str] | None = None, files: Collection[str] | None = None) -> DataFrame:
+        """Rows after one day, up to another, of some partitions or some files; only the partitions and files in question are read."""
         reader = self.spark.read
         if self._schema is not None:
             kind = self._schema[self.eff].dataType if self.part == self.eff else T.StringType()
             reader = reader.schema(T.StructType([*(f for f in self._schema if f.name != self.part), T.StructField(self.part, kind)]))
-        df = reader.parquet(self.folder)
+        df = reader.parquet(self.folder) if files is None else reader.option("basePath", self.folder).parquet(*sorted(files))
         # Partition values are text of one length, so they sort as their dates do.
         value = F.date_format(F.col(self.part), "yyyy-MM-dd") if isinstance(df.schema[self.part].dataType, T.DateType) else F.col(self.part).cast("string")
         if after is not None:
@@ -67,8 +70,8 @@ class CarriedBalances:
         days = [d for d in self.store.days(self.name, self.source) if d <= day]
         return max(days, default=None)
 
-    def merged(self, day: date, start: date, corrected: Collection[str]) -> DataFrame:
-        """Last rows by ``day`` from the slice of ``start`` and the rows after it; keys of corrected partitions from the history."""
+    def merged(self, day: date, start: date, corrected: Collection[str], gained: Collection[str] = ()) -> DataFrame:
+        """Last rows by ``day`` from the slice of ``start``, the rows after it and those of files gained since; keys of corrected partitions from the history."""
         eff = self.history.eff
         carried = self.store.read(self.name, self.source, start).drop("source", "date1")
         fresh = self.history.read(after=start, upto=day).select(*carried.columns)
@@ -78,21 +81,27 @@ class CarriedBalances:
             keys = cut(now.unionByName(before).distinct())
             redone = history_of(self.history.read(upto=start).select(*carried.columns), keys, self.key)
             carried = carried.join(keys, self.key, "left_anti").unionByName(redone)
+        if gained:
+            # A register has one row per day, so a late row can only take the place of an older one.
+            fresh = fresh.unionByName(self.history.read(upto=start, files=gained).select(*carried.columns))
         return latest_by_day(carried.unionByName(fresh), self.key, eff, day)
 
     def advance(self, day: date) -> int:
         """Publish the carried slice of ``day`` and return its row count; nothing to do when it is there and the history is as it was."""
-        seen = {p: s for p, s in self.history.signatures().items() if p <= self.history.partition(day)}
+        files = {p: f for p, f in self.history.signatures().items() if p <= self.history.partition(day)}
+        seen = {p: sorted(f) for p, f in files.items()}
         start = self._start(day)
         if start is None:
             full = latest_by_day(self.history.read(upto=day), self.key, self.history.eff, day)
             return self.store.replace(full, self.name, self.source, day, note={"seen": seen})
         note = self.store.note(self.name, self.source, start)
         known, border = note["seen"], self.history.partition(start)
-        corrected = {p for p in {*known, *seen} if p <= border and known.get(p) != seen.get(p)}
-        if start == day and not corrected:
+        # A slice noted by an earlier form, one digest for a partition, knows no file: all its partitions are corrected.
+        corrected = {p for p, marks in known.items() if p <= border and (isinstance(marks, str) or not files.get(p, {}).keys() >= set(marks))}
+        gained = [path for p, f in files.items() if p <= border and p not in corrected for mark, path in f.items() if mark not in known.get(p, ())]
+        if start == day and not corrected and not gained:
             return note["rows"]
-        return self.store.replace(self.merged(day, start, corrected), self.name, self.source, day, note={"seen": seen})
+        return self.store.replace(self.merged(day, start, corrected, gained), self.name, self.source, day, note={"seen": seen})
 
     def rows(self, day: date) -> DataFrame:
         """The carried rows of a published date. They can stand for the whole history in any lookup as of that date."""

@@ -15,7 +15,7 @@ from snapbook.plans import (
     account, cession, client, corrections, dictionaries, guarantee, loan, pledge, portfolio, register_types as rt, routines,
     schedule,
 )
-from snapbook.session import cut, new_folder
+from snapbook.session import cut, folder_exists, new_folder
 from snapbook.sources import audit
 from snapbook.sources.carried import CarriedBalances, History
 from snapbook.sources.slices import DATED, SliceStore, StaleWriter
@@ -429,12 +429,15 @@ def _(s):
 def _(s):
     """Carried from March to June over a history by month that gets late rows of earlier years in between."""
     folder, late = new_folder(s.spark, "history"), (F.col("oper_day") < F.lit(date(1997, 6, 1))) & (F.crc32(F.col("register_id").cast("binary")) % 40 == 0)
-    rows = s["register_rest"].withColumn("oper_month", F.date_format("oper_day", "yyyy-MM"))
-    rows.filter(~late).repartition("oper_month").write.partitionBy("oper_month").parquet(folder)
-    carried = CarriedBalances(store(s, "carried"), History(s.spark, folder), "A")
+    # The balances are worked out once and written by month, the late ones apart until they are due.
+    month = lambda df: df.withColumn("oper_month", F.date_format("oper_day", "yyyy-MM")).repartition("oper_month").write.option("compression", "zstd")
+    month(s.once("register_rest").filter(late.isNotNull()).withColumn("side", F.when(late, "late").otherwise("known"))).partitionBy("side", "oper_month").parquet(folder)
+    known, due = f"{folder}/side=known", f"{folder}/side=late"
+    carried = CarriedBalances(store(s, "carried"), History(s.spark, known), "A")
     carried.advance(date(1998, 3, 31))
-    rows.filter(late).repartition("oper_month").write.mode("append").partitionBy("oper_month").parquet(folder)
-    return carried.opening_balance(s["register"].select("register_id"), D)
+    if folder_exists(s.spark, due):
+        month(s.spark.read.parquet(due).drop("oper_month")).mode("append").partitionBy("oper_month").parquet(known)
+    return carried.opening_balance(s.once("register").select("register_id"), D)
 
 
 @query("J7_S10_days_of_a_month")
