@@ -10,7 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from snapbook.session import configure, cut, new_folder
+from snapbook import session
+from snapbook.session import configure, new_folder
 
 __all__ = ["Stored", "bit_table", "bucket_sums", "cut", "emit_buckets", "has_bit", "map_arrow", "read", "ready", "tidy"]
 
@@ -29,6 +30,11 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """As ``session.cut`` with the session's own compression: these steps are bound by CPU."""
+    return session.cut(df, None)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 

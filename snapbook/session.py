@@ -142,14 +142,14 @@ def write_note(spark: SparkSession, name: str, text: str) -> None:
         stream.close()
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, compression: str | None = "zstd") -> DataFrame:
     """Cut lineage: write the frame as a table in the shared folder and go on from there.
 
     Lost executors cost no recomputation, later steps read only the columns they need, and the planner
     sees the real size.
     """
     folder = new_folder(df.sparkSession, "step")
-    df.write.option("compression", "zstd").parquet(folder)
+    (df.write if compression is None else df.write.option("compression", compression)).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
