@@ -18,6 +18,8 @@ from snapbook.session import cut
 
 Names = str | Sequence[str]
 
+BALANCES = ("rest", "over_in", "over_out")
+
 
 def as_list(names: Names) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
@@ -101,31 +103,43 @@ def history_of(hist: DataFrame, keys: DataFrame, on: Names) -> DataFrame:
     return hist.join(cut(keys.select(*names).distinct()), names, "left_semi")
 
 
+def _balance_columns(asof: date) -> list[Column]:
+    """Opening rest and turnovers of the day, as a register's row has them if it is its last by then."""
+    on_day = F.col("oper_day") == F.lit(asof).cast("date")
+    return [
+        exprs.opening_rest(F.col("oper_day"), asof, F.col("rest_in"), F.col("rest_out")).alias("rest"),
+        F.when(on_day, F.coalesce("over_in", F.lit(0))).otherwise(F.lit(0)).cast(exprs.MONEY).alias("over_in"),
+        F.when(on_day, F.coalesce("over_out", F.lit(0))).otherwise(F.lit(0)).cast(exprs.MONEY).alias("over_out"),
+    ]
+
+
 def last_balances(last: DataFrame, asof: date) -> DataFrame:
     """Opening rest and turnovers of the day from the last row of every register.
 
     The row of the day and the row before it are the same lookup: when the last row is dated on the
     day it supplies the opening rest and the turnovers, otherwise the turnovers are 0.
     """
-    on_day = F.col("oper_day") == F.lit(asof).cast("date")
-    return last.select(
-        "register_id",
-        exprs.opening_rest(F.col("oper_day"), asof, F.col("rest_in"), F.col("rest_out")).alias("rest"),
-        F.when(on_day, F.coalesce("over_in", F.lit(0))).otherwise(F.lit(0)).cast(exprs.MONEY).alias("over_in"),
-        F.when(on_day, F.coalesce("over_out", F.lit(0))).otherwise(F.lit(0)).cast(exprs.MONEY).alias("over_out"),
-    )
+    return last.select("register_id", *_balance_columns(asof))
 
 
 def day_balances(rests: DataFrame, asof: date) -> DataFrame:
-    """Opening rest and turnovers of the day for every register that has a row by then. A register has one row per day."""
-    rows = rests.select("register_id", "oper_day", "rest_in", "rest_out", "over_in", "over_out")
-    return last_balances(latest_by_day(rows, "register_id", "oper_day", asof), asof)
+    """Opening rest and turnovers of the day for every register that has a row by then. A register has one row per day.
+
+    What a row would supply is worked out in the scan: the turnovers of earlier days are 0 there, and one rest is moved for two.
+    """
+    rows = rests.select("register_id", "oper_day", *_balance_columns(asof))
+    return latest_by_day(rows, "register_id", "oper_day", asof).drop("oper_day")
 
 
 def opening_rows(registers: DataFrame, balances: DataFrame) -> DataFrame:
     """Registers with their balances; registers without history get zeros."""
     joined = registers.join(balances, "register_id", "left")
-    return joined.withColumns({c: F.coalesce(c, F.lit(0)).cast(exprs.MONEY) for c in ("rest", "over_in", "over_out")})
+    return joined.withColumns({c: F.coalesce(c, F.lit(0)).cast(exprs.MONEY) for c in BALANCES})
+
+
+def without_balance(registers: DataFrame) -> DataFrame:
+    """Registers that are known to have no history, as ``opening_rows`` has them."""
+    return registers.withColumns({c: F.lit(0).cast(exprs.MONEY) for c in BALANCES})
 
 
 def opening_balance(registers: DataFrame, rests: DataFrame, asof: date) -> DataFrame:

@@ -29,15 +29,17 @@ def _known(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def unique(df: DataFrame, key: Names, name: str) -> DataFrame:
+def unique(df: DataFrame, key: Names, name: str, keyless: bool = True) -> DataFrame:
     """``df`` with the promise that its key is there once: the job that reads the rows fails on a repeated one and names frame and key.
 
     The check is an aggregate by the key inside the plan, on the partitioning a join by that key needs anyway, so there is no pass of its own. It counts
     rows of the plan, not of task attempts, so a task run twice after a lost executor raises no false alarm. Rows
-    with a null in the key match nothing; they stay and are not checked.
+    with a null in the key match nothing; they stay and are not checked, or with ``keyless`` off are left to the caller: what is
+    returned then keeps the partitioning by the key.
     """
     keys = as_list(key)
-    return _once(df, keys, name).unionByName(df.filter(~_known(keys)))
+    once = _once(df, keys, name)
+    return once.unionByName(df.filter(~_known(keys))) if keyless else once
 
 
 def accumulate(parts: Sequence[DataFrame], key: Names, names: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from snapbook.context import RunContext
 from snapbook.functions import exprs
 from snapbook.functions.intervals import account_window, closed_within
-from snapbook.operators.asof import history_of, latest, opening_balance
+from snapbook.operators.asof import history_of, latest, opening_balance, without_balance
 from snapbook.operators.lookups import accumulate, attach, opt_filter, unique
 from snapbook.operators.matching import (
     assign_accounts, best_accounts, class_representative, owner_rows, prefer,
@@ -18,7 +18,7 @@ from snapbook.operators.matching import (
 from snapbook.plans import register_types as rt
 from snapbook.plans.loan import LINE_TYPES, shape
 from snapbook.plans.portfolio import back_office
-from snapbook.session import cut
+from snapbook.session import broadcast_size, cut
 
 Frames = Mapping[str, DataFrame]
 
@@ -141,12 +141,13 @@ def account_entries(src: Frames, ctx: RunContext, loans: DataFrame, guarantees:
     return accumulate(parts, ["entry_kind", "entry_id"], names)[0].select(*ENTRY_COLUMNS)
 
 
-def register_rows(src: Frames, ctx: RunContext, entries: DataFrame, targets: DataFrame) -> DataFrame:
-    """Registers of the entries with their owner ids.
+def listed_registers(src: Frames, ctx: RunContext, entries: DataFrame, targets: DataFrame) -> DataFrame:
+    """Registers of the entries with their owner ids, not yet checked to be there once.
 
     A register belongs to exactly one entry: a contract register to its contract, a tranche register to
     its tranche when the contract is a line and to the contract otherwise, a portfolio register to its
-    portfolio. So the four families are one join on (kind, id). A register listed twice fails the job.
+    portfolio. The entry of a tranche register depends on its tranche alone, so tranches meet the entries first, by
+    their contract and then by their own id, and registers are moved to what is left of them only once.
     """
     types = targets.groupBy("register_type_id", "sub_type").agg(F.min("level").alias("level"))
     registers = src["register"].join(types, "register_type_id").filter(
@@ -154,12 +155,17 @@ def register_rows(src: Frames, ctx: RunContext, entries: DataFrame, targets: Dat
         | ((F.col("sub_type") == rt.TRANCHE) & (F.col("level") == 0) & F.col("issue_id").isNotNull())
         | ((F.col("sub_type") == rt.PORTFOLIO) & (F.col("level") == 0) & F.col("portfolio_id").isNotNull())
     )
+    listed = lambda kind, name, mark: entries.filter(F.col("entry_kind") == kind).select(F.col("entry_id").alias(name)).distinct().withColumn(mark, F.lit(True))
     line = F.col("contract_type").isin(*LINE_TYPES)
     issues = (
         src["issue"].select("issue_id", "contract_id")
         .join(src["contract"].select("contract_id", "contract_type"), "contract_id")
         .select("issue_id", F.col("contract_id").alias("_issue_contract"), line.alias("is_line"))
         .filter(F.col("is_line").isNotNull())
+        .join(listed(rt.CONTRACT, "_issue_contract", "_by_contract"), "_issue_contract", "left")
+        .filter(F.col("is_line") | F.col("_by_contract"))
+        .join(listed(rt.TRANCHE, "issue_id", "_by_issue"), "issue_id", "left")
+        .filter(~F.col("is_line") | F.col("_by_issue"))
     )
     own = registers.filter(F.col("sub_type") != rt.TRANCHE).select(
         "register_id", "register_type_id",
@@ -168,29 +174,36 @@ def register_rows(src: Frames, ctx: RunContext, entries: DataFrame, targets: Dat
         F.lit(None).cast("string").alias("issue_id"),
         F.col("sub_type").alias("entry_kind"),
         F.when(F.col("sub_type") == rt.PORTFOLIO, F.col("portfolio_id")).otherwise(F.col("contract_id")).alias("entry_id"),
-    )
+    ).join(entries.select("entry_kind", "entry_id"), ["entry_kind", "entry_id"], "left_semi")
     tranche = (
-        registers.filter(F.col("sub_type") == rt.TRANCHE).join(issues, "issue_id")
-        .filter(F.col("contract_id") == F.col("_issue_contract"))
+        registers.filter(F.col("sub_type") == rt.TRANCHE).select("register_id", "register_type_id", "contract_id", "issue_id")
+        .join(issues, "issue_id").filter(F.col("contract_id") == F.col("_issue_contract"))
         .select(
             "register_id", "register_type_id", F.lit(None).cast("string").alias("portfolio_id"), "contract_id", "issue_id",
-            F.when(F.col("is_line"), F.lit(rt.TRANCHE)).otherwise(F.lit(rt.CONTRACT)).alias("entry_kind"),
-            F.when(F.col("is_line"), F.col("issue_id")).otherwise(F.col("contract_id")).alias("entry_id"),
+            F.when(F.col("is_line"), F.col("issue_id")).otherwise(F.col("contract_id")).alias("contract_oid"),
         )
     )
-    rows = (
-        own.unionByName(tranche)
-        .join(entries.select("entry_kind", "entry_id"), ["entry_kind", "entry_id"], "left_semi")
-        .withColumn("contract_oid", F.col("entry_id"))
-        .drop("entry_kind", "entry_id")
-    )
-    return unique(rows, "register_id", "register list")
+    return own.withColumn("contract_oid", F.col("entry_id")).drop("entry_kind", "entry_id").unionByName(tranche)
+
+
+def register_rows(src: Frames, ctx: RunContext, entries: DataFrame, targets: DataFrame) -> DataFrame:
+    """Registers of the entries with their owner ids. A register listed twice fails the job."""
+    return unique(listed_registers(src, ctx, entries, targets), "register_id", "register list")
 
 
 def register_list(src: Frames, ctx: RunContext, entries: DataFrame, targets: DataFrame) -> DataFrame:
-    """Registers of the entries with opening rest and day turnovers."""
-    registers = cut(register_rows(src, ctx, entries, targets))
-    return opening_balance(registers, history_of(src["register_rest"], registers, "register_id"), ctx.asof)
+    """Registers of the entries with opening rest and day turnovers.
+
+    Registers of few entries cut the history down in its scan. Where the entries are too many to be broadcast, that cut would move every
+    balance and the keys beside it, so each register's balances are reduced in the scan and meet the register
+    where it was checked to be there once.
+    """
+    if broadcast_size(entries):
+        registers = cut(register_rows(src, ctx, entries, targets))
+        return opening_balance(registers, history_of(src["register_rest"], registers, "register_id"), ctx.asof)
+    rows, known = listed_registers(src, ctx, entries, targets), F.col("register_id").isNotNull()
+    listed = opening_balance(unique(rows.filter(known), "register_id", "register list", keyless=False), src["register_rest"], ctx.asof)
+    return listed.unionByName(without_balance(rows.filter(~known)))
 
 
 def account_list(src: Frames, ctx: RunContext, entries: DataFrame) -> DataFrame:

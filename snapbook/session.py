@@ -153,6 +153,12 @@ def cut(df: DataFrame, compression: str | None = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def broadcast_size(df: DataFrame) -> bool:
+    """Whether the planner takes a frame for small enough to broadcast it. No job; for a written frame its size is real."""
+    plan, conf = df._jdf.queryExecution().optimizedPlan(), df.sparkSession._jsparkSession.sessionState().conf()
+    return int(str(plan.stats().sizeInBytes())) <= conf.autoBroadcastJoinThreshold()
+
+
 def dictionary(df: DataFrame) -> DataFrame:
     """A dictionary worked out once and written to the shared folder; its measured size decides whether it is broadcast."""
     return cut(df)

@@ -20,7 +20,7 @@ from snapbook.sources import audit
 from snapbook.sources.carried import CarriedBalances, History
 from snapbook.sources.slices import DATED, SliceStore, StaleWriter
 from snapbook.sources.tables import Sources, bucket_count, read_source, write_buckets
-from workload.standins import EVENT_DAY, ORDER_DAY, StandIns
+from workload.standins import EVENT_DAY, ORDER_DAY, StandIns, narrow
 
 D = date.fromisoformat(ORDER_DAY)
 E = date.fromisoformat(EVENT_DAY)
@@ -824,6 +824,7 @@ def _(s):
 
 @query("Q9_register_list")
 def _(s):
+    narrow(s, "issue", "issue_id", "contract_id", "issue_number", "issue_date")
     targets, entries = _entries(s)
     return account.register_list(s, CTX, entries, targets)
 

@@ -614,3 +614,10 @@ class StandIns(dict):
 
     def __contains__(self, name: object) -> bool:
         return super().__contains__(name) or name in VIEWS
+
+
+def narrow(s: dict[str, DataFrame], name: str, *columns: str) -> None:
+    """A view is written with these columns for a query that reads no others, here and in the views behind it. Given frames, and a table that is there whole, stay as they are."""
+    if isinstance(s, StandIns) and name not in s._raw and (s.spark.sparkContext.applicationId, s.sf_dir, name) not in s._written:
+        frame = s._view(name, {r: s.raw(r) for r in references(VIEWS[name])}).select(*columns)
+        s._raw[name] = s._stage("-".join((name, *columns)), frame)
