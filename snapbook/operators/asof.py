@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from snapbook.functions import exprs
-from snapbook.session import cut
+from snapbook.session import cut, keys_of, listed
 
 Names = str | Sequence[str]
 
@@ -97,10 +97,10 @@ def history_of(hist: DataFrame, keys: DataFrame, on: Names) -> DataFrame:
     """History rows of the given keys only, for a key set that is a small part of the history.
 
     The keys are written out first. Spark then knows their size: a small set is broadcast and the history is
-    filtered in its scan, without an exchange; a large one joins by shuffle.
+    filtered in its scan, without an exchange; a large one joins by shuffle, and a runtime filter leaves most other rows in the scan.
     """
     names = as_list(on)
-    return hist.join(cut(keys.select(*names).distinct()), names, "left_semi")
+    return hist.join(keys_of(cut(listed(keys.select(*names).distinct())), *names), names, "left_semi")
 
 
 def _balance_columns(asof: date) -> list[Column]:

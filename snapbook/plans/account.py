@@ -272,7 +272,7 @@ def published_pairs(pairs: DataFrame) -> DataFrame:
 def account_rows(src: Frames, ctx: RunContext, pairs: DataFrame, accounts: DataFrame) -> DataFrame:
     """Published rows of the assigned registers; only these look up their balance."""
     details = prefer(accounts, "account_id", [F.col("entry_kind").desc(), F.col("entry_id").desc()])
-    published = pairs.filter(F.col("register_type_id") != UNPUBLISHED_REGISTER)
+    published = cut(pairs.filter(F.col("register_type_id") != UNPUBLISHED_REGISTER))
     # The history is cut down to these registers in its scan, before it is reduced.
     rests = history_of(src["register_rest"], published, "register_id")
     df = (

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Settable at run time. AQE picks the partition count and turns a join into a broadcast only after it
 # has measured the side; the skew rule splits hot keys even when that costs one more exchange.
@@ -18,6 +18,14 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # A table from 64 MB on that meets a set of keys too large to be broadcast is cut down in its scan by a filter of 16 MB at
+    # most, before the exact join moves what is left. When the filter fills up, more rows travel and the result is the same.
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "64MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": str(16 << 20),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": str(16 << 20),
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": str(16 << 23),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(16 << 23),
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -153,6 +161,20 @@ def cut(df: DataFrame, compression: str | None = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+# A written set of keys carries this column, and reading it filters on it: the planner makes runtime filters only of frames that are filtered.
+LISTED = "_listed"
+
+
+def listed(df: DataFrame) -> DataFrame:
+    """A frame whose keys other frames are cut down to, to be written with ``cut``."""
+    return df.withColumn(LISTED, F.lit(1))
+
+
+def keys_of(df: DataFrame, *keys: str) -> DataFrame:
+    """The keys of a written frame, by way of its mark where it has one."""
+    return (df.filter(F.col(LISTED) == 1) if LISTED in df.columns else df).select(*keys)
+
+
 def broadcast_size(df: DataFrame) -> bool:
     """Whether the planner takes a frame for small enough to broadcast it. No job; for a written frame its size is real."""
     plan, conf = df._jdf.queryExecution().optimizedPlan(), df.sparkSession._jsparkSession.sessionState().conf()

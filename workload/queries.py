@@ -836,6 +836,7 @@ def _(s):
 
 @query("Q14_accounts")
 def _(s):
+    narrow(s, "issue", "issue_id", "contract_id", "issue_number", "issue_date", "close_date")
     return account.account_snapshot(s, CTX, s["loan_slice"], s["guarantee_slice"])
 
 
