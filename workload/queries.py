@@ -799,6 +799,9 @@ def _(s):
 
 @query("Q3_Q4_loans")
 def _(s):
+    # Each of these is gone through for the contracts or tranches at hand only, which are cut out of it where it is built.
+    for name in ("portfolio_history", "contract_sum", "risk_change", "issue", "account"):
+        s[name] = s.once(name)
     return loan.loan_snapshot(loan_frames(s), CTX)
 
 
