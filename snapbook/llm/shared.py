@@ -24,7 +24,7 @@ BATCH_CONF = {
 
 def ready(spark: SparkSession) -> SparkSession:
     """Session settings of the library, and Arrow batches bounded by bytes."""
-    configure(spark)
+    configure(spark, filters=False)
     for key, value in BATCH_CONF.items():
         spark.conf.set(key, value)
     return spark

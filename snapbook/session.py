@@ -18,15 +18,18 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    # A table from 64 MB on that meets a set of keys too large to be broadcast is cut down in its scan by a filter of 16 MB at
-    # most, before the exact join moves what is left. When the filter fills up, more rows travel and the result is the same.
+    "spark.sql.session.timeZone": "UTC",
+}
+
+# A table from 64 MB on that meets a set of keys too large to be broadcast is cut down in its scan by a filter of 16 MB at
+# most, before the exact join moves what is left. When the filter fills up, more rows travel and the result is the same.
+FILTER_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "64MB",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": str(16 << 20),
     "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": str(16 << 20),
     "spark.sql.optimizer.runtime.bloomFilter.numBits": str(16 << 23),
     "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(16 << 23),
-    "spark.sql.session.timeZone": "UTC",
 }
 
 # Bytes of Parquet a scan task takes at most. Narrow rows unfold to some fifteen times that in a sort or hash table, which
@@ -34,9 +37,9 @@ RUNTIME_CONF = {
 SCAN_BYTES = 16 << 20
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings the plans are written for; a smaller scan size that is set stays."""
-    for key, value in RUNTIME_CONF.items():
+def configure(spark: SparkSession, filters: bool = True) -> SparkSession:
+    """Apply the run-time settings the plans are written for; a smaller scan size that is set stays. Without ``filters`` runtime filters are left as they are set."""
+    for key, value in (RUNTIME_CONF | FILTER_CONF if filters else RUNTIME_CONF).items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     if spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() > SCAN_BYTES:
